@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from faultlens.functions.columns import SECOND
+from faultlens.functions.columns import SECOND, bucket
 from faultlens.operators.joins import join_dimension
 from faultlens.operators.ordered import interval_join, nearest_in_window
+from faultlens.session import materialise
 
 # --- fixed values -----------------------------------------------------------
 BEFORE_US = 30 * 60 * SECOND
@@ -31,6 +32,9 @@ CALLER_SHARE = 0.5
 # -----------------------------------------------------------------------------
 
 ANY = "*"
+BUCKET_US = 5 * 60 * SECOND
+# Up to this many candidates per cluster and bucket, whole windows are pulled.
+SPARSE_BUCKET = 200
 
 
 def f_time(gap_us: Column, tau_s: float = TAU_S) -> Column:
@@ -72,6 +76,40 @@ def top_causes(scored: DataFrame, subject: Sequence[str], order: Sequence[Column
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def busiest_bucket(candidates: DataFrame, bucket_us: int = BUCKET_US) -> int:
+    """Most candidates any cluster has in one time bucket."""
+    counts = candidates.groupBy("cluster", bucket(F.col("c_us"), bucket_us)).count()
+    return counts.agg(F.max("count")).first()[0] or 0
+
+
+def nearest_pairs(subjects: DataFrame, candidates: DataFrame, distances: DataFrame, k: int,
+                  before_us: int, after_us: int) -> DataFrame:
+    """The pairs that can reach the top k, without forming the others.
+
+    Candidates of one cluster, service and kind differ in their score only through
+    the time gap, so of each such class only those nearest to the onset can place.
+    Services out of reach all score the same for topology; they form one further
+    class per kind.  Reachable services found there score higher still, so dropping
+    them (they came through their own class) cannot cost an unreachable one its place.
+    """
+    classes = candidates.select("cluster", F.col("service").alias("place"), "kind").distinct()
+    reach = distances.select("service", F.col("cause_service").alias("place"))
+    near = join_dimension(subjects, reach, ["service"], "inner").join(classes, ["cluster", "place"])
+    anywhere = subjects.join(classes.select("cluster", "kind").distinct(), "cluster").withColumn("place", F.lit(ANY))
+    requests = near.unionByName(anywhere).select(
+        "cluster", "place", "kind", F.col("a_us").alias("r_us"), "service", "signature")
+    named = candidates.select("cluster", F.col("service").alias("place"), "kind", "c_us",
+                              F.struct("cand_id", F.col("service").alias("cause_service")).alias("c_id"))
+    pool = named.unionByName(named.withColumn("place", F.lit(ANY)))
+    found = nearest_in_window(requests, pool, ["cluster", "place", "kind"], k, before_us, after_us).select(
+        "cluster", "service", "signature", F.col("r_us").alias("a_us"), "place", "kind", "c_us",
+        "c_id.cand_id", "c_id.cause_service")
+    own = found.filter(F.col("place") != ANY).drop("place")
+    rest = found.filter(F.col("place") == ANY).drop("place").join(
+        distances.select("service", "cause_service"), ["service", "cause_service"], "left_anti")
+    return own.unionByName(rest.select(*own.columns))
+
+
 def rank_causes(
     anomalies: DataFrame,
     candidates: DataFrame,
@@ -83,6 +121,7 @@ def rank_causes(
     weights: Mapping[str, float] = WEIGHTS,
     prior: Mapping[str, float] = KIND_PRIOR,
     tau_s: float = TAU_S,
+    sparse_bucket: int = SPARSE_BUCKET,
 ) -> DataFrame:
     """Top k causes per anomaly inside its window.
 
@@ -90,42 +129,30 @@ def rank_causes(
     ``(cand_id, cluster, service, kind, c_us)``, distances ``(service, cause_service,
     down, up)``, hist ``(signature, kind, ok, n)``.
 
-    Candidates of one cluster, service and kind differ in their score only through
-    the time gap, so of each such class only those nearest to the onset can place.
-    Services out of reach all score the same for topology; they form one further
-    class per kind, which may hold reachable services too since those only score
-    higher.  This replaces pairing every anomaly with its whole window.
+    The busiest time bucket is measured first.  While no bucket holds more than
+    ``sparse_bucket`` candidates, pulling each whole window is cheap and bounded.
+    Beyond that only the pairs that can place are formed (``nearest_pairs``); both
+    ways give the same rows.
     """
     subject = ["cluster", "service", "signature", "a_us"]
     subjects = anomalies.select(*subject).distinct()
-    classes = candidates.select("cluster", F.col("service").alias("place"), "kind").distinct()
-    reach = distances.select("service", F.col("cause_service").alias("place"))
-    near = join_dimension(subjects, reach, ["service"], "inner")
-    asks = near.join(classes, ["cluster", "place"])
-    anywhere = subjects.join(classes.select("cluster", "kind").distinct(), "cluster").withColumn("place", F.lit(ANY))
-    requests = asks.unionByName(anywhere).select(
-        "cluster", "place", "kind", F.col("a_us").alias("r_us"), "service", "signature")
-
-    named = candidates.select("cluster", F.col("service").alias("place"), "kind", "c_us",
-                              F.struct("cand_id", F.col("service").alias("cause_service")).alias("c_id"))
-    pool = named.unionByName(named.withColumn("place", F.lit(ANY)))
-    pairs = (
-        nearest_in_window(requests, pool, ["cluster", "place", "kind"], k, before_us, after_us)
-        .select("cluster", "service", "signature", F.col("r_us").alias("a_us"), "kind", "c_us",
-                "c_id.cand_id", "c_id.cause_service")
-    )
-    pairs = join_dimension(pairs, distances, ["service", "cause_service"], "left")
-    pairs = join_dimension(pairs, hist, ["signature", "kind"], "left")
+    if busiest_bucket(candidates) <= sparse_bucket:
+        there = candidates.select(F.col("cluster").alias("_cluster"), F.col("service").alias("cause_service"),
+                                  "cand_id", "kind", "c_us")
+        pairs = interval_join(subjects, there, [("cluster", "_cluster")], "a_us", "c_us",
+                              before_us, after_us, BUCKET_US).drop("_cluster")
+    else:
+        distances = materialise(distances, "distances")
+        pairs = nearest_pairs(subjects, candidates, distances, k, before_us, after_us)
+    pairs = join_dimension(pairs, distances, ["service", "cause_service"])
+    pairs = join_dimension(pairs, hist, ["signature", "kind"])
     scored = pairs.withColumn(
         "_score",
         score(f_time(F.col("c_us") - F.col("a_us"), tau_s), f_topo(F.col("down"), F.col("up")),
               f_hist(F.col("ok"), F.col("n")), f_kind(F.col("kind"), prior), weights),
-    ).withColumn("_gap", F.abs(F.col("c_us") - F.col("a_us")))
-    # A candidate found through its own class and through ANY appears twice.
-    once = scored.groupBy(*subject, "cand_id").agg(
-        F.first("kind").alias("kind"), F.first("cause_service").alias("cause_service"),
-        F.first("c_us").alias("c_us"), F.first("_score").alias("_score"), F.first("_gap").alias("_gap"))
-    ranked = top_causes(once, subject, [F.desc("_score"), F.asc("_gap"), F.asc("cand_id")], k)
+    )
+    nearer = F.abs(F.col("c_us") - F.col("a_us")).asc()
+    ranked = top_causes(scored, subject, [F.desc("_score"), nearer, F.asc("cand_id")], k)
     return anomalies.join(ranked, subject).select(
         "anomaly_id", *subject, "rank", "cand_id", "kind", "cause_service", "c_us",
         F.round("_score", 6).alias("score"))

@@ -1,4 +1,4 @@
-"""Joins whose small side is measured before it is broadcast."""
+"""Equi, look-up, interval and fusing joins."""
 
 from __future__ import annotations
 
@@ -6,34 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from faultlens.functions.columns import first_non_empty
 from faultlens.operators.ordered import asof_join, interval_join, islands
 
-SMALL_ROWS = 50_000
-SALTS = 16
 
+def join_dimension(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join to a table that is usually small, without forcing it.
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-                salts: int = SALTS) -> DataFrame:
-    """Equi-join that spreads each key of ``big`` over ``salts`` tasks."""
-    plain = [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)]
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
-
-
-def join_dimension(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-                   max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast the dimension while it is small; beyond that a salted shuffle join."""
-    if is_small(small, max_rows):
-        return big.join(F.broadcast(small), list(on), how)
-    return salted_join(big, small, on, how)
+    There is no broadcast hint on purpose: Spark broadcasts the side only while its
+    size, measured at run time, is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+    beyond that both sides shuffle and adaptive execution splits skewed partitions.
+    """
+    return big.join(small, list(on), how)
 
 
 def allowlist_semi_join(logs: DataFrame, topics: DataFrame, departments: Sequence[str] | None = None,
@@ -107,5 +92,5 @@ def sli_enrich(samples: DataFrame, slis: DataFrame) -> DataFrame:
 
 __all__ = [
     "after_deploy", "allowlist_semi_join", "candidate_diffs", "cluster_lookup", "embed_worklist",
-    "fuse_tiers", "interval_join", "is_small", "join_dimension", "salted_join", "sli_enrich",
+    "fuse_tiers", "interval_join", "join_dimension", "sli_enrich",
 ]

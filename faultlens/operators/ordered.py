@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from faultlens.functions.columns import SECOND, bucket
+from faultlens.session import materialise
 
 HOUR = 3600 * SECOND
 
@@ -240,8 +241,9 @@ def nearest_in_window(
         spots.select(*keys, F.col("c_us").alias("_us"), F.lit(1).alias("_side"),
                      F.lit(None).cast(asks.schema["_p"].dataType).alias("_p"), "_ids")
     ).withColumn("_chunk", bucket(F.col("_us"), chunk_us))
+    both = materialise(both, "marks")
     hit = F.when(F.col("_side") == 1, F.lit(1)).otherwise(F.lit(0)).cast("long")
-    counted = running(both, keys, "_chunk", ["_us", "_side"], {"_pos": ("sum", hit)})
+    counted = materialise(running(both, keys, "_chunk", ["_us", "_side"], {"_pos": ("sum", hit)}), "positions")
 
     def at(side: int) -> Column:
         return F.max(F.when(F.col("_side") == side, F.col("_pos")))

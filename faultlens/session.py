@@ -48,3 +48,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several branches read, and read it back.
+
+    The table lies in the shared folder, so losing an executor costs nothing, and
+    each branch scans only the columns it needs.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
