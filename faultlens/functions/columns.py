@@ -90,7 +90,7 @@ def thresholds(pairs: list[tuple[float, str]] = DEFAULT_THRESHOLDS) -> Column:
 def severity_for(conf: Column, limits: Column) -> Column:
     """Severity of the highest threshold the confidence reaches; NULL below all."""
     reached = F.filter(limits, lambda x: x["min"] <= conf)
-    return F.element_at(F.reverse(F.array_sort(reached)), 1)["severity"]
+    return F.get(F.reverse(F.array_sort(reached)), F.lit(0))["severity"]
 
 
 def sorted_median(values: Column) -> Column:

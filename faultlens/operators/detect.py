@@ -190,8 +190,8 @@ def score_series(samples: DataFrame, keys: Sequence[str], fits: DataFrame, us: s
                 "baseline_mean": mean, "baseline_std": spread, "residual": residual,
             }))
         if not out:
-            return pd.DataFrame({c: [] for c in [*keys, *SCORED_NAMES]})
-        scored = pd.concat(out)
+            return pdf[list(keys)].iloc[:0].assign(**{c: np.array([], dtype=t) for c, t in SCORED_DTYPES.items()})
+        scored = pd.concat(out, ignore_index=True)
         for k in reversed(keys):
             scored.insert(0, k, pdf[k].iloc[0])
         return scored
@@ -200,7 +200,7 @@ def score_series(samples: DataFrame, keys: Sequence[str], fits: DataFrame, us: s
     return both.groupBy(*keys, "_chunk").applyInPandas(score, f"{fields}, {SCORED}")
 
 
-SCORED_NAMES = [f.split()[0] for f in SCORED.split(", ")]
+SCORED_DTYPES = {f.split()[0]: {"long": "int64", "double": "float64"}[f.split()[1]] for f in SCORED.split(", ")}
 
 
 def judge(scored: DataFrame, limits: Column | None = None) -> DataFrame:

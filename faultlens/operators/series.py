@@ -106,7 +106,8 @@ def rolling_mad(samples: DataFrame, keys: Sequence[str], us: str, value: str, wi
     The frame's values are one small array per row (window / interval entries at
     most), so the deviations from the row's own median need no second join.
     """
-    out = framed(samples, keys, us, {"_v": F.array_sort(F.collect_list(value))}, window_s * SECOND)
+    out = framed(samples, keys, us, {"_v": F.collect_list(value)}, window_s * SECOND)
+    out = out.withColumn("_v", F.array_sort("_v"))
     out = out.withColumn("median", sorted_median(F.col("_v")))
     spread = F.array_sort(F.transform("_v", lambda x: F.abs(x - F.col("median"))))
     out = out.withColumn("mad", sorted_median(spread)).drop("_v")

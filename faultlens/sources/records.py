@@ -18,17 +18,22 @@ from faultlens import schemas
 from faultlens.functions.columns import DEFAULT_THRESHOLDS, first_non_empty
 
 
-def _parsed(value: Column, schema: T.StructType) -> Column:
-    """Parsed JSON; NULL unless the text as a whole fits the schema."""
+def with_parsed(df: DataFrame, value: Column, schema: T.StructType, name: str = "_doc") -> DataFrame:
+    """Add the parsed JSON of a text; NULL unless the text as a whole fits the schema.
+
+    The generator keeps the parsed struct in one place: a plain column would be
+    copied into every filter and field read above it and parsed again in each.
+    """
     with_flag = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType(), True)])
     doc = F.from_json(value, with_flag, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return F.when(doc["_corrupt"].isNull(), doc)
+    out = df.select("*", F.explode(F.array(doc)).alias(name))
+    return out.withColumn(name, F.when(F.col(name)["_corrupt"].isNull(), F.col(name)))
 
 
 def read_alert_payloads(texts: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Payload rows, and the texts that are no payload (whole payload rejected)."""
     keep = [c for c in texts.columns if c != value]
-    docs = texts.withColumn("_doc", _parsed(F.col(value), schemas.ALERT_PAYLOAD))
+    docs = with_parsed(texts, F.col(value), schemas.ALERT_PAYLOAD)
     fields = [F.col(f"_doc.{f}").alias(f) for f in schemas.ALERT_PAYLOAD.fieldNames()]
     good = docs.filter(F.col("_doc").isNotNull()).select(*keep, *fields)
     bad = docs.filter(F.col("_doc").isNull()).drop("_doc").withColumn("reason", F.lit("invalid json"))
@@ -42,8 +47,8 @@ def samples_from_query_results(answers: DataFrame, slis: DataFrame, value: str =
     """
     from faultlens.operators.joins import sli_enrich
 
-    doc = answers.select("sli_id", _parsed(F.col(value), schemas.QUERY_RESULT).alias("_doc"))
-    rows = doc.filter("_doc.status = 'success'").select("sli_id", F.explode("_doc.data.result").alias("_r"))
+    docs = with_parsed(answers, F.col(value), schemas.QUERY_RESULT)
+    rows = docs.filter("_doc.status = 'success'").select("sli_id", F.explode("_doc.data.result").alias("_r"))
     empty = F.create_map().cast(schemas.STRING_MAP)
     rows = rows.select("sli_id", F.coalesce("_r.metric", empty).alias("labels"), F.col("_r.value").alias("raw"))
     return sli_enrich(rows, slis.select("id", "metric", "promql"))
@@ -76,6 +81,20 @@ def slis_frame(spark: SparkSession, items: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, schemas.SLI)
 
 
+def slis_with_defaults(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """SLI rows of a table with defaults filled in, and the rows lacking a required field."""
+    from faultlens.functions.columns import thresholds
+
+    filled = rows.select(
+        "id", "promql", "metric",
+        F.coalesce("severity_thresholds", thresholds().cast(schemas.THRESHOLDS)).alias("severity_thresholds"),
+        *[F.coalesce(F.col(name), F.lit(value)).cast("int").alias(name)
+          for name, value in (("baseline_window_s", 86_400), ("sample_interval_s", 60), ("seasonality_period", 60))],
+    )
+    complete = F.col("id").isNotNull() & F.col("promql").isNotNull() & F.col("metric").isNotNull()
+    return filled.filter(complete), filled.filter(~complete).withColumn("reason", F.lit("missing field"))
+
+
 def read_log_topics(records: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
     """Log records with their metadata fields; the topic stays as ``source_topic``.
 
@@ -84,7 +103,7 @@ def read_log_topics(records: DataFrame, topic: str = "topic", value: str = "valu
     """
     meta = T.StructType([T.StructField(n, T.StringType(), True)
                          for n in ("log", "Env", "Dept", "LogshipperPod", "KubeNode", "Cluster")])
-    docs = records.withColumn("_doc", _parsed(F.col(value).cast("string"), meta))
+    docs = with_parsed(records, F.col(value).cast("string"), meta)
     known = F.col("_doc.log").isNotNull()
     fields = [F.when(known, F.col(f"_doc.{f}")).alias(f) for f in meta.fieldNames() if f != "log"]
     keep = [c for c in records.columns if c not in (topic, value)]
@@ -119,7 +138,7 @@ def read_k8s_events(records: DataFrame, value: str = "value", headers: str = "he
                     cluster_header: str = "cluster") -> DataFrame:
     """Cluster events of both kinds (Warning and Normal); the cluster is a message header."""
     keep = [c for c in records.columns if c not in (value, headers)]
-    docs = records.withColumn("_doc", _parsed(F.col(value).cast("string"), K8S_EVENT))
+    docs = with_parsed(records, F.col(value).cast("string"), K8S_EVENT)
     return docs.filter(F.col("_doc").isNotNull() & F.col("_doc.type").isin("Warning", "Normal")).select(
         *keep,
         F.col("_doc.type").alias("kind"),
