@@ -23,6 +23,7 @@ from faultlens.operators.alerts import EVIDENCE_LEAD, SCHEMA_VERSION, hoisted_se
 from faultlens.operators.forest import SEED, TREES, grow, isolation_score
 from faultlens.operators.joins import sli_enrich
 from faultlens.operators.ordered import framed, halo_chunks, spaced
+from faultlens.session import materialise, python_tasks
 
 # --- fixed values -----------------------------------------------------------
 BASELINE_WINDOW_S = 86_400
@@ -197,6 +198,8 @@ def score_series(samples: DataFrame, keys: Sequence[str], fits: DataFrame, us: s
         return scored
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in samples.select(*keys).schema.fields)
+    # Few rows, much work per row: keep the tasks apart instead of merging small partitions.
+    both = both.repartition(python_tasks(samples.sparkSession), *keys, "_chunk")
     return both.groupBy(*keys, "_chunk").applyInPandas(score, f"{fields}, {SCORED}")
 
 
@@ -222,7 +225,7 @@ def detect(samples: DataFrame, keys: Sequence[str] = ("series",), us: str = "us"
     warm = warm_gate(samples, keys, us, window_s, min_samples)
     fits = refit_schedule(warm.select(*keys, us), keys, us, refit_every_s)
     scored = score_series(samples, keys, fits, us, value, window_s, period, min_samples, trees)
-    hits = judge(scored).filter("severity IS NOT NULL")
+    hits = materialise(judge(scored).filter("severity IS NOT NULL"), "hits")
     return cooldown(hits, keys, "us", cooldown_s)
 
 

@@ -49,7 +49,8 @@ def grow(points: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, see
     n, dims = points.shape
     psi = min(subsample, n)
     limit = int(np.ceil(np.log2(max(psi, 2))))
-    picks = np.argsort(rng.random((trees, n)), axis=1)[:, :psi]
+    noise = rng.random((trees, n))
+    picks = np.argpartition(noise, psi - 1, axis=1)[:, :psi]
     data = points[picks.ravel()]
     node = np.repeat(np.arange(trees), psi)
     feature = [np.zeros(trees, dtype=np.int32)]
@@ -58,12 +59,11 @@ def grow(points: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, see
     path = [np.zeros(trees)]
     base, width = 0, trees
     for depth in range(limit + 1):
-        # `node` holds the row's index within this level; finished rows are gone.
+        # `node` is the row's node within this level, in ascending order; finished rows are gone.
         size = np.bincount(node, minlength=width)
-        low = np.full((width, dims), np.inf)
-        high = np.full((width, dims), -np.inf)
-        np.minimum.at(low, node, data)
-        np.maximum.at(high, node, data)
+        starts = np.minimum(np.cumsum(size) - size, len(node) - 1)
+        low = np.minimum.reduceat(data, starts, axis=0)
+        high = np.maximum.reduceat(data, starts, axis=0)
         varies = high > low
         split = varies.any(axis=1) & (size > 1) if depth < limit else np.zeros(width, dtype=bool)
         path[-1][:] = np.where(split, 0.0, depth + average_path(size))
@@ -81,6 +81,8 @@ def grow(points: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, see
         data, node = data[keep], node[keep]
         right = data[np.arange(len(node)), choice[node]] > cut[node]
         node = 2 * order[node] + right
+        by_node = np.argsort(node, kind="stable")
+        data, node = data[by_node], node[by_node]
         base += width
         width = 2 * int(split.sum())
         feature.append(np.zeros(width, dtype=np.int32))

@@ -59,3 +59,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def python_tasks(spark: SparkSession) -> int:
+    """Partition count for CPU-heavy grouped Python work."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, 2 * spark.sparkContext.defaultParallelism)

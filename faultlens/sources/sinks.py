@@ -59,8 +59,8 @@ def write_signals(signals: DataFrame, options: dict[str, str], topic: str) -> No
 
 
 def write_signal_files(signals: DataFrame, path: str) -> None:
-    """File twin of the topic: rows of one fingerprint stay together."""
-    signal_records(signals).repartition("key").write.mode("append").parquet(path)
+    """File twin of the topic: rows of one fingerprint stay together unless they are very many."""
+    signal_records(signals).hint("rebalance", "key").write.mode("append").parquet(path)
 
 
 def write_dead_letters(bad: DataFrame, path: str, reason: str | None = None) -> None:
@@ -77,8 +77,12 @@ def write_parsed_logs(logs: DataFrame, options: dict[str, str], topic: str) -> N
 
 
 def write_parsed_log_files(logs: DataFrame, path: str) -> None:
-    """File twin, partitioned by date and service for pruning."""
-    logs.withColumn("date", F.to_date("timestamp")).write.mode("append") \
+    """File twin, partitioned by date and service for pruning.
+
+    Rebalancing keeps the files few and splits a service that logs far more than others.
+    """
+    dated = logs.withColumn("date", F.to_date("timestamp"))
+    dated.hint("rebalance", "date", "service").write.mode("append") \
         .option("compression", "zstd").partitionBy("date", "service").parquet(path)
 
 
