@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from faultlens.functions.columns import SECOND, bucket
 from faultlens.operators.joins import join_dimension
-from faultlens.operators.ordered import interval_join, nearest_in_window
+from faultlens.operators.ordered import interval_join, nearest_in_window, numbered
 from faultlens.session import materialise
 
 # --- fixed values -----------------------------------------------------------
@@ -219,13 +219,31 @@ def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFra
     )
 
 
-def incident_timeline(parts: Mapping[str, DataFrame]) -> DataFrame:
-    """Entries ``(incident_id, us, text)`` of several kinds in one list, oldest first."""
+def union_signals(tier1: DataFrame, tier2: DataFrame) -> DataFrame:
+    return tier1.unionByName(tier2, allowMissingColumns=True)
+
+
+def union_candidates(**kinds: DataFrame) -> DataFrame:
+    """Candidates ``(cand_id, cluster, service, c_us)`` of several kinds in one frame.
+
+    Frames that state their own ``kind`` (changes) keep it; the others get their name.
+    """
+    rows = None
+    for name, frame in kinds.items():
+        kind = F.col("kind") if "kind" in frame.columns else F.lit(name).alias("kind")
+        part = frame.select(F.col("cand_id").cast("string").alias("cand_id"), "cluster", "service", kind, "c_us")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def incident_timeline(parts: Mapping[str, DataFrame], chunk_us: int = BUCKET_US) -> DataFrame:
+    """Entries ``(incident_id, us, entry_id, text)`` of several kinds with their position in time."""
     entries = None
     for kind, part in parts.items():
-        rows = part.select("incident_id", "us", F.lit(kind).alias("kind"), "text")
+        rows = part.select("incident_id", "us", F.lit(kind).alias("kind"), "entry_id", "text")
         entries = rows if entries is None else entries.unionByName(rows)
-    return entries
+    chunked = entries.withColumn("_chunk", bucket(F.col("us"), chunk_us))
+    return numbered(chunked, ["incident_id"], "_chunk", ["us", "kind", "entry_id"], "position").drop("_chunk")
 
 
 def incident_page(incidents: DataFrame, order: Sequence[Column], page: int, size: int,

@@ -1,14 +1,326 @@
-"""Correlation, ranking and incident queries."""
+"""Correlation, ranking, incident and topology queries."""
 
 from pyspark.sql import functions as F
 
-from faultlens.operators import correlate
+from faultlens.functions.columns import SECOND, from_micros, ntz
+from faultlens.operators import correlate as cr
+from faultlens.operators import joins as jn
+from faultlens.operators import topology as gr
 from faultlens.plans import twins
 from faultlens.plans.registry import query
+from faultlens.plans.twins import EVENTS, INCIDENT_PARTS
+from faultlens.session import materialise
+from faultlens.sources.sinks import expire, upsert_incidents
 
 
-@query("cr6_rank_causes", f"""WITH {twins.INCIDENT_PARTS}
+@query("cr6_rank_causes", f"""WITH {INCIDENT_PARTS}
 SELECT anomaly_id, cluster, service, "rank", cand_id, kind, cause_service, score FROM ranked""")
-def rank_causes(spark, sf_dir):
+def cr6(spark, sf_dir):
     ranked = twins.ranked_causes(twins.events(spark, sf_dir))
     return ranked.select("anomaly_id", "cluster", "service", "rank", "cand_id", "kind", "cause_service", "score")
+
+
+def user_pairs(spark, sf_dir):
+    """Anomalies with the candidates of the same user in their window."""
+    ev = twins.events(spark, sf_dir)
+    who = ev.select(F.col("event_id").alias("_id"), "user_id")
+    left = twins.anomalies(ev).join(who, F.col("anomaly_id") == F.col("_id")).drop("_id")
+    right = twins.candidates(ev).join(who, F.col("cand_id") == F.col("_id")).select(
+        F.col("user_id").alias("cand_user"), "cand_id", "kind", F.col("service").alias("cause_service"), "c_us")
+    # A wide window, so that a single user's few events meet.
+    return cr.pull_window(left, right, [("user_id", "cand_user")], 24 * 3600 * SECOND, 5 * 60 * SECOND)
+
+
+USER_PAIRS = INCIDENT_PARTS + """,
+up AS (SELECT a.*, c.cand_id, c.kind, c.service AS cause_service, c.c_us FROM anom a JOIN cand c ON a.user_id = c.user_id
+   AND c.c_us BETWEEN a.a_us - 86400000000 AND a.a_us + 300000000)"""
+
+
+@query("jn1_interval_join", f"WITH {USER_PAIRS} SELECT anomaly_id, cand_id, kind, c_us - a_us AS gap_us FROM up")
+def jn1(spark, sf_dir):
+    return user_pairs(spark, sf_dir).select("anomaly_id", "cand_id", "kind", (F.col("c_us") - F.col("a_us")).alias("gap_us"))
+
+
+@query("cr1_f_time", f"WITH {USER_PAIRS} SELECT anomaly_id, cand_id, round(exp(-abs(c_us - a_us) / 600000000.0::DOUBLE), 9) AS f_time FROM up")
+def cr1(spark, sf_dir):
+    gap = F.col("c_us") - F.col("a_us")
+    return user_pairs(spark, sf_dir).select("anomaly_id", "cand_id", F.round(cr.f_time(gap), 9).alias("f_time"))
+
+
+@query("cr2_f_topo", f"""WITH {INCIDENT_PARTS}
+SELECT service, cause_service, round(greatest(1.0::DOUBLE / (1.0::DOUBLE + down), 0.5::DOUBLE / (1.0::DOUBLE + up)), 6) AS f_topo FROM dist""")
+def cr2(spark, sf_dir):
+    d = twins.distances(twins.events(spark, sf_dir))
+    return d.select("service", "cause_service", F.round(cr.f_topo(F.col("down"), F.col("up")), 6).alias("f_topo"))
+
+
+@query("cr3_f_hist", f"""WITH {INCIDENT_PARTS} SELECT signature, kind, round((ok + 1.0::DOUBLE) / (n + 2.0::DOUBLE), 9) AS f_hist FROM hist""")
+def cr3(spark, sf_dir):
+    h = cr.history(twins.feedback(twins.events(spark, sf_dir)))
+    return h.select("signature", "kind", F.round(cr.f_hist(F.col("ok"), F.col("n")), 9).alias("f_hist"))
+
+
+@query("cr4_f_kind", """SELECT o_orderstatus AS status, CASE o_orderstatus WHEN 'F' THEN 1.0::DOUBLE WHEN 'O' THEN 0.9::DOUBLE ELSE 0.0::DOUBLE END AS f_kind,
+  count(*) AS n FROM orders GROUP BY 1, 2""")
+def cr4(spark, sf_dir):
+    kind = F.when(F.col("o_orderstatus") == "F", "deploy").when(F.col("o_orderstatus") == "O", "tf_apply").otherwise("other")
+    rows = twins.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"), cr.f_kind(kind).alias("f_kind"))
+    return rows.groupBy("status", "f_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def scored_pairs(spark, sf_dir):
+    ev = twins.events(spark, sf_dir)
+    rows = jn.join_dimension(user_pairs(spark, sf_dir), cr.history(twins.feedback(ev)), ["signature", "kind"])
+    # Causes of the same user are on the anomaly's own service.
+    return rows.withColumn("score", F.round(cr.score(
+        cr.f_time(F.col("c_us") - F.col("a_us")), cr.f_topo(F.lit(0), F.lit(0)), cr.f_hist(F.col("ok"), F.col("n")),
+        cr.f_kind(F.col("kind"))), 9))
+
+
+SCORED_PAIRS = USER_PAIRS + """,
+sp AS (SELECT up.*, round(0.4::DOUBLE * exp(-abs(c_us - a_us) / 600000000.0::DOUBLE) + 0.3::DOUBLE
+   + 0.2::DOUBLE * (coalesce(ok, 0) + 1.0::DOUBLE) / (coalesce(n, 0) + 2.0::DOUBLE)
+   + 0.1::DOUBLE * CASE WHEN up.kind = 'deploy' THEN 1.0::DOUBLE ELSE 0.6::DOUBLE END, 9) AS score
+  FROM up LEFT JOIN hist ON up.signature = hist.signature AND up.kind = hist.kind)"""
+
+
+@query("cr5_score", f"WITH {SCORED_PAIRS} SELECT anomaly_id, cand_id, score FROM sp")
+def cr5(spark, sf_dir):
+    return scored_pairs(spark, sf_dir).select("anomaly_id", "cand_id", "score")
+
+
+@query("ag4_top_n_causes", f"""WITH {SCORED_PAIRS},
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY anomaly_id ORDER BY score DESC, cand_id) AS INTEGER) AS "rank" FROM sp)
+SELECT anomaly_id, cand_id, "rank" FROM r WHERE "rank" <= 5""")
+def ag4(spark, sf_dir):
+    return cr.top_causes(scored_pairs(spark, sf_dir), ["anomaly_id"], [F.desc("score"), F.asc("cand_id")]).select(
+        "anomaly_id", "cand_id", "rank")
+
+
+@query("cr7_cause_summary", f"""WITH {USER_PAIRS},
+g AS (SELECT *, abs(c_us - a_us) // 1000000 AS s FROM up)
+SELECT anomaly_id, cand_id, kind || ' of ' || cause_service || ' at ' || strftime(make_timestamp(c_us), '%H:%M:%S') || ' (T'
+  || CASE WHEN c_us > a_us THEN '+' ELSE '-' END || CASE WHEN s >= 600 THEN (s // 60) || 'm' ELSE s || 's' END || ')' AS summary FROM g""")
+def cr7(spark, sf_dir):
+    text = cr.cause_summary(F.col("kind"), F.col("cause_service"), from_micros(F.col("c_us")), F.col("c_us") - F.col("a_us"))
+    return user_pairs(spark, sf_dir).select("anomaly_id", "cand_id", text.alias("summary"))
+
+
+@query("cr8_build_incidents", f"""WITH {INCIDENT_PARTS}
+SELECT anomaly_id, CAST(count(*) AS BIGINT) AS n_causes, string_agg(CAST(cand_id AS VARCHAR), ',' ORDER BY "rank") AS causes FROM ranked GROUP BY 1""")
+def cr8(spark, sf_dir):
+    rows = cr.build_incidents(twins.ranked_causes(twins.events(spark, sf_dir)))
+    causes = F.col("ranked_candidate_causes")
+    return rows.select("anomaly_id", F.size(causes).cast("long").alias("n_causes"),
+                       F.array_join(F.transform(causes, lambda c: c["change_event_id"].cast("string")), ",").alias("causes"))
+
+
+@query("cr9_incident_context")
+def cr9(spark, sf_dir):
+    from faultlens.operators import retrieve, templates
+    from faultlens.plans.log_queries import lines
+
+    ev = twins.events(spark, sf_dir)
+    incidents = cr.build_incidents(twins.ranked_causes(ev)).withColumn(
+        "incident_id", F.concat(F.lit("INC-"), F.col("anomaly_id").cast("string"))).drop("a_us")
+    facts = ev.filter("event_type = 'error'").select(
+        F.col("event_id").alias("anomaly_id"), F.lit("error rate spike").alias("signal"), F.lit("error_total").alias("metric"),
+        F.lit("critical").alias("severity"), F.col("ts").alias("started_at"),
+        F.struct(F.col("value").alias("p50")).alias("baseline"), F.struct((F.col("value") * 2).alias("p50")).alias("observed"),
+        F.lit(240.0).alias("duration_so_far_s"))
+    slices = gr.topology_slice(twins.ring(ev), ev.select("service"))
+    logs = lines(spark, sf_dir).withColumn("service", F.regexp_replace("service", "src", "svc"))
+    deltas = templates.template_deltas(logs, F.lit("2024-01-01 06:00:00").cast("timestamp")).filter("count_before > 0")
+    vectors = twins.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("incident"), F.col("embedding").alias("vector"), (F.col("label") < 5).alias("resolved"))
+    similar = retrieve.similar_incidents(vectors, vectors).select(
+        F.col("incident").alias("anomaly_id"), F.concat(F.lit("INC-"), F.col("past_incident").cast("string")).alias("incident_id"), "similarity")
+    return cr.incident_context(incidents, facts, slices, deltas, similar)
+
+
+KINDS = {"metric": "view", "change": "purchase", "event": "error", "log": "click"}
+
+
+@query("cr10_incident_timeline", f"""WITH {EVENTS},
+t AS (SELECT 'INC-' || user_id || '-' || (us // 86400000000) AS incident_id, us, event_id AS entry_id,
+  CASE event_type WHEN 'view' THEN 'metric' WHEN 'purchase' THEN 'change' WHEN 'error' THEN 'event' ELSE 'log' END AS kind
+  FROM ev WHERE event_type <> 'signup')
+SELECT incident_id, kind, entry_id, row_number() OVER (PARTITION BY incident_id ORDER BY us, kind, entry_id) AS position FROM t""")
+def cr10(spark, sf_dir):
+    ev = twins.events(spark, sf_dir)
+    day = F.floor(F.col("us") / (86_400 * SECOND)).cast("string")
+    rows = ev.select(F.concat(F.lit("INC-"), F.col("user_id").cast("string"), F.lit("-"), day).alias("incident_id"), "us",
+                     F.col("event_id").alias("entry_id"), "event_type", F.lit("x").alias("text"))
+    parts = {kind: rows.filter(F.col("event_type") == name) for kind, name in KINDS.items()}
+    return cr.incident_timeline(parts).select("incident_id", "kind", "entry_id", "position")
+
+
+@query("cr11_incident_list", f"""WITH {EVENTS}
+SELECT event_id, service, value FROM ev WHERE event_type = 'error' AND service = 'svc3' ORDER BY value DESC, event_id LIMIT 20 OFFSET 20""")
+def cr11(spark, sf_dir):
+    rows = twins.events(spark, sf_dir).filter("event_type = 'error'").select("event_id", "service", "value")
+    return cr.incident_page(rows, [F.desc("value"), F.asc("event_id")], 1, 20, F.col("service") == "svc3")
+
+
+@query("ag3_union_candidates", f"""WITH {INCIDENT_PARTS},
+u AS (SELECT kind, cluster FROM cand UNION ALL SELECT 'k8s_event', cluster FROM ev WHERE event_type = 'view'
+      UNION ALL SELECT 'log_template', NULL FROM documents)
+SELECT kind, cluster, count(*) AS n FROM u GROUP BY 1, 2""")
+def ag3(spark, sf_dir):
+    ev = twins.events(spark, sf_dir)
+    k8s = ev.filter("event_type = 'view'").select(F.col("event_id").alias("cand_id"), "cluster", "service", F.col("us").alias("c_us"))
+    shifts = twins.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("cand_id"), F.lit(None).cast("string").alias("cluster"), F.col("source").alias("service"),
+        F.lit(0).cast("long").alias("c_us"))
+    rows = cr.union_candidates(changes=twins.candidates(ev), k8s_event=k8s, log_template=shifts)
+    return rows.groupBy("kind", "cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ag3_union_signals", f"""WITH {EVENTS}
+SELECT CASE WHEN event_type = 'error' THEN 1 ELSE 2 END AS tier, event_type = 'view' AS has_iso, count(*) AS n
+FROM ev WHERE event_type IN ('error', 'view') GROUP BY 1, 2""")
+def ag3b(spark, sf_dir):
+    ev = twins.events(spark, sf_dir)
+    one = ev.filter("event_type = 'error'").select("event_id", F.lit(1).alias("tier"))
+    two = ev.filter("event_type = 'view'").select("event_id", F.lit(2).alias("tier"), (-F.col("value")).alias("iso_score"))
+    rows = cr.union_signals(one, two)
+    return rows.groupBy("tier", F.col("iso_score").isNotNull().alias("has_iso")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("jn2_fuse_tiers", f"""WITH {EVENTS},
+b AS (
+  SELECT 'm' || (k % 3) AS metric, cluster, CASE WHEN k % 5 <> 0 THEN 'ns' || (k % 2) END AS namespace, service, event_id,
+    us - 300000000 AS s, CASE WHEN event_type = 'error' THEN us + 36000000000 ELSE us + 7200000000 END AS e, CASE WHEN event_type = 'error' THEN 1 ELSE 2 END AS tier
+  FROM ev WHERE event_type IN ('error', 'purchase')),
+r AS (SELECT *, max(e) OVER (PARTITION BY metric, cluster, namespace, service ORDER BY s, tier, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM b),
+g AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY metric, cluster, namespace, service ORDER BY s, tier, event_id) AS isl FROM r)
+SELECT metric, cluster, namespace, service, min(s) AS start_us, max(e) AS end_us, count(*) FILTER (tier = 1) AS n_tier1, count(*) FILTER (tier = 2) AS n_tier2
+FROM g GROUP BY metric, cluster, namespace, service, isl""")
+def jn2(spark, sf_dir):
+    ev = twins.events(spark, sf_dir)
+
+    def tier(name, hours):
+        return ev.filter(F.col("event_type") == name).select(
+            F.concat(F.lit("m"), (F.col("k") % 3).cast("string")).alias("metric"), "cluster",
+            F.when(F.col("k") % 5 != 0, F.concat(F.lit("ns"), (F.col("k") % 2).cast("string"))).alias("namespace"), "service",
+            F.col("event_id").alias("anomaly_id"), (F.col("us") - 300 * SECOND).alias("start_us"),
+            (F.col("us") + hours * 3600 * SECOND).alias("end_us"))
+
+    return jn.fuse_tiers(tier("error", 10), tier("purchase", 2))
+
+
+@query("jn5_embed_worklist", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)")
+def jn5(spark, sf_dir):
+    docs = twins.table(spark, sf_dir, "documents").select("doc_id")
+    done = twins.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"))
+    return jn.embed_worklist(docs, done, ["doc_id"])
+
+
+@query("jn6_candidate_diffs", """SELECT l_orderkey, l_linenumber, p_partkey AS change_event_id, p_name AS diff_summary
+FROM (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem) l LEFT JOIN part ON l_partkey = p_partkey AND p_size % 2 = 0""".replace(
+    "p_partkey AS change_event_id", "l_partkey AS change_event_id"))
+def jn6(spark, sf_dir):
+    causes = twins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("change_event_id"))
+    diffs = twins.table(spark, sf_dir, "part").filter("p_size % 2 = 0").select(
+        F.col("p_partkey").alias("change_event_id"), F.col("p_name").alias("diff_summary"))
+    return jn.candidate_diffs(causes, diffs)
+
+
+@query("jn7_after_deploy", f"""WITH {EVENTS},
+seen AS (SELECT service, k, min(us) AS first_us FROM ev WHERE event_type = 'view' GROUP BY 1, 2),
+ch AS (SELECT service, us AS change_us, event_id AS change_id FROM ev WHERE event_type = 'purchase')
+SELECT seen.service, k, first_us, change_us, change_id FROM seen ASOF LEFT JOIN ch ON seen.service = ch.service AND first_us >= change_us""")
+def jn7(spark, sf_dir):
+    ev = twins.events(spark, sf_dir)
+    seen = ev.filter("event_type = 'view'").groupBy("service", "k").agg(F.min("us").alias("first_us"))
+    changes = ev.filter("event_type = 'purchase'").select("service", F.col("us").alias("change_us"), F.col("event_id").alias("change_id"))
+    return jn.after_deploy(seen, changes)
+
+
+def requests(spark, sf_dir):
+    """Line items as requests from the customer's nation to the supplier's."""
+    item = twins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", F.col("l_shipdate").cast("timestamp").alias("ts"))
+    orders = twins.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = twins.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("c_n"))
+    supp = twins.table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("s_n"))
+    rows = item.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(cust, F.col("o_custkey") == F.col("c_custkey")) \
+        .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
+    return rows.select("ts", F.concat(F.lit("n"), F.col("c_n").cast("string")).alias("src"),
+                       F.concat(F.lit("n"), F.col("s_n").cast("string")).alias("dst"))
+
+
+REQUESTS = """
+rq AS (SELECT l_shipdate AS ts, 'n' || c_nationkey AS src, 'n' || s_nationkey AS dst
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey)"""
+
+
+@query("gr1_service_edges", f"""WITH {REQUESTS}
+SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, src, dst, round(count(*) / 30.0::DOUBLE, 9) AS weight FROM rq GROUP BY 1, 2, 3""")
+def gr1(spark, sf_dir):
+    rows = gr.service_edges(requests(spark, sf_dir))
+    return rows.select(ntz(F.col("window_start")).alias("window_start"), "src", "dst", F.round("weight", 9).alias("weight"))
+
+
+def heavy_edges(spark, sf_dir, per_source=3):
+    """The heaviest edges of each source keep the graph sparse."""
+    total = requests(spark, sf_dir).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    best = cr.top_causes(total, ["src"], [F.desc("n"), F.asc("dst")], per_source)
+    return materialise(best.select("src", "dst"), "edges")
+
+
+GRAPH = REQUESTS + """,
+hv AS (SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY count(*) DESC, dst) AS rn FROM rq GROUP BY 1, 2) WHERE rn <= 3),
+nd AS (SELECT DISTINCT src AS s FROM hv),
+wk AS (SELECT s AS source, s AS node, 0 AS distance FROM nd
+       UNION SELECT wk.source, hv.dst, wk.distance + 1 FROM wk JOIN hv ON wk.node = hv.src WHERE wk.distance < 3),
+wd AS (SELECT source, node, min(distance) AS distance FROM wk GROUP BY 1, 2)"""
+
+
+@query("gr2_walk", f"WITH RECURSIVE {GRAPH} SELECT source, node, distance FROM wd")
+def gr2(spark, sf_dir):
+    edges = heavy_edges(spark, sf_dir)
+    return gr.walk(edges, edges.select(F.col("src").alias("source")), 3).select("source", "node", "distance")
+
+
+@query("gr3_topology_slice", f"""WITH RECURSIVE {GRAPH}
+SELECT s AS service, (SELECT string_agg(DISTINCT src, ',' ORDER BY src) FROM hv WHERE dst = s) AS callers,
+  (SELECT string_agg(DISTINCT dst, ',' ORDER BY dst) FROM hv WHERE src = s) AS deps FROM nd""")
+def gr3(spark, sf_dir):
+    edges = heavy_edges(spark, sf_dir)
+    rows = gr.topology_slice(edges, edges.select(F.col("src").alias("service")))
+
+    def text(c):
+        return F.when(F.size(c) > 0, F.array_join(c, ","))
+
+    return rows.select("service", text("upstream_callers").alias("callers"), text("downstream_deps").alias("deps"))
+
+
+@query("gr4_topo_distance", f"""WITH RECURSIVE {GRAPH},
+pr AS (SELECT DISTINCT src AS service, dst AS cause_service FROM rq)
+SELECT service, cause_service, least(a.distance, b.distance) AS distance FROM pr
+LEFT JOIN (SELECT * FROM wd WHERE distance <= 2) a ON a.source = service AND a.node = cause_service
+LEFT JOIN (SELECT * FROM wd WHERE distance <= 2) b ON b.source = cause_service AND b.node = service""")
+def gr4(spark, sf_dir):
+    pairs = requests(spark, sf_dir).select(F.col("src").alias("service"), F.col("dst").alias("cause_service")).distinct()
+    return gr.topo_distance(pairs, heavy_edges(spark, sf_dir), 2)
+
+
+@query("snk3_upsert_incidents", """SELECT o_custkey AS incident_id, o_orderkey, o_orderdate AS updated_at, o_totalprice AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
+def snk3(spark, sf_dir):
+    rows = twins.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("incident_id"), "o_orderkey", F.col("o_orderdate").alias("updated_at"), F.col("o_totalprice").alias("score"), "o_orderstatus")
+    old, new = rows.filter("o_orderstatus = 'F'"), rows.filter("o_orderstatus <> 'F'")
+    return upsert_incidents(old, new, ["incident_id"], ["updated_at", "o_orderkey"]).drop("o_orderstatus")
+
+
+@query("snk4_expire", f"""WITH {EVENTS},
+y AS (SELECT event_id, event_type, ts, sum(100 + k) OVER (PARTITION BY event_type ORDER BY us DESC, event_id) AS bytes FROM ev
+      WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 168 HOUR)
+SELECT event_id, event_type FROM y WHERE bytes <= 50000""")
+def snk4(spark, sf_dir):
+    ev = twins.events(spark, sf_dir)
+    kept = expire(ev, "ts", F.lit("2024-01-31").cast("timestamp"), 168, 50_000, F.col("k") + 100, ["event_type"], ["event_id"])
+    return kept.select("event_id", "event_type")
+
+
