@@ -177,13 +177,14 @@ def interval_join(
     right_us: str,
     before_us: int,
     after_us: int,
-    bucket_us: int = 300 * SECOND,
+    bucket_us: int | None = None,
 ) -> DataFrame:
     """Pairs with equal keys and ``left - before <= right <= left + after``.
 
     Narrow buckets turn the range test into an equi-join; the left side is copied
-    once per bucket its window touches, the right side stays single.
+    once per bucket its window touches (about eight), the right side stays single.
     """
+    bucket_us = bucket_us or max((before_us + after_us) // 8, SECOND)
     lo = bucket(F.col(left_us) - before_us, bucket_us)
     hi = bucket(F.col(left_us) + after_us, bucket_us)
     l = left.withColumn("_b", F.explode(F.sequence(lo, hi)))

@@ -216,9 +216,8 @@ def jn5(spark, sf_dir):
     return jn.embed_worklist(docs, done, ["doc_id"])
 
 
-@query("jn6_candidate_diffs", """SELECT l_orderkey, l_linenumber, p_partkey AS change_event_id, p_name AS diff_summary
-FROM (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem) l LEFT JOIN part ON l_partkey = p_partkey AND p_size % 2 = 0""".replace(
-    "p_partkey AS change_event_id", "l_partkey AS change_event_id"))
+@query("jn6_candidate_diffs", """SELECT l_orderkey, l_linenumber, l_partkey AS change_event_id, p_name AS diff_summary
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size % 2 = 0""")
 def jn6(spark, sf_dir):
     causes = twins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("change_event_id"))
     diffs = twins.table(spark, sf_dir, "part").filter("p_size % 2 = 0").select(
