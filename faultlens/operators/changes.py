@@ -116,22 +116,22 @@ def plan_diff(plans: DataFrame, value: str = "value") -> DataFrame:
 def leaves(docs: DataFrame, keys: Sequence[str], value: str, depth: int = 8) -> DataFrame:
     """``(keys, path, leaf)`` for every leaf of a JSON document; below ``depth`` levels text is the leaf.
 
-    Each pass opens one level of objects and arrays.
+    Each pass opens one level of objects and arrays and hands leaves on unchanged, so
+    the document is walked in one chain without branches.
     """
-    level = docs.select(*keys, F.lit("").alias("path"), F.col(value).alias("leaf"))
-    done = None
+    rows = docs.select(*keys, F.lit("").alias("path"), F.col(value).alias("leaf"))
     for _ in range(depth):
         head = F.substring(F.ltrim("leaf"), 1, 1)
+        dot = F.when(F.col("path") == "", "").otherwise(".")
         members = F.when(head == "{", F.map_entries(F.from_json("leaf", STRINGS)))
         items = F.when(head == "[", F.transform(
             F.from_json("leaf", "array<string>"), lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value"))))
-        opened = level.select(*keys, "path", "leaf", F.explode_outer(F.array(F.coalesce(members, items))).alias("_m"))
-        finished = opened.filter("_m IS NULL OR size(_m) = 0").select(*keys, "path", "leaf")
-        done = finished if done is None else done.unionByName(finished)
-        dot = F.when(F.col("path") == "", "").otherwise(".")
-        level = opened.filter("size(_m) > 0").select(*keys, "path", F.explode("_m").alias("_e")).select(
-            *keys, F.concat("path", dot, "_e.key").alias("path"), F.col("_e.value").alias("leaf"))
-    return done.unionByName(level)
+        inner = F.transform(F.coalesce(members, items), lambda e: F.struct(
+            F.concat("path", dot, e["key"]).alias("path"), e["value"].alias("leaf")))
+        itself = F.array(F.struct("path", "leaf"))
+        rows = rows.select(*keys, F.explode(F.when(F.size(inner) > 0, inner).otherwise(itself)).alias("_e")).select(
+            *keys, "_e.path", "_e.leaf")
+    return rows
 
 
 def _sides(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -50,12 +50,23 @@ def hole_positions(lines: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
 
 def templated(logs: DataFrame, by: Sequence[str] = (), max_words: int = MAX_WORDS) -> DataFrame:
     """Distinct masked lines with their template; logs ``(service, ts, line, by...)``."""
-    lines = materialise(distinct_lines(logs, by), "lines")
+    return with_templates(materialise(distinct_lines(logs, by), "lines"), max_words)
+
+
+def with_templates(lines: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
+    """Templates of distinct lines that are already at hand."""
     marked = lines.join(hole_positions(lines, max_words), BUCKET)
     shown = F.zip_with("tokens", "holes", lambda t, hole: F.when(hole, HOLE).otherwise(t))
     return marked.withColumn("template", F.array_join(shown, " ")).drop("head")
 
 
+def merge_lines(parts: DataFrame) -> DataFrame:
+    """Distinct lines of several runs as one set."""
+    return parts.groupBy("service", "tokens", "n_tokens", "head").agg(
+        F.sum("n").alias("n"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        F.min("example").alias("example"))
+
+
 def mine_templates(logs: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     return fold_templates(templated(logs, (), max_words))
 
