@@ -49,7 +49,7 @@ def first_non_empty(*cols: Column) -> Column:
 def kv_text(labels: Column) -> Column:
     """Labels as ``k1=v1,k2=v2`` with keys in byte order; an absent map gives ''."""
     pairs = F.transform(
-        F.array_sort(F.map_entries(labels)),
+        F.sort_array(F.map_entries(labels)),
         lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))),
     )
     return F.coalesce(F.concat_ws(",", pairs), F.lit(""))
@@ -90,7 +90,7 @@ def thresholds(pairs: list[tuple[float, str]] = DEFAULT_THRESHOLDS) -> Column:
 def severity_for(conf: Column, limits: Column) -> Column:
     """Severity of the highest threshold the confidence reaches; NULL below all."""
     reached = F.filter(limits, lambda x: x["min"] <= conf)
-    return F.get(F.reverse(F.array_sort(reached)), F.lit(0))["severity"]
+    return F.get(F.reverse(F.sort_array(reached)), F.lit(0))["severity"]
 
 
 def sorted_median(values: Column) -> Column:

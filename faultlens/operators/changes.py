@@ -175,6 +175,6 @@ def diff_summary(diffs: DataFrame, keys: Sequence[str], kind: Column, name: Colu
     # The changed paths of one document; bounded by its size.
     parts = diffs.select(*keys, kind.alias("_kind"), name.alias("_name"), "path", step.alias("_step"))
     listed = parts.groupBy(*keys, "_kind", "_name").agg(
-        F.array_sort(F.collect_list(F.struct("path", "_step"))).alias("_steps"))
+        F.sort_array(F.collect_list(F.struct("path", "_step"))).alias("_steps"))
     text = F.concat("_kind", F.lit(" "), "_name", F.lit(": "), F.array_join(F.transform("_steps", lambda s: s["_step"]), "; "))
     return listed.select(*keys, text.alias("diff_summary"))

@@ -180,7 +180,7 @@ def build_incidents(ranked: DataFrame) -> DataFrame:
     """One row per anomaly with its causes as an array in rank order."""
     cause = F.struct("rank", "score", "kind", F.col("cand_id").alias("change_event_id"), "cause_service")
     return ranked.groupBy("anomaly_id", "cluster", "service", "a_us").agg(
-        F.array_sort(F.collect_list(cause)).alias("ranked_candidate_causes"))
+        F.sort_array(F.collect_list(cause)).alias("ranked_candidate_causes"))
 
 
 def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFrame,
@@ -194,10 +194,10 @@ def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFra
     """
     delta = F.struct("template", "count_before", "count_after")
     # Shifted templates per service are few by construction (template_deltas keeps sharp changes).
-    per_service = deltas.groupBy("service").agg(F.array_sort(F.collect_list(delta)).alias("log_pattern_deltas"))
+    per_service = deltas.groupBy("service").agg(F.sort_array(F.collect_list(delta)).alias("log_pattern_deltas"))
     match = F.struct("similarity", "incident_id")
     per_incident = similar.groupBy("anomaly_id").agg(
-        F.reverse(F.array_sort(F.collect_list(match))).alias("similar_past_incidents"))
+        F.reverse(F.sort_array(F.collect_list(match))).alias("similar_past_incidents"))
     doc = (
         incidents.join(anomalies, "anomaly_id")
         .join(slices, "service", "left")

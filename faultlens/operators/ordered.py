@@ -221,7 +221,7 @@ def nearest_in_window(
         .withColumn("_n", F.row_number().over(same_time))
         .filter(F.col("_n") <= k)
         .groupBy(*keys, "c_us")
-        .agg(F.array_sort(F.collect_list("c_id")).alias("_ids"))
+        .agg(F.sort_array(F.collect_list("c_id")).alias("_ids"))
     )
     payload = [c for c in requests.columns if c not in (*keys, "r_us")]
     asks = requests.withColumn("_p", F.struct("r_us", *payload))
@@ -295,7 +295,7 @@ def spaced(
     times = df.select(*keys, F.col(us).alias("_us")).distinct()
     per_chunk = (
         times.groupBy(*keys, bucket(F.col("_us"), chunk_us).alias("_chunk"))
-        .agg(F.array_sort(F.collect_list("_us")).alias("_ts"))
+        .agg(F.sort_array(F.collect_list("_us")).alias("_ts"))
     )
 
     def last_kept(ts: Column, entry: Column) -> Column:
@@ -321,7 +321,7 @@ def spaced(
         return F.coalesce(F.get(usable, F.lit(0))["last"], entry)
 
     chain = steps.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_chunk", "_table"))).alias("_steps")
+        F.sort_array(F.collect_list(F.struct("_chunk", "_table"))).alias("_steps")
     )
     start = F.struct(none.alias("exit"), F.expr("cast(array() as array<struct<_chunk:bigint,_entry:bigint>>)").alias("seen"))
     walked = F.aggregate(

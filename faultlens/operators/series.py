@@ -107,9 +107,9 @@ def rolling_mad(samples: DataFrame, keys: Sequence[str], us: str, value: str, wi
     most), so the deviations from the row's own median need no second join.
     """
     out = framed(samples, keys, us, {"_v": F.collect_list(value)}, window_s * SECOND)
-    out = out.withColumn("_v", F.array_sort("_v"))
+    out = out.withColumn("_v", F.sort_array("_v"))
     out = out.withColumn("median", sorted_median(F.col("_v")))
-    spread = F.array_sort(F.transform("_v", lambda x: F.abs(x - F.col("median"))))
+    spread = F.sort_array(F.transform("_v", lambda x: F.abs(x - F.col("median"))))
     out = out.withColumn("mad", sorted_median(spread)).drop("_v")
     far = F.abs(F.col(value) - F.col("median")) > F.lit(k * MAD_SCALE) * F.col("mad")
     return out.withColumn("is_outlier", far)

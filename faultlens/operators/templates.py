@@ -40,12 +40,17 @@ def distinct_lines(logs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def hole_positions(lines: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
-    """Per bucket, an array saying which positions are holes."""
-    words = lines.select(*BUCKET, F.posexplode("tokens").alias("pos", "word")).distinct()
+    """Per bucket, an array saying which positions are holes.
+
+    A bucket of ``max_words`` lines or fewer cannot have a hole, so only the words of
+    larger ones are laid out.
+    """
+    crowded = lines.groupBy(*BUCKET).count().filter(F.col("count") > max_words).select(*BUCKET)
+    words = lines.join(crowded, BUCKET, "left_semi").select(*BUCKET, F.posexplode("tokens").alias("pos", "word")).distinct()
     spots = words.groupBy(*BUCKET, "pos").agg((F.count(F.lit(1)) > max_words).alias("hole"))
     # One entry per token position, hence no longer than a line.
     return spots.groupBy(*BUCKET).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "hole"))), lambda s: s["hole"]).alias("holes"))
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "hole"))), lambda s: s["hole"]).alias("holes"))
 
 
 def templated(logs: DataFrame, by: Sequence[str] = (), max_words: int = MAX_WORDS) -> DataFrame:
@@ -55,8 +60,9 @@ def templated(logs: DataFrame, by: Sequence[str] = (), max_words: int = MAX_WORD
 
 def with_templates(lines: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     """Templates of distinct lines that are already at hand."""
-    marked = lines.join(hole_positions(lines, max_words), BUCKET)
-    shown = F.zip_with("tokens", "holes", lambda t, hole: F.when(hole, HOLE).otherwise(t))
+    marked = lines.join(hole_positions(lines, max_words), BUCKET, "left")
+    filled = F.zip_with("tokens", "holes", lambda t, hole: F.when(hole, HOLE).otherwise(t))
+    shown = F.when(F.col("holes").isNull(), F.col("tokens")).otherwise(filled)
     return marked.withColumn("template", F.array_join(shown, " ")).drop("head")
 
 
@@ -112,7 +118,7 @@ def example_fields(logs: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     spots = spots.filter(F.col("w.shown").contains(HOLE))
     best = spots.groupBy("service", "template", "pos").agg(F.min("w.raw").alias("value"))
     return best.groupBy("service", "template").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("pos", "value")))).alias("fields"))
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("pos", "value")))).alias("fields"))
 
 
 def compression_ratio(logs: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:

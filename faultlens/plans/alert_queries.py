@@ -20,7 +20,7 @@ def as_of():
 
 def payload_texts(spark, sf_dir):
     """One payload per event: an alert that varies with the row, and an unflagged one."""
-    ev = twins.events(spark, sf_dir)
+    ev = twins.spread(twins.events(spark, sf_dir), "event_id")
     k, user = F.col("k"), F.col("user_id")
 
     def tag(prefix, number):

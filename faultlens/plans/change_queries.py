@@ -13,7 +13,7 @@ SOURCES = ["ArgoCD", "cloudbuild", "atlantis", "github", "jenkins"]
 
 def webhooks(spark, sf_dir):
     """One webhook body per order, in the form of its source; every fifth source is unknown."""
-    o = twins.table(spark, sf_dir, "orders")
+    o = twins.spread(twins.table(spark, sf_dir, "orders"), "o_orderkey")
     key = F.col("o_orderkey")
     at = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     name = F.concat(F.lit("svc"), (F.col("o_custkey") % 10).cast("string"))
@@ -81,7 +81,7 @@ def chg2(spark, sf_dir):
 
 
 def manifest(spark, sf_dir, replicas, port, extra):
-    p = twins.table(spark, sf_dir, "part")
+    p = twins.spread(twins.table(spark, sf_dir, "part"), "p_partkey")
     doc = F.struct(
         F.col("p_name").alias("name"),
         F.struct(replicas.alias("replicas"), F.col("p_brand").alias("image"), F.array(F.lit(80), port).alias("ports")).alias("spec"),

@@ -16,7 +16,7 @@ from faultlens.sources.sinks import write_parsed_log_files
 
 def log_records(spark, sf_dir):
     """One record per event on a topic of its kind; errors are plain text on a JSON topic."""
-    ev = twins.events(spark, sf_dir)
+    ev = twins.spread(twins.events(spark, sf_dir), "event_id")
     s, kind = F.lit, F.col("event_type")
     user, k, event_id = (F.col(c).cast("string") for c in ("user_id", "k", "event_id"))
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -153,7 +153,7 @@ def lg5(spark, sf_dir):
 
 def pii_texts(spark, sf_dir):
     """Whole documents, and one line per event with every kind of personal data."""
-    docs = twins.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
+    docs = twins.spread(twins.table(spark, sf_dir, "documents"), "doc_id").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
     digits = F.lpad((F.col("us") % 10_000_000_000).cast("string"), 10, "0")
     user = F.col("user_id").cast("string")
     cvv = F.lpad((F.col("k") + 100).cast("string"), 3, "0")
@@ -243,7 +243,7 @@ def lg13(spark, sf_dir):
 
 
 def lines(spark, sf_dir):
-    docs = twins.table(spark, sf_dir, "documents")
+    docs = twins.spread(twins.table(spark, sf_dir, "documents"), "doc_id")
     at = F.expr("timestamp'2024-01-01' + make_dt_interval(0, 0, cast(doc_id as int), 0)")
     return tm.split_lines(docs.select(F.col("source").alias("service"), at.alias("ts"), "text"), "text")
 

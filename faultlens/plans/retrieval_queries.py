@@ -113,7 +113,7 @@ def fb4(spark, sf_dir):
 
 def hypotheses(spark, sf_dir):
     """Model answers with one kind of fault each, by the number in ``props``."""
-    ev = twins.events(spark, sf_dir)
+    ev = twins.spread(twins.events(spark, sf_dir), "event_id")
     n = F.col("k") % 7
     cause = F.when(n == 5, "elsewhere").otherwise(F.concat(F.lit("c"), (F.col("event_id") % 10).cast("string")))
     step = F.when(n == 3, "drain node pool").when(n == 4, "REQUIRES HUMAN CONFIRMATION drain node pool").otherwise("roll back")

@@ -221,11 +221,12 @@ def jn8(spark, sf_dir):
 
 
 @query("dt1_history", f"""WITH {REG}
-SELECT series, us, count(*) OVER w AS n_history, round(avg(value) OVER w, 9) AS mean_history FROM reg
+SELECT series, us, count(*) OVER w AS n_history, avg(round(value * 100)) OVER w AS mean_history FROM reg
 WINDOW w AS (PARTITION BY series ORDER BY us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW)""")
 def dt1(spark, sf_dir):
-    rows = dt.history(regular(spark, sf_dir), ["series"])
-    return rows.select("series", "us", "n_history", F.round("mean_history", 9).alias("mean_history"))
+    # Whole cents add up exactly in any order.
+    rows = regular(spark, sf_dir).withColumn("value", F.round(F.col("value") * 100))
+    return dt.history(rows, ["series"]).select("series", "us", "n_history", "mean_history")
 
 
 WARM = REG + """,

@@ -43,20 +43,29 @@ class DetectorState:
         self.times, self.values = list(times), list(values)
         self.train, self.fit_at, self.emit_at = list(train), fit_at, emit_at
         self.model = None
+        self.unordered = any(a > b for a, b in zip(self.times, self.times[1:], strict=False))
 
     def fit(self) -> None:
         self.model = fit_window(np.array(self.train), self.s["period"], self.s["trees"])
 
+    def prune(self, cutoff: int) -> None:
+        """Drop samples before the cutoff; late arrivals may lie anywhere in the list."""
+        old = 0
+        while self.times[old] < cutoff:
+            old += 1
+        del self.times[:old], self.values[:old]
+        if self.unordered and min(self.times) < cutoff:
+            kept = [(t, v) for t, v in zip(self.times, self.values, strict=True) if t >= cutoff]
+            self.times, self.values = [t for t, _ in kept], [v for _, v in kept]
+
     def feed(self, us: int, value: float) -> dict | None:
         """Take one sample; the score if it is an anomaly to emit."""
         if self.emit_at is not None and us - self.emit_at < self.s["cooldown_us"]:
             return None  # suppressed samples do not enter the history
+        self.unordered = self.unordered or bool(self.times and us < self.times[-1])
         self.times.append(us)
         self.values.append(value)
-        keep = [i for i, t in enumerate(self.times) if t >= us - self.s["window_us"]]
-        if len(keep) < len(self.times):
-            self.times = [self.times[i] for i in keep]
-            self.values = [self.values[i] for i in keep]
+        self.prune(us - self.s["window_us"])
         if len(self.times) < self.s["min_samples"]:
             return None
         if self.fit_at is None or us - self.fit_at >= self.s["refit_us"]:
