@@ -17,6 +17,7 @@ from faultlens.session import materialise
 BEFORE_US = 30 * 60 * SECOND
 AFTER_US = 5 * 60 * SECOND
 TOP_CAUSES = 5
+TOP_TEMPLATES = 20
 WEIGHTS = {"time": 0.4, "topo": 0.3, "hist": 0.2, "kind": 0.1}
 # Chosen here: decay constant, prior per kind of change, share for callers.
 TAU_S = 600.0
@@ -185,7 +186,7 @@ def build_incidents(ranked: DataFrame) -> DataFrame:
 
 def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFrame,
                      deltas: DataFrame, similar: DataFrame) -> DataFrame:
-    """The nested document of an incident as JSON.
+    """The nested document of an incident as JSON, with the sharpest template shifts of its service.
 
     anomalies ``(anomaly_id, signal, metric, severity, started_at, baseline, observed,
     duration_so_far_s)``, slices ``(service, upstream_callers, downstream_deps)``, deltas
@@ -193,8 +194,9 @@ def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFra
     similarity)``.
     """
     delta = F.struct("template", "count_before", "count_after")
-    # Shifted templates per service are few by construction (template_deltas keeps sharp changes).
-    per_service = deltas.groupBy("service").agg(F.sort_array(F.collect_list(delta)).alias("log_pattern_deltas"))
+    shift = F.abs(F.log((F.col("count_after") + 1.0) / (F.col("count_before") + 1.0)))
+    sharpest = top_causes(deltas, ["service"], [F.desc(shift), F.asc("template")], TOP_TEMPLATES)
+    per_service = sharpest.groupBy("service").agg(F.sort_array(F.collect_list(delta)).alias("log_pattern_deltas"))
     match = F.struct("similarity", "incident_id")
     per_incident = similar.groupBy("anomaly_id").agg(
         F.reverse(F.sort_array(F.collect_list(match))).alias("similar_past_incidents"))

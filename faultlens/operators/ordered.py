@@ -288,8 +288,9 @@ def spaced(
     chunk first works out, for every row that may come first, which row it would
     keep last; the chunks of a key are then chained over these short tables, and a
     second pass replays each chunk from its now known entry.  Rows of equal time
-    behave alike, so distinct times are what is folded.  Returns distinct
-    ``(keys, us)`` of the kept rows.
+    behave alike, so distinct times are what is folded.  Meant for regularised
+    samples, of which a chunk holds at most chunk / interval per series.  Returns
+    distinct ``(keys, us)`` of the kept rows.
     """
     chunk_us = max(chunk_us, gap_us)
     times = df.select(*keys, F.col(us).alias("_us")).distinct()

@@ -332,13 +332,13 @@ def dt10(spark, sf_dir):
     return twins.events(spark, sf_dir).select("event_id", severity_for(conf, thresholds()).alias("severity"))
 
 
-@query("dt11_cooldown", f"""WITH RECURSIVE {twins.EVENTS},
-hit AS (SELECT event_type AS series, us, event_id FROM ev WHERE value > 40),
+@query("dt11_cooldown", f"""WITH RECURSIVE {REG},
+hit AS (SELECT series, us, value FROM reg WHERE value > 40),
 {spaced_sql('hit', 300_000_000)}
-SELECT event_id, hit.series, hit.us FROM hit JOIN kept ON hit.series = kept.series AND hit.us = kept.us""")
+SELECT hit.series, hit.us, value FROM hit JOIN kept ON hit.series = kept.series AND hit.us = kept.us""")
 def dt11(spark, sf_dir):
-    hits = twins.events(spark, sf_dir).filter("value > 40").select("event_id", F.col("event_type").alias("series"), "us")
-    return dt.cooldown(hits, ["series"]).select("event_id", "series", "us")
+    hits = regular(spark, sf_dir).filter("value > 40")
+    return dt.cooldown(hits, ["series"]).select("series", "us", "value")
 
 
 @query("dt12_samples_to_signals", f"""WITH {RAW}, s AS (

@@ -121,7 +121,8 @@ def stream_detector(samples: DataFrame, config: dict | None = None) -> DataFrame
     """Emitted anomalies of a stream of finite samples ``(series, us, value)``.
 
     Needs the RocksDB state store.  Rows are ordered by time inside a micro-batch;
-    history is pruned by event time, so a replay gives the same state.
+    history is pruned by event time, so a replay gives the same state.  A series is
+    one key and thus one task at a time; the poll interval bounds its rate.
     """
     rows = samples.select("series", F.col("us").cast("long").alias("us"), F.col("value").cast("double").alias("value"))
     return rows.groupBy("series").transformWithStateInPandas(
