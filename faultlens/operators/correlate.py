@@ -248,6 +248,10 @@ def incident_timeline(parts: Mapping[str, DataFrame], chunk_us: int = BUCKET_US)
     return numbered(chunked, ["incident_id"], "_chunk", ["us", "kind", "entry_id"], "position").drop("_chunk")
 
 
+def incident_detail(incidents: DataFrame, incident_id: str, column: str = "incident_id") -> DataFrame:
+    return incidents.filter(F.col(column) == incident_id)
+
+
 def incident_page(incidents: DataFrame, order: Sequence[Column], page: int, size: int,
                   where: Column | None = None) -> DataFrame:
     rows = incidents if where is None else incidents.filter(where)

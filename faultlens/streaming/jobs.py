@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from faultlens.functions.columns import SECOND, from_micros, micros
 from faultlens.operators import alerts as al
@@ -46,6 +47,14 @@ def run_to_files(stream: DataFrame, label: str, path: str | None = None, mode: s
     return f"{base}/data"
 
 
+def run_to_kafka(records: DataFrame, options: dict[str, str], topic: str, checkpoint: str, producer: dict[str, str]) -> StreamingQuery:
+    """Keyed records to a topic; the caller keeps the query running."""
+    return (
+        records.writeStream.format("kafka").options(**options, **producer).option("topic", topic)
+        .option("checkpointLocation", checkpoint).start()
+    )
+
+
 def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], label: str, path: str | None = None) -> None:
     base = path or run_dir(stream.sparkSession, label)
     query = (
@@ -103,6 +112,25 @@ def correlate_streams(anomalies: DataFrame, candidates: DataFrame, keys: Sequenc
     return left.join(right, on, "leftOuter")
 
 
+class CauseTable:
+    """``foreachBatch`` writer for correlated pairs, ranked once a window has closed.
+
+    Pairs of one anomaly arrive over several batches, so each batch is only stored;
+    ``ranked`` takes the anomalies whose window ended before the given time.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, after_us: int = cr.AFTER_US):
+        self.spark, self.base, self.after_us = spark, base, after_us
+
+    def __call__(self, pairs: DataFrame, batch_id: int) -> None:
+        pairs.write.mode("overwrite").parquet(f"{self.base}/pairs/batch={batch_id}")
+
+    def ranked(self, closed_us: int, score: Column, k: int = cr.TOP_CAUSES) -> DataFrame:
+        pairs = self.spark.read.parquet(f"{self.base}/pairs").filter(micros(F.col("a_ts")) + self.after_us <= closed_us)
+        scored = pairs.filter("cand_id IS NOT NULL").withColumn("score", score)
+        return cr.top_causes(scored, ["anomaly_id"], [F.desc("score"), F.asc("cand_id")], k)
+
+
 def episode_sessions(signals: DataFrame, keys: Sequence[str], ts: str = "ts", gap: str = "1 hour") -> DataFrame:
     """Emissions of one key no further apart than the gap form an episode."""
     return (

@@ -61,3 +61,15 @@ def test_unmatched_anomalies_follow_the_window(spark):
     right = feed(spark, cands).select(F.col("id").alias("cand_id"), F.col("k").alias("c_key"), F.timestamp_seconds("s").alias("c_ts"))
     out = spark.read.parquet(jobs.run_to_files(jobs.correlate_streams(left, right, [("a_key", "c_key")]), "pairs")).collect()
     assert {(r["anomaly_id"], r["cand_id"]) for r in out} == {(1, 7), (2, None)}
+
+
+def test_causes_are_ranked_after_the_window_closed(spark):
+    schema = "anomaly_id long, a_s long, cand_id long, c_s long"
+    parts = [spark.createDataFrame(rows, schema).select("anomaly_id", F.timestamp_seconds("a_s").alias("a_ts"), "cand_id", F.timestamp_seconds("c_s").alias("c_ts"))
+             for rows in ([(1, 1000, 5, 900), (2, 9000, 6, 8999)], [(1, 1000, 7, 990), (3, 1000, None, None)])]
+    table = jobs.CauseTable(spark, run_dir(spark, "causes"))
+    for i, part in enumerate(parts):
+        table(part, i)
+    gap = F.unix_seconds("c_ts") - F.unix_seconds("a_ts")
+    rows = table.ranked(2000 * S, -F.abs(gap)).collect()
+    assert {(r["anomaly_id"], r["cand_id"], r["rank"]) for r in rows} == {(1, 7, 1), (1, 5, 2)}
