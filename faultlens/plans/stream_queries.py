@@ -43,10 +43,14 @@ def st1(spark, sf_dir):
 def st2(spark, sf_dir):
     from faultlens.streaming.detector import settings, stream_detector
 
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    samples = event_stream(spark, sf_dir).withColumnRenamed("event_type", "series")
-    return stored(spark, stream_detector(samples, settings(min_samples=60, trees=50)), "anomalies")
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        samples = event_stream(spark, sf_dir).withColumnRenamed("event_type", "series")
+        return stored(spark, stream_detector(samples, settings(min_samples=60, trees=50)), "anomalies")
+    finally:
+        spark.conf.set(setting, before)
 
 
 CLOSED = "(SELECT max(us) // 1000 * 1000 - 600000000 FROM ev)"

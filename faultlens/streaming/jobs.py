@@ -7,7 +7,8 @@ writers are keyed by batch id, and duplicates fall to the deduplication key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,15 +36,32 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, pattern:
     return reader.parquet(folder)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a query with no more state partitions than twice the cores.
+
+    Every partition opens and commits its state stores in each batch; the number is
+    fixed at the first start, so it is set only around it.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def run_to_files(stream: DataFrame, label: str, path: str | None = None, mode: str = "append") -> str:
     """Process what is there now, write it as files and stop; returns the folder."""
     spark = stream.sparkSession
     base = path or run_dir(spark, label)
-    query = (
-        stream.writeStream.format("parquet").outputMode(mode).trigger(availableNow=True)
-        .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/data")
-    )
-    query.awaitTermination()
+    with state_partitions(spark):
+        query = (
+            stream.writeStream.format("parquet").outputMode(mode).trigger(availableNow=True)
+            .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/data")
+        )
+        query.awaitTermination()
     return f"{base}/data"
 
 
@@ -57,11 +75,12 @@ def run_to_kafka(records: DataFrame, options: dict[str, str], topic: str, checkp
 
 def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], label: str, path: str | None = None) -> None:
     base = path or run_dir(stream.sparkSession, label)
-    query = (
-        stream.writeStream.foreachBatch(each).trigger(availableNow=True)
-        .option("checkpointLocation", f"{base}/checkpoint").start()
-    )
-    query.awaitTermination()
+    with state_partitions(stream.sparkSession):
+        query = (
+            stream.writeStream.foreachBatch(each).trigger(availableNow=True)
+            .option("checkpointLocation", f"{base}/checkpoint").start()
+        )
+        query.awaitTermination()
 
 
 def stream_alerts(texts: DataFrame, as_of: Column | None = None) -> DataFrame:
