@@ -136,3 +136,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, sketch:
     out = base.join(reached.select("doc_id", "component_id"), "doc_id", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, **more) -> DataFrame:
+    """One document of each group stays, the one with the smallest doc_id; columns are unchanged.
+
+    Rows with a null doc_id stay.  Rows that share the doc_id that stays all stay.
+    """
+    lost = near_duplicates(docs, width, percent, **more).where("not kept").select(F.col("doc_id").alias("_lost_id")).distinct()
+    return docs.join(lost, docs["doc_id"] == lost["_lost_id"], "left_anti")

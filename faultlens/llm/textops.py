@@ -20,6 +20,7 @@ _INV = pow(_BASE, -1, 1 << 64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+EXACT = np.arange(256, dtype=np.uint8)
 
 
 def table(separators) -> np.ndarray:
@@ -74,7 +75,7 @@ class Words:
     bounds: np.ndarray  #: words of row i are bounds[i]:bounds[i + 1]
 
 
-def _stretch(raw, lo, hi, cuts, is_word):
+def _stretch(raw, lo, hi, cuts, is_word, fold):
     b = raw[lo:hi]
     w = is_word[b]
     prev = np.empty_like(w)
@@ -91,12 +92,13 @@ def _stretch(raw, lo, hi, cuts, is_word):
     n = hi - lo
     power, inverse = (_POW, _IPOW) if n <= len(_POW) else (_powers(_BASE, n), _powers(_INV, n))
     run = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((LOWER[b].astype(np.uint64) + np.uint64(1)) * power[:n], out=run[1:])
+    np.cumsum((fold[b].astype(np.uint64) + np.uint64(1)) * power[:n], out=run[1:])
     h = (run[ends] - run[starts]) * inverse[starts]
     return mix(h ^ ((ends - starts).astype(np.uint64) << np.uint64(48))), starts + lo, ends + lo
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Words:
+def words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, fold: np.ndarray = LOWER) -> Words:
+    """All words of some rows; ``fold`` maps bytes before they are hashed."""
     lo, last = int(offsets[0]), int(offsets[-1])
     cuts = offsets[1:-1]
     parts = []
@@ -111,7 +113,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Words:
             hi += step
             if stop == step or len(gap):
                 break
-        parts.append(_stretch(raw, lo, hi, cuts, is_word))
+        parts.append(_stretch(raw, lo, hi, cuts, is_word, fold))
         lo = hi
     if parts:
         h, s, e = (np.concatenate(x) for x in zip(*parts))
