@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing a module below registers its queries."""
 
-from faultlens.llm import clean_queries, near_queries, pack_queries, toxic_queries  # noqa: F401
+from faultlens.llm import chat_queries, clean_queries, near_queries, pack_queries, secret_queries, toxic_queries  # noqa: F401
 from faultlens.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
