@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from faultlens.llm.store import Tables, pick
 
-SAMPLE = 20_000  #: labelled rows the classifier is fitted on at most, those with the smallest hash of their text
+SAMPLE = 20_000  #: labelled documents the classifier is fitted on at most, those with the smallest hash of their id
 FEATURES = 6_000  #: features kept, by the strength of their link with the label
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
@@ -55,12 +55,16 @@ def in_fold(doc_id: int, fold: int = 1, folds: int = 3) -> bool:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic) of distinct labelled texts outside the held-out fold, at most ``rows``."""
+    """(text, toxic) of labelled documents outside the held-out fold, at most ``rows``.
+
+    Ids are drawn before any text is read: the ``rows`` with the smallest hash, a list of
+    bounded size that every task filters its documents with.
+    """
     seen = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     seen = seen.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
-    joined = pick(docs, "doc_id", "text").join(seen, "doc_id").select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    ranked = joined.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
-    return ranked.orderBy("h").limit(rows).select("text", "toxic")
+    drawn = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    joined = pick(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return joined.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
 
 
 def _counts(sample: DataFrame) -> DataFrame:
@@ -93,7 +97,10 @@ def _rows(sample: DataFrame, number: dict[str, int]) -> list:
 
 
 def fit(x: list, y: np.ndarray, z: list, size: int, fairness: float = 4.0, ridge: float = 2e-5, rounds: int = 400, rate: float = 0.1) -> np.ndarray:
-    """Weights, the last one the constant: logistic loss, ridge, and the squared score change under swaps."""
+    """Weights, the last one the constant: logistic loss, ridge, and the squared score change under swaps.
+
+    The rarer label weighs more, by the root of the ratio of the two.
+    """
     def sparse(lists):
         return np.repeat(np.arange(len(lists)), [len(v) for v in lists]), np.fromiter((i for v in lists for i in v), np.int64)
 
@@ -102,12 +109,14 @@ def fit(x: list, y: np.ndarray, z: list, size: int, fairness: float = 4.0, ridge
     ra, ca = sparse([x[k] for k in pairs])
     rb, cb = sparse([z[k] for k in pairs])
     n = len(y)
+    share = np.where(y > 0, np.sqrt((y == 0).sum() / max(1, (y > 0).sum())), 1.0)
+    share /= share.sum()
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     for k in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[col], minlength=n) + w[-1], -40, 40)))
         g = np.empty_like(w)
-        g[:-1] = np.bincount(col, (p - y)[row], minlength=size) / n + 2 * ridge * w[:-1]
-        g[-1] = (p - y).mean()
+        g[:-1] = np.bincount(col, ((p - y) * share)[row], minlength=size) + 2 * ridge * w[:-1]
+        g[-1] = ((p - y) * share).sum()
         if pairs:
             d = np.bincount(ra, w[ca], minlength=len(pairs)) - np.bincount(rb, w[cb], minlength=len(pairs))
             g[:-1] += 2 * fairness / len(pairs) * (np.bincount(ca, d[ra], minlength=size) - np.bincount(cb, d[rb], minlength=size))
@@ -135,7 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, features: int
     texts of both kinds the score is the smoothed share of toxic ones.
     """
     tables = Tables(docs.sparkSession, "toxic")
-    sample = tables.keep(_sample(docs, labels, rows))
+    drawn = tables.keep(_sample(docs, labels, rows))
+    sample = tables.keep(drawn.dropDuplicates(["text", "toxic"]))
+    tables.drop(drawn)
     size = {r[0]: r[1] for r in sample.groupBy(F.col("toxic") > 0).agg(F.count("*")).collect()}
     bad, good = size.get(True, 0), size.get(False, 0)
     prior = (bad + 1) / (bad + good + 2)
