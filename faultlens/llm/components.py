@@ -1,20 +1,16 @@
 """Connected groups from inverted lists, without forming all pairs of a list.
 
-First every node of a list is compared with one hub of that list.  Lists that then hold
-several groups are paired across groups only, so a list of n copies costs n comparisons
-and still no link between different groups is missed.
+First every node of a list is compared with one hub of that list (``stars``).  Lists that
+then hold several groups are paired across groups only (``across``), so a list of n copies
+costs n comparisons and still no link between different groups is missed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, functions as F
 
 from faultlens.llm.store import Tables
 
-Step = Callable[[DataFrame], DataFrame]
-
 
 def _mark(df: DataFrame) -> tuple:
     return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
@@ -45,25 +41,30 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def grouped(lists: DataFrame, near: Step, same: Step, tables: Tables, ratio: float = 0.0) -> DataFrame:
-    """(node, component) of all linked nodes.
-
-    ``lists`` has (key, node, size); two nodes of one key are a candidate if their sizes
-    differ by no more than ``ratio`` allows.  ``near`` filters (u, v) cheaply and adds
-    ``weight``; ``same`` keeps the true links.
-    """
+def stars(lists: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """Lists of two nodes or more with their hub, and the distinct pairs (hub u, node v)."""
     hubs = lists.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     live = tables.keep(lists.join(hubs, "key"))
-    star = live.where("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    best = near(star).groupBy("v").agg(F.max(F.struct("weight", "u")).alias("b")).select("v", F.col("b.u").alias("u"))
-    first = tables.keep(same(best).select("u", "v"))
-    known = components(first, tables)
-    placed = live.drop("hub").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_ = tables.keep(placed.join(mixed, "key"))
-    a = open_.select("key", F.col("node").alias("u"), F.col("size").alias("nu"), F.col("component").alias("cu"))
-    b = open_.select("key", F.col("node").alias("v"), F.col("size").alias("nv"), F.col("component").alias("cv"))
-    fits = (F.col("cu") < F.col("cv")) & (F.col("nu") >= F.col("nv") * ratio) & (F.col("nv") >= F.col("nu") * ratio)
-    cross = a.join(b, "key").where(fits).select("u", "v").distinct()
-    second = same(near(cross)).select("u", "v")
-    return components(first.unionByName(second), tables)
+    return live, live.where("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
+
+
+def placed(nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """Nodes with their component; a node without links is its own."""
+    return nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def across(live: DataFrame, known: DataFrame, tables: Tables, fits=None) -> DataFrame:
+    """Distinct pairs (u, v) of one list and different components for which ``fits`` holds.
+
+    ``fits`` gets each side's column by name, as in ``fits(u, v)`` with ``u("size")``.
+    """
+    here = placed(live, known)
+    mixed = here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    open_ = tables.keep(here.join(mixed, "key"))
+    rest = [c for c in open_.columns if c not in ("key", "node")]
+    a = open_.select("key", F.col("node").alias("u"), *[F.col(c).alias(f"u_{c}") for c in rest])
+    b = open_.select("key", F.col("node").alias("v"), *[F.col(c).alias(f"v_{c}") for c in rest])
+    ok = F.col("u_component") < F.col("v_component")
+    if fits is not None:
+        ok &= fits(lambda c: F.col(f"u_{c}"), lambda c: F.col(f"v_{c}"))
+    return a.join(b, "key").where(ok).select("u", "v").distinct()
