@@ -4,11 +4,12 @@ Each document keeps the ``sketch`` smallest hashes of its word shingles.  Invert
 retained values generate candidates, the sketch of the union estimates their similarity,
 and the full shingle sets decide.
 
-A retained value that more than ``common`` documents share is common.  It makes candidates
-only among documents most of whose retained values are common; every other document is
-listed under its ``listed`` smallest uncommon values.  Two documents at the threshold share
-each listed value with the probability of their similarity, so a pair is overlooked with
-at most 0.15 ** 12 (similarity 0.85), for texts that are half common wording 0.3 ** 12.
+A retained value that more than ``common`` documents share is common.  Every document is
+listed under its ``listed`` smallest uncommon values, twice as many if three in ten of its
+values are common.  Two documents at the threshold share each listed value with the
+probability of their similarity, so a pair is overlooked with about 0.15 ** 12 (similarity
+0.85), for texts that are half common wording with 0.3 ** 24.  Documents at least half of
+whose values are common are also compared by their full sets, see ``_crowded``.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from faultlens.llm import textops as T
-from faultlens.llm.components import components, grouped
+from faultlens.llm.components import across, components, placed, stars
 from faultlens.llm.store import Tables, pick
 
-SKETCH, LISTED, COMMON = 48, 12, 64
+SKETCH, LISTED, COMMON = 48, 12, 16
 BROADCAST_IDS = 1_000_000  #: ids sent to every executor at most (8 MB); beyond, they are shuffled
 
 
@@ -74,6 +75,101 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, grams array<long>")
 
 
+def _linked(docs, one, width, percent, sketch, listed, common, tables) -> DataFrame:
+    """(node, component) of the representatives in ``one`` (node, size, sketch)."""
+    t = percent / 100
+    none = F.array().cast("array<long>")
+    value = one.select("node", F.explode("sketch").alias("key"))
+    often = tables.keep(value.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > common).select("key"))
+    hot = value.join(often, "key").groupBy("node").agg(F.collect_set("key").alias("hot"))  # at most `sketch` values
+    split = tables.keep(one.join(hot, "node", "left").withColumn("hot", F.coalesce("hot", none)).withColumn("mostly", F.size("hot") * 2 >= F.size("sketch")))
+    rare = F.array_except("sketch", "hot")
+    rare = split.select("node", "size", F.explode(F.slice(rare, F.lit(1), F.when(F.size("hot") * 10 >= F.size("sketch") * 3, 2 * listed).otherwise(listed))).alias("key"))
+    crowd = split.where("mostly").select("node", "size", F.explode(F.slice(F.array_sort("hot"), 1, listed)).alias("key"))
+    sizes = lambda u, v: (u("size") >= v("size") * t) & (v("size") >= u("size") * t)
+
+    def estimated(pairs, least):
+        sk = one.select("node", "sketch")
+        joined = pairs.join(sk.toDF("u", "su"), "u").join(sk.toDF("v", "sv"), "v")
+        union = F.slice(F.array_sort(F.array_union("su", "sv")), 1, sketch)
+        both = F.size(F.array_intersect(F.array_intersect("su", "sv"), union))
+        return joined.select("u", "v", (both / F.size(union)).alias("weight")).where(F.col("weight") >= least)
+
+    def sets_of(ids):
+        small = ids.count() <= BROADCAST_IDS
+        text = pick(docs, "doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+        return tables.keep(shingle_sets(text, width).toDF("node", "grams"))
+
+    def compared(pairs):
+        pairs = tables.keep(pairs)
+        ids = tables.keep(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct())
+        sets = sets_of(ids)
+        both = pairs.join(sets.toDF("u", "gu"), "u").join(sets.toDF("v", "gv"), "v").withColumn("inter", F.size(F.array_intersect("gu", "gv")))
+        return both.withColumn("link", F.col("inter") * 100 >= (F.size("gu") + F.size("gv") - F.col("inter")) * percent)
+
+    def links(pairs):
+        return compared(pairs).where("link").select("u", "v")
+
+    least = max(0.0, t - 5 * (t * (1 - t) / sketch) ** 0.5)
+    live, star = stars(rare, tables)
+    best = lambda pairs: pairs.groupBy("v").agg(F.max(F.struct("weight", "u")).alias("b")).select(F.col("b.u").alias("u"), "v")
+    crowds, hubs = stars(crowd, tables)
+    hubs = tables.keep(estimated(hubs, 0.5))
+    fame = hubs.groupBy("u").agg(F.count("*").alias("fame"))
+    chosen = hubs.join(fame, "u").groupBy("v").agg(F.max(F.struct("fame", "u")).alias("b")).select(F.col("b.u").alias("u"), "v")
+    first = compared(best(estimated(star, least)).withColumn("hub", F.lit(False)).unionByName(chosen.withColumn("hub", F.lit(True))))
+    first = tables.keep(first.select("u", "v", "hub", "link", "inter", F.when(F.col("hub"), F.array_except("gv", "gu")).alias("rest")))
+    edges = first.where("link").select("u", "v")
+    known = components(edges, tables)
+    edges = tables.keep(edges.unionByName(links(estimated(across(live, known, tables, sizes), least).select("u", "v"))))
+    known = tables.keep(components(edges, tables))
+    more = _crowded(split, first, known, t, sizes, sets_of, tables)
+    return components(edges.unionByName(links(estimated(more, least).select("u", "v"))), tables)
+
+
+def _crowded(split, first, known, t, sizes, sets_of, tables) -> DataFrame:
+    """Candidate pairs among documents of mostly common wording.
+
+    Let h be the hub of both x and y.  If they share a shingle outside h, the lists of those
+    shingles hold the pair.  If not, what they share lies in h, so both must share
+    t / (1 + t) * (|x| + |y|) shingles with h, which leaves few sizes for y.  Pairs with
+    different hubs, or none, meet in the lists of the rarest shingles: two sets at
+    similarity t share one of the |x| - ceil(t * |x|) + 1 rarest of each.
+    """
+    share = t / (1 + t)
+    mine = split.where("mostly").select("node", "size")
+    hubbed = first.where("hub").select(F.col("v").alias("node"), F.col("u").alias("hub"), "inter", "rest").unionByName(
+        first.where("hub").select(F.col("u").alias("node"), F.col("u").alias("hub")).distinct().join(split.select("node", F.col("size").alias("inter")), "node")
+        .select("node", "hub", "inter", F.array().cast("array<long>").alias("rest")))
+    here = tables.keep(placed(mine.join(hubbed, "node", "left"), known))
+
+    def need(u, v):
+        return share * (u("size") + v("size")) - 1e-9
+
+    outside = here.select("node", "size", "hub", "inter", F.size("rest").alias("more"), F.explode("rest").alias("g")).withColumn("key", F.xxhash64("hub", "g"))
+    outside = across(outside.drop("hub", "g"), known, tables, lambda u, v: sizes(u, v) & (
+        F.least(u("inter"), v("inter")) + F.least(u("more"), v("more")) >= need(u, v)))
+
+    x = here.where("hub is not null and size > 0")
+    top = F.floor(F.col("inter") / share - F.col("size") + 1e-6).cast("long")
+    low = F.ceil(F.col("size") * t - 1e-6).cast("long")
+    top = F.least(top, F.floor(F.col("size") / t + 1e-6).cast("long"))
+    home = here.where("node = hub").select("hub", F.col("component").alias("home"))
+    far = x.join(home.distinct(), "hub").where("component <> home")
+    far = far.where(low <= top).select(F.col("node").alias("u"), F.col("component").alias("cu"), "hub", F.explode(F.sequence(low, top)).alias("size"), F.col("size").alias("nu"))
+    inside = far.join(x.select(F.col("node").alias("v"), F.col("component").alias("cv"), "hub", "size", "inter"), ["hub", "size"])
+    inside = inside.where((F.col("cu") != F.col("cv")) & (F.col("inter") >= share * (F.col("nu") + F.col("size")) - 1e-9)).select("u", "v").distinct()
+
+    grams = sets_of(tables.keep(mine.select(F.col("node").alias("doc_id"))))
+    each = grams.select("node", F.explode("grams").alias("g"))
+    count = each.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
+    order = each.join(count, "g", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "g"))).alias("o"))  # one set
+    prefix = order.select("node", F.explode(F.slice("o", F.lit(1), (F.size("o") - F.ceil(F.size("o") * t - 1e-6) + 1).cast("int"))).alias("x"))
+    listed = prefix.where("x.n > 1").select("node", F.col("x.g").alias("key")).join(here.select("node", "size", "hub"), "node")
+    apart = across(listed, known, tables, lambda u, v: sizes(u, v) & ~F.coalesce(u("hub") == v("hub"), F.lit(False)))
+    return outside.unionByName(inside).unionByName(apart).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, sketch: int = SKETCH, listed: int = LISTED, common: int = COMMON) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
@@ -93,41 +189,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, sketch:
     one = tables.keep(real.join(key, ["doc_id", "n_shingles", "fp1", "fp2"], "left_semi")
                       .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "sketch"))
 
-    value = one.select("node", "size", F.explode("sketch").alias("key"))
-    often = tables.keep(value.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > common).select("key"))
-    hot = value.join(often, "key").groupBy("node").agg(F.collect_set("key").alias("hot"))  # at most `sketch` values
-    split = one.join(hot, "node", "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<long>")))
-    rare = F.slice(F.array_except("sketch", "hot"), 1, listed)
-    mostly = F.size("hot") * 2 >= F.size("sketch")
-    keys = F.concat(rare, F.when(mostly, F.slice(F.array_sort("hot"), 1, listed)).otherwise(F.array().cast("array<long>")))
-    lists = split.select("node", "size", F.explode(keys).alias("key"))
-
-    threshold = percent / 100
-    least = threshold - 5 * (threshold * (1 - threshold) / sketch) ** 0.5
-    sk = one.select("node", "sketch", "size")
-
-    def near(pairs):
-        a = sk.select(F.col("node").alias("u"), F.col("sketch").alias("su"), F.col("size").alias("nu"))
-        b = sk.select(F.col("node").alias("v"), F.col("sketch").alias("sv"), F.col("size").alias("nv"))
-        joined = pairs.join(a, "u").join(b, "v").where((F.col("nu") >= F.col("nv") * threshold) & (F.col("nv") >= F.col("nu") * threshold))
-        union = F.slice(F.array_sort(F.array_union("su", "sv")), 1, sketch)
-        both = F.size(F.array_intersect(F.array_intersect("su", "sv"), union))
-        estimate = both / F.least(F.lit(sketch), F.size(union))
-        return joined.select("u", "v", estimate.alias("weight")).where(F.col("weight") >= least)
-
-    def same(pairs):
-        pairs = tables.keep(pairs.select("u", "v"))
-        ids = tables.keep(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct())
-        small = ids.count() <= BROADCAST_IDS
-        text = pick(docs, "doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-        sets = tables.keep(shingle_sets(text, width))
-        a = sets.select(F.col("doc_id").alias("u"), F.col("grams").alias("gu"))
-        b = sets.select(F.col("doc_id").alias("v"), F.col("grams").alias("gv"))
-        inter = F.size(F.array_intersect("gu", "gv"))
-        union = F.size("gu") + F.size("gv") - F.col("inter")
-        return pairs.join(a, "u").join(b, "v").withColumn("inter", inter).where(F.col("inter") * 100 >= union * percent).select("u", "v")
-
-    linked = grouped(lists, near, same, tables, threshold)
+    linked = _linked(docs, one, width, percent, sketch, listed, common, tables)
     joined = member.select("doc_id", "node").distinct().join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     reached = tables.keep(joined.groupBy("doc_id").agg(F.min("component").alias("component_id"), F.max("component").alias("other")))
     if reached.where("component_id <> other").limit(1).count():  # an id with several texts joins their groups
