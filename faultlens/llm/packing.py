@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from faultlens.llm.store import Tables, pick
-from faultlens.llm.tokens import END_ID, WordIds, closed, crc, tokenizer_path
+from faultlens.llm.tokens import END_ID, closed, crc, tokenizer_path, word_ids
 
 WINDOW = 2048
 TRIPLES = 4096  #: combinations of three lengths that are tried
@@ -25,7 +25,7 @@ def _cut(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        task, ids_of = TaskContext.get().partitionId(), WordIds(path)
+        task, ids_of = TaskContext.get().partitionId(), word_ids(path)
         seen = np.zeros(window + 1, np.int64)
         for batch in batches:
             doc = batch.column(0).to_pylist()

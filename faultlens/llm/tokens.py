@@ -7,7 +7,9 @@ of bounded size and hands only new words to the tokenizers library.
 
 from __future__ import annotations
 
+import os
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,17 @@ def tokenizer_path(name: str = WORD_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """The table of this worker process; its tasks share it."""
+    return WordIds(path)
+
+
 class WordIds:
     """Ids by word.  A hash of 64 bits stands for the word."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,12 +79,13 @@ class WordIds:
         self.count[self.n:self.n + len(h)] = counts
         self.ids[self.used:self.used + len(flat)] = flat
         self.used += len(flat)
-        for i, x in enumerate(h.tolist()):
-            slot = x & self.mask
-            while self.keys[slot]:
-                slot = (slot + 1) & self.mask
-            self.keys[slot] = x
-            self.entry[slot] = self.n + i
+        todo, slot = np.arange(len(h)), (h & np.uint64(self.mask)).astype(np.int64)
+        while len(todo):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = h[todo[free]]
+            won = self.keys[slot] == h[todo]
+            self.entry[slot[won]] = self.n + todo[won]
+            todo, slot = todo[~won], (slot[~won] + 1) & self.mask
         self.n += len(h)
 
     def encode(self, column: pa.Array):
