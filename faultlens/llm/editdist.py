@@ -28,8 +28,11 @@ def _scan(pattern: Sequence, text: Sequence, anchored: int):
         yield j, score
 
 
-def distance(a: Sequence, b: Sequence) -> int:
-    """Edit distance of two whole sequences; what they share at both ends is skipped."""
+def distance(a: Sequence, b: Sequence, limit: float | None = None) -> int:
+    """Edit distance of two whole sequences; what they share at both ends is skipped.
+
+    With a limit, what is returned is exact only if it lies above; below, it is a bound.
+    """
     n = min(len(a), len(b))
     lo = 0
     while lo < n and a[lo] == b[lo]:
@@ -40,12 +43,24 @@ def distance(a: Sequence, b: Sequence) -> int:
     a, b = a[lo:len(a) - hi], b[lo:len(b) - hi]
     if not a or not b:
         return len(a) + len(b)
+    if limit is not None and max(len(a), len(b)) <= limit:
+        return max(len(a), len(b))
     score = 0
     for _, score in _scan(a, b, 1):
         pass
     return score
 
 
+def within(a: str, b: str, limit: float) -> bool:
+    """Whether the distance of two texts is at most limit; cheap upper bounds are tried first."""
+    if abs(len(a) - len(b)) > limit:
+        return False
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y) if p != q) <= limit:
+        return True
+    return distance(a, b, limit) <= limit
+
+
 def best_stretch(pattern: Sequence, text: Sequence) -> tuple[int, int, int]:
     """(distance, first, last) of the stretch of text nearest to pattern; the earliest end, then the latest start."""
     low, last = len(pattern), -1
