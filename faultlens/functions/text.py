@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,8 +26,6 @@ VARIABLES = [
     r"[0-9]+(\.[0-9]+)?",
 ]
 BLANKS = r"[ \t\r\n\f]+"
-# Cluster names: prefix of the data centre, then the role.
-DATACENTRES = {"pac": "primary", "pas": "secondary"}
 # -----------------------------------------------------------------------------
 
 
@@ -55,16 +55,16 @@ def raw_tokens(line: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(line, BLANKS, " ")), " ")
 
 
-def decode_cluster(name: Column) -> Column:
-    """Data centre, role and number encoded in a cluster name."""
-    prefix = F.regexp_extract(name, r"^([a-z]+)-", 1)
-    centre = F.lit(None).cast("string")
-    for word, meaning in DATACENTRES.items():
-        centre = F.when(prefix == word, meaning).otherwise(centre)
-    body = r"^(?:[a-z]+-)?([a-z]+)cluster([0-9]+)$"
+CLUSTER_NAME = r"^(?:([a-z]+)-)?([a-z]+)-cluster-([0-9]+)$"
+
+
+def decode_cluster(name: Column, datacentres: Mapping[str, str], pattern: str = CLUSTER_NAME) -> Column:
+    """Data centre, role and number encoded in a cluster name.
 
+    ``datacentres`` maps prefixes to names; the pattern's groups are prefix, role and number.
+    """
     def part(i: int) -> Column:
-        found = F.regexp_extract(name, body, i)
-        return F.when(found != "", found)
+        return F.nullif(F.regexp_extract(name, pattern, i), F.lit(""))
 
-    return F.struct(centre.alias("datacentre"), part(1).alias("role"), part(2).cast("int").alias("number"))
+    centre = F.create_map(*[F.lit(x) for pair in datacentres.items() for x in pair])[part(1)] if datacentres else F.lit(None).cast("string")
+    return F.struct(centre.alias("datacentre"), part(2).alias("role"), part(3).cast("int").alias("number"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,57 +116,81 @@ def plan_diff(plans: DataFrame, value: str = "value") -> DataFrame:
     return pairs.filter(~F.col("old").eqNullSafe(F.col("new")))
 
 
-def leaves(docs: DataFrame, keys: Sequence[str], value: str, depth: int = 8) -> DataFrame:
-    """``(keys, path, leaf)`` for every leaf of a JSON document; below ``depth`` levels text is the leaf.
+class _Number(str):
+    """A JSON number as it is written."""
 
-    Each pass opens one level of objects and arrays and hands leaves on unchanged, so
-    the document is walked in one chain without branches.
+
+LEAF = "array<struct<path:string,kind:string,leaf:string>>"
+KINDS = {str: "string", _Number: "number", bool: "boolean", type(None): "null", dict: "object", list: "array"}
+
+
+def _step(key: str) -> str:
+    """An object key in a path: its own dots and brackets are escaped, so no two keys read alike."""
+    return re.sub(r"([\\.\[])", r"\\\1", key)
+
+
+def json_leaves(text: str | None) -> list[tuple[str, str, str | None]]:
+    """(path, kind, leaf) of every leaf; objects give ``a.b``, arrays ``a[0]``, empty ones are leaves themselves."""
+    if text is None:
+        return []
+    try:
+        stack = [("", json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number))]
+    except (ValueError, RecursionError):
+        return [("", "text", text)]
+    out = []
+    while stack:
+        path, value = stack.pop()
+        if isinstance(value, dict) and value:
+            stack += [(f"{path}.{_step(k)}" if path else _step(k), v) for k, v in value.items()]
+        elif isinstance(value, list) and value:
+            stack += [(f"{path}[{i}]", v) for i, v in enumerate(value)]
+        else:
+            shown = {True: "true", False: "false"}[value] if isinstance(value, bool) else None if value is None else "{}" if value == {} else "[]" if value == [] else str(value)
+            out.append((path, KINDS[type(value)], shown))
+    return out
+
+
+def leaves(docs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``(keys, path, kind, leaf)`` for every leaf of a JSON document, however deep.
+
+    Text inside a string stays a string.  What is no JSON is one leaf of kind text.
     """
-    rows = docs.select(*keys, F.lit("").alias("path"), F.col(value).alias("leaf"))
-    for _ in range(depth):
-        head = F.substring(F.ltrim("leaf"), 1, 1)
-        dot = F.when(F.col("path") == "", "").otherwise(".")
-        members = F.when(head == "{", F.map_entries(F.from_json("leaf", STRINGS)))
-        items = F.when(head == "[", F.transform(
-            F.from_json("leaf", "array<string>"), lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value"))))
-        inner = F.transform(F.coalesce(members, items), lambda e: F.struct(
-            F.concat("path", dot, e["key"]).alias("path"), e["value"].alias("leaf")))
-        itself = F.array(F.struct("path", "leaf"))
-        rows = rows.select(*keys, F.explode(F.when(F.size(inner) > 0, inner).otherwise(itself)).alias("_e")).select(
-            *keys, "_e.path", "_e.leaf")
-    return rows
+    @F.pandas_udf(LEAF)
+    def walk(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [dict(zip(("path", "kind", "leaf"), x)) for x in json_leaves(t)])
+
+    return docs.select(*keys, F.explode(walk(F.col(value))).alias("_e")).select(*keys, "_e.path", "_e.kind", "_e.leaf")
 
 
 def _sides(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
-    """One row per (keys, path) with each frame's leaf and presence, in a single shuffle."""
+    """One row per (keys, path) with each frame's leaf and kind, in a single shuffle; a side without the path has no kind."""
     rows = None
     for name, frame in frames.items():
-        part = frame.select(*keys, "path", "leaf", F.lit(name).alias("_side"))
+        part = frame.select(*keys, "path", "kind", "leaf", F.lit(name).alias("_side"))
         rows = part if rows is None else rows.unionByName(part)
     picks = []
     for name in frames:
         mine = F.col("_side") == name
         picks.append(F.max(F.when(mine, F.col("leaf"))).alias(name))
-        picks.append(F.max(mine).alias(f"_has_{name}"))
+        picks.append(F.max(F.when(mine, F.col("kind"))).alias(f"{name}_kind"))
     return rows.groupBy(*keys, "path").agg(*picks)
 
 
+def _moved(a: str, b: str) -> Column:
+    return ~(F.col(a).eqNullSafe(F.col(b)) & F.col(f"{a}_kind").eqNullSafe(F.col(f"{b}_kind")))
+
+
 def manifest_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Paths whose leaf differs; inputs are ``(keys, path, leaf)`` rows."""
+    """Paths whose leaf or its kind differs; inputs are rows of ``leaves``."""
     both = _sides({"old": before, "new": after}, keys)
-    same = F.col("old").eqNullSafe(F.col("new")) & (F.col("_has_old") == F.col("_has_new"))
-    return both.filter(~same).select(*keys, "path", "old", "new")
+    return both.filter(_moved("old", "new")).select(*keys, "path", "old", "new", "old_kind", "new_kind")
 
 
 def three_way_diff(last_applied: DataFrame, live: DataFrame, desired: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per path: drift (live moved), change (desired moved) or conflict (both, differently)."""
     rows = _sides({"last_applied": last_applied, "live": live, "desired": desired}, keys)
-
-    def moved(a: str, b: str) -> Column:
-        return ~(F.col(a).eqNullSafe(F.col(b)) & (F.col(f"_has_{a}") == F.col(f"_has_{b}")))
-
-    drifted, wanted = moved("last_applied", "live"), moved("last_applied", "desired")
-    outcome = F.when(drifted & wanted, F.when(moved("live", "desired"), "conflict").otherwise("converged")) \
+    drifted, wanted = _moved("last_applied", "live"), _moved("last_applied", "desired")
+    outcome = F.when(drifted & wanted, F.when(_moved("live", "desired"), "conflict").otherwise("converged")) \
         .when(drifted, "drift").when(wanted, "change")
     return rows.withColumn("outcome", outcome).filter("outcome IS NOT NULL").select(
         *keys, "path", "last_applied", "live", "desired", "outcome")

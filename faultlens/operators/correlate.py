@@ -17,7 +17,6 @@ from faultlens.session import materialise
 BEFORE_US = 30 * 60 * SECOND
 AFTER_US = 5 * 60 * SECOND
 TOP_CAUSES = 5
-TOP_TEMPLATES = 20
 WEIGHTS = {"time": 0.4, "topo": 0.3, "hist": 0.2, "kind": 0.1}
 # Chosen here: decay constant, prior per kind of change, share for callers.
 TAU_S = 600.0
@@ -34,8 +33,7 @@ CALLER_SHARE = 0.5
 
 ANY = "*"
 BUCKET_US = 5 * 60 * SECOND
-# Up to this many candidates per cluster and bucket, whole windows are pulled.
-SPARSE_BUCKET = 200
+NOTHING = "\0"  #: stands for a NULL service, signature or kind while rows are joined
 
 
 def f_time(gap_us: Column, tau_s: float = TAU_S) -> Column:
@@ -77,12 +75,6 @@ def top_causes(scored: DataFrame, subject: Sequence[str], order: Sequence[Column
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def busiest_bucket(candidates: DataFrame, bucket_us: int = BUCKET_US) -> int:
-    """Most candidates any cluster has in one time bucket."""
-    counts = candidates.groupBy("cluster", bucket(F.col("c_us"), bucket_us)).count()
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
 def nearest_pairs(subjects: DataFrame, candidates: DataFrame, distances: DataFrame, k: int,
                   before_us: int, after_us: int) -> DataFrame:
     """The pairs that can reach the top k, without forming the others.
@@ -122,7 +114,6 @@ def rank_causes(
     weights: Mapping[str, float] = WEIGHTS,
     prior: Mapping[str, float] = KIND_PRIOR,
     tau_s: float = TAU_S,
-    sparse_bucket: int = SPARSE_BUCKET,
 ) -> DataFrame:
     """Top k causes per anomaly inside its window.
 
@@ -130,21 +121,21 @@ def rank_causes(
     ``(cand_id, cluster, service, kind, c_us)``, distances ``(service, cause_service,
     down, up)``, hist ``(signature, kind, ok, n)``.
 
-    The busiest time bucket is measured first.  While no bucket holds more than
-    ``sparse_bucket`` candidates, pulling each whole window is cheap and bounded.
-    Beyond that only the pairs that can place are formed (``nearest_pairs``); both
-    ways give the same rows.
+    Only the pairs that can place are formed (``nearest_pairs``), for which no weight may
+    be negative.  A NULL service is out of every service's reach, a NULL signature or
+    kind has no history and a NULL kind no prior; such rows are ranked like others.
     """
+    if min(weights.values()) < 0:
+        raise ValueError("weights may not be negative")
+
+    def filled(df: DataFrame, *names: str) -> DataFrame:
+        return df.withColumns({n: F.coalesce(n, F.lit(NOTHING)) for n in names})
+
     subject = ["cluster", "service", "signature", "a_us"]
+    anomalies = filled(anomalies, "service", "signature")
     subjects = anomalies.select(*subject).distinct()
-    if busiest_bucket(candidates) <= sparse_bucket:
-        there = candidates.select(F.col("cluster").alias("_cluster"), F.col("service").alias("cause_service"),
-                                  "cand_id", "kind", "c_us")
-        pairs = interval_join(subjects, there, [("cluster", "_cluster")], "a_us", "c_us",
-                              before_us, after_us, BUCKET_US).drop("_cluster")
-    else:
-        distances = materialise(distances, "distances")
-        pairs = nearest_pairs(subjects, candidates, distances, k, before_us, after_us)
+    distances = materialise(distances, "distances")
+    pairs = nearest_pairs(subjects, filled(candidates, "service", "kind"), distances, k, before_us, after_us)
     pairs = join_dimension(pairs, distances, ["service", "cause_service"])
     pairs = join_dimension(pairs, hist, ["signature", "kind"])
     scored = pairs.withColumn(
@@ -154,9 +145,10 @@ def rank_causes(
     )
     nearer = F.abs(F.col("c_us") - F.col("a_us")).asc()
     ranked = top_causes(scored, subject, [F.desc("_score"), nearer, F.asc("cand_id")], k)
-    return anomalies.join(ranked, subject).select(
+    rows = anomalies.join(ranked, subject).select(
         "anomaly_id", *subject, "rank", "cand_id", "kind", "cause_service", "c_us",
         F.round("_score", 6).alias("score"))
+    return rows.withColumns({n: F.nullif(n, F.lit(NOTHING)) for n in ("service", "signature", "kind", "cause_service")})
 
 
 def pull_window(anomalies: DataFrame, candidates: DataFrame, keys: Sequence[tuple[str, str]],
@@ -186,17 +178,18 @@ def build_incidents(ranked: DataFrame) -> DataFrame:
 
 def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFrame,
                      deltas: DataFrame, similar: DataFrame) -> DataFrame:
-    """The nested document of an incident as JSON, with the sharpest template shifts of its service.
+    """The nested document of an incident as JSON, with all template shifts of its service, sharpest first.
 
     anomalies ``(anomaly_id, signal, metric, severity, started_at, baseline, observed,
     duration_so_far_s)``, slices ``(service, upstream_callers, downstream_deps)``, deltas
     ``(service, template, count_before, count_after)``, similar ``(anomaly_id, incident_id,
     similarity)``.
     """
-    delta = F.struct("template", "count_before", "count_after")
     shift = F.abs(F.log((F.col("count_after") + 1.0) / (F.col("count_before") + 1.0)))
-    sharpest = top_causes(deltas, ["service"], [F.desc(shift), F.asc("template")], TOP_TEMPLATES)
-    per_service = sharpest.groupBy("service").agg(F.sort_array(F.collect_list(delta)).alias("log_pattern_deltas"))
+    delta = F.struct((-shift).alias("order"), "template", "count_before", "count_after")
+    listed = F.transform(F.sort_array(F.collect_list(delta)), lambda x: F.struct(
+        x["template"].alias("template"), x["count_before"].alias("count_before"), x["count_after"].alias("count_after")))
+    per_service = deltas.groupBy("service").agg(listed.alias("log_pattern_deltas"))  # as many as the service has templates
     match = F.struct("similarity", "incident_id")
     per_incident = similar.groupBy("anomaly_id").agg(
         F.reverse(F.sort_array(F.collect_list(match))).alias("similar_past_incidents"))

@@ -11,7 +11,6 @@ from faultlens.functions.columns import first_non_empty, fold_severity
 from faultlens.functions.text import PII, mask_all, pii_hits
 
 # --- fixed values -----------------------------------------------------------
-DEPARTMENTS = ["sysops", "platforms"]
 # Topic pattern -> format of the records on it; the first match counts.
 FORMATS = [
     ("^linkerd-proxy-", "logfmt"),
@@ -80,7 +79,7 @@ def log_format(topic: Column, formats: Sequence[tuple[str, str]] = FORMATS) -> C
     return chosen
 
 
-def department_filter(logs: DataFrame, departments: Sequence[str] = DEPARTMENTS) -> DataFrame:
+def department_filter(logs: DataFrame, departments: Sequence[str]) -> DataFrame:
     return logs.filter(F.col("Dept").isin(list(departments)))
 
 

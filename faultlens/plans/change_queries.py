@@ -13,7 +13,7 @@ SOURCES = ["ArgoCD", "cloudbuild", "atlantis", "github", "jenkins"]
 
 def webhooks(spark, sf_dir):
     """One webhook body per order, in the form of its source; every fifth source is unknown."""
-    o = twins.spread(twins.table(spark, sf_dir, "orders"), "o_orderkey")
+    o = twins.table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     at = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     name = F.concat(F.lit("svc"), (F.col("o_custkey") % 10).cast("string"))
@@ -58,11 +58,13 @@ def src6(spark, sf_dir):
 @query("chg1_normalise_changes", f"""WITH {WEBHOOKS}
 SELECT o_orderkey, CASE n WHEN 0 THEN CASE WHEN o_orderstatus = 'F' THEN 'rollback' ELSE 'deploy' END WHEN 1 THEN 'deploy' WHEN 2 THEN 'tf_apply'
   ELSE 'config_change' END AS event_type, ts, actor, name, sha, CASE WHEN n = 2 THEN CAST(o_orderkey % 1000 AS INTEGER) END AS pr
-FROM wh WHERE n < 4""")
+FROM wh WHERE n < 4
+UNION ALL SELECT o_orderkey, 'rejected', NULL, NULL, NULL, NULL, NULL FROM wh WHERE n = 4""")
 def chg1(spark, sf_dir):
-    good, _ = ch.normalise_changes(read_change_webhooks(webhooks(spark, sf_dir)))
-    return good.select("o_orderkey", "event_type", ntz(F.col("ts")).alias("ts"), "actor", F.col("target.name").alias("name"),
+    good, bad = ch.normalise_changes(read_change_webhooks(webhooks(spark, sf_dir)))
+    rows = good.select("o_orderkey", "event_type", ntz(F.col("ts")).alias("ts"), "actor", F.col("target.name").alias("name"),
                        F.col("git.sha").alias("sha"), F.col("git.pr").alias("pr"))
+    return rows.unionByName(bad.select("o_orderkey", F.lit("rejected").alias("event_type")), allowMissingColumns=True)
 
 
 @query("chg2_plan_diff", """WITH p AS (SELECT p_partkey, CAST(p_size AS VARCHAR) AS size, CAST(p_size + p_partkey % 2 AS VARCHAR) AS size2, p_brand FROM part)
@@ -80,32 +82,42 @@ def chg2(spark, sf_dir):
     return ch.plan_diff(plans).select("p_partkey", "address", "path", "old", "new")
 
 
-def manifest(spark, sf_dir, replicas, port, extra):
-    p = twins.spread(twins.table(spark, sf_dir, "part"), "p_partkey")
+def manifest(spark, sf_dir, replicas, port, extra, image_port, quoted):
+    p = twins.table(spark, sf_dir, "part")
     doc = F.struct(
         F.col("p_name").alias("name"),
         F.struct(replicas.alias("replicas"), F.col("p_brand").alias("image"), F.array(F.lit(80), port).alias("ports")).alias("spec"),
         F.when(extra, F.struct(F.lit("v").alias("k"))).alias("extra"))
-    return p.select("p_partkey", F.to_json(doc).alias("doc"))
+    # A leaf ten levels down below a dotted key, text that looks like JSON, and a number that turns into its text.
+    deep = F.struct(image_port.cast("string").alias("app.io/port"))
+    for step in ("ref", "from", "env", "containers", "spec", "template", "tier", "set", "kind"):
+        deep = F.struct(deep.alias(step))
+    text = F.to_json(F.struct(doc.alias("doc"), deep.alias("deep"), F.lit('{"z":1}').alias("note")))
+    flag = F.when(quoted, F.lit(',"flag":"1"}')).otherwise(F.lit(',"flag":1}'))
+    return p.select("p_partkey", F.concat(F.substr(text, F.lit(1), F.length(text) - 1), flag).alias("doc"))
 
 
 def versions(spark, sf_dir):
     key, size = F.col("p_partkey"), F.col("p_size")
     never = F.lit(False)
-    return (manifest(spark, sf_dir, size, size, never),
-            manifest(spark, sf_dir, F.when(key % 4 == 0, size + 1).otherwise(size), F.when(key % 5 == 0, F.lit(443)).otherwise(size), key % 6 == 0),
-            manifest(spark, sf_dir, F.when(key % 3 == 0, size + 1).otherwise(size), F.when(key % 7 == 0, F.lit(8080)).otherwise(size), never))
+    return (manifest(spark, sf_dir, size, size, never, size, never),
+            manifest(spark, sf_dir, F.when(key % 4 == 0, size + 1).otherwise(size), F.when(key % 5 == 0, F.lit(443)).otherwise(size), key % 6 == 0,
+                     F.when(key % 8 == 0, size + 1).otherwise(size), key % 9 == 0),
+            manifest(spark, sf_dir, F.when(key % 3 == 0, size + 1).otherwise(size), F.when(key % 7 == 0, F.lit(8080)).otherwise(size), never, size, never))
 
 
 def _leaves(df):
     return ch.leaves(df, ["p_partkey"], "doc")
 
 
-DIFF = """
+DEEP = r"deep.kind.set.tier.template.spec.containers.env.from.ref.app\.io/port"
+DIFF = f"""
 df AS (
-  SELECT p_partkey, 'spec.replicas' AS path, CAST(p_size AS VARCHAR) AS old, CAST(p_size + 1 AS VARCHAR) AS new FROM part WHERE p_partkey % 4 = 0
-  UNION ALL SELECT p_partkey, 'spec.ports.1', CAST(p_size AS VARCHAR), '443' FROM part WHERE p_partkey % 5 = 0
-  UNION ALL SELECT p_partkey, 'extra.k', NULL, 'v' FROM part WHERE p_partkey % 6 = 0
+  SELECT p_partkey, 'doc.spec.replicas' AS path, CAST(p_size AS VARCHAR) AS old, CAST(p_size + 1 AS VARCHAR) AS new, 'number' AS old_kind, 'number' AS new_kind FROM part WHERE p_partkey % 4 = 0
+  UNION ALL SELECT p_partkey, 'doc.spec.ports[1]', CAST(p_size AS VARCHAR), '443', 'number', 'number' FROM part WHERE p_partkey % 5 = 0
+  UNION ALL SELECT p_partkey, 'doc.extra.k', NULL, 'v', NULL, 'string' FROM part WHERE p_partkey % 6 = 0
+  UNION ALL SELECT p_partkey, '{DEEP}', CAST(p_size AS VARCHAR), CAST(p_size + 1 AS VARCHAR), 'string', 'string' FROM part WHERE p_partkey % 8 = 0
+  UNION ALL SELECT p_partkey, 'flag', '1', '1', 'number', 'string' FROM part WHERE p_partkey % 9 = 0
 )"""
 
 
@@ -115,17 +127,19 @@ def chg3(spark, sf_dir):
     return ch.manifest_diff(_leaves(old), _leaves(new), ["p_partkey"])
 
 
-@query("chg4_three_way_diff", """WITH v AS (
-  SELECT p_partkey, 'spec.replicas' AS path, CAST(p_size AS VARCHAR) AS last_applied,
+@query("chg4_three_way_diff", f"""WITH v AS (
+  SELECT p_partkey, 'doc.spec.replicas' AS path, CAST(p_size AS VARCHAR) AS last_applied,
     CAST(CASE WHEN p_partkey % 4 = 0 THEN p_size + 1 ELSE p_size END AS VARCHAR) AS live,
     CAST(CASE WHEN p_partkey % 3 = 0 THEN p_size + 1 ELSE p_size END AS VARCHAR) AS desired FROM part
-  UNION ALL SELECT p_partkey, 'spec.ports.1', CAST(p_size AS VARCHAR),
+  UNION ALL SELECT p_partkey, 'doc.spec.ports[1]', CAST(p_size AS VARCHAR),
     CASE WHEN p_partkey % 5 = 0 THEN '443' ELSE CAST(p_size AS VARCHAR) END,
     CASE WHEN p_partkey % 7 = 0 THEN '8080' ELSE CAST(p_size AS VARCHAR) END FROM part
-  UNION ALL SELECT p_partkey, 'extra.k', NULL, 'v', NULL FROM part WHERE p_partkey % 6 = 0),
+  UNION ALL SELECT p_partkey, 'doc.extra.k', NULL, 'v', NULL FROM part WHERE p_partkey % 6 = 0
+  UNION ALL SELECT p_partkey, '{DEEP}', CAST(p_size AS VARCHAR), CAST(p_size + 1 AS VARCHAR), CAST(p_size AS VARCHAR) FROM part WHERE p_partkey % 8 = 0),
 o AS (SELECT *, last_applied IS DISTINCT FROM live AS d, last_applied IS DISTINCT FROM desired AS w FROM v)
 SELECT p_partkey, path, last_applied, live, desired, CASE WHEN d AND w THEN CASE WHEN live IS DISTINCT FROM desired THEN 'conflict' ELSE 'converged' END
-  WHEN d THEN 'drift' ELSE 'change' END AS outcome FROM o WHERE d OR w""")
+  WHEN d THEN 'drift' ELSE 'change' END AS outcome FROM o WHERE d OR w
+UNION ALL SELECT p_partkey, 'flag', '1', '1', '1', 'drift' FROM part WHERE p_partkey % 9 = 0""")
 def chg4(spark, sf_dir):
     applied, live, desired = (_leaves(x) for x in versions(spark, sf_dir))
     return ch.three_way_diff(applied, live, desired, ["p_partkey"])

@@ -13,10 +13,12 @@ from faultlens.session import run_dir
 from faultlens.sources.records import read_k8s_events, read_log_topics
 from faultlens.sources.sinks import write_parsed_log_files
 
+DEPARTMENTS = ["core", "edge"]
+
 
 def log_records(spark, sf_dir):
     """One record per event on a topic of its kind; errors are plain text on a JSON topic."""
-    ev = twins.spread(twins.events(spark, sf_dir), "event_id")
+    ev = twins.events(spark, sf_dir)
     s, kind = F.lit, F.col("event_type")
     user, k, event_id = (F.col(c).cast("string") for c in ("user_id", "k", "event_id"))
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -31,7 +33,7 @@ def log_records(spark, sf_dir):
     prefix = F.when(kind == "signup", "linkerd-proxy-").when(kind == "purchase", "haproxy-").when(kind == "click", "java-").otherwise("app-")
     record = F.to_json(F.struct(
         text.alias("log"), s("prod").alias("Env"),
-        F.when(F.col("user_id") % 4 == 0, "sysops").when(F.col("user_id") % 4 == 1, "platforms").otherwise("retail").alias("Dept"),
+        F.when(F.col("user_id") % 4 == 0, "core").when(F.col("user_id") % 4 == 1, "edge").otherwise("retail").alias("Dept"),
         F.concat(s("ship"), k).alias("LogshipperPod"),
         F.concat(s("nation_"), (F.col("user_id") % 25).cast("string"), s("-h"), k).alias("KubeNode"),
         F.when(F.col("k") % 2 == 0, F.col("cluster")).alias("Cluster")))
@@ -53,7 +55,7 @@ def parsed(spark, sf_dir, kind):
 
 LOGS = twins.EVENTS + """,
 lg AS (SELECT *, 'nation_' || (user_id % 25) || '-h' || k AS node, CASE WHEN k % 2 = 0 THEN cluster END AS given,
-  CASE user_id % 4 WHEN 0 THEN 'sysops' WHEN 1 THEN 'platforms' ELSE 'retail' END AS dept,
+  CASE user_id % 4 WHEN 0 THEN 'core' WHEN 1 THEN 'edge' ELSE 'retail' END AS dept,
   CASE event_type WHEN 'signup' THEN 'linkerd-proxy-' WHEN 'purchase' THEN 'haproxy-' WHEN 'click' THEN 'java-' ELSE 'app-' END || service AS topic
   FROM ev)"""
 
@@ -84,13 +86,13 @@ def k8s_events(spark, sf_dir):
 
 
 @query("jn3_allowlist_semi_join", f"""WITH {LOGS}
-SELECT event_id, topic AS source_topic, dept FROM lg WHERE dept IN ('sysops', 'platforms')
+SELECT event_id, topic AS source_topic, dept FROM lg WHERE dept IN ('core', 'edge')
  AND topic IN (SELECT topic FROM lg WHERE k = 7 AND user_id % 2 = 0)""")
 def jn3(spark, sf_dir):
     logs = raw_logs(spark, sf_dir)
     ev = twins.events(spark, sf_dir).filter("k = 7 AND user_id % 2 = 0").select("event_id")
     topics = log_records(spark, sf_dir).join(ev, "event_id").select(F.col("topic").alias("source_topic"))
-    return jn.allowlist_semi_join(logs, topics, lg.DEPARTMENTS).select("event_id", "source_topic", F.col("Dept").alias("dept"))
+    return jn.allowlist_semi_join(logs, topics, DEPARTMENTS).select("event_id", "source_topic", F.col("Dept").alias("dept"))
 
 
 @query("jn4_cluster_lookup", f"""WITH {LOGS},
@@ -153,7 +155,7 @@ def lg5(spark, sf_dir):
 
 def pii_texts(spark, sf_dir):
     """Whole documents, and one line per event with every kind of personal data."""
-    docs = twins.spread(twins.table(spark, sf_dir, "documents"), "doc_id").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
+    docs = twins.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
     digits = F.lpad((F.col("us") % 10_000_000_000).cast("string"), 10, "0")
     user = F.col("user_id").cast("string")
     cvv = F.lpad((F.col("k") + 100).cast("string"), 3, "0")
@@ -213,7 +215,7 @@ SELECT event_id, CASE WHEN event_type = 'click' OR event_type = 'purchase' THEN
   CASE event_type WHEN 'view' THEN 'mail <EMAIL>' WHEN 'signup' THEN 'user ' || user_id || ' said "hi"' END AS message,
   topic AS source_topic FROM lg WHERE event_type <> 'error' AND dept <> 'retail'""")
 def lg11(spark, sf_dir):
-    good, _ = lg.dispatch_parse(lg.department_filter(raw_logs(spark, sf_dir)))
+    good, _ = lg.dispatch_parse(lg.department_filter(raw_logs(spark, sf_dir), DEPARTMENTS))
     rows = lg.normalise_log(good.withColumn("_event_id", F.col("event_id")), "Cluster")
     short = F.when(F.col("source_topic").rlike("^(app|linkerd)"), F.col("message"))
     return rows.select(F.col("_event_id").alias("event_id"), ntz(F.col("timestamp")).alias("timestamp"), "namespace", "pod", "service",
@@ -222,14 +224,14 @@ def lg11(spark, sf_dir):
 
 
 @query("lg12_decode_cluster", f"""WITH {twins.EVENTS},
-n AS (SELECT event_id, CASE user_id % 3 WHEN 0 THEN 'pac-sfcluster0' WHEN 1 THEN 'pas-scmcluster0' ELSE 'mlpprodcluster0' END || (k % 9) AS name FROM ev)
-SELECT event_id, name, CASE WHEN starts_with(name, 'pac-') THEN 'primary' WHEN starts_with(name, 'pas-') THEN 'secondary' END AS datacentre,
-  CASE WHEN name LIKE '%sfcl%' THEN 'sf' WHEN name LIKE '%scm%' THEN 'scm' ELSE 'mlpprod' END AS role,
+n AS (SELECT event_id, CASE user_id % 3 WHEN 0 THEN 'east-web-cluster-0' WHEN 1 THEN 'west-batch-cluster-0' ELSE 'lab-cluster-0' END || (k % 9) AS name FROM ev)
+SELECT event_id, name, CASE WHEN starts_with(name, 'east-') THEN 'first' WHEN starts_with(name, 'west-') THEN 'second' END AS datacentre,
+  CASE WHEN name LIKE '%web%' THEN 'web' WHEN name LIKE '%batch%' THEN 'batch' ELSE 'lab' END AS role,
   CAST(right(name, 1) AS INTEGER) AS number FROM n""")
 def lg12(spark, sf_dir):
-    stem = F.when(F.col("user_id") % 3 == 0, "pac-sfcluster0").when(F.col("user_id") % 3 == 1, "pas-scmcluster0").otherwise("mlpprodcluster0")
+    stem = F.when(F.col("user_id") % 3 == 0, "east-web-cluster-0").when(F.col("user_id") % 3 == 1, "west-batch-cluster-0").otherwise("lab-cluster-0")
     rows = twins.events(spark, sf_dir).select("event_id", F.concat(stem, (F.col("k") % 9).cast("string")).alias("name"))
-    return rows.select("event_id", "name", F.inline(F.array(tx.decode_cluster(F.col("name")))))
+    return rows.select("event_id", "name", F.inline(F.array(tx.decode_cluster(F.col("name"), {"east": "first", "west": "second"}))))
 
 
 @query("lg13_pii_audit", rf"""WITH {PII_TEXTS},
@@ -243,7 +245,7 @@ def lg13(spark, sf_dir):
 
 
 def lines(spark, sf_dir):
-    docs = twins.spread(twins.table(spark, sf_dir, "documents"), "doc_id")
+    docs = twins.table(spark, sf_dir, "documents")
     at = F.expr("timestamp'2024-01-01' + make_dt_interval(0, 0, cast(doc_id as int), 0)")
     return tm.split_lines(docs.select(F.col("source").alias("service"), at.alias("ts"), "text"), "text")
 
@@ -341,7 +343,7 @@ def ag5(spark, sf_dir):
 @query("snk5_write_parsed_logs", f"""WITH {LOGS}
 SELECT service, CAST(ts AS DATE) AS date, count(*) AS n FROM lg WHERE event_type IN ('signup', 'view') AND dept <> 'retail' GROUP BY 1, 2""")
 def snk5(spark, sf_dir):
-    good, _ = lg.dispatch_parse(lg.department_filter(raw_logs(spark, sf_dir)))
+    good, _ = lg.dispatch_parse(lg.department_filter(raw_logs(spark, sf_dir), DEPARTMENTS))
     path = run_dir(spark, "parsed-logs")
     write_parsed_log_files(lg.normalise_log(good, "Cluster").filter("timestamp IS NOT NULL"), path)
     return spark.read.parquet(path).groupBy("service", "date").agg(F.count(F.lit(1)).alias("n"))

@@ -12,12 +12,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give row-heavy work on a table that is one small file all cores; larger tables stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a zoned time, integer microseconds, the number in ``props`` and a service."""
     e = table(spark, sf_dir, "events")

@@ -12,37 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def security_protocol(use_tls: bool, has_sasl: bool) -> str:
-    if has_sasl:
-        return "SASL_SSL" if use_tls else "SASL_PLAINTEXT"
-    return "SSL" if use_tls else "PLAINTEXT"
+def connection_options(brokers: Sequence[str], protocol: str = "PLAINTEXT", **client: str) -> dict[str, str]:
+    """Options of the connector; the Kafka client itself checks protocol, mechanism and credentials.
 
-
-SASL_MODULES = {
-    "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
-    "SCRAM-SHA-512": "org.apache.kafka.common.security.scram.ScramLoginModule",
-}
-
-
-def connection_options(brokers: Sequence[str], user: str = "", password: str = "",
-                       mechanism: str = "PLAIN", use_tls: bool = False,
-                       auth_required: bool = False) -> dict[str, str]:
-    if not brokers:
-        raise ValueError("brokers are required")
-    if auth_required and not user:
-        raise ValueError("credentials are required")
-    if user and mechanism not in SASL_MODULES:
-        raise ValueError(f"unsupported mechanism {mechanism}")
-    options = {
-        "kafka.bootstrap.servers": ",".join(brokers),
-        "kafka.security.protocol": security_protocol(use_tls, bool(user)),
-    }
-    if user:
-        options["kafka.sasl.mechanism"] = mechanism
-        options["kafka.sasl.jaas.config"] = (
-            f'{SASL_MODULES[mechanism]} required username="{user}" password="{password}";'
-        )
-    return options
+    Further client settings are named with underscores, as in ``sasl_mechanism="PLAIN"``.
+    """
+    settings = {"bootstrap_servers": ",".join(brokers), "security_protocol": protocol, **client}
+    return {f"kafka.{name.replace('_', '.')}": value for name, value in settings.items()}
 
 
 # Signals must not be lost; parsed logs may be.

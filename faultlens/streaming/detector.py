@@ -16,25 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from faultlens.functions.columns import CONFIDENCE_CENTRE, CONFIDENCE_SLOPE, DEFAULT_THRESHOLDS, SECOND
+from faultlens.functions.columns import CONFIDENCE_CENTRE, CONFIDENCE_SLOPE, DEFAULT_THRESHOLDS, SECOND, thresholds
 from faultlens.operators.detect import (
-    BASELINE_WINDOW_S, COOLDOWN_S, MIN_SAMPLES, PERIOD, REFIT_EVERY_S, fit_window,
+    BASELINE_WINDOW_S, COOLDOWN_S, MIN_SAMPLES, PERIOD, REFIT_EVERY_S, fit_window, judge,
 )
 from faultlens.operators.forest import TREES, isolation_score
 
 OUTPUT = (
     "series string, us long, value double, iso_score double, baseline_mean double, baseline_std double, "
-    "residual double, confidence double, severity string"
+    "residual double"
 )
 
 
-def severity_of(confidence: float, limits: list[tuple[float, str]]) -> str | None:
-    for low, word in sorted(limits, reverse=True):
-        if confidence >= low:
-            return word
-    return None
-
-
 class DetectorState:
     """One series between samples; shared by the stream and its tests."""
 
@@ -76,12 +69,11 @@ class DetectorState:
         residual = value - mean
         iso = float(isolation_score(forest, np.array([[residual]]))[0])
         confidence = 1.0 / (1.0 + np.exp(CONFIDENCE_SLOPE * (iso + CONFIDENCE_CENTRE)))
-        severity = severity_of(confidence, self.s["thresholds"])
-        if severity is None:
+        if confidence < self.s["lowest"]:
             return None
         self.emit_at = us
         return {"us": us, "value": value, "iso_score": iso, "baseline_mean": mean, "baseline_std": spread,
-                "residual": residual, "confidence": confidence, "severity": severity}
+                "residual": residual}
 
 
 class Detector(StatefulProcessor):
@@ -110,10 +102,10 @@ class Detector(StatefulProcessor):
 
 def settings(window_s: int = BASELINE_WINDOW_S, period: int = PERIOD, min_samples: int = MIN_SAMPLES,
              refit_every_s: int = REFIT_EVERY_S, cooldown_s: int = COOLDOWN_S, trees: int = TREES,
-             thresholds: list[tuple[float, str]] = DEFAULT_THRESHOLDS) -> dict:
+             limits: list[tuple[float, str]] = DEFAULT_THRESHOLDS) -> dict:
     return {
         "window_us": window_s * SECOND, "period": period, "min_samples": min_samples, "refit_us": refit_every_s * SECOND,
-        "cooldown_us": cooldown_s * SECOND, "trees": trees, "thresholds": list(thresholds),
+        "cooldown_us": cooldown_s * SECOND, "trees": trees, "limits": list(limits), "lowest": min(low for low, _ in limits),
     }
 
 
@@ -125,5 +117,7 @@ def stream_detector(samples: DataFrame, config: dict | None = None) -> DataFrame
     one key and thus one task at a time; the poll interval bounds its rate.
     """
     rows = samples.select("series", F.col("us").cast("long").alias("us"), F.col("value").cast("double").alias("value"))
-    return rows.groupBy("series").transformWithStateInPandas(
-        statefulProcessor=Detector(config or settings()), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+    config = config or settings()
+    scored = rows.groupBy("series").transformWithStateInPandas(
+        statefulProcessor=Detector(config), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+    return judge(scored, thresholds(config["limits"]))

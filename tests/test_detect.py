@@ -76,7 +76,7 @@ def test_blocks_do_not_change_scores(spark):
 
 
 def test_stateful_cooldown_drops_samples_from_history():
-    s = DetectorState(settings(min_samples=5, period=2, trees=10, thresholds=[(0.0, "info")]))
+    s = DetectorState(settings(min_samples=5, period=2, trees=10, limits=[(0.0, "info")]))
     hits = [s.feed(i * MIN, float(i % 3)) for i in range(12)]
     emitted = [h["us"] // MIN for h in hits if h]
     assert emitted == [4, 9]

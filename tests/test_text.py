@@ -57,19 +57,30 @@ def test_templates_do_not_depend_on_order(spark):
 
 def test_three_way(spark):
     def side(**leaves):
-        return spark.createDataFrame([(1, p.replace("_", "."), v) for p, v in leaves.items()], "doc long, path string, leaf string")
+        return spark.createDataFrame([(1, p, "number", v) for p, v in leaves.items()], "doc long, path string, kind string, leaf string")
 
     rows = ch.three_way_diff(side(a="1", b="1", c="1", d="1"), side(a="2", b="1", c="2", d="1"), side(a="3", b="2", c="1", d="1"), ["doc"])
     assert {r["path"]: r["outcome"] for r in rows.collect()} == {"a": "conflict", "b": "change", "c": "drift"}
 
 
 def test_leaves_and_summary(spark):
-    docs = spark.createDataFrame([(1, '{"spec":{"replicas":3,"env":[{"n":"A"},{"n":"B"}]},"x":{}}'), ], "doc long, j string")
+    docs = spark.createDataFrame([(1, '{"spec":{"replicas":3,"env":[{"n":"A"},{"n":"B"}]},"x":{}}'), (2, None), (3, "no json")], "doc long, j string")
     after = spark.createDataFrame([(1, '{"spec":{"replicas":2,"env":[{"n":"A"}]},"x":{}}')], "doc long, j string")
     old, new = ch.leaves(docs, ["doc"], "j"), ch.leaves(after, ["doc"], "j")
-    assert {r["path"]: r["leaf"] for r in old.collect()} == {"spec.replicas": "3", "spec.env.0.n": "A", "spec.env.1.n": "B", "x": "{}"}
-    text = ch.diff_summary(ch.manifest_diff(old, new, ["doc"]), ["doc"], F.lit("Deployment"), F.lit("p")).first()["diff_summary"]
-    assert text == "Deployment p: spec.env.1.n B → ∅; spec.replicas 3 → 2"
+    assert {(r["doc"], r["path"], r["kind"], r["leaf"]) for r in old.collect()} == {
+        (1, "spec.replicas", "number", "3"), (1, "spec.env[0].n", "string", "A"), (1, "spec.env[1].n", "string", "B"), (1, "x", "object", "{}"), (3, "", "text", "no json")}
+    diffs = ch.manifest_diff(old.filter("doc = 1"), new, ["doc"])
+    text = ch.diff_summary(diffs, ["doc"], F.lit("Deployment"), F.lit("p")).first()["diff_summary"]
+    assert text == "Deployment p: spec.env[1].n B → ∅; spec.replicas 3 → 2"
+
+
+def test_leaves_keep_kinds_keys_and_depth():
+    assert sorted(ch.json_leaves('{"x":"true","y":"{\\"z\\":1}"}')) == [("x", "string", "true"), ("y", "string", '{"z":1}')]
+    assert sorted(ch.json_leaves('{"x":true,"y":{"z":1.50},"n":null}')) == [("n", "null", None), ("x", "boolean", "true"), ("y.z", "number", "1.50")]
+    paths = {p for p, _, _ in ch.json_leaves('{"a.b":1,"a":{"b":2,"0":3,"c[0]":4},"d":[5]}')}
+    assert paths == {r"a\.b", "a.b", "a.0", r"a.c\[0]", "d[0]"}
+    deep = '{"k":' * 500 + "1" + "}" * 500
+    assert ch.json_leaves(deep) == [(".".join(["k"] * 500), "number", "1")]
 
 
 def test_shadow_is_stable(spark):
