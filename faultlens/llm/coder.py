@@ -25,11 +25,12 @@ HEAD = struct.Struct("<4sHHIIIII")  #: magic, version, lanes, ids, alphabet, wor
 SCALE = 20  #: bits of the range that symbols share
 TOTAL = 1 << SCALE
 MIXED = 1 << (SCALE - 2)  #: at least this much stays with order 0
-LEVELS = 8  #: confidence counts
+LEVEL_BITS = 3
+LEVELS = 1 << LEVEL_BITS  #: confidence counts
 LANE_IDS = 128  #: ids a lane should have at least
 MAX_LANES = 4096
 CONTEXTS = 1 << 18
-REFRESH = 8  #: steps between two looks at the counts
+REFRESH = 16  #: steps between two looks at the counts
 U = np.uint64
 _LOW32, _BOT, _TOP = U((1 << 32) - 1), U(1 << 32), U(1 << 48)
 
@@ -37,8 +38,8 @@ _LOW32, _BOT, _TOP = U((1 << 32) - 1), U(1 << 32), U(1 << 48)
 class _Model:
     def __init__(self, alphabet: int, lanes: int):
         self.alphabet = alphabet
-        self.next1, self.sure1 = np.zeros(alphabet + 1, np.int32), np.zeros(alphabet + 1, np.int8)
-        self.next2, self.sure2 = np.zeros(CONTEXTS, np.int32), np.zeros(CONTEXTS, np.int8)
+        self.after1 = np.zeros(alphabet + 1, np.int32)  # predicted id times LEVELS plus confidence
+        self.after2 = np.zeros(CONTEXTS, np.int32)
         self.hits = np.full((LEVELS * LEVELS, 3), 1.0)
         self.hits[:, 2] = 4.0
         self.counts = np.zeros(alphabet, np.int64)
@@ -53,32 +54,45 @@ class _Model:
             self.counts += np.bincount(np.concatenate(self.seen), minlength=self.alphabet)
             self.seen = []
         room, n = MIXED - self.alphabet, int(self.counts.sum())
-        share = self.counts * room // n if n else np.full(self.alphabet, room // self.alphabet)
-        self.freq = share + 1
-        self.cum = np.concatenate([[0], np.cumsum(self.freq)])
+        # Products stay below 2**53, so the floor of the quotient is exact.
+        self.freq = (np.floor(self.counts * float(room) / n) if n else np.full(self.alphabet, room // self.alphabet)).astype(np.int32) + 1
+        self.cum = np.zeros(self.alphabet + 1, np.int32)
+        np.cumsum(self.freq, out=self.cum[1:])
         self.slots = int(self.cum[-1])
+        self.owner = None
         share = self.hits / self.hits.sum(axis=1, keepdims=True)
         self.w2 = np.minimum((share[:, 0] * TOTAL).astype(np.int64), TOTAL - 2 * MIXED)
         self.w1 = np.minimum((share[:, 1] * TOTAL).astype(np.int64), TOTAL - MIXED - self.w2)
+        # Rows: both predictions, and one id predicted by both orders.
+        self.w1 = np.concatenate([self.w1, np.zeros_like(self.w1)])
+        self.w2 = np.concatenate([self.w2, self.w2])
+        self.w12 = self.w1 + self.w2
+        self.unit = (TOTAL - self.w12) // self.slots
 
     def predict(self, live: int):
         a, b = self.a[:live], self.b[:live]
         self.slot = ((a * 0x2545F491 + b * 0x9E3779B1) >> 7) & (CONTEXTS - 1)
-        p2, p1 = self.next2[self.slot], self.next1[b]
-        self.mix = self.sure2[self.slot].astype(np.int64) * LEVELS + self.sure1[b]
-        w2 = self.w2[self.mix]
-        w1 = np.where(p1 == p2, 0, self.w1[self.mix])
-        return p2, p1, w2, w1, (TOTAL - w2 - w1) // self.slots
+        self.held2, self.held1 = self.after2[self.slot], self.after1[b]
+        p2, p1 = self.held2 >> LEVEL_BITS, self.held1 >> LEVEL_BITS
+        self.mix = (self.held2 & (LEVELS - 1)) << LEVEL_BITS | self.held1 & (LEVELS - 1)
+        row = self.mix + (p1 == p2) * (LEVELS * LEVELS)
+        return p2, p1, self.w2[row], self.w1[row], self.w12[row], self.unit[row]
+
+    def find(self, slot: np.ndarray) -> np.ndarray:
+        """The ids that own order-0 slots."""
+        if self.owner is None:
+            self.owner = np.repeat(np.arange(self.alphabet, dtype=np.int32), self.freq)
+        return self.owner[slot]
 
     def learn(self, live: int, x: np.ndarray, p2: np.ndarray, p1: np.ndarray) -> None:
         hit2, hit1 = x == p2, x == p1
         which = np.where(hit2, 0, np.where(hit1, 1, 2))
         self.hits += np.bincount(self.mix * 3 + which, minlength=3 * LEVELS * LEVELS).reshape(-1, 3)
-        for table, sure, slot, hit in ((self.next2, self.sure2, self.slot, hit2), (self.next1, self.sure1, self.b[:live], hit1)):
-            old = sure[slot]
-            sure[slot] = np.where(hit, np.minimum(old + 1, LEVELS - 1), old >> 1)
-            change = ~hit & (old <= 1)
-            table[slot[change]] = x[change]
+        fresh = x.astype(np.int32) << LEVEL_BITS
+        for table, slot, held, hit in ((self.after2, self.slot, self.held2, hit2), (self.after1, self.b[:live], self.held1, hit1)):
+            sure = held & (LEVELS - 1)
+            kept = held - sure
+            table[slot] = np.where(hit, kept + np.minimum(sure + 1, LEVELS - 1), np.where(sure > 1, kept, fresh) + (sure >> 1))
         self.seen.append(x)
         self.a[:live] = self.b[:live]
         self.b[:live] = x
@@ -115,8 +129,8 @@ def encode(ids: np.ndarray, alphabet: int) -> bytes:
     for t in range(steps):
         live = int(np.searchsorted(-width, -t))
         x = ids[start[:live] + t]
-        p2, p1, w2, w1, unit = model.predict(live)
-        lo = w2 + w1 + model.cum[x] * unit
+        p2, p1, w2, w1, w12, unit = model.predict(live)
+        lo = w12 + model.cum[x] * unit
         size = model.freq[x] * unit
         is1 = (x == p1) & (w1 > 0)
         lo, size = np.where(is1, w2, lo), np.where(is1, w1, size)
@@ -172,16 +186,16 @@ def decode(block: bytes) -> np.ndarray:
     ids = np.zeros(n, np.int64)
     for t in range(steps):
         live = int(np.searchsorted(-width, -t))
-        p2, p1, w2, w1, unit = model.predict(live)
+        p2, p1, w2, w1, w12, unit = model.predict(live)
         l, r = low[:live], rng[:live] >> U(SCALE)
         v = np.minimum((val[:live] - l) // r, U(TOTAL - 1)).astype(np.int64)
-        rest = np.minimum(np.maximum(v - w2 - w1, 0) // unit, model.slots - 1)
-        x = np.searchsorted(model.cum, rest, side="right") - 1
-        lo, size = w2 + w1 + model.cum[x] * unit, model.freq[x] * unit
         is2 = v < w2
-        is1 = ~is2 & (v < w2 + w1)
-        x = np.where(is2, p2, np.where(is1, p1, x))
-        lo, size = np.where(is2, 0, np.where(is1, w2, lo)), np.where(is2, w2, np.where(is1, w1, size))
+        x, lo, size = np.where(is2, p2, p1).astype(np.int64), np.where(is2, 0, w2), np.where(is2, w2, w1)
+        e = np.flatnonzero(v >= w12)
+        # Both numbers are below 2**20, so the floor of their quotient is exact.
+        rest = np.minimum(np.floor((v[e] - w12[e]) / unit[e]).astype(np.int32), np.int32(model.slots - 1))
+        y = model.find(rest)
+        x[e], lo[e], size[e] = y, w12[e] + model.cum[y] * unit[e], model.freq[y] * unit[e]
         ids[start[:live] + t] = x
         l = l + lo.astype(U) * r
         r = r * size.astype(U)
