@@ -22,7 +22,7 @@ from faultlens.functions.columns import (
 from faultlens.operators.alerts import EVIDENCE_LEAD, SCHEMA_VERSION, hoisted_service
 from faultlens.operators.forest import SEED, TREES, grow, isolation_score
 from faultlens.operators.joins import sli_enrich
-from faultlens.operators.ordered import framed, halo_chunks, spaced
+from faultlens.operators.ordered import asof_join, framed, halo_chunks, interval_join, spaced
 from faultlens.session import materialise, python_tasks
 
 # --- fixed values -----------------------------------------------------------
@@ -145,11 +145,12 @@ def centred_residuals(values: np.ndarray, period: int) -> tuple[np.ndarray, floa
 def fit_window(values: np.ndarray, period: int = PERIOD, trees: int = TREES, seed: int = SEED) -> tuple[dict, float, float]:
     """Forest, baseline mean and residual spread of one training window."""
     residuals, mean = centred_residuals(values, period)
-    residuals = residuals[~np.isnan(residuals)]
-    spread = float(np.std(residuals)) or 1.0
-    return grow(residuals.reshape(-1, 1), trees, seed=seed), mean, spread
+    finite = np.isfinite(residuals)
+    spread = residuals.std(where=finite)
+    return grow(residuals[finite, None], trees, seed=seed), mean, float(spread if spread > 0 else 1.0)
 
 
+SAMPLE, FIT, TRAIN = 0, 1, 2  #: what a shipped row is
 SCORED = "us long, value double, iso_score double, baseline_mean double, baseline_std double, residual double"
 
 
@@ -158,22 +159,30 @@ def score_series(samples: DataFrame, keys: Sequence[str], fits: DataFrame, us: s
                  trees: int = TREES) -> DataFrame:
     """Scores of all warm samples against the model in force at their time.
 
-    ``fits(keys, us)`` are the refit times.  A task receives one block of one series
-    plus the halo its training windows and the model in force at its start need:
-    a bounded number of regularised samples, each shipped at most three times.
-    Models live and die inside the task.
+    ``fits(keys, us)`` are the refit times.  A task receives one block of one series,
+    the window before it, and the training window of the model in force when the block
+    begins, however old that is: a bounded number of regularised samples, each shipped
+    about three times.  Models live and die inside the task.
     """
     block_us = window_s * SECOND
-    # The model in force at the start of a block may be a whole window old and
-    # trains on the window before that.
-    data = samples.select(*keys, F.col(us).alias("us"), F.col(value).alias("value"), F.lit(0).alias("is_fit"))
-    marks = fits.select(*keys, F.col(us).alias("us"), F.lit(None).cast("double").alias("value"), F.lit(1).alias("is_fit"))
-    both = halo_chunks(data.unionByName(marks), "us", block_us, 2 * block_us)
+    none = F.lit(None).cast("long")
+    data = samples.select(*keys, F.col(us).alias("us"), F.col(value).alias("value"), F.lit(SAMPLE).alias("what"), none.alias("fit_at"))
+    marks = fits.select(*keys, F.col(us).alias("us"), F.lit(None).cast("double").alias("value"), F.lit(FIT).alias("what"), none.alias("fit_at"))
+    near = halo_chunks(data.unionByName(marks), "us", block_us, block_us)
+    starts = data.select(*keys, F.floor(F.col("us") / block_us).alias("_chunk")).distinct().withColumn("_begin", F.col("_chunk") * block_us)
+    in_force = asof_join(starts, marks.select(*keys, "us", F.col("us").alias("fit_at_")), keys, "_begin", "us", ["fit_at_"]).filter("fit_at_ IS NOT NULL")
+    past = data.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("us").alias("_r_us"), F.col("value").alias("_r_value"))
+    train = interval_join(in_force, past, [(k, f"_r_{k}") for k in keys], "fit_at_", "_r_us", block_us, 0).select(
+        *keys, F.col("_r_us").alias("us"), F.col("_r_value").alias("value"), F.lit(TRAIN).alias("what"), F.col("fit_at_").alias("fit_at"), "_chunk", F.lit(False).alias("_own"))
+    both = near.unionByName(train)
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("us")
-        fit_at = pdf.loc[pdf["is_fit"] == 1, "us"].to_numpy()
-        rows = pdf[pdf["is_fit"] == 0]
+        rows, old = pdf[pdf["what"] == SAMPLE], pdf[pdf["what"] == TRAIN]
+        begin = int(pdf["_chunk"].iloc[0]) * block_us
+        fit_at = pdf.loc[(pdf["what"] == FIT) & (pdf["us"] > begin), "us"].to_numpy()
+        if len(old):  # the model in force at the block's start; a fit at that very time is it
+            fit_at = np.concatenate([[int(old["fit_at"].iloc[0])], fit_at])
         at, values = rows["us"].to_numpy(), rows["value"].to_numpy(dtype=float)
         history_size = np.arange(1, len(at) + 1) - np.searchsorted(at, at - block_us, side="left")
         model_no = np.searchsorted(fit_at, at, side="right") - 1
@@ -181,7 +190,10 @@ def score_series(samples: DataFrame, keys: Sequence[str], fits: DataFrame, us: s
         out = []
         for no in np.unique(model_no[wanted]):
             moment = fit_at[no]
-            train = values[np.searchsorted(at, moment - block_us, side="left"):np.searchsorted(at, moment, side="right")]
+            if len(old) and no == 0:
+                train = old["value"].to_numpy(dtype=float)
+            else:
+                train = values[np.searchsorted(at, moment - block_us, side="left"):np.searchsorted(at, moment, side="right")]
             model, mean, spread = fit_window(train, period, trees)
             mine = wanted & (model_no == no)
             residual = values[mine] - mean

@@ -1,10 +1,8 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) grown on Spark.
 
-Each tree sees a random sample of at most 256 points, so training data of any
-size reduces to a bounded sample per group before Python runs: a hash picks it
-in two stages, first within many salted parts of a group, then over the parts'
-survivors.  All trees of a group grow together, one level at a time, as numpy
-arrays.
+Each tree is grown in a task of its own from its own sample of at most 256 points,
+drawn from all points of its group by a seeded hash.  The points of a task are split
+level by level as numpy arrays.
 """
 
 from __future__ import annotations
@@ -21,8 +19,6 @@ EULER_GAMMA = 0.5772156649015329
 TREES = 100
 SUBSAMPLE = 256
 SEED = 42
-POOL = 4096
-SALTS = 64
 
 FOREST_FIELDS = (
     "n_trees int, psi int, dims int, feature array<int>, threshold array<double>, "
@@ -118,43 +114,62 @@ def isolation_score(model: dict, points: np.ndarray) -> np.ndarray:
     return -np.power(2.0, -out / scale)
 
 
-def bounded_sample(rows: DataFrame, keys: Sequence[str], identity: Sequence[str], size: int = POOL,
-                   seed: int = SEED) -> DataFrame:
-    """``size`` rows per group with the smallest seeded hash of their identity.
+def tree_samples(rows: DataFrame, keys: Sequence[str], identity: Sequence[str], trees: int = TREES, size: int = SUBSAMPLE,
+                 seed: int = SEED) -> DataFrame:
+    """Rows with the number of a tree that trains on them, in ``_tree``.
 
-    Parts of a group are thinned separately before the group meets in one task, and
-    the smallest of the parts' smallest are the group's smallest.
+    Each tree takes the ``size`` rows of its group with the smallest hash of tree and
+    identity, out of all rows.  In a group of n rows only hashes in the lowest
+    2 * size / n can be among them (but for a chance under 1e-20), so few rows are
+    copied; a tree's rows meet in a group of their own.
     """
-    mark = F.xxhash64(F.lit(seed), *identity)
-    out = rows.withColumn("_mark", mark).withColumn("_salt", F.pmod(F.hash("_mark"), F.lit(SALTS)))
-    for by in ([*keys, "_salt"], list(keys)):
-        w = W.partitionBy(*by).orderBy("_mark", *identity)
-        out = out.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= size).drop("_n")
-    return out.drop("_mark", "_salt")
+    named = rows.withColumn("_k", F.to_json(F.struct(*keys)))  # one text per group, so that NULL keys meet too
+    sized = named.join(named.groupBy("_k").agg(F.count(F.lit(1)).alias("_rows")), "_k")
+    share = F.least(F.lit(1.0), F.lit(2.0 * size) / F.col("_rows"))
+    marks = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("_tree"), F.xxhash64(F.lit(seed), t, *identity).alias("_mark")))
+    # The hash is a signed number of 64 bits.
+    low = F.filter(marks, lambda m: m["_mark"].cast("double") / F.lit(2.0**64) + 0.5 <= share)
+    out = sized.select(*rows.columns, F.inline(low))
+    w = W.partitionBy(*keys, "_tree").orderBy("_mark", *identity)
+    return out.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= size).drop("_n", "_mark")
+
+
+def joined_trees(trees: Sequence[dict]) -> dict:
+    """Trees of one root each as one forest; the roots come first."""
+    n = len(trees)
+    firsts = n + np.cumsum([0, *[len(t["feature"]) - 1 for t in trees]])
+    child = [np.where(np.asarray(t["child"]) >= 0, np.asarray(t["child"]) - 1 + firsts[i], -1) for i, t in enumerate(trees)]
+    parts = {"feature": [np.asarray(t["feature"]) for t in trees], "threshold": [np.asarray(t["threshold"]) for t in trees],
+             "child": child, "path": [np.asarray(t["path"]) for t in trees]}
+    flat = {k: np.concatenate([np.array([x[0] for x in v]), *[x[1:] for x in v]]) for k, v in parts.items()}
+    flat["child"], flat["feature"] = flat["child"].astype("int32"), flat["feature"].astype("int32")
+    return {"n_trees": n, "psi": max(t["psi"] for t in trees), "dims": trees[0]["dims"], **flat}
 
 
 def fit_isolation_forest(rows: DataFrame, keys: Sequence[str], features: Column, identity: Sequence[str],
-                         trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED,
-                         pool: int = POOL) -> DataFrame:
-    """One forest per group as a row of arrays.
+                         trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED) -> DataFrame:
+    """One forest per group as a row of arrays; a NULL key is a group like others.
 
-    ``features`` is an array column.  Groups of up to ``pool`` rows train on all of
-    them; larger ones on a uniform sample, from which every tree draws its own.
+    ``features`` is an array column.  Every tree is grown in a task of its own from its
+    own sample of the group; the trees of a group, of bounded size, are then joined.
     """
     key_types = rows.select(*keys).schema
-    data = rows.select(*keys, *[F.col(c).alias(f"_i{n}") for n, c in enumerate(identity)], features.alias("_x"))
     ids = [f"_i{n}" for n in range(len(identity))]
-    data = bounded_sample(data, keys, ids, pool, seed)
+    data = rows.select(*keys, *[F.col(c).alias(n) for c, n in zip(identity, ids, strict=True)], features.alias("_x"))
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_types.fields)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ids)
-        points = np.stack(pdf["_x"].to_list()).astype(float)
-        model = grow(points, trees, subsample, seed)
-        head = {k: [pdf[k].iloc[0]] for k in keys}
-        return pd.DataFrame({**head, **{name: [value] for name, value in model.items()}})
+        tree = int(pdf["_tree"].iloc[0])
+        model = grow(np.stack(pdf["_x"].to_list()).astype(float), 1, subsample, seed + tree)
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, "_tree": [tree], **{name: [value] for name, value in model.items()}})
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_types.fields)
-    return data.groupBy(*keys).applyInPandas(fit, f"{schema}, {FOREST_FIELDS}")
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        model = joined_trees(pdf.sort_values("_tree").to_dict("records"))
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, **{name: [value] for name, value in model.items()}})
+
+    grown = tree_samples(data, keys, ids, trees, subsample, seed).groupBy(*keys, "_tree").applyInPandas(fit, f"{head}, _tree int, {FOREST_FIELDS}")
+    return grown.groupBy(*keys).applyInPandas(join, f"{head}, {FOREST_FIELDS}")
 
 
 def score_isolation_forest(points: DataFrame, models: DataFrame, keys: Sequence[str], features: Column,
@@ -165,15 +180,13 @@ def score_isolation_forest(points: DataFrame, models: DataFrame, keys: Sequence[
     rows is scored by many tasks and a model is shipped once per block, not per point.
     """
     columns = points.columns
-    blocks = points.withColumn("_x", features).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    spread = (
-        points.withColumn("_x", features)
-        .join(blocks.withColumn("_blocks", F.ceil(F.col("_rows") / block).cast("int")).drop("_rows"), list(keys))
-        .withColumn("_block", F.pmod(F.xxhash64(*[c for c in columns if c not in keys], "_x"), F.col("_blocks")).cast("int"))
-    )
-    copies = models.join(
-        blocks.select(*keys, F.explode(F.sequence(F.lit(0), F.ceil(F.col("_rows") / block).cast("int") - 1)).alias("_block")),
-        list(keys))
+    group = F.to_json(F.struct(*keys)).alias("_k")  # one text per group, so that NULL keys meet too
+    rows = points.select(*columns, features.alias("_x"), group)
+    blocks = rows.groupBy("_k").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
+    spread = rows.join(blocks, "_k").withColumn(
+        "_block", F.pmod(F.xxhash64(*[c for c in columns if c not in keys], "_x"), F.col("_blocks")).cast("int"))
+    numbers = blocks.select("_k", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+    copies = models.withColumn("_k", group).join(numbers, "_k")
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -182,7 +195,7 @@ def score_isolation_forest(points: DataFrame, models: DataFrame, keys: Sequence[
         return left[columns].assign(iso_score=isolation_score(right.iloc[0].to_dict(), x))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
-    by = [*keys, "_block"]
+    by = ["_k", "_block"]
     return (
         spread.drop("_blocks").groupBy(*by).cogroup(copies.groupBy(*by))
         .applyInPandas(score, f"{fields}, iso_score double")

@@ -149,7 +149,9 @@ def asof_join(
     """For each left row the newest right row of its key at or before it (left outer).
 
     Right rows sharing key and time are told apart by the largest ``carried`` values.
+    A NULL key matches nothing, as in SQL.
     """
+    right = right.dropna(subset=list(keys))
     newest = F.struct(*[F.col(c) for c in carried])
     marks = (
         right.groupBy(*keys, F.col(right_us).alias("_us"))

@@ -10,6 +10,7 @@ which is where the volume goes.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,13 @@ def distinct_lines(logs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _join_bucket(lines: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    """Join on the bucket; lines without a service share one like others."""
+    named = other.select(*[F.col(c).alias(f"_b_{c}") for c in BUCKET], *[c for c in other.columns if c not in BUCKET])
+    on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in BUCKET])
+    return lines.join(named, on, how).drop(*[f"_b_{c}" for c in BUCKET])
+
+
 def hole_positions(lines: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     """Per bucket, an array saying which positions are holes.
 
@@ -46,7 +54,7 @@ def hole_positions(lines: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     larger ones are laid out.
     """
     crowded = lines.groupBy(*BUCKET).count().filter(F.col("count") > max_words).select(*BUCKET)
-    words = lines.join(crowded, BUCKET, "left_semi").select(*BUCKET, F.posexplode("tokens").alias("pos", "word")).distinct()
+    words = _join_bucket(lines, crowded, "left_semi").select(*BUCKET, F.posexplode("tokens").alias("pos", "word")).distinct()
     spots = words.groupBy(*BUCKET, "pos").agg((F.count(F.lit(1)) > max_words).alias("hole"))
     # One entry per token position, hence no longer than a line.
     return spots.groupBy(*BUCKET).agg(
@@ -60,7 +68,7 @@ def templated(logs: DataFrame, by: Sequence[str] = (), max_words: int = MAX_WORD
 
 def with_templates(lines: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     """Templates of distinct lines that are already at hand."""
-    marked = lines.join(hole_positions(lines, max_words), BUCKET, "left")
+    marked = _join_bucket(lines, hole_positions(lines, max_words), "left")
     filled = F.zip_with("tokens", "holes", lambda t, hole: F.when(hole, HOLE).otherwise(t))
     shown = F.when(F.col("holes").isNull(), F.col("tokens")).otherwise(filled)
     return marked.withColumn("template", F.array_join(shown, " ")).drop("head")

@@ -112,9 +112,17 @@ sig AS (
 )"""
 
 
-def own(df):
-    """Only the varying alert of each payload."""
-    return df.filter(F.col("labels")["alertname"] != "Other")
+# Both alerts of every payload.
+BOTH = ALERTS + """,
+two AS (
+  SELECT event_id, 1 AS nth, severity, cluster, matchers, metric, alertname, ts_started, ts_resolved, namespace, service, svc, dep FROM al
+  UNION ALL SELECT event_id, 2, 'warning', common_cluster, '', 'unknown', 'Other', TIMESTAMP '2024-02-01 00:00:00', NULL, NULL, NULL, NULL, NULL FROM al
+)"""
+
+
+def nth():
+    """Which of a payload's alerts a row is."""
+    return F.when(F.col("labels")["alertname"] == "Other", 2).otherwise(1).alias("nth")
 
 
 @query("src1_read_alert_payloads", f"""WITH {twins.EVENTS}
@@ -146,33 +154,33 @@ def al3(spark, sf_dir):
     return al.flagged_only(parsed_alerts(spark, sf_dir)).select("event_id", al.is_valid().alias("valid"))
 
 
-@query("al4_resolve_cluster", f"WITH {ALERTS} SELECT event_id, cluster FROM al")
+@query("al4_resolve_cluster", f"WITH {BOTH} SELECT event_id, nth, cluster FROM two")
 def al4(spark, sf_dir):
-    return own(parsed_alerts(spark, sf_dir)).select("event_id", al.resolve_cluster().alias("cluster"))
+    return parsed_alerts(spark, sf_dir).select("event_id", nth(), al.resolve_cluster().alias("cluster"))
 
 
-@query("al5_normalise_severity", f"""WITH {ALERTS}
-SELECT 'alert' AS origin, severity, count(*) AS n FROM al GROUP BY 2
+@query("al5_normalise_severity", f"""WITH {BOTH}
+SELECT 'alert' AS origin, severity, count(*) AS n FROM two GROUP BY 2
 UNION ALL
 SELECT 'order', CASE lower(substr(o_orderpriority, 3)) WHEN 'info' THEN 'info' WHEN 'critical' THEN 'critical'
   WHEN 'pager' THEN 'critical' ELSE 'warning' END, count(*) FROM orders GROUP BY 2""")
 def al5(spark, sf_dir):
-    mine = own(parsed_alerts(spark, sf_dir)).select(
+    mine = parsed_alerts(spark, sf_dir).select(
         F.lit("alert").alias("origin"), fold_severity(F.coalesce(F.col("labels")["severity"], F.lit(""))).alias("severity"))
     orders = twins.table(spark, sf_dir, "orders").select(
         F.lit("order").alias("origin"), fold_severity(F.expr("substr(o_orderpriority, 3)")).alias("severity"))
     return mine.unionByName(orders).groupBy("origin", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("al6_matchers", f"WITH {ALERTS} SELECT event_id, matchers FROM al")
+@query("al6_matchers", f"WITH {BOTH} SELECT event_id, nth, matchers FROM two")
 def al6(spark, sf_dir):
-    return own(parsed_alerts(spark, sf_dir)).select("event_id", kv_text(al.matchers()).alias("matchers"))
+    return parsed_alerts(spark, sf_dir).select("event_id", nth(), kv_text(al.matchers()).alias("matchers"))
 
 
-@query("al7_metric_name", f"WITH {ALERTS} SELECT event_id, metric, 'alertmanager:' || alertname AS detector FROM al")
+@query("al7_metric_name", f"WITH {BOTH} SELECT event_id, nth, metric, 'alertmanager:' || alertname AS detector FROM two")
 def al7(spark, sf_dir):
-    return own(parsed_alerts(spark, sf_dir)).select(
-        "event_id", al.metric_name().alias("metric"), al.detector_name().alias("detector"))
+    return parsed_alerts(spark, sf_dir).select(
+        "event_id", nth(), al.metric_name().alias("metric"), al.detector_name().alias("detector"))
 
 
 @query("al8_fingerprint", f"WITH {ALERTS} SELECT event_id, fingerprint FROM sig")
@@ -182,18 +190,18 @@ def al8(spark, sf_dir):
         al.detector_name(), al.metric_name(), al.matchers(), al.resolve_cluster()).alias("fingerprint"))
 
 
-@query("al9_alert_times", f"WITH {ALERTS} SELECT event_id, ts_started, ts_resolved FROM al")
+@query("al9_alert_times", f"WITH {BOTH} SELECT event_id, nth, ts_started, ts_resolved FROM two")
 def al9(spark, sf_dir):
-    return own(parsed_alerts(spark, sf_dir)).select(
-        "event_id", ntz(al.started_at(as_of())).alias("ts_started"), ntz(al.resolved_at()).alias("ts_resolved"))
+    return parsed_alerts(spark, sf_dir).select(
+        "event_id", nth(), ntz(al.started_at(as_of())).alias("ts_started"), ntz(al.resolved_at()).alias("ts_resolved"))
 
 
-@query("al10_hoist", f"""WITH {ALERTS}
-SELECT event_id, namespace, service AS tier1_service, coalesce(nullif(svc, ''), dep) AS tier2_service FROM al""")
+@query("al10_hoist", f"""WITH {BOTH}
+SELECT event_id, nth, namespace, service AS tier1_service, coalesce(nullif(svc, ''), dep) AS tier2_service FROM two""")
 def al10(spark, sf_dir):
     m = al.matchers()
-    return own(parsed_alerts(spark, sf_dir)).select(
-        "event_id", m["namespace"].alias("namespace"), al.hoisted_service(m).alias("tier1_service"),
+    return parsed_alerts(spark, sf_dir).select(
+        "event_id", nth(), m["namespace"].alias("namespace"), al.hoisted_service(m).alias("tier1_service"),
         al.hoisted_service(m, present_wins=False).alias("tier2_service"))
 
 

@@ -102,7 +102,22 @@ def regular_sql(interval_s=60):
 reg AS (SELECT event_type AS series, us // {step} * {step} AS slot_us, max(us) AS us, arg_max(value, us) AS value FROM ev GROUP BY 1, 2)"""
 
 
-REG, REG_HOUR = regular_sql(), regular_sql(3600)
+REG = regular_sql()
+# All events; whole cents add up exactly in any order, so an hour's mean is the same number everywhere.
+EVERY = twins.EVENTS + ", every AS (SELECT event_type AS series, event_id, us, value FROM ev)"
+REG_HOUR = twins.EVENTS + """,
+reg AS (SELECT event_type AS series, us // 3600000000 * 3600000000 AS slot_us,
+  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0::DOUBLE AS value FROM ev GROUP BY 1, 2)"""
+
+
+def every_event(spark, sf_dir):
+    return twins.events(spark, sf_dir).select(F.col("event_type").alias("series"), "event_id", "us", "value")
+
+
+def hourly_means(spark, sf_dir):
+    slot = (F.floor(F.col("us") / (3600 * SECOND)) * (3600 * SECOND)).alias("slot_us")
+    cents = F.sum(F.round(F.col("value") * 100).cast("long")).cast("double")
+    return every_event(spark, sf_dir).groupBy("series", slot).agg((cents / F.count(F.lit(1)) / 100.0).alias("value"))
 
 
 @query("ts4_regularise", f"WITH {REG} SELECT series, slot_us, us, value FROM reg")
@@ -131,30 +146,30 @@ def ts5(spark, sf_dir):
     return rows.select("series", "slot_us", F.round("rate", 6).alias("rate"))
 
 
-@query("ts6_quantile_over_time", f"""WITH {REG}
-SELECT series, slot_us, round(quantile_cont(value, 0.9) OVER (PARTITION BY series ORDER BY slot_us
-  RANGE BETWEEN 21600000000 PRECEDING AND CURRENT ROW), 4) AS quantile FROM reg""")
+@query("ts6_quantile_over_time", f"""WITH {EVERY}
+SELECT series, event_id, round(quantile_cont(value, 0.9) OVER (PARTITION BY series ORDER BY us
+  RANGE BETWEEN 21600000000 PRECEDING AND CURRENT ROW), 4) AS quantile FROM every""")
 def ts6(spark, sf_dir):
-    rows = ts.quantile_over_time(regular(spark, sf_dir), ["series"], "slot_us", "value", 0.9, 21_600)
-    return rows.select("series", "slot_us", F.round("quantile", 4).alias("quantile"))
+    rows = ts.quantile_over_time(every_event(spark, sf_dir), ["series"], "us", "value", 0.9, 21_600)
+    return rows.select("series", "event_id", F.round("quantile", 4).alias("quantile"))
 
 
-@query("ts7_rolling_zscore", f"""WITH {REG},
-z AS (SELECT series, slot_us, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS s FROM reg
-  WINDOW w AS (PARTITION BY series ORDER BY slot_us RANGE BETWEEN 21600000000 PRECEDING AND CURRENT ROW))
-SELECT series, slot_us, round(CASE WHEN s > 1e-9 THEN (value - m) / s END, 6) AS zscore FROM z""")
+@query("ts7_rolling_zscore", f"""WITH {EVERY},
+z AS (SELECT series, event_id, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS s FROM every
+  WINDOW w AS (PARTITION BY series ORDER BY us RANGE BETWEEN 21600000000 PRECEDING AND CURRENT ROW))
+SELECT series, event_id, round(CASE WHEN s > 1e-9 THEN (value - m) / s END, 6) AS zscore FROM z""")
 def ts7(spark, sf_dir):
-    rows = ts.rolling_zscore(regular(spark, sf_dir), ["series"], "slot_us", "value", 21_600)
-    return rows.select("series", "slot_us", F.round("zscore", 6).alias("zscore"))
+    rows = ts.rolling_zscore(every_event(spark, sf_dir), ["series"], "us", "value", 21_600)
+    return rows.select("series", "event_id", F.round("zscore", 6).alias("zscore"))
 
 
-@query("ts8_rolling_mad", f"""WITH {REG},
-m AS (SELECT series, slot_us, value, median(value) OVER w AS med, mad(value) OVER w AS mad FROM reg
-  WINDOW w AS (PARTITION BY series ORDER BY slot_us RANGE BETWEEN 21600000000 PRECEDING AND CURRENT ROW))
-SELECT series, slot_us, round(med, 4) AS median, round(mad, 4) AS mad, abs(value - med) > 4.4478::DOUBLE * mad AS is_outlier FROM m""")
+@query("ts8_rolling_mad", f"""WITH {EVERY},
+m AS (SELECT series, event_id, value, median(value) OVER w AS med, mad(value) OVER w AS mad FROM every
+  WINDOW w AS (PARTITION BY series ORDER BY us RANGE BETWEEN 21600000000 PRECEDING AND CURRENT ROW))
+SELECT series, event_id, round(med, 4) AS median, round(mad, 4) AS mad, abs(value - med) > 4.4478::DOUBLE * mad AS is_outlier FROM m""")
 def ts8(spark, sf_dir):
-    rows = ts.rolling_mad(regular(spark, sf_dir), ["series"], "slot_us", "value", 21_600)
-    return rows.select("series", "slot_us", F.round("median", 4).alias("median"), F.round("mad", 4).alias("mad"), "is_outlier")
+    rows = ts.rolling_mad(every_event(spark, sf_dir), ["series"], "us", "value", 21_600)
+    return rows.select("series", "event_id", F.round("median", 4).alias("median"), F.round("mad", 4).alias("mad"), "is_outlier")
 
 
 @query("ts9_burn_rate", f"""WITH {twins.EVENTS},
@@ -179,9 +194,8 @@ def ts9(spark, sf_dir):
 @query("ts10_sli_summary", f"""WITH {twins.EVENTS},
 inc AS (SELECT service || '-' || (us // 86400000000) AS incident_id, service, min(us) AS onset FROM ev
         WHERE event_type = 'error' GROUP BY 1, 2),
-reg AS (SELECT service, us // 60000000 * 60000000 AS slot_us, arg_max(value, us) AS value FROM ev GROUP BY 1, 2),
-j AS (SELECT incident_id, value, slot_us < onset AS before FROM inc JOIN reg USING (service)
-      WHERE slot_us BETWEEN onset - 21600000000 AND onset + 7200000000)
+j AS (SELECT incident_id, value, us < onset AS before FROM inc JOIN ev USING (service)
+      WHERE us BETWEEN onset - 21600000000 AND onset + 7200000000)
 SELECT incident_id, round(quantile_cont(value, 0.5) FILTER (before), 4) AS baseline_p50,
   round(quantile_cont(value, 0.99) FILTER (before), 4) AS baseline_p99,
   round(quantile_cont(value, 0.5) FILTER (NOT before), 4) AS observed_p50,
@@ -191,7 +205,7 @@ def ts10(spark, sf_dir):
     day = F.floor(F.col("us") / (86_400 * SECOND)).cast("string")
     incidents = ev.filter("event_type = 'error'").groupBy(
         F.concat("service", F.lit("-"), day).alias("incident_id"), "service").agg(F.min("us").alias("onset"))
-    rows = ts.sli_summary(incidents, ts.regularise(ev, ["service"]), ["service"], "onset", "slot_us", "value", 21_600, 7200)
+    rows = ts.sli_summary(incidents, ev, ["service"], "onset", "us", "value", 21_600, 7200)
     return rows.select("incident_id", *[F.round(c, 4).alias(c) for c in rows.columns if c != "incident_id"])
 
 
@@ -262,7 +276,7 @@ dec AS (SELECT *, value - trend - seasonal AS residual FROM ssn)"""
 
 
 def decomposed(spark, sf_dir):
-    rows = regular(spark, sf_dir, 3600)
+    rows = hourly_means(spark, sf_dir)
     return dt.seasonal_decompose(rows, ["series"], period=24, interval_s=3600, block_us=10 * dt.DAY_US)
 
 
@@ -298,24 +312,34 @@ def dt6(spark, sf_dir):
     return rows.select("series", "block", F.round("residual_std", 4).alias("residual_std"))
 
 
-@query("dt7_fit_isolation_forest")
+@query("dt7_fit_isolation_forest", f"""WITH {twins.EVENTS}
+SELECT event_type, 100 AS n_trees, CAST(least(256, count(*)) AS INTEGER) AS psi, 100 AS n_roots FROM ev GROUP BY 1""")
 def dt7(spark, sf_dir):
-    ev = twins.events(spark, sf_dir)
-    models = fit_isolation_forest(ev, ["event_type"], F.array("value"), ["event_id"])
-    return models.select("event_type", "n_trees", "psi", F.size("path").cast("long").alias("n_nodes"))
+    """What is determined of the forests: trees, points a tree has seen at most, and roots that no node points to."""
+    models = fit_isolation_forest(twins.events(spark, sf_dir), ["event_type"], F.array("value"), ["event_id"])
+    inner = F.size(F.filter("child", lambda c: c >= 0))
+    return models.select("event_type", "n_trees", "psi", (F.size("path") - 2 * inner).alias("n_roots"))
 
 
-@query("dt8_score_isolation_forest")
+@query("dt8_score_isolation_forest", f"""WITH {twins.EVENTS}
+SELECT event_type, count(*) AS n, count(*) AS n_in_range, true AS far_stands_out FROM ev GROUP BY 1""")
 def dt8(spark, sf_dir):
+    """All points are scored within range, and a planted outlier of each group (id -1) is far below their mean."""
     ev = twins.events(spark, sf_dir).select("event_id", "event_type", "value")
     models = fit_isolation_forest(ev, ["event_type"], F.array("value"), ["event_id"])
-    return score_isolation_forest(ev, models, ["event_type"], F.array("value"))
+    far = ev.groupBy("event_type").agg((F.max("value") * 1000).alias("value")).select(F.lit(-1).cast("long").alias("event_id"), "event_type", "value")
+    scored = score_isolation_forest(ev.unionByName(far), models, ["event_type"], F.array("value"))
+    real = F.col("event_id") >= 0
+    return scored.groupBy("event_type").agg(
+        F.count_if(real).alias("n"), F.count_if(real & F.col("iso_score").between(-1.0, -1e-9)).alias("n_in_range"),
+        (F.min(F.when(~real, F.col("iso_score"))) < F.avg("iso_score") - 0.1).alias("far_stands_out"))
 
 
 @query("dt8_detect_series")
 def dt8b(spark, sf_dir):
-    ev = twins.events(spark, sf_dir).withColumn("series", F.lit("all"))
-    return dt.detect(ts.regularise(ev, ["series"]), ["series"])
+    """Each kind of event polled once a minute, as the detector does, over six days of history."""
+    ev = twins.events(spark, sf_dir).withColumn("series", F.col("event_type"))
+    return dt.detect(ts.regularise(ev, ["series"]), ["series"], window_s=6 * 86_400)
 
 
 @query("dt9_confidence", f"""WITH {twins.EVENTS}
@@ -361,13 +385,15 @@ def dt12(spark, sf_dir):
         ntz(e["window"]["start"]).alias("window_start"), ntz(e["window"]["end"]).alias("window_end"))
 
 
-@query("dt13_multivariate_detect")
+@query("dt13_multivariate_detect", f"""WITH {twins.EVENTS},
+p AS (SELECT cluster, us // 3600000000 * 3600000000 AS slot_us FROM ev WHERE event_type IN ('error', 'view') GROUP BY 1, 2 HAVING count(DISTINCT event_type) = 2)
+SELECT cluster, slot_us, true AS in_range FROM p""")
 def dt13(spark, sf_dir):
     ev = twins.events(spark, sf_dir)
     slot = (F.floor(F.col("us") / (3600 * SECOND)) * (3600 * SECOND)).alias("slot_us")
     points = dt.multivariate_points(ev.select(slot, "cluster", "event_type", "value"), "event_type", ["error", "view"], keys=["cluster"])
     models = fit_isolation_forest(points, ["cluster"], F.col("vector"), ["slot_us"])
-    return score_isolation_forest(points, models, ["cluster"], F.col("vector")).select("cluster", "slot_us", "iso_score")
+    return score_isolation_forest(points, models, ["cluster"], F.col("vector")).select("cluster", "slot_us", F.col("iso_score").between(-1.0, -1e-9).alias("in_range"))
 
 
 @query("dt14_per_sli_overrides", f"""WITH {twins.EVENTS},

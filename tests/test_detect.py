@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from faultlens.operators import detect as dt
 from faultlens.operators import series as ts
-from faultlens.operators.forest import bounded_sample, fit_isolation_forest, grow, isolation_score, score_isolation_forest
+from faultlens.operators.forest import fit_isolation_forest, grow, isolation_score, joined_trees, score_isolation_forest, tree_samples
 from faultlens.sources.records import samples_from_query_results, slis_frame
 from faultlens.streaming.detector import DetectorState, settings
 
@@ -55,6 +55,15 @@ def test_spike_has_highest_confidence(spark):
     assert any(r["us"] == 350 * MIN for r in dt.detect(df).collect())
 
 
+def test_a_model_older_than_two_windows_still_scores(spark):
+    df = series(spark, np.random.default_rng(5).normal(0, 1, 900))
+    kwargs = {"window_s": 100 * 60, "min_samples": 40}
+    warm = dt.warm_gate(df, ["series"], **kwargs)
+    fits = dt.refit_schedule(warm.select("series", "us"), ["series"], "us", 700 * 60)
+    scored = dt.score_series(df, ["series"], fits, period=20, trees=10, **kwargs)
+    assert fits.count() == 2 and scored.count() == warm.count() == 861
+
+
 def test_blocks_do_not_change_scores(spark):
     """A series that crosses block borders scores like one walked in a single pass."""
     values = np.random.default_rng(1).normal(0, 1, 700)
@@ -105,16 +114,31 @@ def test_forest_properties():
     assert isolation_score(grow(np.r_[flat, odd]), odd)[0] < np.quantile(isolation_score(grow(np.r_[flat, odd]), flat), 0.02)
 
 
-def test_forest_on_spark_bounds_the_training_group(spark):
-    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("k"), "id",
+def test_every_tree_draws_from_all_rows(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 300 != 1, "cold").alias("k"), "id",
                                   (F.hash("id") % 1000 / 100.0).alias("v"))
-    assert {r["k"]: r["count"] for r in bounded_sample(df, ["k"], ["id"], 100).groupBy("k").count().collect()} == {"hot": 100, "cold": 100}
-    marks = sorted((r[1], r[0]) for r in df.filter("k = 'hot'").select("id", F.xxhash64(F.lit(42), "id")).collect())
-    chosen = {r["id"] for r in bounded_sample(df, ["k"], ["id"], 100).filter("k = 'hot'").collect()}
-    assert chosen == {i for _, i in marks[:100]}
+    picks = tree_samples(df, ["k"], ["id"], trees=5, size=100).collect()
+    for k in ("hot", "cold", None):
+        all_ids = df.filter(F.col("k").eqNullSafe(k))
+        n = all_ids.count()
+        for t in range(5):
+            marks = sorted((r[1], r[0]) for r in all_ids.select("id", F.xxhash64(F.lit(42), F.lit(t), "id")).collect())
+            assert {r["id"] for r in picks if r["k"] == k and r["_tree"] == t} == {i for _, i in marks[:min(100, n)]}
     models = fit_isolation_forest(df, ["k"], F.array("v"), ["id"])
-    scored = score_isolation_forest(df, models, ["k"], F.array("v"), block=500).collect()
-    assert len(scored) == 3000 and len({r["id"] for r in scored}) == 3000
+    assert sorted((r["n_trees"], r["psi"]) for r in models.collect()) == [(100, 30), (100, 256), (100, 256)]
+    odd = df.unionByName(spark.createDataFrame([("hot", 10_000, 99.0)], "k string, id long, v double"))
+    scored = score_isolation_forest(odd, models, ["k"], F.array("v"), block=500).collect()
+    assert len(scored) == 9001 and len({r["id"] for r in scored}) == 9001
+    hot = {r["id"]: r["iso_score"] for r in scored if r["k"] == "hot"}
+    assert hot[10_000] < np.quantile(list(hot.values()), 0.05)
+
+
+def test_joined_trees_score_like_their_mean():
+    points = np.random.default_rng(1).normal(0, 1, (300, 2))
+    trees = [grow(points, 1, seed=s) for s in range(7)]
+    one = isolation_score(joined_trees(trees), points)
+    each = np.array([np.log2(-isolation_score(t, points)) for t in trees])
+    assert np.allclose(np.log2(-one), each.mean(axis=0))
 
 
 @pytest.mark.parametrize(("value", "kept"), [([1700000000.5, "3.5"], True), ([1, "NaN"], False), ([1], False), ([1, "abc"], False), (None, False)])

@@ -121,3 +121,9 @@ def test_fuse_tiers_merges_overlaps_and_null_keys(spark):
     t2 = spark.createDataFrame([("m", "c", None, "s", 3, 5, 20), ("m", "c", "n", "s", 4, 5, 20)], schema)
     got = {(r["namespace"], r["start_us"], r["end_us"], r["n_tier1"], r["n_tier2"]) for r in fuse_tiers(t1, t2).collect()}
     assert got == {(None, 0, 20, 1, 1), (None, 30, 40, 1, 0), ("n", 5, 20, 0, 1)}
+
+
+def test_asof_null_keys_meet_nothing(spark):
+    left = spark.createDataFrame([(None, 5), ("a", 5)], "key string, us long")
+    right = spark.createDataFrame([(None, 1, 7), ("a", 1, 8)], "key string, r_us long, r_id long")
+    assert {(r["key"], r["r_id"]) for r in o.asof_join(left, right, ["key"], "us", "r_us", ["r_id"]).collect()} == {(None, None), ("a", 8)}

@@ -87,3 +87,10 @@ def test_shadow_is_stable(spark):
     df = spark.range(2000).select(F.col("id").cast("string").alias("fingerprint"))
     once, again = (sorted(r[0] for r in fb.shadow_sample(df).collect()) for _ in range(2))
     assert once == again and 120 < len(once) < 280
+
+
+def test_lines_without_a_service_get_templates_too(spark):
+    words = "alpha beta gamma delta eta theta iota kappa lambda mu nu xi".split()
+    logs = spark.createDataFrame([(s, f"user {w} left") for w in words for s in ("a", None)], "service string, line string").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    found = {(r["service"], r["template"]) for r in tm.mine_templates(logs).collect()}
+    assert found == {("a", "user <*> left"), (None, "user <*> left")}
