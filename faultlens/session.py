@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """All times are UTC; adaptive execution splits skewed join partitions."""
+    """All times are UTC; adaptive execution splits skewed join partitions; Python tasks get small batches of long rows."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
 
 
