@@ -13,8 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-STRETCH = 1 << 19  #: bytes hashed at once
-SLICE = 4 << 20  #: bytes of text handed on at once
+STRETCH = 1 << 18  #: bytes hashed at once
+SLICE = 1 << 20  #: bytes of text handed on at once
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 

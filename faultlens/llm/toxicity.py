@@ -69,14 +69,14 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 def _counts(sample: DataFrame) -> DataFrame:
     def run(batches):
-        good, bad = Counter(), Counter()
         for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (bad if y else good).update(traits(words(text)))
-        names = list(good.keys() | bad.keys())
-        for k in range(0, len(names), 50_000):
-            part = names[k:k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([bad[x] for x in part], pa.int64()), pa.array([good[x] for x in part], pa.int64())], ["trait", "bad", "good"])
+            for k in range(0, batch.num_rows, 200):  # partial counts of few texts, so that a task holds little
+                good, bad = Counter(), Counter()
+                part = batch.slice(k, 200)
+                for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    (bad if y else good).update(traits(words(text)))
+                names = list(good.keys() | bad.keys())
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([bad[x] for x in names], pa.int64()), pa.array([good[x] for x in names], pa.int64())], ["trait", "bad", "good"])
 
     return sample.mapInArrow(run, "trait string, bad long, good long").groupBy("trait").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 

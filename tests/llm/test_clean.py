@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from brute import kept_text, plain_distance, plain_stretch, words
@@ -58,7 +59,8 @@ def test_leaks_are_those_of_brute_force(make, spark):
     assert find_leaks(make(rows), table.limit(0)).count() == 0 and decontaminate(make(rows), table.limit(0)).count() == len(rows)
 
 
-def test_lines_are_those_of_brute_force(make):
+@pytest.mark.parametrize("crowd", [256, 3])
+def test_lines_are_those_of_brute_force(make, crowd):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 5)))
     pool = [" ".join(word() for _ in range(n)) for n in (1, 2, 4, 9, 30, 60, 90, 300, 700)]
@@ -74,7 +76,7 @@ def test_lines_are_those_of_brute_force(make):
     rows = [(k, t, "en", "s", None if t is None else len(t)) for k, t in enumerate(texts)] + [(None, texts[20], None, None, len(texts[20]))]
     want, linked = kept_text(rows)
     df = make(rows)
-    out = dedup_lines(df, lost="n_lost")
+    out = dedup_lines(df, crowd=crowd, lost="n_lost")
     assert out.columns == [*df.columns, "n_lost"]
     got = {r.doc_id: r for r in out.collect()}
     assert [got[r[0]].text for r in rows] == want
