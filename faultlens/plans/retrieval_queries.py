@@ -16,6 +16,11 @@ def vectors(spark, sf_dir):
         F.col("vec_id").alias("incident"), F.col("embedding").alias("vector"), "label", (F.col("label") < 5).alias("resolved"))
 
 
+def active(rows):
+    """The incidents that are searched for: every hundredth, against all."""
+    return rows.filter("incident % 100 = 0")
+
+
 KNN = """
 vc AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
 sm AS (SELECT q.vec_id AS incident, p.vec_id AS past_incident, round(list_cosine_similarity(q.v, p.v), 6) AS similarity
@@ -23,20 +28,20 @@ sm AS (SELECT q.vec_id AS incident, p.vec_id AS past_incident, round(list_cosine
 rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY incident ORDER BY similarity DESC, past_incident) AS INTEGER) AS "rank" FROM sm)"""
 
 
-@query("rt1_similar_incidents", f"""WITH {KNN.format(on='p.label < 5 AND p.vec_id <> q.vec_id')}
+@query("rt1_similar_incidents", f"""WITH {KNN.format(on='q.vec_id % 100 = 0 AND p.label < 5 AND p.vec_id <> q.vec_id')}
 SELECT incident, past_incident, similarity, "rank" FROM rk WHERE "rank" <= 3""")
 def rt1(spark, sf_dir):
     rows = vectors(spark, sf_dir)
-    return rt.similar_incidents(rows, rows)
+    return rt.similar_incidents(active(rows), rows)
 
 
-@query("rt2_runbook_chunks", f"""WITH {KNN.format(on='p.label = q.label AND p.vec_id % 2 = q.vec_id % 2 AND p.vec_id % 3 = 0')}
+@query("rt2_runbook_chunks", f"""WITH {KNN.format(on='q.vec_id % 100 = 0 AND p.label = q.label AND p.vec_id % 2 = q.vec_id % 2 AND p.vec_id % 3 = 0')}
 SELECT incident, past_incident AS chunk_id, similarity, "rank" FROM rk WHERE "rank" <= 3""")
 def rt2(spark, sf_dir):
     rows = vectors(spark, sf_dir).withColumn("service", F.concat(F.lit("s"), F.col("label").cast("string"))) \
         .withColumn("signal_type", (F.col("incident") % 2).cast("string"))
     chunks = rows.filter("incident % 3 = 0").withColumnRenamed("incident", "chunk_id")
-    return rt.runbook_chunks(rows, chunks)
+    return rt.runbook_chunks(active(rows), chunks)
 
 
 @query("rt3_chunk_documents", """SELECT doc_id, CAST(n AS INTEGER) AS chunk_no, md5(substring(text, n * 700 + 1, 800)) AS digest
@@ -47,31 +52,43 @@ def rt3(spark, sf_dir):
 
 
 def _searchable(rows):
-    queries = rows.select(F.col("incident").alias("q_id"), F.lit("").alias("grp"), F.col("vector").alias("q_vec"))
+    queries = active(rows).select(F.col("incident").alias("q_id"), F.lit("").alias("grp"), F.col("vector").alias("q_vec"))
     items = rows.select(F.col("incident").alias("i_id"), F.lit("").alias("grp"), F.col("vector").alias("i_vec"))
     return queries, items
 
 
-@query("rt4_exact_lists", f"""WITH {KNN.format(on='p.vec_id <> q.vec_id')}
+@query("rt4_exact_lists", f"""WITH {KNN.format(on='q.vec_id % 100 = 0 AND p.vec_id <> q.vec_id')}
 SELECT incident, past_incident, similarity, "rank" FROM rk WHERE "rank" <= 3""")
 def rt4(spark, sf_dir):
-    """Exact search over twenty lists; the bound decides which lists a query visits."""
+    """Exact search in blocks."""
     queries, items = _searchable(vectors(spark, sf_dir))
-    found = rt.nearest(queries, items, 3, lists=20, exclude_self=True)
+    found = rt.nearest(queries, items, 3, exclude_self=True)
     return found.select(F.col("q_id").alias("incident"), F.col("i_id").alias("past_incident"), "similarity", "rank")
 
 
-@query("rt4_ivf_assign")
+LISTS = """
+vc AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+ct AS (SELECT CAST(row_number() OVER (ORDER BY sha256('42|' || vec_id), vec_id) - 1 AS INTEGER) AS list, v FROM vc
+       ORDER BY sha256('42|' || vec_id), vec_id LIMIT 20),
+near AS (SELECT vec_id, vc.v, list, list_cosine_similarity(vc.v, ct.v) AS sim FROM vc CROSS JOIN ct),
+own AS (SELECT vec_id, any_value(v) AS v, arg_max(list, sim) AS list, max(sim) AS sim FROM near GROUP BY 1)"""
+
+
+@query("rt4_ivf_assign", f"WITH {LISTS} SELECT vec_id AS i_id, list, round(least(sim, 1.0), 5) AS cosine FROM own")
 def rt4b(spark, sf_dir):
     _, items = _searchable(vectors(spark, sf_dir))
     centroids = rt.sample_centroids(items, "i_id", "i_vec", 20)
-    return rt.ivf_assign(items, "i_id", "i_vec", centroids).select("i_id", "list", "angle")
+    return rt.ivf_assign(items, "i_id", "i_vec", centroids).select("i_id", "list", F.round(F.cos("angle"), 5).alias("cosine"))
 
 
-@query("rt4_ivf_probe")
+@query("rt4_ivf_probe", f"""WITH {LISTS},
+ask AS (SELECT vec_id, v, list FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC) AS rn FROM near WHERE vec_id % 100 = 0) WHERE rn <= 8),
+sm AS (SELECT a.vec_id AS q_id, o.vec_id AS i_id, round(list_cosine_similarity(a.v, o.v), 6) AS similarity FROM ask a JOIN own o ON a.list = o.list AND a.vec_id <> o.vec_id),
+rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY q_id ORDER BY similarity DESC, i_id) AS INTEGER) AS "rank" FROM sm)
+SELECT q_id, i_id, similarity, "rank" FROM rk WHERE "rank" <= 3""")
 def rt4c(spark, sf_dir):
     queries, items = _searchable(vectors(spark, sf_dir))
-    return rt.nearest(queries, items, 3, lists=20, exclude_self=True, probes=4)
+    return rt.nearest(queries, items, 3, exclude_self=True, lists=20, probes=8)
 
 
 @query("fb1_shadow_sample", """SELECT event_id FROM events

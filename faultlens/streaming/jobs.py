@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -160,11 +160,17 @@ class LateRows:
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         mark = self.watermark(batch_id)
-        late = F.lit(False) if mark is None else F.col(self.ts) < from_micros(F.lit(mark))
-        rows.filter(~late).write.mode("overwrite").parquet(f"{self.base}/rows/batch={batch_id}")
-        rows.filter(late).withColumn("reason", F.lit("late")).write.mode("overwrite").parquet(f"{self.base}/late/batch={batch_id}")
-        rows.agg(F.max(micros(F.col(self.ts))).alias("newest")).write.mode("overwrite").parquet(
-            f"{self.base}/seen/batch={batch_id}")
+        late = F.lit(False) if mark is None else F.coalesce(F.col(self.ts) < from_micros(F.lit(mark)), F.lit(False))
+        newest = Observation()
+        marked = rows.observe(newest, F.max(micros(F.col(self.ts))).alias("newest")).withColumn("late", late)
+        marked.write.mode("overwrite").partitionBy("late").parquet(f"{self.base}/rows/batch={batch_id}")
+        seen = self.spark.createDataFrame([(newest.get["newest"],)], "newest long")
+        seen.write.mode("overwrite").parquet(f"{self.base}/seen/batch={batch_id}")
+
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        """(rows in time, late rows with their reason)."""
+        rows = self.spark.read.parquet(f"{self.base}/rows").withColumn("late", F.col("late").cast("boolean"))
+        return rows.filter("not late").drop("late"), rows.filter("late").drop("late").withColumn("reason", F.lit("late"))
 
 
 class TemplateTable:
