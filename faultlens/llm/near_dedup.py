@@ -49,6 +49,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 def sketches(docs: DataFrame, width: int, sketch: int = SKETCH) -> DataFrame:
     """(doc_id, n_shingles, fp1, fp2, sketch) of each row; fp1 and fp2 identify the whole set."""
     def run(batches):
+        T.hold()
         for batch in batches:
             n, f, g, s = [], [], [], []
             for x in _sets(batch.column(1), width):
@@ -67,6 +68,7 @@ def sketches(docs: DataFrame, width: int, sketch: int = SKETCH) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
+        T.hold()
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from faultlens.session import run_dir
 
+BROADCAST_ROWS = 300_000  #: rows of a few numbers sent to every executor at most (about 15 MB)
+
 
 class Tables:
     """Tables written by one run; those no later step reads can be dropped again."""
@@ -22,6 +24,11 @@ class Tables:
         out.stored_at = path
         return out
 
+    def small(self, df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+        """A stored frame of a few numbers a row, to be broadcast if it has at most ``rows`` rows and joined by shuffle beyond."""
+        kept = self.keep(df)
+        return F.broadcast(kept) if kept.count() <= rows else kept
+
     def drop(self, *frames: DataFrame) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for df in frames:

@@ -64,6 +64,22 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
+_HELD: dict = {}
+
+
+def hold(key: str | None = None, make=None):
+    """An object that the tasks of a worker process share; a process holds one at a time.
+
+    Without a key the last one is let go, as tasks that need none do.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        if key is None:
+            return None
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 @dataclass
 class Words:
     """Words of some rows, in order: hash, row, first byte and byte past the end (within the row)."""

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +27,9 @@ def tokenizer_path(name: str = WORD_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     """The table of this worker process; its tasks share it."""
-    return WordIds(path)
+    return T.hold(path, lambda: WordIds(path))
 
 
 class WordIds:

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from faultlens.llm import textops as T
 from faultlens.llm.store import Tables, pick
 
 SAMPLE = 20_000  #: labelled documents the classifier is fitted on at most, those with the smallest hash of their id
@@ -171,6 +172,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        T.hold()
         for batch in batches:
             s = np.array([shared.value.score(t) for t in batch.column(1).to_pylist()], float)
             held = [d is not None and in_fold(d) for d in batch.column(0).to_pylist()]
@@ -185,6 +187,7 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches):
+        T.hold()
         for batch in batches:
             yield batch.filter(pa.array([shared.value.score(t) < THRESHOLD for t in batch.column(at).to_pylist()], pa.bool_()))
 
