@@ -1,6 +1,7 @@
 """Secrets in texts: fixed patterns, and strings that a battery of randomness tests takes for keys.
 
-A long run of key-like characters is read in the smallest encoding that holds it.  Three
+A long run of key-like characters, '=' only as padding at its end, is read in the smallest
+encoding that holds it, or in pieces if none does.  Three
 tests ask whether its symbols could be uniform and independent: chi-squared over the
 alphabet, runs above and below its middle, and serial correlation.  A run that passes must
 also be unlike the corpus: the likelihood ratio of the uniform to the corpus's own
@@ -24,7 +25,9 @@ from faultlens.llm.store import Tables, pick
 ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX_RUN = re.compile(r"[0-9a-f]{24,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?")  # '=' before more of a run parts a name from its value
+PIECES = tuple(re.compile(f"{c}{{20,}}") for c in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]"))
+PART = re.compile("[A-Za-z0-9]{20,}")
 ENCODINGS = (
     ("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("base62", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
@@ -58,6 +61,27 @@ def encoding(run: str):
     return None
 
 
+def readings(run: str):
+    """(start, end, name, symbol numbers, alphabet size, whether it passes the battery) of what a run may hold.
+
+    The run itself, or its longest pieces in either base64 alphabet if no alphabet holds all of
+    it.  Of what does not pass, parts between signs are read too: a key may have a name before it.
+    """
+    body = run.rstrip("=")
+    spans = [(0, len(body))] if encoding(run) else sorted({m.span() for p in PIECES for m in p.finditer(body)})
+    seen = set(spans)
+    for depth in (0, 1):
+        more = []
+        for a, z in spans:
+            name, x, size = encoding(body[a:z])
+            ok = battery(x, size) >= PASS
+            yield a, len(run) if z == len(body) else z, name, x, size, ok
+            if not ok and not depth:
+                more += [p for m in PART.finditer(body[a:z]) if (p := (a + m.start(), a + m.end())) not in seen]
+                seen.update(more)
+        spans = more
+
+
 def battery(x: list[int], size: int) -> float:
     """Probability of at least this much departure if symbols are uniform and independent (Fisher's combination)."""
     n = len(x)
@@ -130,7 +154,7 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
 
     Places are code points, the end exclusive.  ``found`` has runs of at least twenty key-like
     characters with an encoding's name that pass the battery and the false-discovery step and
-    do not overlap a base span.  Null and empty texts hold nothing; rows stand for themselves.
+    do not overlap a base span; pieces of one run in two alphabets may overlap each other.  Null and empty texts hold nothing; rows stand for themselves.
     """
     tables = Tables(docs.sparkSession, "secrets")
     text = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -147,12 +171,11 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
                 base.append([{"start": s, "end": e, "kind": k} for s, _, e, k in spans])
                 mine = []
                 for m in RUN.finditer(t):
-                    read = encoding(m[0]) if not any(s < m.end() and m.start() < e for s, _, e, _ in spans) else None
-                    if read is None or len(read[1]) < LENGTHS[0]:
-                        continue
-                    name, x, size = read
-                    away = bound(x, size, costs, m[0]) if battery(x, size) >= PASS else 0.0
-                    mine.append({"start": m.start(), "end": m.end(), "kind": name, "cls": _length_class(len(x)), "bin": min(BINS, int(away * 10))})
+                    for a, z, name, x, size, ok in readings(m[0]):
+                        if any(s < m.start() + z and m.start() + a < e for s, _, e, _ in spans):
+                            continue
+                        away = bound(x, size, costs, m[0][a:z]) if ok else 0.0
+                        mine.append({"start": m.start() + a, "end": m.start() + z, "kind": name, "cls": _length_class(len(x)), "bin": min(BINS, int(away * 10))})
                 tests.append(mine)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.list_(span)), pa.array(tests, pa.list_(test))], ["doc_id", "base", "tests"])
 
