@@ -91,19 +91,3 @@ def severity_for(conf: Column, limits: Column) -> Column:
     """Severity of the highest threshold the confidence reaches; NULL below all."""
     reached = F.filter(limits, lambda x: x["min"] <= conf)
     return F.get(F.reverse(F.sort_array(reached)), F.lit(0))["severity"]
-
-
-def sorted_median(values: Column) -> Column:
-    """Median of a sorted array; NULL for an empty one."""
-    n = F.size(values)
-    low = F.get(values, ((n - 1) / 2).cast("int"))
-    high = F.get(values, (n / 2).cast("int"))
-    return F.when(n > 0, (low + high) / 2)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    def dot(x: Column, y: Column) -> Column:
-        products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
-
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))

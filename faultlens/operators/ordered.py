@@ -2,19 +2,25 @@
 
 A plain ``Window.partitionBy(key)`` sorts every row of a key in one task, which
 fails once a single key holds a large share of the table.  The helpers below cut
-each key's timeline into fixed chunks:
-
-* bounded frames copy the rows near a chunk edge into the neighbouring chunk
-  (``halo_chunks``), so each chunk can be windowed on its own;
-* unbounded running values are computed inside each chunk and then shifted by a
-  carry taken from one summary row per chunk (``running``).
+each key's timeline into chunks:
+
+* bounded frames copy the rows near the edge of a chunk of time into the
+  neighbouring chunk (``halo_chunks``), so each chunk can be windowed on its own;
+* unbounded running values are computed inside chunks of equally many rows
+  (``balanced``) and then shifted by a carry taken from one summary row per chunk
+  (``running``), however the rows are spread over keys and time;
+* chains, where a row decides which later one counts, follow pointers inside such
+  chunks and then go on with the few rows at which a chunk is entered (``spaced``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,6 +29,7 @@ from faultlens.functions.columns import SECOND, bucket
 from faultlens.session import materialise
 
 HOUR = 3600 * SECOND
+CHUNK_ROWS = 500_000  #: narrow rows that one task follows pointers through
 
 
 def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -76,6 +83,18 @@ def previous_within(
     return out.filter("_own").drop("_chunk", "_own")
 
 
+def balanced(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "_chunk", rows: int | None = None) -> DataFrame:
+    """The rows, stored, with the number of their range of ``(keys, order)``.
+
+    Ranges hold about equally many rows, so a key or a minute with most of the table is cut
+    into many; rows that agree in all of ``keys`` and ``order`` share one.  There are as many
+    as shuffle partitions, or one for every ``rows`` rows.
+    """
+    by = [F.col(c) for c in (*keys, *order)]
+    cut = df.repartitionByRange(*by) if rows is None else df.repartitionByRange(max(1, ceil(df.count() / rows)), *by)
+    return materialise(cut.withColumn(name, F.spark_partition_id()), "ranges")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -86,8 +105,9 @@ def running(
 ) -> DataFrame:
     """Running sum, max or last non-null value per key over the whole history.
 
-    ``chunk`` must not decrease along ``order``.  Only one summary row per chunk
-    is sorted per key; the rows themselves are sorted inside their own chunk.
+    ``chunk`` must not decrease along ``order``; ``balanced`` numbers chunks that way.
+    Only one summary row per chunk is sorted per key; the rows themselves are sorted
+    inside their own chunk.
     """
     frame = W.partitionBy(*keys, chunk).orderBy(*order)
     frame = frame.rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
@@ -280,77 +300,105 @@ def islands(
     return out.drop("_chunk", "_reach", "_begins")
 
 
-def spaced(
-    df: DataFrame, keys: Sequence[str], us: str, gap_us: int, chunk_us: int = 24 * HOUR,
-) -> DataFrame:
+def _thinned(code: np.ndarray, us: np.ndarray, gap_us: int) -> np.ndarray:
+    """Greedy thinning of rows sorted by key number and time, each key from its first row."""
+    kept, bounds = [], np.append(np.flatnonzero(np.diff(code, prepend=-1)), len(code))
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        while lo < hi:
+            kept.append(lo)
+            lo += int(np.searchsorted(us[lo:hi], us[lo] + gap_us))
+    return np.array(kept, int)
+
+
+def _places(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """The rows by key and time, and for each the place of its next row, its own if that lies in another chunk."""
+    pdf = pdf.sort_values(["_key", "_us"], ignore_index=True)
+    at = pd.Series(pdf.index, index=pd.MultiIndex.from_frame(pdf[["_key", "_us"]]))
+    found = at.reindex(pd.MultiIndex.from_arrays([pdf["_key"], pdf["_next"].fillna(pdf["_us"].min() - 1).astype("int64")])).to_numpy()
+    return pdf, np.where(np.isnan(found), np.arange(len(pdf)), found).astype(int)
+
+
+def _leave(pdf: pd.DataFrame) -> pd.DataFrame:
+    """``_out``: where a chunk is left by the chain that enters it at each row."""
+    pdf, step = _places(pdf)
+    while True:
+        further = step[step]
+        if (further == step).all():
+            return pdf.assign(_out=pdf["_next"].to_numpy()[step])
+        step = further
+
+
+def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The rows on the chains that enter the chunk at its marked rows."""
+    pdf, step = _places(pdf)
+    on = np.zeros(len(pdf), bool)
+    for at in np.flatnonzero(pdf["_enters"].to_numpy(bool)).tolist():
+        while not on[at]:
+            on[at] = True
+            at = int(step[at])
+    return pdf.loc[on, ["_key", "_us"]]
+
+
+def _chain(nodes: DataFrame, rows: int) -> DataFrame:
+    """Rows ``(_key, _us)`` that a key's ``_first`` row leads to, itself included, by ``_next`` pointers to later times.
+
+    A round cuts the rows into balanced chunks and replaces each pointer by the one that leaves
+    the chunk; only rows some pointer then leads to go on to the next round.  Once one
+    chunk is left its chains are followed, and the rounds are undone in turn: a chunk's
+    chains are followed from the rows at which the round after entered it.
+    """
+    fields = "_key string, _us long"
+    levels, n = [], None
+    while True:
+        level = balanced(nodes, ["_key"], ["_us"], rows=rows)
+        levels.append(level)
+        size = level.count()
+        if n is not None and 2 * size > n:
+            rows *= 2  # a gap holds most of a chunk's rows: longer chunks
+        n = size
+        if n <= rows and level.select(F.max("_chunk")).first()[0] in (None, 0):
+            break
+        left = materialise(level.groupBy("_chunk").applyInPandas(
+            lambda pdf: _leave(pdf)[["_key", "_us", "_first", "_out"]], f"{fields}, _first boolean, _out long"), "left")
+        targets = left.filter("_out IS NOT NULL").select("_key", F.col("_out").alias("_us")).distinct()
+        led = left.join(targets.withColumn("_led", F.lit(True)), ["_key", "_us"], "left").filter("_first OR _led")
+        nodes = led.select("_key", "_us", "_first", F.col("_out").alias("_next"))
+    enters = levels[-1].filter("_first").select("_key", "_us")
+    for level in reversed(levels):
+        marked = level.join(enters.withColumn("_enters", F.lit(True)), ["_key", "_us"], "left").select(
+            "_key", "_us", "_next", "_chunk", F.coalesce("_enters", F.lit(False)).alias("_enters"))
+        enters = marked.groupBy("_chunk").applyInPandas(_follow, fields)
+    return enters
+
+
+def spaced(df: DataFrame, keys: Sequence[str], us: str, gap_us: int, rows: int = CHUNK_ROWS) -> DataFrame:
     """Greedy thinning: keep a row if it is ``gap`` or more after the last kept one.
 
-    The outcome of a chunk depends on earlier chunks only through the last kept
-    time, and that can matter only for rows in the chunk's first ``gap``.  So each
-    chunk first works out, for every row that may come first, which row it would
-    keep last; the chunks of a key are then chained over these short tables, and a
-    second pass replays each chunk from its now known entry.  Rows of equal time
-    behave alike, so distinct times are what is folded.  Meant for regularised
-    samples, of which a chunk holds at most chunk / interval per series.  Returns
-    distinct ``(keys, us)`` of the kept rows.
+    Distinct times are cut into chunks of about ``rows``.  Keys that lie in one chunk are
+    thinned there.  For a key that is cut, the row kept after each one is the first that is
+    ``gap`` or more later, whether it is kept or not: a pointer, found by one running value
+    over all chunks.  Which rows the chain from the first one meets is ``_chain``'s work.
+    Returns distinct ``(keys, us)`` of the kept rows; a NULL key is a key like any other.
     """
-    chunk_us = max(chunk_us, gap_us)
-    times = df.select(*keys, F.col(us).alias("_us")).distinct()
-    per_chunk = (
-        times.groupBy(*keys, bucket(F.col("_us"), chunk_us).alias("_chunk"))
-        .agg(F.sort_array(F.collect_list("_us")).alias("_ts"))
-    )
-
-    def last_kept(ts: Column, entry: Column) -> Column:
-        return F.aggregate(ts, entry, lambda last, t: F.when(
-            last.isNull() | (t - last >= gap_us), t).otherwise(last))
-
-    none = F.lit(None).cast("long")
-    # Possible first rows: those in the first `gap` of the chunk and the next one after.
-    edge = F.col("_chunk") * chunk_us + gap_us
-    early = F.filter("_ts", lambda t: t < edge)
-    later = F.slice(F.filter("_ts", lambda t: t >= edge), 1, 1)
-    table = F.transform(
-        F.concat(early, later),
-        lambda first: F.struct(
-            first.alias("first"),
-            last_kept(F.filter("_ts", lambda t: t >= first), none).alias("last"),
-        ),
-    )
-    steps = per_chunk.select(*keys, "_chunk", table.alias("_table"))
-
-    def leave(entry: Column, table: Column) -> Column:
-        usable = F.filter(table, lambda s: entry.isNull() | (s["first"] - entry >= gap_us))
-        return F.coalesce(F.get(usable, F.lit(0))["last"], entry)
-
-    chain = steps.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("_chunk", "_table"))).alias("_steps")
-    )
-    start = F.struct(none.alias("exit"), F.expr("cast(array() as array<struct<_chunk:bigint,_entry:bigint>>)").alias("seen"))
-    walked = F.aggregate(
-        "_steps",
-        start,
-        lambda acc, s: F.struct(
-            leave(acc["exit"], s["_table"]).alias("exit"),
-            F.concat(acc["seen"], F.array(F.struct(s["_chunk"].alias("_chunk"), acc["exit"].alias("_entry")))).alias("seen"),
-        ),
-        lambda acc: acc["seen"],
-    )
-    entries = chain.select(*keys, F.inline(walked))
-
-    def fold(ts: Column, entry: Column) -> Column:
-        init = F.struct(entry.alias("last"), F.expr("cast(array() as array<bigint>)").alias("kept"))
-        return F.aggregate(
-            ts,
-            init,
-            lambda acc, t: F.when(
-                acc["last"].isNull() | (t - acc["last"] >= gap_us),
-                F.struct(t.alias("last"), F.concat(acc["kept"], F.array(t)).alias("kept")),
-            ).otherwise(acc),
-            lambda acc: acc["kept"],
-        )
-
-    return (
-        per_chunk.join(entries, [*keys, "_chunk"])
-        .select(*keys, F.explode(fold(F.col("_ts"), F.col("_entry"))).alias(us))
-    )
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    names = df.select(*keys, F.col(us).alias("_us")).filter("_us IS NOT NULL").distinct().withColumn("_key", key)
+    names = materialise(names, "times")
+    times = balanced(names.select("_key", "_us"), ["_key"], ["_us"], rows=rows)
+    cut = times.groupBy("_key").agg(F.min("_us").alias("_start"), F.min("_chunk").alias("_lo"), F.max("_chunk").alias("_hi")).filter("_lo < _hi")
+    cut = materialise(cut.select("_key", "_start"), "cut")  # no more keys than chunks
+    whole = times.join(F.broadcast(cut), "_key", "left_anti") if cut.limit(1).count() else times
+
+    def thin(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_key", "_us"], ignore_index=True)
+        return pdf.iloc[_thinned(pd.factorize(pdf["_key"])[0], pdf["_us"].to_numpy(), gap_us)][["_key", "_us"]]
+
+    kept = whole.groupBy("_chunk").applyInPandas(thin, "_key string, _us long")
+    if whole is not times:
+        long = times.join(F.broadcast(cut), "_key").select("_key", "_us", (F.col("_us") == F.col("_start")).alias("_first"))
+        none = F.lit(None).cast("long")
+        seen = long.select("_key", (-F.col("_us")).alias("_back"), F.lit(0).alias("_side"), F.col("_us").alias("_at"), none.alias("_us"), F.lit(None).cast("boolean").alias("_first"))
+        asks = long.select("_key", (-F.col("_us") - gap_us).alias("_back"), F.lit(1).alias("_side"), none.alias("_at"), "_us", "_first")
+        both = balanced(seen.unionByName(asks), ["_key"], ["_back", "_side", "_us"], rows=rows)
+        nodes = running(both, ["_key"], "_chunk", ["_back", "_side", "_us"], {"_next": ("last", F.col("_at"))}).filter("_side = 1")
+        kept = kept.unionByName(_chain(nodes.select("_key", "_us", "_first", "_next"), rows))
+    return names.join(kept, ["_key", "_us"], "left_semi").select(*keys, F.col("_us").alias(us))

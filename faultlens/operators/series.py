@@ -8,13 +8,17 @@ in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from faultlens.functions.columns import SECOND, bucket, from_micros, series_key, sorted_median
-from faultlens.operators.ordered import HOUR, framed, interval_join, previous_within
+from faultlens.functions.columns import SECOND, bucket, from_micros, series_key
+from faultlens.operators.ordered import HOUR, framed, halo_chunks, interval_join, previous_within
+from faultlens.operators.ranks import WindowRanks
 
 MAD_SCALE = 1.4826
 DAY_S = 86_400
@@ -87,9 +91,46 @@ def ratio_of_rates(counts: DataFrame, keys: Sequence[str], us: str, part: str, t
     return sums.withColumn(name, F.when(F.col("_t") > 0, F.col("_p") / F.col("_t"))).drop("_p", "_t")
 
 
+def _over_windows(samples: DataFrame, keys: Sequence[str], us: str, value: str, window_s: int, added: str,
+                  compute: Callable[[WindowRanks, np.ndarray, np.ndarray], dict]) -> DataFrame:
+    """Columns ``added`` computed from the ranks of the values in each row's window.
+
+    A task gets a chunk of one series and the window before it.  ``compute(ranks, lo, hi)``
+    answers for windows that hold a value; other rows get NULL.  NULL and NaN values
+    belong to no window.
+    """
+    w = window_s * SECOND
+    out = halo_chunks(samples, us, max(w, HOUR), w)
+    fields = StructType.fromDDL(added)
+    schema = StructType([*samples.schema.fields, *fields.fields])
+    kept, names = samples.columns, fields.names
+
+    def run(group: pa.Table) -> pa.Table:
+        at = group.column(us).to_numpy()
+        v = group.column(value).cast(pa.float64()).to_numpy()
+        held = np.flatnonzero(~np.isnan(v))
+        held = held[np.argsort(at[held], kind="stable")]
+        own = np.flatnonzero(group.column("_own").to_numpy())
+        lo, hi = np.searchsorted(at[held], at[own] - w, "left"), np.searchsorted(at[held], at[own], "right")
+        full = hi > lo
+        got = {}
+        if full.any():
+            got = compute(WindowRanks(v[held]), lo[full], hi[full])
+        rows = group.take(pa.array(own)).select(kept)
+        for name in names:
+            column = np.full(len(own), np.nan)
+            if name in got:
+                column[full] = got[name]
+            rows = rows.append_column(name, pa.array(column, from_pandas=True))
+        return rows
+
+    return out.groupBy(*keys, "_chunk").applyInArrow(run, schema)
+
+
 def quantile_over_time(samples: DataFrame, keys: Sequence[str], us: str, value: str, q: float,
                        window_s: int) -> DataFrame:
-    return framed(samples, keys, us, {"quantile": F.percentile(value, q)}, window_s * SECOND)
+    """Quantile of the window with linear interpolation, from ranks: the work per row does not grow with the window."""
+    return _over_windows(samples, keys, us, value, window_s, "quantile double", lambda r, lo, hi: {"quantile": r.quantile(lo, hi, q)})
 
 
 def rolling_zscore(samples: DataFrame, keys: Sequence[str], us: str, value: str, window_s: int = 300) -> DataFrame:
@@ -103,14 +144,14 @@ def rolling_mad(samples: DataFrame, keys: Sequence[str], us: str, value: str, wi
                 k: float = 3.0) -> DataFrame:
     """Median and median absolute deviation of the window, and the outlier flag.
 
-    The frame's values are one small array per row (window / interval entries at
-    most), so the deviations from the row's own median need no second join.
+    Both are selected by rank; the deviations of a window are never laid out.
     """
-    out = framed(samples, keys, us, {"_v": F.collect_list(value)}, window_s * SECOND)
-    out = out.withColumn("_v", F.sort_array("_v"))
-    out = out.withColumn("median", sorted_median(F.col("_v")))
-    spread = F.sort_array(F.transform("_v", lambda x: F.abs(x - F.col("median"))))
-    out = out.withColumn("mad", sorted_median(spread)).drop("_v")
+    def compute(ranks: WindowRanks, lo: np.ndarray, hi: np.ndarray) -> dict:
+        n = hi - lo
+        median = (ranks.kth(lo, hi, (n - 1) // 2) + ranks.kth(lo, hi, n // 2)) / 2
+        return {"median": median, "mad": (ranks.deviation(lo, hi, median, (n - 1) // 2) + ranks.deviation(lo, hi, median, n // 2)) / 2}
+
+    out = _over_windows(samples, keys, us, value, window_s, "median double, mad double", compute)
     far = F.abs(F.col(value) - F.col("median")) > F.lit(k * MAD_SCALE) * F.col("mad")
     return out.withColumn("is_outlier", far)
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultlens.functions.columns import SECOND, bucket, from_micros, micros
-from faultlens.operators.ordered import HOUR, running
+from faultlens.functions.columns import SECOND, from_micros, micros
+from faultlens.operators.ordered import balanced, running
 from faultlens.sources.kafka import LOG_PRODUCER, SIGNAL_PRODUCER, keyed_json
 
 # --- fixed values: topic -> (retention in hours, byte cap per partition) -------
@@ -99,16 +99,19 @@ def upsert_incidents(existing: DataFrame, updates: DataFrame, keys: Sequence[str
 
 
 def expire(rows: DataFrame, ts: str, as_of: Column, retention_h: int, max_bytes: int, size: Column,
-           keys: Sequence[str] = (), tie: Sequence[str] = (), chunk_us: int = HOUR) -> DataFrame:
-    """Rows that survive retention: young enough, and among the newest ``max_bytes``.
+           keys: Sequence[str] = (), tie: Sequence[str] = ()) -> DataFrame:
+    """Rows that survive retention: young enough, and among the newest ``max_bytes`` of their key.
 
-    The byte total runs from newest to oldest over time chunks.
+    The byte total runs from newest to oldest over chunks of equally many rows, whatever
+    the share of one key or one moment.  Rows of equal time go by ``tie``, then by a hash.
     """
     oldest = micros(as_of) - retention_h * 3600 * SECOND
     young = rows.filter(F.col(ts).cast("timestamp") >= from_micros(oldest)) \
-        .withColumn("_age", -micros(F.col(ts))).withColumn("_chunk", bucket(F.col("_age"), chunk_us))
-    total = running(young, list(keys), "_chunk", ["_age", *tie], {"_bytes": ("sum", size.cast("long"))})
-    return total.filter(F.col("_bytes") <= max_bytes).drop("_age", "_chunk", "_bytes")
+        .withColumn("_age", -micros(F.col(ts))).withColumn("_tie", F.xxhash64(*rows.columns))
+    order = ["_age", *tie, "_tie"]
+    young = balanced(young, list(keys), order)
+    total = running(young, list(keys), "_chunk", order, {"_bytes": ("sum", size.cast("long"))})
+    return total.filter(F.col("_bytes") <= max_bytes).drop("_age", "_tie", "_chunk", "_bytes")
 
 
 __all__ = ["RETENTION", "expire", "latest_per_key", "parsed_log_records", "signal_records",

@@ -79,19 +79,61 @@ def test_interval_join(spark, frame, rows):
     assert len(out) == len(want) and {(r["id"], r["r_id"]) for r in out} == want
 
 
-@pytest.mark.parametrize("chunk_s", [600, 86_400])
-def test_spaced(frame, rows, chunk_s):
-    out = o.spaced(frame, ["key"], "us", 300 * S, chunk_s * S).collect()
+def thinned(rows, gap):
     want = set()
     for key, group in by_key(rows).items():
         last = None
         for r in group:
-            if last is None or r[1] - last >= 300 * S:
+            if last is None or r[1] - last >= gap:
                 last = r[1]
                 want.add((key, last))
+    return want
+
+
+@pytest.mark.parametrize("chunk", [40, 500_000])
+@pytest.mark.parametrize("gap_s", [1, 300, 20_000])
+def test_spaced(frame, rows, gap_s, chunk):
+    out = o.spaced(frame, ["key"], "us", gap_s * S, chunk).collect()
+    want = thinned(rows, gap_s * S)
     assert len(out) == len(want) and {(r["key"], r["us"]) for r in out} == want
 
 
+def crowded(n=3000):
+    """One key holds nine tenths of the rows in one minute, one is regular, one has no name."""
+    rng = random.Random(8)
+    rows = [("hot", 50_000 * S + rng.randrange(60 * S), i, 0.0) for i in range(9 * n // 10)]
+    rows += [("hot", rng.randrange(100_000) * S, n + i, 0.0) for i in range(n // 20)]
+    return rows + [(k, i * 60 * S, 2 * n + i, 0.0) for i in range(n // 40) for k in ("even", None)]
+
+
+def test_spaced_of_one_crowded_minute(spark):
+    rows = crowded()
+    df = spark.createDataFrame(rows, "key string, us long, id long, v double")
+    for gap_s, chunk in ((1, 100), (7, 64), (300, 100), (3600, 300)):
+        out = o.spaced(df, ["key"], "us", gap_s * S, chunk).collect()
+        want = thinned(rows, gap_s * S)
+        assert len(out) == len(want) and {(r["key"], r["us"]) for r in out} == want
+
+
+def test_balanced_chunks_are_even_and_ordered(spark):
+    df = spark.createDataFrame(crowded(), "key string, us long, id long, v double")
+    got = o.balanced(df, ["key"], ["us", "id"], rows=100).groupBy("_chunk").agg(
+        F.count("*").alias("n"), F.min(F.struct("key", "us", "id")).alias("lo"), F.max(F.struct("key", "us", "id")).alias("hi")).orderBy("_chunk").collect()
+    assert len(got) > 20 and max(r["n"] for r in got) <= 4 * sum(r["n"] for r in got) / len(got)
+    place = lambda r: (r["key"] is not None, r["key"] or "", r["us"], r["id"])
+    assert all(place(a["hi"]) < place(b["lo"]) for a, b in zip(got, got[1:]))
+
+
+def test_expire_counts_bytes_of_a_crowded_minute(spark):
+    from faultlens.sources.sinks import expire
+
+    rows = crowded()
+    df = spark.createDataFrame(rows, "key string, us long, id long, v double").withColumn("ts", F.timestamp_micros("us"))
+    out = expire(df, "ts", F.timestamp_seconds(F.lit(100_000)), 24, 700, F.lit(1), tie=["id"]).collect()
+    newest = sorted((r for r in rows if r[1] >= 13_600 * S), key=lambda r: (-r[1], r[2]))
+    assert {r["id"] for r in out} == {r[2] for r in newest[:700]} and out[0].asDict().keys() == {"key", "us", "id", "v", "ts"}
+
+
 def test_spaced_boundary(spark):
     df = spark.createDataFrame([("a", t * S) for t in (0, 299, 300, 599, 600)], "key string, us long")
     assert sorted(r["us"] // S for r in o.spaced(df, ["key"], "us", 300 * S).collect()) == [0, 300, 600]
