@@ -167,27 +167,23 @@ def alerts_to_signals(alerts: DataFrame, as_of: Column | None = None,
     )
 
 
-def outcome(names: AlertLabels = LABELS) -> Column:
-    """What becomes of an alert: filtered, invalid or published."""
-    return (
-        F.when(~is_flagged(names), F.lit("filtered"))
-        .when(~is_valid(), F.lit("invalid"))
-        .otherwise(F.lit("published"))
-    )
-
-
-def counter_columns(names: AlertLabels = LABELS) -> list[Column]:
-    """Aggregates for ``groupBy().agg`` or ``DataFrame.observe``."""
-    result = outcome(names)
+def outcome(names: AlertLabels = LABELS, failed: Column | None = None) -> Column:
+    """What becomes of an alert: filtered, invalid, published, or a publish error where ``failed`` holds."""
+    out = F.when(~is_flagged(names), F.lit("filtered")).when(~is_valid(), F.lit("invalid"))
+    if failed is not None:
+        out = out.when(failed, F.lit("publish_errors"))
+    return out.otherwise(F.lit("published"))
 
-    def count(word: str) -> Column:
-        return F.sum((result == word).cast("long")).alias(word)
 
-    return [F.count(F.lit(1)).alias("received"), count("filtered"), count("invalid"), count("published")]
+def counter_columns(names: AlertLabels = LABELS, failed: Column | None = None) -> list[Column]:
+    """Aggregates for ``groupBy().agg`` or ``DataFrame.observe``; received is the sum of the others."""
+    result = outcome(names, failed)
+    words = ("filtered", "invalid", "published", "publish_errors")
+    return [F.count(F.lit(1)).alias("received"), *[F.coalesce(F.sum((result == word).cast("long")), F.lit(0)).alias(word) for word in words]]
 
 
-def alert_counters(alerts: DataFrame, names: AlertLabels = LABELS) -> DataFrame:
-    return alerts.agg(*counter_columns(names))
+def alert_counters(alerts: DataFrame, names: AlertLabels = LABELS, failed: Column | None = None) -> DataFrame:
+    return alerts.agg(*counter_columns(names, failed))
 
 
 def invalid_ratio(alerts: DataFrame, at: str, window_s: int = 900, limit: float = 0.05,

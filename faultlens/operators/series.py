@@ -9,6 +9,7 @@ in one task.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -198,3 +199,29 @@ def active_streams(samples: DataFrame, exact: bool = True) -> DataFrame:
 
 def emitted_by_severity(signals: DataFrame) -> DataFrame:
     return signals.groupBy("severity").agg(F.count(F.lit(1)).alias("emitted"))
+
+
+def collector_counters(answers: DataFrame, samples: DataFrame, scored: DataFrame, hits: DataFrame, emitted: DataFrame,
+                       failed: Column | None = None, status: str = "status") -> DataFrame:
+    """The collector's counters ``(counter, severity, n)``; severity is set for what was emitted.
+
+    ``answers`` are polls with their status, ``hits`` scored anomalies, ``emitted`` those
+    outside the cooldown, ``failed`` tells which of them could not be published.
+    """
+    failed = F.lit(False) if failed is None else failed
+
+    def rows(df: DataFrame, **counts: Column) -> DataFrame:
+        one = df.agg(*[F.coalesce(c.cast("long"), F.lit(0)).alias(n) for n, c in counts.items()])
+        pairs = F.array(*[F.struct(F.lit(n).alias("counter"), F.lit(None).cast("string").alias("severity"), F.col(n).alias("n")) for n in counts])
+        return one.select(F.inline(pairs))
+
+    every = F.count(F.lit(1))
+    by_severity = emitted.filter(~failed).groupBy("severity").agg(every.alias("n")).select(F.lit("emitted").alias("counter"), "severity", "n")
+    suppressed = rows(hits, all=every).join(rows(emitted, all=every).select("counter", F.col("n").alias("m")), "counter") \
+        .select(F.lit("suppressed_cooldown").alias("counter"), "severity", (F.col("n") - F.col("m")).alias("n"))
+    parts = [
+        rows(answers, polls=every, poll_errors=F.count_if(F.coalesce(F.col(status) != "success", F.lit(True)))),
+        rows(samples, samples_received=every, active_streams=F.count_distinct("series")),
+        rows(scored, samples_scored=every), by_severity, suppressed, rows(emitted, publish_errors=F.count_if(failed)),
+    ]
+    return reduce(DataFrame.unionByName, parts)

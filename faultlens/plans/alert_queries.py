@@ -229,9 +229,12 @@ def al12(spark, sf_dir):
 
 @query("al13_alert_counters", f"""WITH {ALERTS}
 SELECT 2 * count(*) AS received, count(*) + count(*) FILTER (NOT flagged) AS filtered,
-  count(*) FILTER (flagged AND NOT valid) AS invalid, count(*) FILTER (flagged AND valid) AS published FROM al""")
+  count(*) FILTER (flagged AND NOT valid) AS invalid, count(*) FILTER (flagged AND valid AND value <= 150) AS published,
+  count(*) FILTER (flagged AND valid AND value > 150) AS publish_errors FROM al""")
 def al13(spark, sf_dir):
-    return al.alert_counters(parsed_alerts(spark, sf_dir))
+    """Signals of large values stand for those that cannot be published."""
+    ev = twins.events(spark, sf_dir).select("event_id", "value")
+    return al.alert_counters(parsed_alerts(spark, sf_dir).join(ev, "event_id", "left"), failed=F.coalesce(F.col("value") > 150, F.lit(False)))
 
 
 @query("al14_invalid_ratio", f"""WITH {ALERTS},

@@ -9,7 +9,7 @@ from faultlens.operators import topology as gr
 from faultlens.plans import twins
 from faultlens.plans.registry import query
 from faultlens.plans.twins import EVENTS, INCIDENT_PARTS
-from faultlens.session import materialise
+from faultlens.session import run_dir
 from faultlens.sources.sinks import expire, upsert_incidents
 
 
@@ -310,10 +310,13 @@ def gr4(spark, sf_dir):
 @query("snk3_upsert_incidents", """SELECT o_custkey AS incident_id, o_orderkey, o_orderdate AS updated_at, o_totalprice AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
 def snk3(spark, sf_dir):
+    """Three upserts into a table on disk: the newest row of each incident, whenever it came."""
     rows = twins.table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("incident_id"), "o_orderkey", F.col("o_orderdate").alias("updated_at"), F.col("o_totalprice").alias("score"), "o_orderstatus")
-    old, new = rows.filter("o_orderstatus = 'F'"), rows.filter("o_orderstatus <> 'F'")
-    return upsert_incidents(old, new, ["incident_id"], ["updated_at", "o_orderkey"]).drop("o_orderstatus")
+    path = run_dir(spark, "incidents")
+    for status in ("F", "O", "P"):
+        table = upsert_incidents(rows.filter(F.col("o_orderstatus") == status).drop("o_orderstatus"), path, version=("updated_at", "o_orderkey"), buckets=8)
+    return table.rows()
 
 
 @query("snk4_expire", f"""WITH {EVENTS},

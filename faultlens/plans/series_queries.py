@@ -8,6 +8,7 @@ from faultlens.operators import series as ts
 from faultlens.operators.forest import fit_isolation_forest, score_isolation_forest
 from faultlens.plans import twins
 from faultlens.plans.registry import query
+from faultlens.session import materialise
 from faultlens.sources.records import samples_from_query_results, slis_frame, slis_with_defaults
 
 EVENT_TYPES = ["signup", "error", "click", "view", "purchase"]
@@ -44,6 +45,14 @@ raw AS (
 smp AS (SELECT * FROM raw WHERE k % 10 NOT IN (0, 1, 3))"""
 
 
+def spaced_sql(source, gap_us):
+    return f"""
+nxt AS (SELECT series, us, min(us) OVER (PARTITION BY series ORDER BY us
+          RANGE BETWEEN {gap_us} FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM {source}),
+kept AS (SELECT series, min(us) AS us FROM {source} GROUP BY 1
+         UNION ALL SELECT kept.series, nxt.nx FROM kept JOIN nxt ON kept.series = nxt.series AND kept.us = nxt.us WHERE nxt.nx IS NOT NULL)"""
+
+
 def samples(spark, sf_dir):
     return ts.clean_samples(samples_from_query_results(query_answers(spark, sf_dir), slis(spark)))
 
@@ -224,6 +233,30 @@ def ts12(spark, sf_dir):
     return ts.emitted_by_severity(judged.filter("severity IS NOT NULL"))
 
 
+@query("ts12_collector_counters", f"""WITH RECURSIVE {RAW},
+reg AS (SELECT event_type AS series, us // 60000000 * 60000000 AS slot_us, max(us) AS us, arg_max(value, us) AS value FROM ev GROUP BY 1, 2),
+cnt AS (SELECT series, us, value, count(*) OVER (PARTITION BY series ORDER BY us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS n_history FROM reg),
+warm AS (SELECT * FROM cnt WHERE n_history >= 60),
+hit AS (SELECT series, us, value, CASE WHEN value > 120 THEN 'critical' ELSE 'info' END AS severity FROM warm WHERE value > 40),
+{spaced_sql('hit', 300_000_000)},
+sent AS (SELECT hit.* FROM hit JOIN kept ON hit.series = kept.series AND hit.us = kept.us)
+SELECT 'polls' AS counter, NULL::VARCHAR AS severity, count(*) AS n FROM ev
+UNION ALL SELECT 'poll_errors', NULL, count(*) FILTER (k % 17 = 0) FROM ev
+UNION ALL SELECT 'samples_received', NULL, count(*) FROM smp
+UNION ALL SELECT 'active_streams', NULL, count(DISTINCT sli_id || '|' || labels) FROM smp
+UNION ALL SELECT 'samples_scored', NULL, count(*) FROM warm
+UNION ALL SELECT 'emitted', severity, count(*) FROM sent WHERE value <= 150 GROUP BY severity
+UNION ALL SELECT 'suppressed_cooldown', NULL, (SELECT count(*) FROM hit) - (SELECT count(*) FROM sent)
+UNION ALL SELECT 'publish_errors', NULL, count(*) FILTER (value > 150) FROM sent""")
+def ts12b(spark, sf_dir):
+    """All eight counters; what is a hit, and what fails to be published, is read off the values."""
+    answers = query_answers(spark, sf_dir).select(F.get_json_object("value", "$.status").alias("status"))
+    warm = dt.warm_gate(regular(spark, sf_dir), ["series"], min_samples=60)
+    hits = materialise(warm.filter("value > 40").withColumn("severity", F.when(F.col("value") > 120, "critical").otherwise("info")), "hits")
+    sent = materialise(dt.cooldown(hits, ["series"]), "sent")
+    return ts.collector_counters(answers, ts.with_series(samples(spark, sf_dir)), warm, hits, sent, F.col("value") > 150)
+
+
 @query("jn8_sli_enrich", f"""WITH {twins.EVENTS}
 SELECT 'sli_' || event_type AS sli_id, event_type || '_total' AS metric,
   CASE WHEN event_type = 'error' THEN 43200 ELSE 86400 END AS baseline_window_s, count(*) AS n FROM ev GROUP BY ALL""")
@@ -254,20 +287,35 @@ def dt2(spark, sf_dir):
     return dt.warm_gate(regular(spark, sf_dir), ["series"], min_samples=60).select("series", "us", "n_history")
 
 
-def spaced_sql(source, gap_us):
-    return f"""
-nxt AS (SELECT series, us, min(us) OVER (PARTITION BY series ORDER BY us
-          RANGE BETWEEN {gap_us} FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM {source}),
-kept AS (SELECT series, min(us) AS us FROM {source} GROUP BY 1
-         UNION ALL SELECT kept.series, nxt.nx FROM kept JOIN nxt ON kept.series = nxt.series AND kept.us = nxt.us WHERE nxt.nx IS NOT NULL)"""
-
-
 @query("dt3_refit_schedule", f"WITH RECURSIVE {WARM}, {spaced_sql('warm', 3_600_000_000)} SELECT series, us FROM kept")
 def dt3(spark, sf_dir):
     warm = dt.warm_gate(regular(spark, sf_dir), ["series"], min_samples=60)
     return dt.refit_schedule(warm, ["series"]).select("series", "us")
 
 
+OWN = """own AS (SELECT series, us, value, CASE WHEN series = 'error' THEN 43200000000 ELSE 86400000000 END AS w FROM reg)"""
+
+
+@query("dt14_own_windows", f"""WITH RECURSIVE {REG}, {OWN},
+cnt AS (SELECT series, us, count(*) OVER (PARTITION BY series ORDER BY us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS n FROM own WHERE w = 86400000000
+        UNION ALL SELECT series, us, count(*) OVER (PARTITION BY series ORDER BY us RANGE BETWEEN 43200000000 PRECEDING AND CURRENT ROW) FROM own WHERE w = 43200000000),
+warm AS (SELECT series, us, n FROM cnt WHERE n >= 30), {spaced_sql('warm', 3_600_000_000)}
+SELECT kept.series, kept.us, n AS n_history FROM kept JOIN warm ON kept.series = warm.series AND kept.us = warm.us""")
+def dt14b(spark, sf_dir):
+    """Refit times of the batch detector, each SLI by its own window; samples are polled once a minute, as the detector does."""
+    own = slis(spark).select(F.regexp_replace("id", "sli_", "").alias("series"), "baseline_window_s")
+    warm = dt.warm_gate(regular(spark, sf_dir).join(own, "series"), ["series"], "us", "baseline_window_s", 30)
+    return dt.refit_schedule(warm, ["series"]).join(warm, ["series", "us"]).select("series", "us", "n_history")
+
+
+@query("dt14_detect_own_settings")
+def dt14c(spark, sf_dir):
+    """Anomalies of events polled once a minute, errors with a window, a period and limits of their own."""
+    ev = twins.events(spark, sf_dir).withColumn("series", F.col("event_type"))
+    own = slis(spark).withColumn("series", F.regexp_replace("id", "sli_", ""))
+    return dt.detect(ts.regularise(ev, ["series"]), ["series"], min_samples=60, trees=50, settings=own)
+
+
 DECOMPOSED = REG_HOUR + """,
 blk AS (SELECT *, slot_us // 864000000000 AS block, (slot_us // 3600000000) % 24 AS phase FROM reg),
 trd AS (SELECT *, avg(value) OVER (PARTITION BY series, block ORDER BY slot_us ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING) AS trend FROM blk),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faultlens.functions.columns import SECOND, from_micros, micros
 from faultlens.operators.ordered import balanced, running
+from faultlens.sources.manifest import KeyedTable
 from faultlens.sources.kafka import LOG_PRODUCER, SIGNAL_PRODUCER, keyed_json
 
 # --- fixed values: topic -> (retention in hours, byte cap per partition) -------
@@ -53,6 +54,16 @@ def signal_records(signals: DataFrame) -> DataFrame:
     return keyed_json(row)
 
 
+MAX_RECORD_BYTES = 1_000_000  #: what a broker takes by default, a little less than its limit of one MiB
+
+
+def publishable(records: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Records a broker takes, and those it would refuse, with their reason: no key, no value, or too long."""
+    refused = F.col("key").isNull() | F.col("value").isNull() | (F.octet_length("key") + F.octet_length("value") > max_bytes)
+    refused = F.coalesce(refused, F.lit(True))
+    return records.filter(~refused), records.filter(refused).withColumn("reason", F.lit("publish error"))
+
+
 def write_signals(signals: DataFrame, options: dict[str, str], topic: str) -> None:
     signal_records(signals).write.format("kafka").options(**options, **SIGNAL_PRODUCER) \
         .option("topic", topic).save()
@@ -92,10 +103,12 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str])
     return rows.groupBy(*keys).agg(newest.alias("_row")).select("_row.*")
 
 
-def upsert_incidents(existing: DataFrame, updates: DataFrame, keys: Sequence[str] = ("incident_id",),
-                     version: Sequence[str] = ("updated_at",)) -> DataFrame:
-    """The incident table after the updates: one row per incident, newest wins."""
-    return latest_per_key(existing.unionByName(updates, allowMissingColumns=True), keys, version)
+def upsert_incidents(updates: DataFrame, path: str, keys: Sequence[str] = ("incident_id",),
+                     version: Sequence[str] = ("updated_at",), buckets: int = 64) -> KeyedTable:
+    """Write incidents into the table at ``path``: one row per incident, newest wins, other buckets untouched."""
+    table = KeyedTable(updates.sparkSession, path, tuple(keys), tuple(version), buckets)
+    table.upsert(updates)
+    return table
 
 
 def expire(rows: DataFrame, ts: str, as_of: Column, retention_h: int, max_bytes: int, size: Column,
@@ -114,6 +127,6 @@ def expire(rows: DataFrame, ts: str, as_of: Column, retention_h: int, max_bytes:
     return total.filter(F.col("_bytes") <= max_bytes).drop("_age", "_tie", "_chunk", "_bytes")
 
 
-__all__ = ["RETENTION", "expire", "latest_per_key", "parsed_log_records", "signal_records",
+__all__ = ["RETENTION", "expire", "latest_per_key", "parsed_log_records", "publishable", "signal_records",
            "upsert_incidents", "write_dead_letters", "write_parsed_log_files", "write_parsed_logs",
            "write_signal_files", "write_signals"]

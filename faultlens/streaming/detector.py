@@ -1,123 +1,278 @@
 """The metric detector as a keyed stateful stream.
 
-State per series: its samples of the last window, the training values of the model
-in force, and the times of the last fit and the last emission.  The forest is grown
-again from the stored values where needed; seeded growth gives the same forest, and
-a few kilobytes of state replace several hundred.
+State per series: its samples of the window in slots of time, each written again only
+while new samples fall into it; the model in force as arrays; and a short head with the
+times of the last fit and emission, the sizes of the slots and the settings in force.
+A sample is scored with the stored model; only a fit, once an hour, reads the window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from faultlens.functions.columns import CONFIDENCE_CENTRE, CONFIDENCE_SLOPE, DEFAULT_THRESHOLDS, SECOND, thresholds
+from faultlens import schemas
+from faultlens.functions.columns import CONFIDENCE_CENTRE, CONFIDENCE_SLOPE, DEFAULT_THRESHOLDS, SECOND, from_micros, micros, series_key
 from faultlens.operators.detect import (
-    BASELINE_WINDOW_S, COOLDOWN_S, MIN_SAMPLES, PERIOD, REFIT_EVERY_S, fit_window, judge,
+    BASELINE_WINDOW_S, COOLDOWN_S, MIN_SAMPLES, PERIOD, REFIT_EVERY_S, RESIDUAL_MODES, Fit, fit_window, samples_to_signals,
 )
 from faultlens.operators.forest import TREES, isolation_score
+from faultlens.operators.joins import sli_enrich
+from faultlens.operators.series import quarantine_infinite
 
-OUTPUT = (
+WATERMARK = "10 minutes"
+SLOTS = 144  #: slots a default window is cut into
+HITS = (
     "series string, us long, value double, iso_score double, baseline_mean double, baseline_std double, "
-    "residual double"
+    "residual double, confidence double, severity string, subject string, received long, scored long, suppressed long"
 )
+COUNTERS = "detector"  #: name under which the stream's counters are observed
+FITS = "series string, us long, n_train long"
+COLUMNS = [f.split()[0] for f in HITS.split(", ")]
+TEXTS = ("series", "severity", "subject")
+SUBJECT = "sli_id string, metric string, promql string, labels map<string,string>"
 
 
 class DetectorState:
-    """One series between samples; shared by the stream and its tests."""
-
-    def __init__(self, settings: dict, times=(), values=(), train=(), fit_at=None, emit_at=None):
-        self.s = settings
-        self.times, self.values = list(times), list(values)
-        self.train, self.fit_at, self.emit_at = list(train), fit_at, emit_at
-        self.model = None
-        self.unordered = any(a > b for a, b in zip(self.times, self.times[1:], strict=False))
-
-    def fit(self) -> None:
-        self.model = fit_window(np.array(self.train), self.s["period"], self.s["trees"])
-
-    def prune(self, cutoff: int) -> None:
-        """Drop samples before the cutoff; late arrivals may lie anywhere in the list."""
-        old = 0
-        while self.times[old] < cutoff:
-            old += 1
-        del self.times[:old], self.values[:old]
-        if self.unordered and min(self.times) < cutoff:
-            kept = [(t, v) for t, v in zip(self.times, self.values, strict=True) if t >= cutoff]
-            self.times, self.values = [t for t, _ in kept], [v for _, v in kept]
+    """One series between samples; shared by the stream and its tests.
+
+    ``load`` gives the stored (times, values) of a slot, ``model`` the stored fit.  What a
+    caller has to write back is in ``dirty``, ``gone`` and ``fits``.
+    """
+
+    def __init__(self, settings: dict, load: Callable | None = None, model: Callable | None = None, sizes: dict | None = None,
+                 fit_at: int | None = None, emit_at: int | None = None, since: int = 0):
+        self.s, self.load, self.stored_model = settings, load, model
+        self.stored = set(sizes or ())
+        self.sizes, self.fit_at, self.emit_at, self.since = dict(sizes or {}), fit_at, emit_at, since
+        self.model: Fit | None = None
+        self.slots: dict[int, tuple[list, list]] = {}
+        self.dirty: set[int] = set()
+        self.gone: set[int] = set()
+        self.fits: list[tuple[int, int]] = []
+        self.scored = self.suppressed = 0
+
+    def slot(self, number: int) -> tuple[list, list]:
+        if number not in self.slots:
+            stored = self.load(number) if number in self.stored and number not in self.gone else ((), ())
+            self.slots[number] = (list(stored[0]), list(stored[1]))
+        return self.slots[number]
+
+    def take(self, us: int, value: float) -> None:
+        number = us // self.s["slot_us"]
+        times, values = self.slot(number)
+        times.append(us)
+        values.append(value)
+        self.sizes[number] = len(times)
+        self.dirty.add(number)
+        self.gone.discard(number)
+        for old in [n for n in self.sizes if (n + 1) * self.s["slot_us"] <= us - self.s["window_us"]]:
+            del self.sizes[old]
+            self.slots.pop(old, None)
+            self.dirty.discard(old)
+            if old in self.stored:
+                self.gone.add(old)
+
+    def warm(self, us: int) -> bool:
+        """Whether the window holds enough samples; the slot at its edge is read only if that decides."""
+        cutoff, width, least = us - self.s["window_us"], self.s["slot_us"], self.s["min_samples"]
+        inside = sum(n for slot, n in self.sizes.items() if slot * width >= cutoff)
+        edge = cutoff // width
+        if inside >= least or edge * width >= cutoff or inside + self.sizes.get(edge, 0) < least:
+            return inside >= least
+        return inside + sum(t >= cutoff for t in self.slot(edge)[0]) >= least
+
+    def history(self, us: int) -> np.ndarray:
+        """Values of the window in order of time."""
+        rows = sorted((t, k, v) for slot in self.sizes for k, (t, v) in enumerate(zip(*self.slot(slot), strict=True)) if t >= us - self.s["window_us"])
+        return np.array([v for *_, v in rows])
 
     def feed(self, us: int, value: float) -> dict | None:
         """Take one sample; the score if it is an anomaly to emit."""
         if self.emit_at is not None and us - self.emit_at < self.s["cooldown_us"]:
+            self.suppressed += 1
             return None  # suppressed samples do not enter the history
-        self.unordered = self.unordered or bool(self.times and us < self.times[-1])
-        self.times.append(us)
-        self.values.append(value)
-        self.prune(us - self.s["window_us"])
-        if len(self.times) < self.s["min_samples"]:
+        self.take(us, value)
+        if not self.warm(us):
             return None
         if self.fit_at is None or us - self.fit_at >= self.s["refit_us"]:
-            self.train, self.fit_at, self.model = list(self.values), us, None
-        if self.model is None:
-            self.fit()
-        forest, mean, spread = self.model
-        residual = value - mean
-        iso = float(isolation_score(forest, np.array([[residual]]))[0])
+            train = self.history(us)
+            self.model, self.fit_at, self.since = fit_window(train, self.s["period"], self.s["trees"]), us, 0
+            self.fits.append((us, len(train)))
+        else:
+            self.since += 1
+            self.model = self.model or self.stored_model()
+        self.scored += 1
+        residual = value - self.model.baseline(self.since, self.s["residual_mode"])
+        iso = float(isolation_score(self.model.forest, np.array([[residual]]))[0])
         confidence = 1.0 / (1.0 + np.exp(CONFIDENCE_SLOPE * (iso + CONFIDENCE_CENTRE)))
-        if confidence < self.s["lowest"]:
+        reached = [word for low, word in sorted(self.s["limits"]) if low <= confidence]
+        if not reached:
             return None
         self.emit_at = us
-        return {"us": us, "value": value, "iso_score": iso, "baseline_mean": mean, "baseline_std": spread,
-                "residual": residual}
+        return {"us": us, "value": value, "iso_score": iso, "baseline_mean": self.model.mean, "baseline_std": self.model.spread,
+                "residual": residual, "confidence": float(confidence), "severity": reached[-1]}
+
+
+_LAYOUT = (("feature", np.int32), ("threshold", np.float64), ("child", np.int32), ("path", np.float64))
+
+
+def packed(fit: Fit) -> tuple:
+    """A fit as a state row; the forest's arrays lie one after another, compressed."""
+    forest = fit.forest
+    body = b"".join(np.asarray(forest[name], kind).tobytes() for name, kind in _LAYOUT)
+    return (int(forest["n_trees"]), int(forest["psi"]), len(forest["path"]), fit.mean, fit.spread, fit.last.tolist(), zlib.compress(body, 1))
+
+
+def unpacked(row: tuple) -> Fit:
+    trees, psi, nodes, mean, spread, last, body = row
+    body, at, forest = zlib.decompress(body), 0, {"n_trees": trees, "psi": psi, "dims": 1}
+    for name, kind in _LAYOUT:
+        forest[name] = np.frombuffer(body, kind, nodes, at)
+        at += nodes * np.dtype(kind).itemsize
+    return Fit(forest, mean, spread, np.array(last))
 
 
 class Detector(StatefulProcessor):
-    def __init__(self, settings: dict):
-        self.settings = settings
+    def __init__(self, settings: dict, report: str = "hits"):
+        self.settings, self.report = settings, report
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.history = handle.getListState("history", "us long, value double")
-        self.fit = handle.getValueState("fit", "fit_at long, emit_at long, train array<double>")
+        self.handle = handle
+        self.samples = handle.getMapState("samples", "slot long", "us array<long>, value array<double>")
+        self.model = handle.getValueState("model", "n_trees int, psi int, nodes int, mean double, spread double, last array<double>, forest binary")
+        self.head = handle.getValueState(
+            "head", "fit_at long, emit_at long, newest long, since long, timer long, slots array<long>, sizes array<int>, settings string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        past = list(self.history.get()) if self.history.exists() else []
-        fit_at, emit_at, train = self.fit.get() if self.fit.exists() else (None, None, [])
-        state = DetectorState(self.settings, [p[0] for p in past], [p[1] for p in past], train or [], fit_at, emit_at)
-        batch = pd.concat(list(rows)).sort_values("us")
-        hits = [state.feed(int(us), float(v)) for us, v in zip(batch["us"], batch["value"], strict=True)]
-        self.history.put(list(zip(state.times, state.values, strict=True)))
-        self.fit.update((state.fit_at, state.emit_at, [float(v) for v in state.train]))
-        out = pd.DataFrame([{"series": key[0], **h} for h in hits if h is not None])
+        fit_at, emit_at, newest, since, timer, slots, sizes, own = self.head.get() if self.head.exists() else (None, None, None, 0, None, [], [], None)
+        state = DetectorState(
+            self.settings, lambda slot: self.samples.getValue((slot,)), lambda: unpacked(self.model.get()),
+            dict(zip(slots, sizes, strict=True)), fit_at, emit_at, since)
+        batch = pd.concat(list(rows)).sort_values("us", kind="stable")
+        hits = []
+        for us, value, settings, subject in zip(batch["us"].tolist(), batch["value"].tolist(), batch["settings"].tolist(), batch["subject"].tolist(), strict=True):
+            own = settings if isinstance(settings, str) else own  # in force from this sample on
+            state.s = in_force(self.settings, own)
+            hit = state.feed(int(us), float(value))
+            if hit is not None:
+                hits.append({"series": key[0], **hit, "subject": subject})
+            newest = int(us) if newest is None else max(newest, int(us))
+        for slot in state.gone:
+            self.samples.removeKey((slot,))
+        for slot in state.dirty:
+            times, values = state.slots[slot]
+            self.samples.updateValue((slot,), (times, values))
+        if state.fits:
+            self.model.update(packed(state.model))
+        if timer is None:  # one at a time: when it expires, the series is dropped or the next one set
+            timer = (newest + state.s["window_us"]) // 1000 + 1
+            self.handle.registerTimer(timer)
+        self.head.update((state.fit_at, state.emit_at, newest, state.since, timer, list(state.sizes), list(state.sizes.values()), own))
+        if self.report == "fits":
+            out = pd.DataFrame([{"series": key[0], "us": us, "n_train": n} for us, n in state.fits])
+        else:  # the last row holds no hit but what is counted
+            hits.append({"series": key[0], "received": len(batch), "scored": state.scored, "suppressed": state.suppressed})
+            whole = {c: "Int64" for c in ("us", "received", "scored", "suppressed")}
+            out = pd.DataFrame({c: pd.Series([h.get(c) for h in hits], dtype=whole.get(c, object if c in TEXTS else float)) for c in COLUMNS})
         if len(out):
             yield out
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """A series without samples for a whole window is forgotten."""
+        if self.head.exists():
+            fit_at, emit_at, newest, since, _, slots, sizes, own = self.head.get()
+            until = (newest + in_force(self.settings, own)["window_us"]) // 1000 + 1
+            if until <= expiredTimerInfo.getExpiryTimeInMs():
+                for state in (self.samples, self.model, self.head):
+                    state.clear()
+            else:
+                self.handle.registerTimer(until)
+                self.head.update((fit_at, emit_at, newest, since, until, slots, sizes, own))
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
 def settings(window_s: int = BASELINE_WINDOW_S, period: int = PERIOD, min_samples: int = MIN_SAMPLES,
              refit_every_s: int = REFIT_EVERY_S, cooldown_s: int = COOLDOWN_S, trees: int = TREES,
-             limits: list[tuple[float, str]] = DEFAULT_THRESHOLDS) -> dict:
+             limits: list[tuple[float, str]] = DEFAULT_THRESHOLDS, residual_mode: str = RESIDUAL_MODES[0]) -> dict:
     return {
-        "window_us": window_s * SECOND, "period": period, "min_samples": min_samples, "refit_us": refit_every_s * SECOND,
-        "cooldown_us": cooldown_s * SECOND, "trees": trees, "limits": list(limits), "lowest": min(low for low, _ in limits),
+        "window_us": window_s * SECOND, "slot_us": max(SECOND, window_s * SECOND // SLOTS), "period": period, "min_samples": min_samples,
+        "refit_us": refit_every_s * SECOND, "cooldown_us": cooldown_s * SECOND, "trees": trees, "limits": list(limits), "residual_mode": residual_mode,
     }
 
 
+def in_force(defaults: dict, own: str | None) -> dict:
+    """The defaults with what a series sets itself: window, period and limits as JSON."""
+    if not own:
+        return defaults
+    given = json.loads(own)
+    out = dict(defaults)
+    if given.get("window_s") is not None:
+        out["window_us"] = int(given["window_s"]) * SECOND
+    if given.get("period") is not None:
+        out["period"] = int(given["period"])
+    if given.get("limits") is not None:
+        out["limits"] = [(float(x["min"]), x["severity"]) for x in given["limits"]]
+    return out
+
+
+def own_settings(window_s: Column, period: Column, limits: Column) -> Column:
+    """The ``settings`` column of a sample; NULL parts take the defaults."""
+    return F.to_json(F.struct(window_s.alias("window_s"), period.alias("period"), limits.alias("limits")))
+
+
+def _detected(samples: DataFrame, config: dict | None, report: str, output: str) -> DataFrame:
+    text = [F.col(c) if c in samples.columns else F.lit(None).cast("string").alias(c) for c in ("settings", "subject")]
+    rows = samples.select("series", F.col("us").cast("long").alias("us"), F.col("value").cast("double").alias("value"), *text)
+    timed = rows.withColumn("_ts", from_micros(F.col("us"))).withWatermark("_ts", WATERMARK)
+    return timed.groupBy("series").transformWithStateInPandas(
+        statefulProcessor=Detector(config or settings(), report), outputStructType=output, outputMode="Append", timeMode="EventTime")
+
+
 def stream_detector(samples: DataFrame, config: dict | None = None) -> DataFrame:
     """Emitted anomalies of a stream of finite samples ``(series, us, value)``.
 
-    Needs the RocksDB state store.  Rows are ordered by time inside a micro-batch;
-    history is pruned by event time, so a replay gives the same state.  A series is
-    one key and thus one task at a time; the poll interval bounds its rate.
+    A batch's counters are observed as ``COUNTERS``: samples received, scored and
+    suppressed, anomalies emitted, and the series that had samples.
+
+    Optional columns: ``settings``, what the series sets itself (``own_settings``), and
+    ``subject``, a text handed on with its anomalies.  Needs the RocksDB state store.  Rows
+    are ordered by time inside a micro-batch; samples behind the watermark are not taken
+    (``jobs.LateRows`` keeps them).  A series is one key and thus one task at a time; the
+    poll interval bounds its rate.
+    """
+    rows = _detected(samples, config, "hits", HITS)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("received", "scored", "suppressed")]
+    counted = rows.observe(COUNTERS, *sums, F.count("us").alias("emitted"), F.count("received").alias("active_streams"))
+    return counted.filter("us IS NOT NULL").drop("received", "scored", "suppressed")
+
+
+def stream_fits(samples: DataFrame, config: dict | None = None) -> DataFrame:
+    """When the same detector fits a series' model anew, and from how many samples."""
+    return _detected(samples, config, "fits", FITS)
+
+
+def stream_tier2(samples: DataFrame, slis: DataFrame, default_cluster: str, config: dict | None = None, as_of: Column | None = None) -> DataFrame:
+    """Tier-2 signals of a stream of samples ``(sli_id, labels, ts, value)``, each SLI with its own settings.
+
+    Infinite values and samples of unknown SLIs do not pass.
     """
-    rows = samples.select("series", F.col("us").cast("long").alias("us"), F.col("value").cast("double").alias("value"))
-    config = config or settings()
-    scored = rows.groupBy("series").transformWithStateInPandas(
-        statefulProcessor=Detector(config), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
-    return judge(scored, thresholds(config["limits"]))
+    good, _ = quarantine_infinite(sli_enrich(samples, slis))
+    rows = good.select(
+        series_key(F.col("sli_id"), F.col("labels")).alias("series"), micros(F.col("ts")).alias("us"), "value",
+        own_settings(F.col("baseline_window_s"), F.col("seasonality_period"), F.col("severity_thresholds")).alias("settings"),
+        F.to_json(F.struct("sli_id", "metric", "promql", "labels")).alias("subject"))
+    hits = stream_detector(rows, config).withColumn("_s", F.from_json("subject", SUBJECT))
+    hits = hits.select("_s.*", from_micros(F.col("us")).alias("ts"), "value", "iso_score", "baseline_mean", "baseline_std", "residual", "confidence", "severity")
+    empty = F.create_map().cast(schemas.STRING_MAP)
+    return samples_to_signals(hits.withColumn("labels", F.coalesce("labels", empty)), default_cluster, as_of)

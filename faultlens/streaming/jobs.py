@@ -18,11 +18,14 @@ from faultlens.functions.columns import SECOND, from_micros, micros
 from faultlens.operators import alerts as al
 from faultlens.operators import correlate as cr
 from faultlens.operators import templates as tm
-from faultlens.session import run_dir
+from faultlens.session import materialise, run_dir
+from faultlens.sources.manifest import MergedTable
 from faultlens.sources.records import read_alert_payloads
 from faultlens.sources.sinks import signal_records
+from faultlens.streaming.counters import Counters
 
 WATERMARK = "10 minutes"
+ALERT_COUNTERS = "alerts"  #: name under which the counters of the alert stream are observed
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, pattern: str | None = None,
@@ -35,18 +38,46 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, pattern:
     return reader.parquet(folder)
 
 
-def run_to_files(stream: DataFrame, label: str, path: str | None = None, mode: str = "append") -> str:
-    """Process what is there now, write it as files and stop; returns the folder."""
+def run_to_files(stream: DataFrame, label: str, path: str | None = None, mode: str = "append", counters: Counters | None = None) -> str:
+    """Process what is there now, write it as files and stop; returns the folder.
+
+    ``counters`` takes what the stream observes.
+    """
     spark = stream.sparkSession
     base = path or run_dir(spark, label)
     query = (
         stream.writeStream.format("parquet").outputMode(mode).trigger(availableNow=True)
         .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/data")
     )
+    while counters is not None and not query.awaitTermination(10):
+        counters.take(query)
     query.awaitTermination()
+    if counters is not None:
+        counters.take(query)
     return f"{base}/data"
 
 
+END = "timestamp'2250-01-01 00:00:00'"  #: event time of the row that ends bounded input; pandas holds times until 2262
+
+
+def run_bounded(build: Callable[[DataFrame], DataFrame], stream: DataFrame, ts: str, label: str) -> str:
+    """Process bounded input to its very end; returns the folder of what ``build`` makes of it.
+
+    Once all input is read, one more row arrives, empty but for a time far ahead.  It
+    moves the watermark past every window, session and timer that the input has
+    opened, so these are emitted as well; its own window never closes.
+    """
+    spark = stream.sparkSession
+    base = run_dir(spark, label)
+    marks = spark.createDataFrame([], stream.schema)
+    marks.write.parquet(f"{base}/marks")
+    marked = build(stream.unionByName(read_files(spark, f"{base}/marks", stream.schema)))
+    run_to_files(marked, label, base)
+    last = [F.expr(END).cast(f.dataType).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
+    spark.range(1).select(*last).write.mode("append").parquet(f"{base}/marks")
+    return run_to_files(marked, label, base)
+
+
 def run_to_kafka(records: DataFrame, options: dict[str, str], topic: str, checkpoint: str, producer: dict[str, str]) -> StreamingQuery:
     """Keyed records to a topic; the caller keeps the query running."""
     return (
@@ -65,9 +96,14 @@ def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], label
 
 
 def stream_alerts(texts: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Alert payload texts to keyed signal records: stateless and without shuffle."""
+    """Alert payload texts to keyed signal records: stateless and without shuffle.
+
+    What becomes of the alerts is observed as ``ALERT_COUNTERS``; what the topic refuses
+    (``sinks.publishable``) is for the writer to count.
+    """
     good, _ = read_alert_payloads(texts)
-    return signal_records(al.alerts_to_signals(al.explode_alerts(good), as_of))
+    alerts = al.explode_alerts(good)
+    return signal_records(al.alerts_to_signals(alerts.observe(ALERT_COUNTERS, *al.counter_columns()), as_of))
 
 
 def windowed_edges(requests: DataFrame, ts: str = "ts", window: str = "30 seconds") -> DataFrame:
@@ -112,25 +148,6 @@ def correlate_streams(anomalies: DataFrame, candidates: DataFrame, keys: Sequenc
     return left.join(right, on, "leftOuter")
 
 
-class CauseTable:
-    """``foreachBatch`` writer for correlated pairs, ranked once a window has closed.
-
-    Pairs of one anomaly arrive over several batches, so each batch is only stored;
-    ``ranked`` takes the anomalies whose window ended before the given time.
-    """
-
-    def __init__(self, spark: SparkSession, base: str, after_us: int = cr.AFTER_US):
-        self.spark, self.base, self.after_us = spark, base, after_us
-
-    def __call__(self, pairs: DataFrame, batch_id: int) -> None:
-        pairs.write.mode("overwrite").parquet(f"{self.base}/pairs/batch={batch_id}")
-
-    def ranked(self, closed_us: int, score: Column, k: int = cr.TOP_CAUSES) -> DataFrame:
-        pairs = self.spark.read.parquet(f"{self.base}/pairs").filter(micros(F.col("a_ts")) + self.after_us <= closed_us)
-        scored = pairs.filter("cand_id IS NOT NULL").withColumn("score", score)
-        return cr.top_causes(scored, ["anomaly_id"], [F.desc("score"), F.asc("cand_id")], k)
-
-
 def episode_sessions(signals: DataFrame, keys: Sequence[str], ts: str = "ts", gap: str = "1 hour") -> DataFrame:
     """Emissions of one key no further apart than the gap form an episode."""
     return (
@@ -174,21 +191,20 @@ class LateRows:
 
 
 class TemplateTable:
-    """``foreachBatch`` writer that keeps the distinct masked lines of every batch.
+    """``foreachBatch`` writer that keeps the distinct masked lines of all batches, merged level by level.
 
     Templates are derived from the merged lines when asked for, so they equal those
     of one batch run over everything, whatever the split into micro-batches.
     """
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base
+    def __init__(self, spark: SparkSession, base: str, fan: int = 8):
+        self.lines = MergedTable(spark, f"{base}/lines", tm.merge_lines, fan)
 
     def __call__(self, logs: DataFrame, batch_id: int) -> None:
-        tm.distinct_lines(logs).write.mode("overwrite").parquet(f"{self.base}/lines/batch={batch_id}")
+        self.lines.add(tm.distinct_lines(logs), batch_id)
 
     def templates(self, max_words: int = tm.MAX_WORDS) -> DataFrame:
-        parts = self.spark.read.parquet(f"{self.base}/lines")
-        return tm.fold_templates(tm.with_templates(tm.merge_lines(parts), max_words))
+        return tm.fold_templates(tm.with_templates(materialise(tm.merge_lines(self.lines.rows()), "lines"), max_words))
 
 
 def replay(spark: SparkSession, folder: str, ts: str, start: Column, transform: Callable[[DataFrame], DataFrame],

@@ -35,9 +35,9 @@ def test_refit_boundary(spark):
 
 
 def test_constant_series(spark):
-    model, mean, spread = dt.fit_window(np.full(130, 5.0))
-    assert (mean, spread) == (5.0, 1.0)
-    assert np.isfinite(isolation_score(model, np.array([[0.0]]))).all()
+    fit = dt.fit_window(np.full(130, 5.0))
+    assert (fit.mean, fit.spread) == (5.0, 1.0)
+    assert np.isfinite(isolation_score(fit.forest, np.array([[0.0]]))).all()
     rows = dt.residual_std(series(spark, [5.0] * 10).withColumn("residual", F.lit(0.0)), ["series"])
     assert rows.first()["residual_std"] == 1.0
 
@@ -71,7 +71,7 @@ def test_blocks_do_not_change_scores(spark):
     df = series(spark, values)
     fits = [r["us"] for r in dt.refit_schedule(dt.warm_gate(df, ["series"], window_s=200 * 60, min_samples=50), ["series"]).collect()]
     got = {r["us"]: r["iso_score"] for r in dt.score_series(df, ["series"], spark.createDataFrame([("s", f) for f in fits], "series string, us long"), **kwargs).collect()}
-    model = mean = None
+    fit = None
     want = {}
     for i, v in enumerate(values):
         t = i * MIN
@@ -79,8 +79,8 @@ def test_blocks_do_not_change_scores(spark):
             continue
         if t in fits:
             train = values[max(0, i - 200): i + 1]
-            model, mean, _ = dt.fit_window(train, 20, 10)
-        want[t] = float(isolation_score(model, np.array([[v - mean]]))[0])
+            fit = dt.fit_window(train, 20, 10)
+        want[t] = float(isolation_score(fit.forest, np.array([[v - fit.mean]]))[0])
     assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-12 for t in want)
 
 
@@ -89,14 +89,14 @@ def test_stateful_cooldown_drops_samples_from_history():
     hits = [s.feed(i * MIN, float(i % 3)) for i in range(12)]
     emitted = [h["us"] // MIN for h in hits if h]
     assert emitted == [4, 9]
-    assert [t // MIN for t in s.times] == [0, 1, 2, 3, 4, 9]
+    assert sorted(t // MIN for slot in s.sizes for t in s.slot(slot)[0]) == [0, 1, 2, 3, 4, 9]
 
 
 def test_late_sample_is_pruned_by_time():
     s = DetectorState(settings(window_s=600, min_samples=1000))
     for t in (0, 300, 100, 650, 701):
-        s.feed(t * S, 1.0)
-    assert sorted(t // S for t in s.times) == [300, 650, 701]
+        s.feed(t * S, float(t))
+    assert s.history(701 * S).tolist() == [300, 650, 701]
 
 
 def test_forest_properties():
@@ -162,3 +162,39 @@ def test_no_cluster_label_gives_default(spark):
     df = df.select("*", F.lit("2024-01-01").cast("timestamp").alias("ts"), *[F.lit(0.5).alias(c) for c in ("iso_score", "baseline_mean", "baseline_std", "residual", "confidence")], F.lit("info").alias("severity"))
     (s,) = dt.samples_to_signals(df, "home").collect()
     assert (s["cluster"], s["service"], s["detector"], s["annotations"]) == ("home", "d", "ml:isoforest:a", {})
+
+
+def test_settings_of_each_series(spark):
+    """A series with settings of its own is judged like one alone with these as defaults."""
+    x = np.arange(400)
+    values = 10 + np.sin(2 * np.pi * x / 30) + np.random.default_rng(3).normal(0, 0.2, 400)
+    values[[300, 333]] += 8
+    both = series(spark, values).unionByName(series(spark, values, "t")).unionByName(series(spark, values, "u"))
+    limits = [(0.4, "info"), (0.75, "critical")]
+    own = spark.createDataFrame([("t", 9000, 30, limits), ("u", None, None, None)],
+                                "series string, baseline_window_s int, seasonality_period int, severity_thresholds array<struct<min:double,severity:string>>")
+    got = {(r["series"], r["us"], r["severity"], r["iso_score"]) for r in dt.detect(both, settings=own, trees=30).collect()}
+    plain = {(r["us"], r["severity"], r["iso_score"]) for r in dt.detect(series(spark, values), trees=30).collect()}
+    assert {g[1:] for g in got if g[0] == "s"} == plain == {g[1:] for g in got if g[0] == "u"}
+    df = series(spark, values)
+    warm = dt.warm_gate(df, ["series"], window_s=9000)
+    scored = dt.score_series(df, ["series"], dt.refit_schedule(warm, ["series"]), window_s=9000, period=30, trees=30)
+    judged = dt.judge(scored, dt.thresholds(limits)).filter("severity is not null")
+    alone = {(r["us"], r["severity"], r["iso_score"]) for r in dt.cooldown(judged, ["series"]).collect()}
+    assert {g[1:] for g in got if g[0] == "t"} == alone != plain and len(alone) > 1
+
+
+def test_pointwise_residuals_follow_the_phase(spark):
+    values = np.tile(np.arange(12.0), 30)
+    fit = dt.fit_window(values[:120], 12, 5)
+    assert fit.baseline(0, "pointwise") == fit.last[-1] and fit.baseline(5, "pointwise") == fit.last[4] and fit.baseline(3) == fit.mean
+    config = settings(min_samples=48, period=12, trees=5, limits=[(2.0, "x")], residual_mode="pointwise")
+    df = series(spark, values)
+    warm = dt.warm_gate(df, ["series"], min_samples=48)
+    rows = dt.score_series(df, ["series"], dt.refit_schedule(warm, ["series"]), period=12, min_samples=48, trees=5, residual_mode="pointwise").orderBy("us").collect()
+    state, want = DetectorState(config), []
+    for i, v in enumerate(values):
+        state.feed(i * MIN, float(v))
+        if state.model:
+            want.append(v - float(state.model.baseline(state.since, "pointwise")))
+    assert np.allclose([r["residual"] for r in rows], want) and np.median(np.abs(want)) < 0.5
