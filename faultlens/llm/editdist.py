@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Sequence
 
 
@@ -51,13 +53,62 @@ def distance(a: Sequence, b: Sequence, limit: float | None = None) -> int:
     return score
 
 
+LONG_TEXT = 4000  #: letters from which on bounds are tried before the whole distance
+GAP = 2000  #: letters of a gap between equal words that are compared letter by letter
+
+
+def _in_order(places: list[int]) -> list[int]:
+    """Which of some numbers form a longest ascending sequence."""
+    tails, at, back = [], [], []
+    for k, p in enumerate(places):
+        i = bisect_left(tails, p)
+        back.append(at[i - 1] if i else -1)
+        if i == len(tails):
+            tails.append(p)
+            at.append(k)
+        else:
+            tails[i], at[i] = p, k
+    out, k = [], at[-1] if at else -1
+    while k >= 0:
+        out.append(k)
+        k = back[k]
+    return out[::-1]
+
+
+def aligned_bound(a: str, b: str) -> int:
+    """An upper bound of the distance: words that each text has once are matched in order, the gaps between compared by themselves."""
+    x, y = a.split(" "), b.split(" ")
+    once = {w for w, n in Counter(x).items() if n == 1} & {w for w, n in Counter(y).items() if n == 1}
+    where = {w: j for j, w in enumerate(y) if w in once}
+    left = [i for i, w in enumerate(x) if w in once]
+    chosen = [left[k] for k in _in_order([where[x[i]] for i in left])]
+    total, i0, j0 = 0, 0, 0
+    for i in [*chosen, len(x)]:
+        j = where[x[i]] if i < len(x) else len(y)
+        p, q = " ".join(x[i0:i]), " ".join(y[j0:j])
+        if p != q:
+            total += max(len(p), len(q)) if max(len(p), len(q)) > GAP else distance(p, q)
+            total += (i == i0) != (j == j0)  # a space more on one side
+        i0, j0 = i + 1, j + 1
+    return total
+
+
 def within(a: str, b: str, limit: float) -> bool:
-    """Whether the distance of two texts is at most limit; cheap upper bounds are tried first."""
+    """Whether the distance of two texts is at most limit; cheap bounds are tried first.
+
+    Only long texts between the bounds are compared as a whole, which takes time in proportion to the product of their lengths.
+    """
     if abs(len(a) - len(b)) > limit:
         return False
     x, y = a.split(" "), b.split(" ")
     if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y) if p != q) <= limit:
         return True
+    if min(len(a), len(b)) > LONG_TEXT:
+        ca, cb = Counter(a), Counter(b)
+        if max((ca - cb).total(), (cb - ca).total()) > limit:
+            return False
+        if aligned_bound(a, b) <= limit:
+            return True
     return distance(a, b, limit) <= limit
 
 
