@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from faultlens.functions.columns import SECOND, bucket
-from faultlens.operators.joins import join_dimension
+from faultlens.functions.columns import SECOND, bucket, from_micros
+from faultlens.operators.joins import candidate_diffs, join_dimension
 from faultlens.operators.ordered import interval_join, nearest_in_window, numbered
 from faultlens.session import materialise
 
@@ -170,35 +170,52 @@ def cause_summary(kind: Column, service: Column, at: Column, gap_us: Column) ->
 
 
 def build_incidents(ranked: DataFrame) -> DataFrame:
-    """One row per anomaly with its causes as an array in rank order."""
-    cause = F.struct("rank", "score", "kind", F.col("cand_id").alias("change_event_id"), "cause_service")
+    """One row per anomaly with its causes as an array in rank order; ``summary`` and ``diff_summary`` come along if given."""
+    told = [c for c in ("summary", "diff_summary") if c in ranked.columns]
+    cause = F.struct("rank", "score", "kind", F.col("cand_id").alias("change_event_id"), "cause_service", *told)
     return ranked.groupBy("anomaly_id", "cluster", "service", "a_us").agg(
         F.sort_array(F.collect_list(cause)).alias("ranked_candidate_causes"))
 
 
+def told_causes(ranked: DataFrame, diffs: DataFrame) -> DataFrame:
+    """Ranked causes with a sentence on each, and what it changed from ``diffs(change_event_id, diff_summary)``."""
+    gap = F.col("c_us") - F.col("a_us")
+    text = cause_summary(F.coalesce("kind", F.lit("change")), F.coalesce("cause_service", F.lit("an unknown service")), from_micros(F.col("c_us")), gap)
+    rows = ranked.withColumn("summary", text).withColumn("change_event_id", F.col("cand_id"))
+    return candidate_diffs(rows, diffs).drop("change_event_id")
+
+
 def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFrame,
                      deltas: DataFrame, similar: DataFrame) -> DataFrame:
-    """The nested document of an incident as JSON, with all template shifts of its service, sharpest first.
+    """The nested document of an incident as JSON, template shifts at its own onset, sharpest first.
 
-    anomalies ``(anomaly_id, signal, metric, severity, started_at, baseline, observed,
-    duration_so_far_s)``, slices ``(service, upstream_callers, downstream_deps)``, deltas
-    ``(service, template, count_before, count_after)``, similar ``(anomaly_id, incident_id,
-    similarity)``.
+    incidents ``(incident_id, anomaly_id, cluster, service, ranked_candidate_causes)``, anomalies
+    ``(anomaly_id, signal, metric, severity, started_at, baseline, observed, duration_so_far_s)``,
+    slices ``(service, upstream_callers, downstream_deps)``, deltas ``(anomaly_id, service, template,
+    count_before, count_after, example_fields)``, similar ``(anomaly_id, incident_id, similarity,
+    resolution)``.  Lists an incident has nothing for are empty.
     """
-    shift = F.abs(F.log((F.col("count_after") + 1.0) / (F.col("count_before") + 1.0)))
-    delta = F.struct((-shift).alias("order"), "template", "count_before", "count_after")
-    listed = F.transform(F.sort_array(F.collect_list(delta)), lambda x: F.struct(
-        x["template"].alias("template"), x["count_before"].alias("count_before"), x["count_after"].alias("count_after")))
-    per_service = deltas.groupBy("service").agg(listed.alias("log_pattern_deltas"))  # as many as the service has templates
-    match = F.struct("similarity", "incident_id")
-    per_incident = similar.groupBy("anomaly_id").agg(
-        F.reverse(F.sort_array(F.collect_list(match))).alias("similar_past_incidents"))
+    def listed(rows: DataFrame, order: Column, fields: Sequence[str], name: str) -> DataFrame:
+        def first(a: Column, b: Column) -> Column:  # maps cannot be compared, so the entries themselves are not
+            return F.when(a["_order"] < b["_order"], -1).when(a["_order"] > b["_order"], 1).otherwise(0)
+
+        entries = F.array_sort(F.collect_list(F.struct(order.alias("_order"), F.struct(*fields).alias("_entry"))), first)
+        return rows.groupBy("anomaly_id").agg(F.transform(entries, lambda x: x["_entry"]).alias(name))
+
+    shift = F.round(F.abs(F.log((F.col("count_after") + 1.0) / (F.col("count_before") + 1.0))), 9)
+    shifts = listed(deltas, F.struct((-shift).alias("shift"), "service", "template"), ["service", "template", "count_before", "count_after", "example_fields"], "log_pattern_deltas")
+    past = listed(similar, F.struct((-F.col("similarity")).alias("less"), "incident_id"), ["incident_id", "similarity", "resolution"], "similar_past_incidents")
     doc = (
         incidents.join(anomalies, "anomaly_id")
         .join(slices, "service", "left")
-        .join(per_service, "service", "left")
-        .join(per_incident, "anomaly_id", "left")
+        .join(shifts, "anomaly_id", "left")
+        .join(past, "anomaly_id", "left")
     )
+
+    def whole(name: str, kind: str) -> Column:
+        return F.coalesce(F.col(name), F.array().cast(kind)).alias(name)
+
+    kinds = dict(doc.dtypes)
     return doc.select(
         "anomaly_id",
         F.to_json(F.struct(
@@ -206,10 +223,10 @@ def incident_context(incidents: DataFrame, anomalies: DataFrame, slices: DataFra
             "cluster",
             F.struct("signal", "metric", "service", "started_at", "severity", "baseline", "observed",
                      "duration_so_far_s").alias("anomaly"),
-            F.struct(F.col("service").alias("affected_service"), "upstream_callers", "downstream_deps").alias("topology"),
-            "log_pattern_deltas",
+            F.struct(F.col("service").alias("affected_service"), whole("upstream_callers", "array<string>"), whole("downstream_deps", "array<string>")).alias("topology"),
+            whole("log_pattern_deltas", kinds["log_pattern_deltas"]),
             "ranked_candidate_causes",
-            "similar_past_incidents",
+            whole("similar_past_incidents", kinds["similar_past_incidents"]),
         )).alias("document"),
     )
 

@@ -15,7 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from faultlens.functions.columns import SECOND, bucket, micros
 from faultlens.functions.text import HOLE, raw_tokens, tokenise
+from faultlens.operators.ordered import asof_join, balanced, interval_join, running
 from faultlens.session import materialise
 
 MAX_WORDS = 8
@@ -108,9 +110,39 @@ def template_deltas(logs: DataFrame, onset: Column, factor: float = 2.0, max_wor
     return rows.filter(F.col("is_new") | (ratio >= factor) | (ratio <= 1.0 / factor))
 
 
+def onset_shifts(logs: DataFrame, incidents: DataFrame, before_s: int, after_s: int, slot_s: int = 60,
+                 factor: float = 2.0, max_words: int = MAX_WORDS) -> DataFrame:
+    """Templates of an incident's service that are new or changed by ``factor`` at its own onset.
+
+    incidents ``(incident, service, onset_us)``; logs ``(service, ts, line)``.  Lines are
+    counted per template and slot and summed up from each template's beginning, so a
+    window of any length costs a look-up at each of its ends.  Asked are only templates with a line in the window.
+    The slot that holds the onset counts as after it.
+    """
+    slot = slot_s * SECOND
+    timed = logs.withColumn("slot_us", bucket(micros(F.col("ts")), slot) * slot)
+    counts = templated(timed, ["slot_us"], max_words).groupBy("service", "template", "slot_us").agg(F.sum("n").alias("n"))
+    counts = balanced(counts, ["service", "template"], ["slot_us"])
+    totals = running(counts, ["service", "template"], "_chunk", ["slot_us"], {"total": ("sum", F.col("n"))})
+    edge = (bucket(F.col("onset_us"), slot) * slot).alias("_edge")
+    asked = incidents.select("incident", F.col("service").alias("_service"), edge)
+    pairs = interval_join(asked, counts.select("service", "template", "slot_us"), [("_service", "service")], "_edge", "slot_us", before_s * SECOND, after_s * SECOND - 1)
+    ends = F.array(*[F.struct(F.lit(k).alias("end"), (F.col("_edge") + off * SECOND - 1).alias("at")) for k, off in enumerate((-before_s, 0, after_s))])
+    asks = pairs.select("incident", "service", "template", F.explode(ends).alias("_e")).distinct().select("incident", "service", "template", "_e.*")
+    found = asof_join(asks, totals.select("service", "template", F.col("slot_us").alias("_slot"), "total"), ["service", "template"], "at", "_slot", ["total"])
+
+    def at(k: int) -> Column:
+        return F.coalesce(F.max(F.when(F.col("end") == k, F.col("total"))), F.lit(0)).cast("long")
+
+    rows = found.groupBy("incident", "service", "template").agg(at(0).alias("_a"), at(1).alias("_b"), at(2).alias("_c")).select(
+        "incident", "service", "template", (F.col("_b") - F.col("_a")).alias("count_before"), (F.col("_c") - F.col("_b")).alias("count_after"))
+    ratio = (F.col("count_after") + 1.0) / (F.col("count_before") + 1.0)
+    rows = rows.withColumn("is_new", F.col("count_before") == 0).withColumn("ratio", ratio)
+    return rows.filter(F.col("is_new") | (F.col("ratio") >= factor) | (F.col("ratio") <= 1.0 / factor))
+
+
 def new_templates(logs: DataFrame, changes: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     """First sight of each template with the latest change of its service before it."""
-    from faultlens.functions.columns import micros
     from faultlens.operators.joins import after_deploy
 
     seen = mine_templates(logs, max_words).withColumn("first_us", micros(F.col("first_seen")))

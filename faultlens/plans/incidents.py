@@ -5,9 +5,13 @@ from pyspark.sql import functions as F
 from faultlens.functions.columns import SECOND, from_micros, ntz
 from faultlens.operators import correlate as cr
 from faultlens.operators import joins as jn
+from faultlens.operators import retrieve, templates
 from faultlens.operators import topology as gr
+from faultlens.operators.series import sli_summary
 from faultlens.plans import twins
+from faultlens.plans.log_queries import TEMPLATES, lines
 from faultlens.plans.registry import query
+from faultlens.plans.retrieval_queries import KNN
 from faultlens.plans.twins import EVENTS, INCIDENT_PARTS
 from faultlens.session import run_dir
 from faultlens.sources.sinks import expire, upsert_incidents
@@ -115,27 +119,97 @@ def cr8(spark, sf_dir):
                        F.array_join(F.transform(causes, lambda c: c["change_event_id"].cast("string")), ",").alias("causes"))
 
 
-@query("cr9_incident_context")
+BEFORE_S, AFTER_S = 6 * 3600, 2 * 3600  #: what counts as before an onset and after it
+
+SHIFTS = TEMPLATES + f""",
+slot AS (SELECT replace(service, 'src', 'svc') AS service, template, epoch_us(ts) // 60000000 * 60000000 AS slot_us FROM tp),
+onset AS (SELECT event_id AS anomaly_id, 'svc' || (user_id % 10) AS service, epoch_us(ts) // 60000000 * 60000000 AS edge FROM events WHERE event_type = 'error'),
+cnt AS (SELECT anomaly_id, o.service, template, count(*) FILTER (slot_us < edge) AS count_before, count(*) FILTER (slot_us >= edge) AS count_after
+        FROM onset o JOIN slot ON o.service = slot.service AND slot_us >= edge - {BEFORE_S}000000 AND slot_us < edge + {AFTER_S}000000 GROUP BY ALL),
+shift AS (SELECT *, count_before = 0 AS is_new, (count_after + 1.0::DOUBLE) / (count_before + 1.0::DOUBLE) AS ratio FROM cnt),
+sharp AS (SELECT * FROM shift WHERE is_new OR ratio >= 2 OR ratio <= 0.5)"""
+
+
+def service_logs(spark, sf_dir):
+    return lines(spark, sf_dir).withColumn("service", F.regexp_replace("service", "src", "svc"))
+
+
+def onset_shifts(spark, sf_dir):
+    ev = twins.events(spark, sf_dir).filter("event_type = 'error'")
+    asked = ev.select(F.col("event_id").alias("incident"), "service", F.col("us").alias("onset_us"))
+    return templates.onset_shifts(service_logs(spark, sf_dir), asked, BEFORE_S, AFTER_S)
+
+
+@query("cr9_onset_shifts", f"WITH {SHIFTS} SELECT anomaly_id, service, md5(template) AS digest, count_before, count_after, is_new, round(ratio, 6) AS ratio FROM sharp")
+def cr9b(spark, sf_dir):
+    return onset_shifts(spark, sf_dir).select(
+        F.col("incident").alias("anomaly_id"), "service", F.md5("template").alias("digest"), "count_before", "count_after", "is_new", F.round("ratio", 6).alias("ratio"))
+
+
+CONTEXT = """incident_id string, cluster string, anomaly struct<signal:string, metric:string, service:string, started_at:string, severity:string,
+ baseline:struct<p50:double, p99:double>, observed:struct<p50:double, p99:double>, duration_so_far_s:double>,
+ topology struct<affected_service:string, upstream_callers:array<string>, downstream_deps:array<string>>,
+ log_pattern_deltas array<struct<service:string, template:string, count_before:bigint, count_after:bigint, example_fields:map<string,string>>>,
+ ranked_candidate_causes array<struct<rank:int, score:double, kind:string, change_event_id:bigint, cause_service:string, summary:string, diff_summary:string>>,
+ similar_past_incidents array<struct<incident_id:string, similarity:double, resolution:string>>"""
+
+
+@query("cr9_incident_context", rf"""WITH {INCIDENT_PARTS}, {SHIFTS.replace('WITH ', '').lstrip()},
+{KNN.format(on='q.vec_id % 100 = 0 AND p.label < 5 AND p.vec_id <> q.vec_id').replace('rk AS', 'past AS').lstrip()},
+told AS (SELECT r.*, kind || ' of ' || cause_service || ' at ' || strftime(make_timestamp(c_us), '%H:%M:%S') || ' (T' || CASE WHEN c_us > a_us THEN '+' ELSE '-' END
+  || CASE WHEN abs(c_us - a_us) // 1000000 >= 600 THEN (abs(c_us - a_us) // 60000000) || 'm' ELSE (abs(c_us - a_us) // 1000000) || 's' END || ')' AS summary,
+  CASE WHEN kind = 'config_change' THEN 'k ' || ev.k END AS diff FROM ranked r JOIN ev ON ev.event_id = r.cand_id),
+cs AS (SELECT anomaly_id, string_agg(cand_id || ' ' || summary || coalesce(': ' || diff, ''), '; ' ORDER BY "rank") AS causes FROM told GROUP BY 1),
+sli AS (SELECT a.anomaly_id, round(quantile_cont(value, 0.5) FILTER (us < a_us), 4) AS baseline_p50, round(quantile_cont(value, 0.99) FILTER (us < a_us), 4) AS baseline_p99,
+  round(quantile_cont(value, 0.5) FILTER (us >= a_us), 4) AS observed_p50, round(quantile_cont(value, 0.99) FILTER (us >= a_us), 4) AS observed_p99
+  FROM anom a JOIN ev ON ev.service = a.service AND us BETWEEN a_us - 21600000000 AND a_us + 7200000000 GROUP BY 1),
+fx AS (SELECT service, template, count(*) AS n FROM (
+  SELECT replace(service, 'src', 'svc') AS service, template, unnest(string_split(template, ' ')) AS shown FROM (SELECT DISTINCT service, template FROM tp)) WHERE contains(shown, '<*>') GROUP BY ALL),
+sh AS (SELECT anomaly_id, count(*) AS n_shifts, CAST(sum(count_before) AS BIGINT) AS shift_before, CAST(sum(count_after) AS BIGINT) AS shift_after, CAST(sum(coalesce(fx.n, 0)) AS BIGINT) AS n_fields,
+  first(md5(sharp.template) ORDER BY round(abs(ln(ratio)), 9) DESC, sharp.template) AS sharpest FROM sharp LEFT JOIN fx ON fx.service = sharp.service AND fx.template = sharp.template GROUP BY 1),
+sp AS (SELECT incident AS anomaly_id, string_agg('INC-' || past_incident || ' ' || (CAST(label AS VARCHAR)), ',' ORDER BY past.similarity DESC, past_incident) AS alike
+  FROM past JOIN embeddings e ON e.vec_id = past_incident WHERE "rank" <= 3 GROUP BY 1)
+SELECT a.anomaly_id, 'INC-' || a.anomaly_id AS incident_id, a.cluster, a.service, causes, baseline_p50, baseline_p99, observed_p50, observed_p99,
+  'svc' || ((a.user_id + 9) % 10) AS callers, 'svc' || ((a.user_id + 1) % 10) AS deps,
+  coalesce(n_shifts, 0) AS n_shifts, coalesce(shift_before, 0) AS shift_before, coalesce(shift_after, 0) AS shift_after, coalesce(n_fields, 0) AS n_fields, sharpest, coalesce(alike, '') AS alike
+FROM anom a JOIN cs ON cs.anomaly_id = a.anomaly_id JOIN sli ON sli.anomaly_id = a.anomaly_id LEFT JOIN sh ON sh.anomaly_id = a.anomaly_id LEFT JOIN sp ON sp.anomaly_id = a.anomaly_id""")
 def cr9(spark, sf_dir):
-    from faultlens.operators import retrieve, templates
-    from faultlens.plans.log_queries import lines
-
+    """The documents of all incidents with causes, read back field by field; similar ones are searched for active incidents."""
     ev = twins.events(spark, sf_dir)
-    incidents = cr.build_incidents(twins.ranked_causes(ev)).withColumn(
-        "incident_id", F.concat(F.lit("INC-"), F.col("anomaly_id").cast("string"))).drop("a_us")
-    facts = ev.filter("event_type = 'error'").select(
-        F.col("event_id").alias("anomaly_id"), F.lit("error rate spike").alias("signal"), F.lit("error_total").alias("metric"),
-        F.lit("critical").alias("severity"), F.col("ts").alias("started_at"),
-        F.struct(F.col("value").alias("p50")).alias("baseline"), F.struct((F.col("value") * 2).alias("p50")).alias("observed"),
-        F.lit(240.0).alias("duration_so_far_s"))
+    diffs = ev.filter("event_type = 'purchase'").select(F.col("event_id").alias("change_event_id"), F.concat(F.lit("k "), F.col("k").cast("string")).alias("diff_summary"))
+    incidents = cr.build_incidents(cr.told_causes(twins.ranked_causes(ev), diffs)).withColumn(
+        "incident_id", F.concat(F.lit("INC-"), F.col("anomaly_id").cast("string")))
+    onsets = twins.anomalies(ev).select("anomaly_id", "service", F.col("a_us").alias("onset"))
+    sli = sli_summary(onsets.withColumnRenamed("anomaly_id", "incident_id"), ev, ["service"], "onset", "us", "value", BEFORE_S, AFTER_S)
+    facts = onsets.join(sli.withColumnRenamed("incident_id", "anomaly_id"), "anomaly_id").select(
+        "anomaly_id", F.lit("error rate spike").alias("signal"), F.lit("error_total").alias("metric"), F.lit("critical").alias("severity"),
+        from_micros(F.col("onset")).alias("started_at"),
+        *[F.struct(F.round(f"{n}_p50", 4).alias("p50"), F.round(f"{n}_p99", 4).alias("p99")).alias(n) for n in ("baseline", "observed")],
+        F.lit(float(AFTER_S)).alias("duration_so_far_s"))
     slices = gr.topology_slice(twins.ring(ev), ev.select("service"))
-    logs = lines(spark, sf_dir).withColumn("service", F.regexp_replace("service", "src", "svc"))
-    deltas = templates.template_deltas(logs, F.lit("2024-01-01 06:00:00").cast("timestamp"))
+    logs = service_logs(spark, sf_dir)
+    fields = templates.example_fields(logs).select("service", "template", F.col("fields").cast("map<string,string>").alias("example_fields"))
+    deltas = onset_shifts(spark, sf_dir).withColumnRenamed("incident", "anomaly_id").join(fields, ["service", "template"], "left")
     vectors = twins.table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("incident"), F.col("embedding").alias("vector"), (F.col("label") < 5).alias("resolved"))
-    similar = retrieve.similar_incidents(vectors, vectors).select(
-        F.col("incident").alias("anomaly_id"), F.concat(F.lit("INC-"), F.col("past_incident").cast("string")).alias("incident_id"), "similarity")
-    return cr.incident_context(incidents, facts, slices, deltas, similar)
+        F.col("vec_id").alias("incident"), F.col("embedding").alias("vector"), (F.col("label") < 5).alias("resolved"), "label")
+    resolutions = vectors.select(F.col("incident").alias("past_incident"), F.col("label").cast("string").alias("resolution"))
+    similar = retrieve.similar_incidents(vectors.filter("incident % 100 = 0"), vectors).join(resolutions, "past_incident").select(
+        F.col("incident").alias("anomaly_id"), F.concat(F.lit("INC-"), F.col("past_incident").cast("string")).alias("incident_id"), "similarity", "resolution")
+    doc = cr.incident_context(incidents, facts, slices, deltas, similar).withColumn("d", F.from_json("document", CONTEXT))
+    causes, shifts = F.col("d.ranked_candidate_causes"), F.col("d.log_pattern_deltas")
+
+    def total(name):
+        return F.aggregate(shifts, F.lit(0).cast("long"), lambda acc, x: acc + x[name])
+
+    return doc.select(
+        "anomaly_id", "d.incident_id", "d.cluster", F.col("d.anomaly.service").alias("service"),
+        F.array_join(F.transform(causes, lambda c: F.concat(c["change_event_id"].cast("string"), F.lit(" "), c["summary"], F.coalesce(F.concat(F.lit(": "), c["diff_summary"]), F.lit("")))), "; ").alias("causes"),
+        *[F.col(f"d.anomaly.{n}.{q}").alias(f"{n}_{q}") for n in ("baseline", "observed") for q in ("p50", "p99")],
+        F.array_join("d.topology.upstream_callers", ",").alias("callers"), F.array_join("d.topology.downstream_deps", ",").alias("deps"),
+        F.size(shifts).cast("long").alias("n_shifts"), total("count_before").alias("shift_before"), total("count_after").alias("shift_after"),
+        F.aggregate(shifts, F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(F.size(x["example_fields"]), F.lit(0))).alias("n_fields"),
+        F.md5(F.get(shifts, F.lit(0))["template"]).alias("sharpest"),
+        F.array_join(F.transform("d.similar_past_incidents", lambda s: F.concat(s["incident_id"], F.lit(" "), s["resolution"])), ",").alias("alike"))
 
 
 KINDS = {"metric": "view", "change": "purchase", "event": "error", "log": "click"}
