@@ -6,6 +6,8 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Sequence
 
+import numpy as np
+
 
 def _scan(pattern: Sequence, text: Sequence, anchored: int):
     m = len(pattern)
@@ -85,8 +87,8 @@ def aligned_bound(a: str, b: str) -> int:
     total, i0, j0 = 0, 0, 0
     for i in [*chosen, len(x)]:
         j = where[x[i]] if i < len(x) else len(y)
-        p, q = " ".join(x[i0:i]), " ".join(y[j0:j])
-        if p != q:
+        if x[i0:i] != y[j0:j]:
+            p, q = " ".join(x[i0:i]), " ".join(y[j0:j])
             total += max(len(p), len(q)) if max(len(p), len(q)) > GAP else distance(p, q)
             total += (i == i0) != (j == j0)  # a space more on one side
         i0, j0 = i + 1, j + 1
@@ -112,6 +114,47 @@ def within(a: str, b: str, limit: float) -> bool:
     return distance(a, b, limit) <= limit
 
 
+TRIPLES = 1024  #: counters a text's letter triples are counted in
+
+
+def _codes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts one after another, and where each begins, the end included."""
+    parts = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in texts]
+    return np.concatenate([*parts, np.zeros(0, np.uint32)]), np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+
+
+def _triples(codes: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """How often each counter is hit by the letter triples of each text."""
+    n = len(edges) - 1
+    if len(codes) < 3:
+        return np.zeros((n, TRIPLES), np.int32)
+    mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    gram = ((mixed[:-2] * np.uint64(31) + mixed[1:-1]) * np.uint64(31) + mixed[2:]) >> np.uint64(54)
+    owner = np.repeat(np.arange(n), np.diff(edges))
+    inside = owner[:-2] == owner[2:]
+    return np.bincount(owner[:-2][inside] * TRIPLES + gram[inside].astype(np.int64), minlength=n * TRIPLES).reshape(n, TRIPLES)
+
+
+def within_all(a: Sequence[str], b: Sequence[str], similarity: float) -> np.ndarray:
+    """Whether each pair's edit distance is at most 1 - similarity of the longer text's length.
+
+    Texts of other lengths, and those that share too few letter triples for it (an edit
+    changes three at most), are told apart without a distance.
+    """
+    size = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)], np.int64).reshape(-1, 2)
+    longer = size.max(axis=1)
+    limit = (1 - similarity) * longer + 1e-9
+    ok = longer - size.min(axis=1) <= limit
+    for lo in range(0, len(ok), 512):
+        some = lo + np.flatnonzero(ok[lo:lo + 512])
+        if len(some):
+            shared = np.minimum(_triples(*_codes([a[i] for i in some])), _triples(*_codes([b[i] for i in some]))).sum(axis=1)
+            ok[some] = shared >= longer[some] - 2 - 3 * np.floor(limit[some])
+    for i in np.flatnonzero(ok).tolist():
+        ok[i] = within(a[i], b[i], limit[i])
+    return ok
+
+
 def best_stretch(pattern: Sequence, text: Sequence) -> tuple[int, int, int]:
     """(distance, first, last) of the stretch of text nearest to pattern; the earliest end, then the latest start."""
     low, last = len(pattern), -1

@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 
 from brute import check_kept, plain_distance, plain_stretch, words
 from faultlens.llm.decontam import budget, decontaminate, find_leaks
-from faultlens.llm.editdist import LONG_TEXT, aligned_bound, best_stretch, distance, within
+from faultlens.llm.editdist import LONG_TEXT, aligned_bound, best_stretch, distance, within, within_all
 from faultlens.llm.line_dedup import _simhash, dedup_lines
 from faultlens.llm.textops import mix
 
@@ -37,6 +37,25 @@ def test_bounds_of_long_texts(monkeypatch):
             assert within(a, b, limit) == (d <= limit)
 
 
+def test_many_pairs_at_once(monkeypatch):
+    rng = random.Random(8)
+    pairs = [("", ""), ("", "a"), ("a", "a"), ("é" * 64, "é" * 65), ("a" * 200, "b" * 200), ("日本語", "日本"), ("x" * 129, "x" * 100 + "y" * 29)]
+    for k in range(600):
+        a = "".join(rng.choice("abcde é") for _ in range(rng.choice([1, 5, 63, 64, 65, 128, 200, 300])))
+        b = list(a)
+        for _ in range(rng.randint(0, max(1, len(a) // 3))):
+            i = rng.randrange(len(b) + 1)
+            b[i:i + rng.randint(0, 1)] = rng.choice(["", "f", "gh"])
+        pairs.append((a, "".join(b)) if k % 2 else ("".join(b), a))
+    a, b = zip(*pairs)
+    for long_text in (4000, 100):
+        monkeypatch.setattr("faultlens.llm.editdist.LONG_TEXT", long_text)
+        for similarity in (0.8, 0.95, 0.5):
+            want = [plain_distance(x, y) <= (1 - similarity) * max(len(x), len(y)) + 1e-9 for x, y in pairs]
+            assert within_all(a, b, similarity).tolist() == want
+    assert within_all([], [], 0.8).tolist() == []
+
+
 def test_a_very_long_pair_takes_no_quadratic_time():
     rng = random.Random(7)
     a = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(40_000))
