@@ -18,7 +18,8 @@ from faultlens.llm.editdist import best_stretch
 from faultlens.llm.store import Tables, pick
 
 K = 2
-VOTES, LIKENESS, DRIFT = 0.5, 0.7, 2
+LIKENESS = 0.7  #: share of a template's words that survive the edit distance
+MOST_TEMPLATES = 50_000  #: templates of a table that every executor gets
 BROADCAST_ROWS = 500_000  #: documents with candidate spans sent to every executor at most
 
 # Base phrases and their labels.
@@ -42,6 +43,17 @@ TEMPLATES = (
 )
 
 
+def edits(words):
+    """Edits that a template of so many words may have; a column or a number."""
+    return words - (-(-words * round(LIKENESS * 100) // 100)) if isinstance(words, int) else F.floor(words * (100 - round(LIKENESS * 100)) / 100)
+
+
+def least_votes(words):
+    """Pairs of words that are left of a template after as many edits: each spoils K of its ``words - K + 1`` at most."""
+    left = words - K + 1 - K * edits(words)
+    return max(1, left) if isinstance(words, int) else F.greatest(F.lit(1), left)
+
+
 def word_hashes(texts: list[str]) -> T.Words:
     raw, offsets = T.buffers(pa.array(texts, pa.large_string()))
     return T.words(raw, offsets, T.ALNUM)
@@ -81,8 +93,9 @@ def find(docs: DataFrame, entries=None, tables: Tables | None = None) -> DataFra
     """(d, t, template, first, last, score) of every verified span; d and t are a row's id and the hash of its text.
 
     Entries are (text, label, exact).  An exact entry is found wherever its words stand one
-    after another; another where at least VOTES of its pairs vote for neighbouring diagonals
-    and LIKENESS of its words survive the edit distance.
+    after another; another where LIKENESS of its words survive the edit distance.  Each of
+    the edits that leaves shifts the diagonal by one at most and spoils K pairs, so diagonals no farther
+    apart are merged and spans with the votes still left are verified: none that would pass is lost.
     """
     spark = docs.sparkSession
     tables = tables or Tables(spark, "licenses")
@@ -94,10 +107,10 @@ def find(docs: DataFrame, entries=None, tables: Tables | None = None) -> DataFra
     lines = votes.groupBy("d", "t", "template", "words", "diagonal").agg(F.countDistinct("place").alias("votes")).withColumn("exact", F.element_at(exact, F.col("template") + 1))
     whole = lines.where(F.col("exact") & (F.col("votes") == F.col("words") - K + 1))
     part = Window.partitionBy("d", "t", "template").orderBy("diagonal")
-    new = F.when(F.col("diagonal") - F.lag("diagonal").over(part) <= DRIFT, 0).otherwise(1)
+    new = F.when(F.col("diagonal") - F.lag("diagonal").over(part) <= F.greatest(F.lit(1), edits(F.col("words"))), 0).otherwise(1)
     loose = lines.where("not exact").withColumn("new", new).withColumn("island", F.sum("new").over(part))
     merged = loose.groupBy("d", "t", "template", "words", "island").agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("diagonal"), F.max("diagonal").alias("high"))
-    merged = merged.where(F.col("votes") >= F.col("words") * VOTES)
+    merged = merged.where(F.col("votes") >= least_votes(F.col("words")))
     spans = whole.select("d", "t", "template", "diagonal", F.col("diagonal").alias("high")).unionByName(merged.select("d", "t", "template", "diagonal", "high"))
     wanted = tables.keep(spans.groupBy("d", "t").agg(F.collect_list(F.struct("template", "diagonal", "high")).alias("spans")))
     small = wanted.count() <= BROADCAST_ROWS
@@ -118,8 +131,8 @@ def find(docs: DataFrame, entries=None, tables: Tables | None = None) -> DataFra
                         if h[lo:lo + len(p)] == p:
                             out.append((k, s["template"], lo, lo + len(p) - 1, 1.0))
                         continue
-                    first = max(0, lo - DRIFT)
-                    dist, a, z = best_stretch(p, h[first:hi + len(p) + DRIFT])
+                    first = max(0, lo - edits(len(p)))
+                    dist, a, z = best_stretch(p, h[first:hi + len(p) + edits(len(p))])
                     score = 1 - dist / len(p)
                     if score >= LIKENESS:
                         out.append((k, s["template"], first + a, first + z, score))
@@ -137,12 +150,21 @@ def catalogue():
     return [(t, label, True) for t, label in PHRASES] + [(t, label, False) for t, label in TEMPLATES]
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def entries_of(templates: DataFrame) -> list[tuple[str, str, bool]]:
+    """The rows (text, label) of a table as templates, besides the base phrases; MOST_TEMPLATES at most."""
+    rows = pick(templates, "text", "label").dropna().distinct().limit(MOST_TEMPLATES + 1).collect()
+    if len(rows) > MOST_TEMPLATES:
+        raise ValueError(f"more than {MOST_TEMPLATES} templates")
+    return [(t, label, True) for t, label in PHRASES] + sorted((r.text, r.label, False) for r in rows if len(word_hashes([r.text]).hash) >= K)
+
+
+def scan(docs: DataFrame, templates: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of each row.
 
+    ``templates (text, label)`` replace the own ones; those of under two words are left out.
     A null or empty text has no words and no labels.  Equal rows get equal results.
     """
-    entries = catalogue()
+    entries = entries_of(templates) if templates is not None else catalogue()
     spans = find(docs, entries)
     label = F.array(*[F.lit(e[1]) for e in entries])
     exact = F.array(*[F.lit(e[2]) for e in entries])

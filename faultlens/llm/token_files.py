@@ -23,7 +23,7 @@ from faultlens.llm import coder
 from faultlens.llm.store import pick
 from faultlens.llm.tokens import END_ID, closed, crc, tokenizer_path, word_ids
 
-ALPHABET = 49_408
+ALPHABET = 49_408  #: ids a block is coded for, or as many as the tokenizer has
 BLOCK_IDS = 1 << 20  #: a block is closed by the document that reaches this many ids
 BROADCAST_BLOCKS = 1_000_000  #: block starts sent to every executor at most (24 MB)
 
@@ -67,7 +67,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         def row():
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([len(names)], pa.int64()), pa.array([total], pa.int64()),
-                 pa.array([pack_block(names, held)], pa.binary())], ["part", "block", "docs", "ids", "payload"])
+                 pa.array([pack_block(names, held, max(ALPHABET, word_ids(source).size, end_id + 1))], pa.binary())], ["part", "block", "docs", "ids", "payload"])
 
         for batch in batches:
             doc = batch.column(0).to_pylist()

@@ -1,13 +1,16 @@
 """Token ids of whole texts with a public tokenizer, looked up word by word.
 
-The tokenizer drops white space and never merges across it, so the ids of a text are those
+A tokenizer that drops case and white space and never merges across it gives a text the ids
 of its space-separated words.  Each task keeps the ids of words it has met in a hash table
-of bounded size and hands only new words to the tokenizers library.
+of bounded size and hands only new words to the tokenizers library.  What a tokenizer does is
+read from its file; any other one gets whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -32,6 +35,19 @@ def word_ids(path: str) -> WordIds:
     return T.hold(path, lambda: WordIds(path))
 
 
+def splits_words(config: dict) -> bool:
+    """Whether a tokenizer drops case, and cuts at white space and drops it, before anything is merged."""
+    def steps(part, name):
+        return [] if part is None else part[name] if part["type"] == "Sequence" else [part]
+
+    changes = steps(config.get("normalizer"), "normalizers")
+    cuts = steps(config.get("pre_tokenizer"), "pretokenizers")
+    blank = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    kept = cuts[0].get("pattern", {}).get("Regex", "") if cuts else ""
+    whole = bool(cuts) and cuts[0]["type"] == "Split" and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and " " not in kept and not re.search(r"\\s(?!\\p)", kept.replace("[^\\s", ""))
+    return whole and blank in changes and {x["type"] for x in changes} <= {"NFC", "Replace", "Lowercase"} and {"type": "Lowercase"} in changes
+
+
 class WordIds:
     """Ids by word.  A hash of 64 bits stands for the word."""
 
@@ -40,6 +56,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size()
+        self.by_word = splits_words(json.loads(self.tokenizer.to_str()))
         self.clear()
 
     def clear(self) -> None:
@@ -88,6 +106,12 @@ class WordIds:
 
     def encode(self, column: pa.Array):
         """(first row, ids, bounds) of consecutive rows; row i has ids[bounds[i]:bounds[i + 1]]."""
+        if not self.by_word:
+            for lo, hi, _, _ in T.slices(column):
+                found = [e.ids for e in self.tokenizer.encode_batch_fast([x or "" for x in column.slice(lo, hi - lo).to_pylist()], add_special_tokens=False)]
+                counts = np.fromiter(map(len, found), np.int64, len(found))
+                yield lo, np.fromiter((x for f in found for x in f), np.uint32, int(counts.sum())), np.concatenate([[0], np.cumsum(counts)])
+            return
         for lo, _, raw, offsets in T.slices(column):
             part = raw[int(offsets[0]):int(offsets[-1])]
             # Case is dropped by the tokenizer, but special tokens are told by it.

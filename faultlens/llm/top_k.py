@@ -9,6 +9,9 @@ of every query in q, the pair is pruned.  Lists of all blocks are merged by rank
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import floor
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -113,11 +116,42 @@ def search(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k:
     return best
 
 
-def _integers(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, v) with v the components floor(scale * x); vectors with nulls or non-finite values are left out."""
-    x = F.transform("embedding", lambda c: c.cast("double"))
+def _fine(vectors: DataFrame) -> DataFrame:
+    """(vec_id, x): vectors without nulls or non-finite values, as doubles."""
     fine = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf"))), F.lit(False))
-    return pick(vectors, "vec_id", "embedding").where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale).cast("double")).alias("v"))
+    return pick(vectors, "vec_id", "embedding").where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: c.cast("double")).alias("x"))
+
+
+def _whole(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as Python integers, whatever their size."""
+    return np.array([[int(c) * scale if abs(c) >= EXACT else floor(Fraction(c) * scale) for c in row] for row in x.tolist()], dtype=object)
+
+
+def _exact(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int, scale: int) -> list[tuple[int, int, int]]:
+    """(query_id, vec_id, score) of the best k of x for each row of q, in integers of any size."""
+    scores = _whole(q, scale) @ _whole(x, scale).T
+    out = []
+    for i, own in enumerate(q_id.tolist()):
+        best = sorted((-s, j) for s, j in zip(scores[i], x_id.tolist()) if j != own)[:k]
+        out += [(own, j, -s) for s, j in best]
+    return out
+
+
+def _cells(q: pd.DataFrame, x: pd.DataFrame):
+    """(queries, vectors, whether integers are needed): all rows of two blocks, long vectors apart from the others."""
+    for qs in (q[~q["big"]], q[q["big"]]):
+        for xs in (x[~x["big"]], x[x["big"]]):
+            if len(qs) and len(xs):
+                yield qs, xs, bool(qs["big"].iloc[0] or xs["big"].iloc[0])
+
+
+def _order(v: int) -> str:
+    """A text that sorts like the number, whatever its size: sign, number of digits, digits, nines' complements below zero."""
+    text = f"{len(str(abs(v))):06d}{abs(v)}"
+    return "1" + text if v >= 0 else "0" + text.translate(_NINES)
+
+
+_NINES = str.maketrans("0123456789", "9876543210")
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, block: int = BLOCK) -> DataFrame:
@@ -127,28 +161,38 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     those with the query's own id; ties go to the smaller vec_id.  Vectors that are null or
     hold null or non-finite components take no part; vectors of another length than the
     query's are no candidates for it.  Repeated rows are candidates each; a repeated query
-    row counts once.  Scores are exact up to 2**53; larger ones raise an error.
+    row counts once.  Vectors too long for doubles to be exact lie in blocks of their own,
+    whose scores are
+    integers of any size; one outside 64 bits is ranked as it is and given as the nearest one inside.
     """
     tables = Tables(vectors.sparkSession, "topk")
-    data = tables.keep(_integers(vectors, scale).withColumn("dim", F.size("v")))
-    n, largest = data.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))).first()
-    if largest and largest >= EXACT:
-        raise ValueError("an inner product may exceed 2**53")
-    data_blocks = max(1, -(-(n or 0) // block))
+    length = F.aggregate("x", F.lit(0.0), lambda s, c: s + c * scale * c * scale)
+    # A sum of products is exact in doubles if both lengths multiplied are under 2**53; the margin is for rounding down.
+    data = tables.keep(_fine(vectors).select("vec_id", "x", F.size("x").alias("dim"), (length >= EXACT / 4).alias("big")))
+    n = data.count()
+    data_blocks = max(1, -(-n // block))
     query = data.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
     query_blocks = max(1, -(-query.count() // block))
-    left = query.select("dim", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(data_blocks - 1))).alias("db"), "vec_id", "v")
-    right = data.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(data_blocks)).cast("int").alias("db"), "vec_id", "v")
+    left = query.select("dim", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(data_blocks - 1))).alias("db"), "vec_id", "x", "big")
+    right = data.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("vec_id", "x"), F.lit(data_blocks)).cast("int").alias("db"), "vec_id", "x", "big")
 
     def pair(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(x):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        q_id, x_id = q["vec_id"].to_numpy(), x["vec_id"].to_numpy()
-        best = search(np.stack(q["v"].to_numpy()), q_id, np.stack(x["v"].to_numpy()), x_id, k)
-        ok = np.isfinite(best.score)
-        return pd.DataFrame({"query_id": np.repeat(q_id, ok.sum(axis=1)), "vec_id": best.id[ok], "score": best.score[ok].astype(np.int64)})
+        found: list[tuple[int, int, int]] = []
+        for few, many, exact in _cells(q, x):
+            q_id, x_id = few["vec_id"].to_numpy(), many["vec_id"].to_numpy()
+            qv, xv = np.stack(few["x"].to_numpy()), np.stack(many["x"].to_numpy())
+            if exact:
+                found += _exact(qv, q_id, xv, x_id, k, scale)
+                continue
+            best = search(np.floor(qv * scale), q_id, np.floor(xv * scale), x_id, k)
+            ok = np.isfinite(best.score)
+            found += zip(np.repeat(q_id, ok.sum(axis=1)).tolist(), best.id[ok].tolist(), best.score[ok].astype(np.int64).tolist())
+        if not found:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "place": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "place": object})
+        a, b, s = zip(*found)
+        return pd.DataFrame({"query_id": a, "vec_id": b, "score": [min(max(v, -(1 << 63)), (1 << 63) - 1) for v in s], "place": [_order(v) for v in s]})
 
     keys = ["dim", "qb", "db"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(pair, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(pair, "query_id long, vec_id long, score long, place string")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,11 +1,13 @@
 import hashlib
 import random
+from fractions import Fraction
 import re
 import secrets as keys
 
 import numpy as np
 
 from faultlens.llm import chat, licenses, secrets, toxicity
+from conftest import docs
 from faultlens.llm.top_k import cover_tree, top_k
 from pyspark.sql import functions as F
 
@@ -99,6 +101,27 @@ def test_licenses(make):
     assert licenses.scan(make(rows).limit(0)).count() == 0
 
 
+def test_no_license_the_verifier_would_accept_is_filtered_out(make, spark):
+    """Every edit the likeness allows, at any place: replaced, dropped and inserted words."""
+    rng = random.Random(12)
+    word = lambda: "w" + "".join(rng.choice("abcdefgh") for _ in range(5))
+    texts, want = ["licensed under an apache license", "licensed under the apache license"], ["apache-2.0", "apache-2.0"]
+    for k in range(250):
+        text, label = licenses.TEMPLATES[k % len(licenses.TEMPLATES)]
+        w = text.split()
+        for _ in range(rng.randint(0, licenses.edits(len(w)))):
+            i = rng.randrange(len(w))
+            w[i:i + 1] = rng.choice([[], [word()], [w[i], word()]])
+        filler = [word() for _ in range(rng.randint(0, 30))]
+        texts.append(" ".join([*filler, *w, *filler[:5]]))
+        want.append(label)
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(make(docs(texts))).collect()}
+    assert [k for k, label in enumerate(want) if label not in got[k]] == []
+    table = spark.createDataFrame([("my own notice of five words", "own"), (None, "x"), ("short", "y")], "text string, label string")
+    got = {r.doc_id: r.labels for r in licenses.scan(make(docs(["see my notice of five words", texts[0], "all rights reserved"])), table).collect()}
+    assert got == {0: "own", 1: "", 2: "reserved"}
+
+
 def test_toxicity_learns_and_is_fair(make, spark):
     rng = random.Random(7)
     bad, plain = ["scum", "idiot", "lowbrain"], ["tree", "house", "river", "stone", "cloud", "bird", "road", "song"]
@@ -150,12 +173,13 @@ def test_top_k_is_that_of_brute_force(spark):
     rows = [(int(k), [float(c) for c in v]) for k, v in enumerate(near)]
     rows += [(k, rows[3][1]) for k in range(1000, 1100)]  # ties
     rows += [(2000, None), (2100, [1.0] * 7 + [None]), (2200, [1.0] * 7 + [float("nan")]), (2300, [float("inf")] * 8), (None, [1.0] * 8), (2400, [1.0] * 5), (2401, [2.0] * 5), (100, rows[100][1])]
+    rows += [(3000, [1e5] * 8), (3001, [-1e5, 2e5] * 4), (3100, [9.1e4 + 1 / 2048] + [0.0] * 7), (3002, [1e12] + [-1.0] * 7), (3200, [1e300] + [2.0] * 7), (3003, [1e308] * 8)]  # beyond exact doubles
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, dim string")
-    good = [(i, [int(np.floor(1024 * c)) for c in v]) for i, v in rows if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    good = [(i, [int(Fraction(c) * 1024 // 1) for c in v]) for i, v in rows if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)]
     want = {}
     for i, q in dict(x for x in good if x[0] % 100 == 0).items():
         s = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i and len(v) == len(q))[:10]
-        want[i] = [(j, -x) for x, j in s]
+        want[i] = [(j, min(max(-x, -2**63), 2**63 - 1)) for x, j in s]
     for block in (64, 4096):
         got = {}
         for r in top_k(df, block=block).orderBy("query_id", "rank").collect():

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from faultlens.llm import coder
 from faultlens.llm.packing import pack, plan
 from faultlens.llm.token_files import read_tokens, write_tokens
-from faultlens.llm.tokens import WordIds, tokenizer_path
+from faultlens.llm.tokens import WordIds, splits_words, tokenizer_path
 from faultlens.session import run_dir
 
 TRICKY = [None, "", " ", "<|endoftext|> a<|ENDOFTEXT|>b <|startoftext|>", "Café café İ  x\ty\r\nz", "it's 1234 don't", "á\ńb", "x" * 9000, "日本語 текст", "WORD word Word"]
@@ -34,6 +34,32 @@ def test_word_table_gives_the_tokenizers_ids():
         assert [got[k] for k in range(len(sample))] == [plain_ids(t) for t in sample]
 
 
+def test_other_tokenizers_get_whole_texts(spark, make):
+    name = "byte_bpe_50k.json"
+    table, plain = WordIds(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+    assert not table.by_word and WordIds(tokenizer_path()).by_word
+    sample = TRICKY + ["Two  blanks\tand Case", " the end"]
+    got = {}
+    for lo, ids, bounds in table.encode(pa.array(sample, pa.string())):
+        for k in range(len(bounds) - 1):
+            got[lo + k] = ids[bounds[k]:bounds[k + 1]].tolist()
+    assert [got[k] for k in range(len(sample))] == [plain.encode(t or "", add_special_tokens=False).ids for t in sample]
+    path = run_dir(spark, "other")
+    write_tokens(make(rows(sample)), path, tokenizer_path(name), 50_256)
+    back = sorted((r.doc_id if r.doc_id is not None else -1, r.ids) for r in read_tokens(spark, path).collect())
+    assert back == sorted((-1 if r[0] is None else r[0], plain.encode(r[1] or "", add_special_tokens=False).ids + [50_256]) for r in rows(sample))
+
+
+def test_what_cuts_at_words_is_read_from_the_file():
+    kept = {"type": "Split", "pattern": {"Regex": "[\\p{L}]+|[^\\s\\p{L}]+"}, "behavior": "Removed", "invert": True}
+    blank = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    config = {"normalizer": {"type": "Sequence", "normalizers": [blank, {"type": "Lowercase"}]}, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [kept]}}
+    assert splits_words(config)
+    assert not splits_words(config | {"normalizer": blank}) and not splits_words(config | {"normalizer": None}) and not splits_words(config | {"pre_tokenizer": None})
+    for pattern in (" ?[\\p{L}]+", "\\s+|\\w+"):
+        assert not splits_words(config | {"pre_tokenizer": kept | {"pattern": {"Regex": pattern}}})
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 127, 129, 5000, 70_001])
 def test_coder_round_trip(n):
     rng = np.random.default_rng(n)
