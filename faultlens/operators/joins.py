@@ -22,14 +22,14 @@ def join_dimension(big: DataFrame, small: DataFrame, on: Sequence[str], how: str
 
 
 def allowlist_semi_join(logs: DataFrame, topics: DataFrame, departments: Sequence[str] | None = None,
-                        topic: str = "source_topic", department: str = "Dept") -> DataFrame:
+                        topic: str = "source_topic", department: str = "department") -> DataFrame:
     """Logs of listed topics, and of the given departments when those are named."""
     out = logs if departments is None else logs.filter(F.col(department).isin(list(departments)))
     return join_dimension(out, topics.select(topic).distinct(), [topic], "left_semi")
 
 
-def cluster_lookup(logs: DataFrame, patterns: DataFrame, host: str = "KubeNode",
-                   given: str = "Cluster") -> DataFrame:
+def cluster_lookup(logs: DataFrame, patterns: DataFrame, host: str = "host",
+                   given: str = "given_cluster") -> DataFrame:
     """Set ``cluster``: the given one, else the longest host-name prefix in ``patterns(prefix, cluster)``.
 
     Prefixes of each distinct host are matched by equality, so no pattern is

@@ -79,8 +79,8 @@ def log_format(topic: Column, formats: Sequence[tuple[str, str]] = FORMATS) -> C
     return chosen
 
 
-def department_filter(logs: DataFrame, departments: Sequence[str]) -> DataFrame:
-    return logs.filter(F.col("Dept").isin(list(departments)))
+def department_filter(logs: DataFrame, departments: Sequence[str], department: str = "department") -> DataFrame:
+    return logs.filter(F.col(department).isin(list(departments)))
 
 
 def dispatch_parse(logs: DataFrame, topic: str = "source_topic", value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -98,8 +98,11 @@ def dispatch_parse(logs: DataFrame, topic: str = "source_topic", value: str = "v
     return good, bad
 
 
-def normalise_log(parsed: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """The ten fields of a parsed log; message and label values are masked."""
+def normalise_log(parsed: DataFrame, cluster: str = "cluster", pod: str = "pod") -> DataFrame:
+    """The ten fields of a parsed log; message and label values are masked.
+
+    ``cluster`` and ``pod`` name the columns the shipper put these in.
+    """
     f = F.col("fields")
 
     def field(*names: str) -> Column:
@@ -116,7 +119,7 @@ def normalise_log(parsed: DataFrame, cluster: str = "cluster") -> DataFrame:
         F.try_to_timestamp(field("timestamp", "ts", "time")).alias("timestamp"),
         F.col(cluster).alias("cluster"),
         field("namespace").alias("namespace"),
-        F.coalesce(field("pod"), F.col("LogshipperPod")).alias("pod"),
+        F.coalesce(field("pod"), F.col(pod)).alias("pod"),
         field("container").alias("container"),
         F.coalesce(field("service"), F.regexp_extract("source_topic", r"([^-]+)$", 1)).alias("service"),
         fold_severity(level).alias("severity"),

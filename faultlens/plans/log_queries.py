@@ -32,11 +32,11 @@ def log_records(spark, sf_dir):
         .otherwise(F.concat(s("plain text "), event_id))
     prefix = F.when(kind == "signup", "linkerd-proxy-").when(kind == "purchase", "haproxy-").when(kind == "click", "java-").otherwise("app-")
     record = F.to_json(F.struct(
-        text.alias("log"), s("prod").alias("Env"),
-        F.when(F.col("user_id") % 4 == 0, "core").when(F.col("user_id") % 4 == 1, "edge").otherwise("retail").alias("Dept"),
-        F.concat(s("ship"), k).alias("LogshipperPod"),
-        F.concat(s("nation_"), (F.col("user_id") % 25).cast("string"), s("-h"), k).alias("KubeNode"),
-        F.when(F.col("k") % 2 == 0, F.col("cluster")).alias("Cluster")))
+        text.alias("log"), s("prod").alias("environment"),
+        F.when(F.col("user_id") % 4 == 0, "core").when(F.col("user_id") % 4 == 1, "edge").otherwise("retail").alias("department"),
+        F.concat(s("ship"), k).alias("pod"),
+        F.concat(s("nation_"), (F.col("user_id") % 25).cast("string"), s("-h"), k).alias("host"),
+        F.when(F.col("k") % 2 == 0, F.col("cluster")).alias("cluster")))
     return ev.select("event_id", F.concat(prefix, F.col("service")).alias("topic"), record.alias("value"))
 
 
@@ -63,8 +63,8 @@ lg AS (SELECT *, 'nation_' || (user_id % 25) || '-h' || k AS node, CASE WHEN k %
 @query("src4_read_log_topics", f"""WITH {LOGS}
 SELECT topic AS source_topic, dept, count(*) AS n, count(given) AS n_cluster FROM lg GROUP BY 1, 2""")
 def src4(spark, sf_dir):
-    return raw_logs(spark, sf_dir).groupBy("source_topic", F.col("Dept").alias("dept")).agg(
-        F.count(F.lit(1)).alias("n"), F.count("Cluster").alias("n_cluster"))
+    return raw_logs(spark, sf_dir).groupBy("source_topic", F.col("department").alias("dept")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("given_cluster").alias("n_cluster"))
 
 
 @query("src5_read_k8s_events", f"""WITH {twins.EVENTS}
@@ -92,7 +92,7 @@ def jn3(spark, sf_dir):
     logs = raw_logs(spark, sf_dir)
     ev = twins.events(spark, sf_dir).filter("k = 7 AND user_id % 2 = 0").select("event_id")
     topics = log_records(spark, sf_dir).join(ev, "event_id").select(F.col("topic").alias("source_topic"))
-    return jn.allowlist_semi_join(logs, topics, DEPARTMENTS).select("event_id", "source_topic", F.col("Dept").alias("dept"))
+    return jn.allowlist_semi_join(logs, topics, DEPARTMENTS).select("event_id", "source_topic", F.col("department").alias("dept"))
 
 
 @query("jn4_cluster_lookup", f"""WITH {LOGS},
@@ -216,7 +216,7 @@ SELECT event_id, CASE WHEN event_type = 'click' OR event_type = 'purchase' THEN
   topic AS source_topic FROM lg WHERE event_type <> 'error' AND dept <> 'retail'""")
 def lg11(spark, sf_dir):
     good, _ = lg.dispatch_parse(lg.department_filter(raw_logs(spark, sf_dir), DEPARTMENTS))
-    rows = lg.normalise_log(good.withColumn("_event_id", F.col("event_id")), "Cluster")
+    rows = lg.normalise_log(good.withColumn("_event_id", F.col("event_id")), "given_cluster")
     short = F.when(F.col("source_topic").rlike("^(app|linkerd)"), F.col("message"))
     return rows.select(F.col("_event_id").alias("event_id"), ntz(F.col("timestamp")).alias("timestamp"), "namespace", "pod", "service",
                        F.when(F.col("severity") == "warning", "warning").otherwise(F.col("severity")).alias("severity"),
@@ -345,7 +345,7 @@ SELECT service, CAST(ts AS DATE) AS date, count(*) AS n FROM lg WHERE event_type
 def snk5(spark, sf_dir):
     good, _ = lg.dispatch_parse(lg.department_filter(raw_logs(spark, sf_dir), DEPARTMENTS))
     path = run_dir(spark, "parsed-logs")
-    write_parsed_log_files(lg.normalise_log(good, "Cluster").filter("timestamp IS NOT NULL"), path)
+    write_parsed_log_files(lg.normalise_log(good, "given_cluster").filter("timestamp IS NOT NULL"), path)
     return spark.read.parquet(path).groupBy("service", "date").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -65,9 +65,9 @@ def src2(spark, sf_dir):
     return rows.groupBy("sli_id", "metric", kv_text(F.col("labels")).alias("labels")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("src3_load_slis", """SELECT CAST(p_partkey AS VARCHAR) AS id, p_type AS metric, 3::BIGINT AS n_thresholds,
-  CASE WHEN p_size % 2 = 0 THEN p_size * 3600 ELSE 86400 END AS baseline_window_s, 60 AS sample_interval_s, 60 AS seasonality_period
-FROM part WHERE p_size % 10 <> 0""")
+@query("src3_load_slis", """SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size % 10 <> 0 THEN p_type END AS metric, 3::BIGINT AS n_thresholds,
+  CASE WHEN p_size % 2 = 0 THEN p_size * 3600 ELSE 86400 END AS baseline_window_s, 60 AS sample_interval_s, 60 AS seasonality_period,
+  CASE WHEN p_size % 10 = 0 THEN 'missing field' END AS reason FROM part""")
 def src3(spark, sf_dir):
     part = twins.table(spark, sf_dir, "part")
     rows = part.select(
@@ -76,9 +76,10 @@ def src3(spark, sf_dir):
         F.lit(None).cast("array<struct<min:double,severity:string>>").alias("severity_thresholds"),
         F.when(F.col("p_size") % 2 == 0, F.col("p_size") * 3600).alias("baseline_window_s"),
         F.lit(None).cast("int").alias("sample_interval_s"), F.lit(None).cast("int").alias("seasonality_period"))
-    good, _ = slis_with_defaults(rows)
-    return good.select("id", "metric", F.size("severity_thresholds").cast("long").alias("n_thresholds"),
-                       "baseline_window_s", "sample_interval_s", "seasonality_period")
+    good, bad = slis_with_defaults(rows)
+    both = good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+    return both.select("id", "metric", F.size("severity_thresholds").cast("long").alias("n_thresholds"),
+                       "baseline_window_s", "sample_interval_s", "seasonality_period", "reason")
 
 
 @query("ts1_clean_samples", f"WITH {RAW} SELECT sli_id, ts, value FROM smp")

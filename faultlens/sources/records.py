@@ -8,6 +8,7 @@ from Kafka, or from a column of another table.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,22 +96,26 @@ def slis_with_defaults(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return filled.filter(complete), filled.filter(~complete).withColumn("reason", F.lit("missing field"))
 
 
-def read_log_topics(records: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
+#: Columns of a log record and the names a shipper may give them in its JSON.
+LOG_FIELDS = {"environment": "environment", "department": "department", "pod": "pod", "host": "host", "given_cluster": "cluster"}
+
+
+def read_log_topics(records: DataFrame, topic: str = "topic", value: str = "value", log: str = "log",
+                    names: Mapping[str, str] = LOG_FIELDS) -> DataFrame:
     """Log records with their metadata fields; the topic stays as ``source_topic``.
 
-    The record is a JSON object ``{log, Env, Dept, LogshipperPod, KubeNode, Cluster}``;
-    other text becomes the log itself.
+    The record is a JSON object with the text in ``log`` and further fields, which ``names``
+    maps from the columns they become; other text becomes the log itself.
     """
-    meta = T.StructType([T.StructField(n, T.StringType(), True)
-                         for n in ("log", "Env", "Dept", "LogshipperPod", "KubeNode", "Cluster")])
+    meta = T.StructType([T.StructField(n, T.StringType(), True) for n in (log, *names.values())])
     docs = with_parsed(records, F.col(value).cast("string"), meta)
-    known = F.col("_doc.log").isNotNull()
-    fields = [F.when(known, F.col(f"_doc.{f}")).alias(f) for f in meta.fieldNames() if f != "log"]
+    known = F.col(f"_doc.{log}").isNotNull()
+    fields = [F.when(known, F.col(f"_doc.{f}")).alias(name) for name, f in names.items()]
     keep = [c for c in records.columns if c not in (topic, value)]
     return docs.select(
         *keep,
         F.col(topic).alias("source_topic"),
-        F.when(known, F.col("_doc.log")).otherwise(F.col(value).cast("string")).alias("value"),
+        F.when(known, F.col(f"_doc.{log}")).otherwise(F.col(value).cast("string")).alias("value"),
         *fields,
     )
 
