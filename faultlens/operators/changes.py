@@ -129,13 +129,75 @@ def _step(key: str) -> str:
     return re.sub(r"([\\.\[])", r"\\\1", key)
 
 
+_TOKEN = re.compile(r'[ \t\n\r]*(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]|\\.)*")|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|-?Infinity|NaN)|(true|false|null))')
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def _deep(text: str):
+    """What ``json.loads`` gives, for documents too deep for it: open objects and lists are on a list, not on the call stack."""
+    open_, at, result = [], 0, []
+    holder, key, want = result, None, "value"  # want: value, item (or an end), name (or an end), next
+    while True:
+        m = _TOKEN.match(text, at)
+        if m is None:
+            if not text[at:].strip(" \t\n\r") and want == "next" and not open_:
+                return result[0]
+            raise ValueError("no JSON")
+        at = m.end()
+        sign, quoted, number, word = m.groups()
+        if want == "next":
+            if not open_ or sign not in ("," , "]", "}") or (sign != "," and (sign == "}") != isinstance(holder, dict)):
+                raise ValueError("no JSON")
+            if sign == ",":
+                want = "key" if isinstance(holder, dict) else "value"
+            else:
+                holder, key = open_.pop()
+            continue
+        if want in ("name", "key"):
+            if want == "name" and sign == "}":
+                holder, key = open_.pop()
+                want = "next"
+                continue
+            colon = _TOKEN.match(text, at)
+            if quoted is None or colon is None or colon[1] != ":":
+                raise ValueError("no JSON")
+            key, at, want = json.loads(quoted), colon.end(), "value"
+            continue
+        if want == "item" and sign == "]":
+            holder, key = open_.pop()
+            want = "next"
+            continue
+        if sign in ("{", "["):
+            value = {} if sign == "{" else []
+        elif sign is not None:
+            raise ValueError("no JSON")
+        else:
+            value = json.loads(quoted) if quoted is not None else _Number(number) if number is not None else _WORDS[word]
+        if isinstance(holder, dict):
+            holder[key] = value
+        else:
+            holder.append(value)
+        if sign is None:
+            want = "next"
+        else:
+            open_.append((holder, key))
+            holder, want = value, "name" if sign == "{" else "item"
+
+
+def _parsed(text: str):
+    try:
+        return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+    except RecursionError:
+        return _deep(text)
+
+
 def json_leaves(text: str | None) -> list[tuple[str, str, str | None]]:
     """(path, kind, leaf) of every leaf; objects give ``a.b``, arrays ``a[0]``, empty ones are leaves themselves."""
     if text is None:
         return []
     try:
-        stack = [("", json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number))]
-    except (ValueError, RecursionError):
+        stack = [("", _parsed(text))]
+    except ValueError:
         return [("", "text", text)]
     out = []
     while stack:

@@ -164,7 +164,6 @@ def asof_join(
     left_us: str,
     right_us: str,
     carried: Sequence[str],
-    chunk_us: int = HOUR,
 ) -> DataFrame:
     """For each left row the newest right row of its key at or before it (left outer).
 
@@ -186,7 +185,7 @@ def asof_join(
         F.struct(*left.columns).alias("_left"),
         F.lit(1).alias("_side"),
     )
-    both = asks.unionByName(marks).withColumn("_chunk", bucket(F.col("_us"), chunk_us))
+    both = balanced(asks.unionByName(marks), keys, ["_us", "_side"])
     out = running(both, keys, "_chunk", ["_us", "_side"], {"_found": ("last", F.col("_right"))})
     return out.filter("_side = 1").select("_left.*", *[f"_found.{c}" for c in carried])
 
@@ -226,7 +225,6 @@ def nearest_in_window(
     k: int,
     before_us: int,
     after_us: int,
-    chunk_us: int = 600 * SECOND,
 ) -> DataFrame:
     """The candidates of a key that can be among the k closest to each request time.
 
@@ -263,8 +261,8 @@ def nearest_in_window(
     both = marks.unionByName(
         spots.select(*keys, F.col("c_us").alias("_us"), F.lit(1).alias("_side"),
                      F.lit(None).cast(asks.schema["_p"].dataType).alias("_p"), "_ids")
-    ).withColumn("_chunk", bucket(F.col("_us"), chunk_us))
-    both = materialise(both, "marks")
+    )
+    both = balanced(both, keys, ["_us", "_side"])
     hit = F.when(F.col("_side") == 1, F.lit(1)).otherwise(F.lit(0)).cast("long")
     counted = materialise(running(both, keys, "_chunk", ["_us", "_side"], {"_pos": ("sum", hit)}), "positions")
 
@@ -288,14 +286,14 @@ def nearest_in_window(
 
 def islands(
     df: DataFrame, keys: Sequence[str], start_us: str, end_us: str, order: Sequence[str],
-    slack_us: int = 0, chunk_us: int = HOUR, name: str = "_island",
+    slack_us: int = 0, name: str = "_island",
 ) -> DataFrame:
     """Number groups of overlapping intervals per key (gap larger than slack splits)."""
-    out = df.withColumn("_chunk", bucket(F.col(start_us), chunk_us))
+    out = balanced(df, keys, [start_us, *order])
     out = running(out, keys, "_chunk", [start_us, *order],
                   {"_reach": ("max", F.col(end_us))}, inclusive=False)
     begins = F.col("_reach").isNull() | (F.col(start_us) > F.col("_reach") + slack_us)
-    out = out.withColumn("_begins", begins.cast("long"))
+    out = materialise(out.withColumn("_begins", begins.cast("long")), "begins")  # read twice by the next running value
     out = running(out, keys, "_chunk", [start_us, *order], {name: ("sum", F.col("_begins"))})
     return out.drop("_chunk", "_reach", "_begins")
 

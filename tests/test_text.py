@@ -1,3 +1,5 @@
+import random
+import json
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +76,36 @@ def test_leaves_and_summary(spark):
     assert text == "Deployment p: spec.env[1].n B → ∅; spec.replicas 3 → 2"
 
 
+def test_documents_of_any_depth():
+    n = 20_000
+    ((path, kind, leaf),) = ch.json_leaves('{"a":[' * n + "1.0" + "]}" * n)
+    assert (kind, leaf, path.count("a[0]")) == ("number", "1.0", n)
+    assert ch.json_leaves("[" * n)[0][1] == "text" and ch.json_leaves("[" * n + "]" * n) == [("[0]" * (n - 1), "array", "[]")]
+    rng = random.Random(1)
+
+    def value(depth):
+        if depth == 0 or rng.random() < 0.4:
+            return rng.choice([1, -2.5, 1e300, 'a"b\\', "é\n", True, None, "", [], {}])
+        if rng.random() < 0.5:
+            return [value(depth - 1) for _ in range(rng.randint(0, 3))]
+        return {rng.choice("ab."): value(depth - 1) for _ in range(rng.randint(0, 3))}
+
+    def outcome(parse, text):
+        try:
+            return parse(text)
+        except ValueError:
+            return "no JSON"
+
+    for _ in range(3000):
+        text = list(json.dumps(value(4), indent=rng.choice([None, 1])))
+        for _ in range(rng.choice([0, 1, 2])):
+            i = rng.randrange(len(text) + 1)
+            text[i:i + rng.randint(0, 1)] = rng.choice(["", *',}]{["1- x:'])
+        text = "".join(text)
+        plain = lambda t: json.loads(t, parse_int=ch._Number, parse_float=ch._Number, parse_constant=ch._Number)
+        assert outcome(ch._deep, text) == outcome(plain, text), text
+
+
 def test_leaves_keep_kinds_keys_and_depth():
     assert sorted(ch.json_leaves('{"x":"true","y":"{\\"z\\":1}"}')) == [("x", "string", "true"), ("y", "string", '{"z":1}')]
     assert sorted(ch.json_leaves('{"x":true,"y":{"z":1.50},"n":null}')) == [("n", "null", None), ("x", "boolean", "true"), ("y.z", "number", "1.50")]
