@@ -55,8 +55,9 @@ def distance(a: Sequence, b: Sequence, limit: float | None = None) -> int:
     return score
 
 
-LONG_TEXT = 4000  #: letters from which on bounds are tried before the whole distance
-GAP = 2000  #: letters of a gap between equal words that are compared letter by letter
+WORDY = 100  #: letters from which on texts are aligned by their words before the whole distance
+GAP = 64  #: letters of a gap between equal words that are compared letter by letter
+LONG_TEXT = 4000  #: letters from which on letters are counted too
 
 
 def _in_order(places: list[int]) -> list[int]:
@@ -77,8 +78,11 @@ def _in_order(places: list[int]) -> list[int]:
     return out[::-1]
 
 
-def aligned_bound(a: str, b: str) -> int:
-    """An upper bound of the distance: words that each text has once are matched in order, the gaps between compared by themselves."""
+def aligned_bound(a: str, b: str, limit: float = float("inf")) -> int:
+    """An upper bound of the distance: words that each text has once are matched in order, the gaps between compared by themselves.
+
+    Beyond the limit it is not worked out to its end.
+    """
     x, y = a.split(" "), b.split(" ")
     once = {w for w, n in Counter(x).items() if n == 1} & {w for w, n in Counter(y).items() if n == 1}
     where = {w: j for j, w in enumerate(y) if w in once}
@@ -91,6 +95,8 @@ def aligned_bound(a: str, b: str) -> int:
             p, q = " ".join(x[i0:i]), " ".join(y[j0:j])
             total += max(len(p), len(q)) if max(len(p), len(q)) > GAP else distance(p, q)
             total += (i == i0) != (j == j0)  # a space more on one side
+            if total > limit:
+                break
         i0, j0 = i + 1, j + 1
     return total
 
@@ -109,8 +115,8 @@ def within(a: str, b: str, limit: float) -> bool:
         ca, cb = Counter(a), Counter(b)
         if max((ca - cb).total(), (cb - ca).total()) > limit:
             return False
-        if aligned_bound(a, b) <= limit:
-            return True
+    if min(len(a), len(b)) > WORDY and aligned_bound(a, b, limit) <= limit:
+        return True
     return distance(a, b, limit) <= limit
 
 

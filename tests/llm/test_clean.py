@@ -24,6 +24,7 @@ def test_bounds_of_long_texts(monkeypatch):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8)))
     monkeypatch.setattr("faultlens.llm.editdist.LONG_TEXT", 10)
+    monkeypatch.setattr("faultlens.llm.editdist.WORDY", 10)
     for _ in range(300):
         w = [word() for _ in range(rng.randint(1, 30))]
         v = list(w)
@@ -50,6 +51,7 @@ def test_many_pairs_at_once(monkeypatch):
     a, b = zip(*pairs)
     for long_text in (4000, 100):
         monkeypatch.setattr("faultlens.llm.editdist.LONG_TEXT", long_text)
+        monkeypatch.setattr("faultlens.llm.editdist.WORDY", long_text // 40)
         for similarity in (0.8, 0.95, 0.5):
             want = [plain_distance(x, y) <= (1 - similarity) * max(len(x), len(y)) + 1e-9 for x, y in pairs]
             assert within_all(a, b, similarity).tolist() == want
