@@ -28,4 +28,5 @@ FROM sets s LEFT JOIN node n ON n.s = s.s LEFT JOIN comp c ON c.node = n.node
 
 @query("op1_near_duplicates", SQL)
 def op1_near_duplicates(spark, sf_dir):
+    """The group of every document, with three-word shingles and a similarity of 0.85; null and empty texts are groups of their own."""
     return near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85)

@@ -6,4 +6,5 @@ from faultlens.llm.registry import query, read
 
 @query("op7_pack")
 def op7_pack(spark, sf_dir):
+    """Every piece of every document with its place; null and empty texts are pieces of the end id alone."""
     return pack(read(spark, sf_dir, "documents"))

@@ -17,4 +17,5 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 
 @query("op10_top_k", SQL)
 def op10_top_k(spark, sf_dir):
+    """The ten best of every hundredth vector; null and non-finite vectors take no part."""
     return top_k(read(spark, sf_dir, "embeddings"))

@@ -8,6 +8,7 @@ from faultlens.llm.secrets import scan
 
 @query("op5_secrets")
 def op5_secrets(spark, sf_dir):
+    """The secrets of every document as counts, digest and spans; null and empty texts hold none."""
     found = scan(read(spark, sf_dir, "documents"))
     order = F.create_map(*[F.lit(x) for x in ("assign", 0, "access", 1, "hex", 2)])
 
