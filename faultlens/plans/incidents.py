@@ -13,7 +13,7 @@ from faultlens.plans.log_queries import TEMPLATES, lines
 from faultlens.plans.registry import query
 from faultlens.plans.retrieval_queries import KNN
 from faultlens.plans.twins import EVENTS, INCIDENT_PARTS
-from faultlens.session import run_dir
+from faultlens.session import materialise, run_dir
 from faultlens.sources.sinks import expire, upsert_incidents
 
 
@@ -236,6 +236,15 @@ def cr11(spark, sf_dir):
     return cr.incident_page(rows, [F.desc("value"), F.asc("event_id")], 1, 20, F.col("service") == "svc3")
 
 
+@query("cr11_incident_detail", f"""WITH {INCIDENT_PARTS}, one AS (SELECT min(anomaly_id) AS id FROM ranked)
+SELECT anomaly_id, count(*) AS n_causes, arg_min(cand_id, "rank") AS best FROM ranked WHERE anomaly_id = (SELECT id FROM one) GROUP BY 1""")
+def cr11b(spark, sf_dir):
+    """One incident by its id, here the smallest that has causes."""
+    rows = materialise(cr.build_incidents(twins.ranked_causes(twins.events(spark, sf_dir))), "incidents")
+    one = cr.incident_detail(rows, rows.agg(F.min("anomaly_id")).first()[0], "anomaly_id")
+    return one.select("anomaly_id", F.size("ranked_candidate_causes").cast("long").alias("n_causes"), F.get("ranked_candidate_causes", F.lit(0))["change_event_id"].alias("best"))
+
+
 @query("ag3_union_candidates", f"""WITH {INCIDENT_PARTS},
 u AS (SELECT kind, cluster FROM cand UNION ALL SELECT 'k8s_event', cluster FROM ev WHERE event_type = 'view'
       UNION ALL SELECT 'log_template', NULL FROM documents)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from faultlens.functions.columns import SECOND, confidence, ntz, series_key, severity_for, thresholds
 from faultlens.operators import detect as dt
 from faultlens.operators import series as ts
+from faultlens.operators.ordered import previous_within
 from faultlens.operators.forest import fit_isolation_forest, score_isolation_forest
 from faultlens.plans import twins
 from faultlens.plans.registry import query
@@ -391,6 +392,25 @@ def dt8b(spark, sf_dir):
     return dt.detect(ts.regularise(ev, ["series"]), ["series"], window_s=6 * 86_400)
 
 
+@query("dt8_detect_facts", f"""WITH RECURSIVE {WARM}, {spaced_sql('warm', 3_600_000_000)}
+SELECT w.series, n_scored, n_fits, true AS in_range, true AS follows_limits, true AS spaced FROM (SELECT series, count(*) AS n_scored FROM warm GROUP BY 1) w
+JOIN (SELECT series, count(*) AS n_fits FROM kept GROUP BY 1) k ON k.series = w.series""")
+def dt8c(spark, sf_dir):
+    """What is determined of a detector run on samples polled once a minute: scored samples, fits, ranges, limits, and emissions five minutes apart."""
+    rows = materialise(regular(spark, sf_dir), "regular")
+    warm = materialise(dt.warm_gate(rows, ["series"], min_samples=60), "warm")
+    fits = materialise(dt.refit_schedule(warm, ["series"]), "fits")
+    scored = materialise(dt.judge(dt.score_series(rows, ["series"], fits, min_samples=60, trees=20)), "scored")
+    hits = dt.cooldown(scored.filter("severity IS NOT NULL"), ["series"])
+    reached = F.when(F.col("confidence") >= 0.9, "critical").when(F.col("confidence") >= 0.7, "warning").when(F.col("confidence") >= 0.5, "info")
+    facts = scored.groupBy("series").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.bool_and(F.col("iso_score").between(-1.0, -1e-9) & F.col("confidence").between(0.0, 1.0)).alias("in_range"),
+        F.bool_and(F.col("severity").eqNullSafe(reached)).alias("follows_limits"))
+    gaps = previous_within(hits, ["series"], "us", [], {"before": "us"}, 300 * SECOND).groupBy("series").agg(F.bool_and(F.col("before").isNull()).alias("spaced"))
+    return facts.join(fits.groupBy("series").agg(F.count(F.lit(1)).alias("n_fits")), "series").join(gaps, "series", "left").select(
+        "series", "n_scored", "n_fits", "in_range", "follows_limits", F.coalesce("spaced", F.lit(True)).alias("spaced"))
+
+
 @query("dt9_confidence", f"""WITH {twins.EVENTS}
 SELECT event_id, round(1 / (1 + exp(8.0::DOUBLE * (-value / 300 + 0.55::DOUBLE))), 6) AS confidence FROM ev""")
 def dt9(spark, sf_dir):
