@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from faultlens.functions.columns import SECOND, from_micros, ntz
+from faultlens.functions.columns import SECOND, from_micros, micros, ntz
 from faultlens.operators import correlate as cr
 from faultlens.operators import joins as jn
 from faultlens.operators import retrieve, templates
@@ -259,6 +259,30 @@ def ag3(spark, sf_dir):
     return rows.groupBy("kind", "cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
+EVERY_CAUSE = (INCIDENT_PARTS.replace("pairs AS (", """every_cand AS (
+  SELECT CAST(cand_id AS VARCHAR) AS cand_id, cluster, service, c_us, kind FROM cand
+  UNION ALL SELECT CAST(event_id AS VARCHAR), cluster, service, us, 'k8s_event' FROM ev WHERE event_type = 'view'
+  UNION ALL SELECT 'tpl-' || md5(service || ' ' || template), 'c' || (length(template) % 3), replace(service, 'src', 'svc'), epoch_us(min(ts)), 'log_template' FROM tp GROUP BY service, template),
+pairs AS (""", 1).replace("JOIN cand c ON", "JOIN every_cand c ON").replace(
+    "CASE WHEN p.kind = 'deploy' THEN 1.0::DOUBLE ELSE 0.6::DOUBLE END AS fk",
+    "CASE p.kind WHEN 'deploy' THEN 1.0::DOUBLE WHEN 'config_change' THEN 0.6::DOUBLE WHEN 'k8s_event' THEN 0.4::DOUBLE ELSE 0.3::DOUBLE END AS fk"))
+
+
+@query("ag3_rank_all_kinds", f"""WITH {TEMPLATES.lstrip()}, {EVERY_CAUSE.lstrip()}
+SELECT anomaly_id, "rank", cand_id, kind, cause_service, score FROM ranked""")
+def ag3c(spark, sf_dir):
+    """Changes, cluster events and first sights of log templates ranked together, each at its own time."""
+    ev = twins.events(spark, sf_dir)
+    k8s = ev.filter("event_type = 'view'").select(F.col("event_id").alias("cand_id"), "cluster", "service", F.col("us").alias("c_us"))
+    seen = templates.mine_templates(lines(spark, sf_dir)).select(
+        F.concat(F.lit("tpl-"), F.md5(F.concat("service", F.lit(" "), "template"))).alias("cand_id"),
+        F.concat(F.lit("c"), (F.length("template") % 3).cast("string")).alias("cluster"),
+        F.regexp_replace("service", "src", "svc").alias("service"), micros(F.col("first_seen")).alias("c_us"))
+    rows = materialise(cr.union_candidates(changes=twins.candidates(ev), k8s_event=k8s, log_template=seen), "candidates")
+    ranked = cr.rank_causes(twins.anomalies(ev), rows, twins.distances(ev), cr.history(twins.feedback(ev)))
+    return ranked.select("anomaly_id", "rank", "cand_id", "kind", "cause_service", "score")
+
+
 @query("ag3_union_signals", f"""WITH {EVENTS}
 SELECT CASE WHEN event_type = 'error' THEN 1 ELSE 2 END AS tier, event_type = 'view' AS has_iso, count(*) AS n
 FROM ev WHERE event_type IN ('error', 'view') GROUP BY 1, 2""")
