@@ -1,10 +1,13 @@
 """Exact top-k by inner product with dual-tree search over cover trees.
 
-Queries and data are cut into blocks; every pair of blocks is one task.  In a task both
+Vectors lie in blocks around sampled centres, so a block is a region of space.  Queries meet
+the blocks of their own centre first; the kth scores found there are what other blocks must
+reach: a block pair whose bound is under the worst of them is not formed.  In a task both
 sides are cover trees: a node has a centre and a radius that holds all its vectors, and its
 children, whose centres keep their distance, halve that radius.  A pair of nodes (q, p) can
 score at most  <q, p> + |q| r_p + |p| r_q + r_q r_p;  if that is under the worst kth score
-of every query in q, the pair is pruned.  Lists of all blocks are merged by rank.
+of every query in q, the pair is pruned.  Blocks are the upper levels of the same trees.
+Lists of all blocks are merged by rank.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql.window import Window
 from faultlens.llm.store import Tables, pick
 
 BLOCK, LEAF = 4096, 48
+CENTRES = 4096  #: centres at most that every task gets (2 MB at 64 dimensions)
 EXACT = float(1 << 53)
 
 
@@ -70,13 +74,14 @@ def cover_tree(x: np.ndarray, rows: np.ndarray | None = None, centre: int | None
 class Best:
     """The k best (score, smaller id) of each query; one more than k is kept where a query may meet itself."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, least: np.ndarray | None = None):
+        self.least = np.full(n, -np.inf) if least is None else least
         self.score = np.full((n, k), -np.inf)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
         self.k = k
 
     def worst(self, rows: np.ndarray) -> float:
-        return float(self.score[rows, -1].min())
+        return float(np.maximum(self.score[rows, -1], self.least[rows]).min())
 
     def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         s = np.concatenate([self.score[rows], score], axis=1)
@@ -91,9 +96,12 @@ def _bound(q: Node, p: Node) -> float:
     return b + 1e-9 * (abs(b) + q.length * p.length)  # rounding never prunes a tie
 
 
-def search(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int) -> Best:
-    """Best k of x for each row of q, a row with the query's own id left out."""
-    best = Best(len(q), k)
+def search(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int, least: np.ndarray | None = None) -> Best:
+    """Best k of x for each row of q, a row with the query's own id left out.
+
+    What cannot reach a query's ``least`` score may be missing.
+    """
+    best = Best(len(q), k, least)
     stack = [(cover_tree(q), cover_tree(x))]
     while stack:
         a, b = stack.pop()
@@ -137,14 +145,6 @@ def _exact(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k:
     return out
 
 
-def _cells(q: pd.DataFrame, x: pd.DataFrame):
-    """(queries, vectors, whether integers are needed): all rows of two blocks, long vectors apart from the others."""
-    for qs in (q[~q["big"]], q[q["big"]]):
-        for xs in (x[~x["big"]], x[x["big"]]):
-            if len(qs) and len(xs):
-                yield qs, xs, bool(qs["big"].iloc[0] or xs["big"].iloc[0])
-
-
 def _order(v: int) -> str:
     """A text that sorts like the number, whatever its size: sign, number of digits, digits, nines' complements below zero."""
     text = f"{len(str(abs(v))):06d}{abs(v)}"
@@ -154,6 +154,66 @@ def _order(v: int) -> str:
 _NINES = str.maketrans("0123456789", "9876543210")
 
 
+FOUND = "query_id long, vec_id long, score long, place string"
+
+
+def _rows(found: list[tuple[int, int, int]]) -> pd.DataFrame:
+    if not found:
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "place": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "place": object})
+    a, b, s = zip(*found)
+    return pd.DataFrame({"query_id": a, "vec_id": b, "score": [min(max(v, -(1 << 63)), (1 << 63) - 1) for v in s], "place": [_order(v) for v in s]})
+
+
+def _around_centres(data: DataFrame, scale: int, n: int, block: int) -> DataFrame:
+    """The rows with ``spot``, the number of the nearest of some sampled centres of their length, -1 if it has none."""
+    drawn = data.orderBy(F.xxhash64("vec_id", "x"), "vec_id", "x").limit(max(1, min(CENTRES, -(-n // block)))).select("x").collect()
+    centres: dict[int, list] = {}
+    for r in drawn:
+        centres.setdefault(len(r.x), []).append(np.floor(np.array(r.x) * scale))
+    centres = {d: np.stack(c) for d, c in centres.items()}
+
+    def run(batches):
+        for pdf in batches:
+            spot = np.full(len(pdf), -1, np.int32)
+            for d, c in centres.items():
+                at = np.flatnonzero(pdf["dim"].to_numpy() == d)
+                if len(at) and d:
+                    v = np.floor(np.stack(pdf["x"].iloc[at].to_numpy()) * scale)
+                    spot[at] = ((c * c).sum(axis=1)[None, :] - 2 * v @ c.T).argmin(axis=1)
+            yield pdf.assign(spot=spot)
+
+    return data.mapInPandas(run, "vec_id long, x array<double>, dim int, big boolean, spot int")
+
+
+def _blocks(rows: DataFrame, by: list[str], block: int, name: str) -> DataFrame:
+    """The rows with the number of their block of about ``block`` rows within ``by``."""
+    sizes = rows.groupBy(*by).agg(F.ceil(F.count("*") / block).cast("int").alias("_n"))
+    return rows.join(sizes, by).withColumn(name, F.pmod(F.xxhash64("vec_id", "x"), F.col("_n")).cast("int")).drop("_n")
+
+
+def _balls(rows: DataFrame, by: list[str], scale: int, worst: bool) -> DataFrame:
+    """(by, centre, radius, length, worst) of each block; ``worst`` is the least score its queries still look for."""
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = np.floor(np.stack(pdf["x"].to_numpy()) * scale)
+        mid = v.mean(axis=0)
+        return pdf.iloc[:1][by].assign(
+            centre=[mid.tolist()], radius=float(np.sqrt(((v - mid) ** 2).sum(axis=1).max())) * (1 + 1e-9), length=float(np.sqrt(mid @ mid)),
+            worst=float(pdf["least"].min()) if worst else 0.0)
+
+    kinds = dict(rows.dtypes)
+    return rows.groupBy(*by).applyInPandas(one, ", ".join(f"{c} {kinds[c]}" for c in by) + ", centre array<double>, radius double, length double, worst double")
+
+
+def block_pairs(queries: DataFrame, data: DataFrame, scale: int) -> DataFrame:
+    """(dim, q_spot, qb, spot, db): blocks of other centres that can hold one of the k best of a query block."""
+    q = _balls(queries, ["dim", "spot", "qb"], scale, True).select("dim", F.col("spot").alias("q_spot"), "qb", F.col("centre").alias("qc"), F.col("radius").alias("qr"), F.col("length").alias("ql"), "worst")
+    p = _balls(data, ["dim", "spot", "db"], scale, False).select("dim", "spot", "db", F.col("centre").alias("pc"), F.col("radius").alias("pr"), F.col("length").alias("pl"))
+    dot = F.aggregate(F.zip_with("qc", "pc", lambda a, b: a * b), F.lit(0.0), lambda s, c: s + c)
+    bound = dot + F.col("ql") * F.col("pr") + F.col("pl") * F.col("qr") + F.col("qr") * F.col("pr")
+    slack = 1e-9 * (F.abs(bound) + F.col("ql") * F.col("pl"))  # rounding never prunes a tie
+    return q.join(p, "dim").where((F.col("q_spot") != F.col("spot")) & (bound + slack >= F.col("worst"))).select("dim", "q_spot", "qb", "spot", "db")
+
+
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of each query.
 
@@ -161,8 +221,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     those with the query's own id; ties go to the smaller vec_id.  Vectors that are null or
     hold null or non-finite components take no part; vectors of another length than the
     query's are no candidates for it.  Repeated rows are candidates each; a repeated query
-    row counts once.  Vectors too long for doubles to be exact lie in blocks of their own,
-    whose scores are
+    row counts once.  Vectors too long for doubles to be exact lie in blocks of their own, whose scores are
     integers of any size; one outside 64 bits is ranked as it is and given as the nearest one inside.
     """
     tables = Tables(vectors.sparkSession, "topk")
@@ -170,29 +229,51 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     # A sum of products is exact in doubles if both lengths multiplied are under 2**53; the margin is for rounding down.
     data = tables.keep(_fine(vectors).select("vec_id", "x", F.size("x").alias("dim"), (length >= EXACT / 4).alias("big")))
     n = data.count()
-    data_blocks = max(1, -(-n // block))
-    query = data.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    query_blocks = max(1, -(-query.count() // block))
-    left = query.select("dim", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(data_blocks - 1))).alias("db"), "vec_id", "x", "big")
-    right = data.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("vec_id", "x"), F.lit(data_blocks)).cast("int").alias("db"), "vec_id", "x", "big")
+    plain = tables.keep(_blocks(_around_centres(data.where("not big"), scale, n, block), ["dim", "spot"], block, "db"))
+    query = plain.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).select("vec_id", "x", "dim", "spot")
+    query = tables.keep(_blocks(query, ["dim", "spot"], block, "qb"))
 
     def pair(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int, int]] = []
-        for few, many, exact in _cells(q, x):
-            q_id, x_id = few["vec_id"].to_numpy(), many["vec_id"].to_numpy()
-            qv, xv = np.stack(few["x"].to_numpy()), np.stack(many["x"].to_numpy())
-            if exact:
-                found += _exact(qv, q_id, xv, x_id, k, scale)
-                continue
-            best = search(np.floor(qv * scale), q_id, np.floor(xv * scale), x_id, k)
-            ok = np.isfinite(best.score)
-            found += zip(np.repeat(q_id, ok.sum(axis=1)).tolist(), best.id[ok].tolist(), best.score[ok].astype(np.int64).tolist())
-        if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "place": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "place": object})
-        a, b, s = zip(*found)
-        return pd.DataFrame({"query_id": a, "vec_id": b, "score": [min(max(v, -(1 << 63)), (1 << 63) - 1) for v in s], "place": [_order(v) for v in s]})
-
-    keys = ["dim", "qb", "db"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(pair, "query_id long, vec_id long, score long, place string")
+        if not len(q) or not len(x):
+            return _rows([])
+        q_id, x_id = q["vec_id"].to_numpy(), x["vec_id"].to_numpy()
+        best = search(np.floor(np.stack(q["x"].to_numpy()) * scale), q_id, np.floor(np.stack(x["x"].to_numpy()) * scale), x_id, k, q["least"].to_numpy(float))
+        ok = np.isfinite(best.score)
+        return _rows(list(zip(np.repeat(q_id, ok.sum(axis=1)).tolist(), best.id[ok].tolist(), best.score[ok].astype(np.int64).tolist())))
+
+    def searched(asks: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+        rows = rows.select(*[F.col(c).alias(c) for c in rows.columns])  # columns of their own, though both sides come from one table
+        return asks.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(pair, FOUND)
+
+    # The blocks of a query's own centre.
+    own_q, own_d = query.select("dim", "spot", "qb").distinct(), plain.select("dim", "spot", "db").distinct()
+    near = tables.keep(searched(
+        query.withColumn("least", F.lit(float("-inf"))).join(own_d, ["dim", "spot"]), plain.select("vec_id", "x", "dim", "spot", "db").join(own_q, ["dim", "spot"]), ["dim", "spot", "qb", "db"]))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id"))
+    kth = near.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least"))
+    asked = tables.keep(query.join(kth, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf")))))
+    # Blocks of other centres, as far as they can reach that.
+    pairs = tables.keep(block_pairs(asked, plain, scale))
+    keys = ["dim", "q_spot", "qb", "spot", "db"]
+    far = searched(asked.withColumnRenamed("spot", "q_spot").join(pairs, ["dim", "q_spot", "qb"]), plain.select("vec_id", "x", "dim", "spot", "db").join(pairs, ["dim", "spot", "db"]), keys)
+    found = near.unionByName(far)
+
+    if data.where("big").limit(1).count():
+        asks = data.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+        parts = max(1, -(-n // block))
+        part = F.pmod(F.xxhash64("vec_id", "x"), F.lit(parts)).cast("int")
+        spread = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+        def exact(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+            out: list[tuple[int, int, int]] = []
+            if len(q) and len(x):
+                for qs, xs in ((q[q["big"]], x), (q[~q["big"]], x[x["big"]])):
+                    if len(qs) and len(xs):
+                        out += _exact(np.stack(qs["x"].to_numpy()), qs["vec_id"].to_numpy(), np.stack(xs["x"].to_numpy()), xs["vec_id"].to_numpy(), k, scale)
+            return _rows(out)
+
+        # Few vectors are as long as that: each meets the blocks of all others.
+        left = asks.select("dim", part.alias("qb"), spread.alias("db"), "vec_id", "x", "big")
+        right = data.select("dim", spread.alias("qb"), part.alias("db"), "vec_id", "x", "big")
+        found = found.unionByName(left.groupBy("dim", "qb", "db").cogroup(right.groupBy("dim", "qb", "db")).applyInPandas(exact, FOUND))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -8,7 +8,9 @@ import numpy as np
 
 from faultlens.llm import chat, licenses, secrets, toxicity
 from conftest import docs
+from faultlens.llm import top_k as topk
 from faultlens.llm.top_k import cover_tree, top_k
+from faultlens.session import materialise
 from pyspark.sql import functions as F
 
 
@@ -188,6 +190,30 @@ def test_top_k_is_that_of_brute_force(spark):
     assert top_k(df.limit(0)).count() == 0
 
 
+def test_blocks_that_cannot_place_are_not_formed(spark):
+    """Clustered vectors: most block pairs fall to the bound, and the result is that of brute force."""
+    rng = np.random.default_rng(9)
+    middles = rng.normal(size=(12, 6)) * 4
+    x = middles[rng.integers(0, 12, 3000)] + 0.05 * rng.normal(size=(3000, 6))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    whole = np.floor(x * 1024).astype(int)
+    got = {}
+    for r in top_k(df, k=5, every=7, block=64).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for i in range(0, 3000, 7):
+        s = whole @ whole[i]
+        s[i] = -2**60
+        best = np.lexsort((np.arange(3000), -s))[:5]
+        assert got[i] == [(int(j), int(s[j])) for j in best]
+    rows = df.select("vec_id", F.col("embedding").alias("x"), F.size("embedding").alias("dim"), F.lit(False).alias("big"))
+    placed = materialise(topk._blocks(topk._around_centres(rows, 1024, 3000, 64), ["dim", "spot"], 64, "db"), "placed")
+    least = {i: float(got[i][-1][1]) for i in got}
+    asked = spark.createDataFrame([(i, v) for i, v in least.items()], "vec_id long, least double").join(placed.drop("db"), "vec_id").withColumn("qb", F.lit(0))
+    pairs = topk.block_pairs(asked, placed, 1024).count()
+    every = asked.select("spot").distinct().count() * placed.select("spot", "db").distinct().count()
+    assert pairs < 0.6 * every, (pairs, every)
+
+
 def test_cover_tree_holds_every_vector_once():
     x = np.random.default_rng(2).normal(size=(900, 3))
     x[100:400] = x[5]
