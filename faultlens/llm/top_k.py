@@ -1,8 +1,9 @@
 """Exact top-k by inner product with dual-tree search over cover trees.
 
-Vectors lie in blocks around sampled centres, so a block is a region of space.  Queries meet
-the blocks of their own centre first; the kth scores found there are what other blocks must
-reach: a block pair whose bound is under the worst of them is not formed.  In a task both
+Vectors lie in blocks around sampled centres, so a block is a region of space; queries of
+neighbouring numbers of centres share a block.  A block of queries meets the blocks of its own centres first;
+the kth scores found there are what other blocks must reach: a block pair whose bound is under the worst
+of them is not formed.  Few queries make one block, which meets all others once.  In a task both
 sides are cover trees: a node has a centre and a radius that holds all its vectors, and its
 children, whose centres keep their distance, halve that radius.  A pair of nodes (q, p) can
 score at most  <q, p> + |q| r_p + |p| r_q + r_q r_p;  if that is under the worst kth score
@@ -164,13 +165,24 @@ def _rows(found: list[tuple[int, int, int]]) -> pd.DataFrame:
     return pd.DataFrame({"query_id": a, "vec_id": b, "score": [min(max(v, -(1 << 63)), (1 << 63) - 1) for v in s], "place": [_order(v) for v in s]})
 
 
+def _chained(c: np.ndarray) -> np.ndarray:
+    """The rows in an order in which neighbours lie near each other: from one to the nearest that is left."""
+    order, left = [0], np.ones(len(c), bool)
+    left[0] = False
+    while left.any():
+        d = ((c - c[order[-1]]) ** 2).sum(axis=1)
+        order.append(int(np.where(left, d, np.inf).argmin()))
+        left[order[-1]] = False
+    return c[order]
+
+
 def _around_centres(data: DataFrame, scale: int, n: int, block: int) -> DataFrame:
     """The rows with ``spot``, the number of the nearest of some sampled centres of their length, -1 if it has none."""
     drawn = data.orderBy(F.xxhash64("vec_id", "x"), "vec_id", "x").limit(max(1, min(CENTRES, -(-n // block)))).select("x").collect()
     centres: dict[int, list] = {}
     for r in drawn:
         centres.setdefault(len(r.x), []).append(np.floor(np.array(r.x) * scale))
-    centres = {d: np.stack(c) for d, c in centres.items()}
+    centres = {d: _chained(np.stack(c)) for d, c in centres.items() if d}
 
     def run(batches):
         for pdf in batches:
@@ -191,6 +203,14 @@ def _blocks(rows: DataFrame, by: list[str], block: int, name: str) -> DataFrame:
     return rows.join(sizes, by).withColumn(name, F.pmod(F.xxhash64("vec_id", "x"), F.col("_n")).cast("int")).drop("_n")
 
 
+def _query_blocks(query: DataFrame, block: int) -> DataFrame:
+    """The queries with their block ``qb`` of about ``block``: centres one after another, one with more queries cut by hash."""
+    sizes = query.groupBy("dim", "spot").agg(F.count("*").alias("n"))  # a row a centre
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("dim").orderBy("spot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("dim", "spot", F.floor(before / block).cast("int").alias("_first"), F.ceil(F.col("n") / block).cast("int").alias("_n"))
+    return query.join(sizes, ["dim", "spot"]).withColumn("qb", F.col("_first") + F.pmod(F.xxhash64("vec_id", "x"), F.col("_n")).cast("int")).drop("_first", "_n")
+
+
 def _balls(rows: DataFrame, by: list[str], scale: int, worst: bool) -> DataFrame:
     """(by, centre, radius, length, worst) of each block; ``worst`` is the least score its queries still look for."""
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -204,14 +224,14 @@ def _balls(rows: DataFrame, by: list[str], scale: int, worst: bool) -> DataFrame
     return rows.groupBy(*by).applyInPandas(one, ", ".join(f"{c} {kinds[c]}" for c in by) + ", centre array<double>, radius double, length double, worst double")
 
 
-def block_pairs(queries: DataFrame, data: DataFrame, scale: int) -> DataFrame:
-    """(dim, q_spot, qb, spot, db): blocks of other centres that can hold one of the k best of a query block."""
-    q = _balls(queries, ["dim", "spot", "qb"], scale, True).select("dim", F.col("spot").alias("q_spot"), "qb", F.col("centre").alias("qc"), F.col("radius").alias("qr"), F.col("length").alias("ql"), "worst")
+def block_pairs(queries: DataFrame, data: DataFrame, known: DataFrame, scale: int) -> DataFrame:
+    """(dim, qb, spot, db): blocks, besides the ``known`` pairs, that can hold one of the k best of a query block."""
+    q = _balls(queries, ["dim", "qb"], scale, True).select("dim", "qb", F.col("centre").alias("qc"), F.col("radius").alias("qr"), F.col("length").alias("ql"), "worst")
     p = _balls(data, ["dim", "spot", "db"], scale, False).select("dim", "spot", "db", F.col("centre").alias("pc"), F.col("radius").alias("pr"), F.col("length").alias("pl"))
     dot = F.aggregate(F.zip_with("qc", "pc", lambda a, b: a * b), F.lit(0.0), lambda s, c: s + c)
     bound = dot + F.col("ql") * F.col("pr") + F.col("pl") * F.col("qr") + F.col("qr") * F.col("pr")
     slack = 1e-9 * (F.abs(bound) + F.col("ql") * F.col("pl"))  # rounding never prunes a tie
-    return q.join(p, "dim").where((F.col("q_spot") != F.col("spot")) & (bound + slack >= F.col("worst"))).select("dim", "q_spot", "qb", "spot", "db")
+    return q.join(p, "dim").where(bound + slack >= F.col("worst")).select("dim", "qb", "spot", "db").join(known, ["dim", "qb", "spot", "db"], "left_anti")
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, block: int = BLOCK) -> DataFrame:
@@ -231,7 +251,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
     n = data.count()
     plain = tables.keep(_blocks(_around_centres(data.where("not big"), scale, n, block), ["dim", "spot"], block, "db"))
     query = plain.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).select("vec_id", "x", "dim", "spot")
-    query = tables.keep(_blocks(query, ["dim", "spot"], block, "qb"))
+    query = tables.keep(_query_blocks(query, block))
 
     def pair(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
@@ -245,18 +265,20 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
         rows = rows.select(*[F.col(c).alias(c) for c in rows.columns])  # columns of their own, though both sides come from one table
         return asks.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(pair, FOUND)
 
-    # The blocks of a query's own centre.
-    own_q, own_d = query.select("dim", "spot", "qb").distinct(), plain.select("dim", "spot", "db").distinct()
-    near = tables.keep(searched(
-        query.withColumn("least", F.lit(float("-inf"))).join(own_d, ["dim", "spot"]), plain.select("vec_id", "x", "dim", "spot", "db").join(own_q, ["dim", "spot"]), ["dim", "spot", "qb", "db"]))
+    # The blocks of a query block's own centres.
+    keys = ["dim", "qb", "spot", "db"]
+    rows = plain.select("vec_id", "x", "dim", "spot", "db")
+    own = tables.keep(query.select("dim", "spot", "qb").distinct().join(plain.select("dim", "spot", "db").distinct(), ["dim", "spot"]).select(*keys))
+    asks = query.select("vec_id", "x", "dim", "qb").withColumn("least", F.lit(float("-inf")))
+    near = tables.keep(searched(asks.join(own, ["dim", "qb"]), rows.join(own, ["dim", "spot", "db"]), keys))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id"))
     kth = near.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least"))
-    asked = tables.keep(query.join(kth, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf")))))
+    asks = tables.keep(asks.drop("least").join(kth, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf")))))
     # Blocks of other centres, as far as they can reach that.
-    pairs = tables.keep(block_pairs(asked, plain, scale))
-    keys = ["dim", "q_spot", "qb", "spot", "db"]
-    far = searched(asked.withColumnRenamed("spot", "q_spot").join(pairs, ["dim", "q_spot", "qb"]), plain.select("vec_id", "x", "dim", "spot", "db").join(pairs, ["dim", "spot", "db"]), keys)
-    found = near.unionByName(far)
+    found = near
+    if query.select("dim", "qb").distinct().join(plain.select("dim", "spot", "db").distinct(), "dim").join(own, keys, "left_anti").limit(1).count():
+        pairs = tables.keep(block_pairs(asks, plain, own, scale))
+        found = near.unionByName(searched(asks.join(pairs, ["dim", "qb"]), rows.join(pairs, ["dim", "spot", "db"]), keys))
 
     if data.where("big").limit(1).count():
         asks = data.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
