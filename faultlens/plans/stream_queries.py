@@ -21,8 +21,9 @@ from faultlens.streaming import causes, detector, jobs
 
 
 def stream_of(spark, sf_dir, name):
+    """The table as a file stream, be it one file or a folder of parts; the braces let a stream's path name a single file."""
     schema = twins.table(spark, sf_dir, name).schema
-    return jobs.read_files(spark, sf_dir, schema, f"{name}.parquet")
+    return jobs.read_files(spark, f"{sf_dir}/{{{name}}}.parquet", schema)
 
 
 def event_stream(spark, sf_dir):
