@@ -1,15 +1,17 @@
 """Ranked causes as a stream: each anomaly's best candidates once its window has closed.
 
-Anomalies and candidates of one cluster meet in keyed state.  An anomaly sets a timer at
-the end of its window; when the watermark passes it, the candidates of the window are
-scored and the best few are emitted, or one row without a candidate if there are none.
-Candidates wait in slots of time and go once no anomaly that may still come can reach them.
+Anomalies and candidates of one cluster and block of time meet in keyed state; a candidate
+is copied to each block whose anomalies can reach it.  The earliest waiting anomaly of a block
+has a timer at the end of its window; when the watermark passes it, the candidates of the window
+are scored and the best few are emitted, or one row without a candidate if there are none.
+A block goes once no anomaly that may still come belongs to it.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping
+from itertools import groupby, islice
 
 import numpy as np
 import pandas as pd
@@ -17,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from faultlens.functions.columns import SECOND, from_micros
+from faultlens.functions.columns import SECOND, bucket, from_micros
 from faultlens.operators import correlate as cr
 
 WATERMARK = "10 minutes"
-SLOT_US = 5 * 60 * SECOND
+BLOCK_US = 30 * 60 * SECOND
 OUTPUT = "anomaly_id string, cluster string, rank int, cand_id string, kind string, cause_service string, c_us long, score double"
 
 
@@ -31,55 +33,83 @@ class Ranker(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.candidates = handle.getMapState("candidates", "slot long", "us array<long>, row array<string>")
-        self.pending = handle.getMapState("pending", "id string", "us long, near string")
+        self.candidates = handle.getListState("candidates", "us array<long>, row array<string>")
+        self.pending = handle.getListState("pending", "id array<string>, us array<long>, near array<string>")
+
+    def _due(self, us: int) -> int:
+        """The time in ms at which an anomaly's window has passed."""
+        return (us + self.after) // 1000 + 1
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows))
-        asks = batch[batch["what"] == 1]
-        for name, us, near in zip(asks["id"], asks["us"].astype("int64").tolist(), asks["near"], strict=True):
-            self.pending.updateValue((name,), (us, near))
-            self.handle.registerTimer((us + self.after) // 1000 + 1)
-        found = batch[batch["what"] == 0]
-        found = found.assign(slot=found["us"].astype("int64") // SLOT_US)
-        for slot, part in found.groupby("slot"):
-            slot = (int(slot),)
-            us, row = self.candidates.getValue(slot) if self.candidates.containsKey(slot) else ([], [])
-            self.candidates.updateValue(slot, ([*us, *part["us"].astype("int64").tolist()], [*row, *part["row"].tolist()]))
+        asks, found = batch[batch["what"] == 1], batch[batch["what"] == 0]
+        if len(asks):
+            us = asks["us"].astype("int64").tolist()
+            self.pending.appendValue((asks["id"].tolist(), us, asks["near"].tolist()))
+            self.handle.registerTimer(self._due(min(us)))
+        if len(found):
+            self.candidates.appendValue((found["us"].astype("int64").tolist(), found["row"].tolist()))
+        self.handle.registerTimer(self._due((key[1] + 1) * BLOCK_US))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [(k[0], v[0], v[1]) for k, v in self.pending.iterator()]
-        closed = [w for w in waiting if (w[1] + self.after) // 1000 + 1 <= now // 1000]  # the first of several timers settles them all
+        now = timerValues.getCurrentWatermarkInMs()
+        waiting = {n: (u, t) for names, us, near in self.pending.get() for n, u, t in zip(names, us, near, strict=True)}
+        closed = [(n, u, t) for n, (u, t) in waiting.items() if self._due(u) <= now]
         if closed:
-            us, rows, slots = self._pool()
-            out = [r for name, at, near in closed for r in self._ranked(key[0], name, at, json.loads(near), us, rows)]
-            for name, _, _ in closed:
-                self.pending.removeKey((name,))
-            needed = min([now, *[at for _, at, _ in waiting if at + self.after >= now]]) - self.before
-            for slot in slots:
-                if (slot + 1) * SLOT_US <= needed:
-                    self.candidates.removeKey((slot,))
-            yield pd.DataFrame(out, columns=["anomaly_id", "cluster", "rank", "cand_id", "kind", "cause_service", "c_us", "score"]).astype(
+            pool = [(u, json.loads(r)) for us, rows in self.candidates.get() for u, r in zip(us, rows, strict=True)]
+            yield pd.DataFrame(self._ranked(key[0], closed, pool), columns=["anomaly_id", "cluster", "rank", "cand_id", "kind", "cause_service", "c_us", "score"]).astype(
                 {"rank": "Int32", "c_us": "Int64"})
-
-    def _pool(self) -> tuple[np.ndarray, list, list]:
-        stored = [(k[0], v[0], v[1]) for k, v in self.candidates.iterator()]
-        rows = sorted((u, json.loads(r)) for _, us, row in stored for u, r in zip(us, row, strict=True)) if len(stored) else []
-        return np.array([u for u, _ in rows], np.int64), [r for _, r in rows], [s for s, _, _ in stored]
-
-    def _ranked(self, cluster, name: str, at: int, near: dict, us: np.ndarray, rows: list) -> list:
-        lo, hi = int(np.searchsorted(us, at - self.before)), int(np.searchsorted(us, at + self.after, "right"))
-        w, scored = self.weights, []
-        for u, (cand_id, service, kind, prior) in zip(us[lo:hi].tolist(), rows[lo:hi], strict=True):
-            gap = abs(u - at)
-            score = (w["time"] * float(np.exp(-gap / self.tau)) + w["topo"] * near["topo"].get(service, 0.0)
-                     + w["hist"] * near["hist"].get(kind, 0.5) + w["kind"] * float(prior))
-            scored.append((-score, gap, cand_id, kind, service, u))
-        scored.sort(key=lambda s: (s[0], s[1], len(s[2]), s[2]))  # ids that are numbers go by size
-        best = [[name, cluster, n, c, kind, service, u, round(-score, 6)] for n, (score, _, c, kind, service, u) in enumerate(scored[:self.k], 1)]
-        return best or [[name, cluster, None, None, None, None, None, None]]
+        if self._due((key[1] + 1) * BLOCK_US) <= now:  # whatever else belongs here would be late
+            self.pending.clear()
+            self.candidates.clear()
+        elif closed:
+            rest = [(n, u, t) for n, (u, t) in waiting.items() if self._due(u) > now]
+            self.pending.clear()
+            if rest:
+                self.pending.appendValue(tuple(list(c) for c in zip(*rest, strict=True)))
+                self.handle.registerTimer(self._due(min(u for _, u, _ in rest)))
+
+    def _ranked(self, cluster, asks: list, pool: list) -> list:
+        """The rows of the best candidates of each of the asks ``(id, us, near)``.
+
+        Candidates of one service and kind differ in their score only through the time gap, so of
+        each such class only those nearest on either side are scored.
+        """
+        w, kinds, nearest = self.weights, {}, 2 * self.k if self.weights["time"] >= 0 else len(pool)
+        for u, (cand_id, service, kind, prior) in pool:
+            kinds.setdefault((service, kind, prior), []).append((u, len(cand_id or ""), cand_id or "", cand_id))  # ids that are numbers go by size
+        at, known = np.array([u for _, u, _ in asks], np.int64), {}
+        for _, _, text in asks:
+            known.setdefault(text, (len(known), json.loads(text)))
+        texts = np.array([known[text][0] for _, _, text in asks])
+        parts, listed = [], []
+        for (service, kind, prior), members in kinds.items():
+            members.sort(key=lambda m: m[:3])
+            if nearest < len(pool):
+                members = [m for _, same in groupby(members, key=lambda m: m[0]) for m in islice(same, self.k)]
+            us = np.array([m[0] for m in members], np.int64)
+            here = np.searchsorted(us, at)
+            lo = np.maximum(np.searchsorted(us, at - self.before), here - nearest)
+            n = np.maximum(np.minimum(np.searchsorted(us, at + self.after, "right"), here + nearest) - lo, 0)
+            ask = np.repeat(np.arange(len(at)), n)
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - lo, n)
+            gap = np.abs(us[place] - at[ask])
+            topo, hist = (np.array([table[name].get(at_key, none) for _, table in known.values()]) for name, at_key, none in (("topo", service, 0.0), ("hist", kind, 0.5)))
+            score = w["time"] * np.exp(-gap / self.tau) + w["topo"] * topo[texts[ask]] + w["hist"] * hist[texts[ask]] + w["kind"] * float(prior)
+            parts.append((ask, score, gap, place + len(listed)))
+            listed += [(m[1], m[2], m[3], kind, service, m[0]) for m in members]
+        best = [[] for _ in asks]
+        if listed:
+            ask, score, gap, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+            by_id = np.empty(len(listed), np.int64)
+            by_id[sorted(range(len(listed)), key=lambda i: listed[i][:2])] = np.arange(len(listed))
+            order = np.lexsort((by_id[place], gap, -score, ask))
+            first = np.arange(len(order)) - np.searchsorted(ask[order], ask[order]) < self.k
+            for i in order[first].tolist():
+                _, _, cand_id, kind, service, u = listed[place[i]]
+                best[ask[i]].append([asks[ask[i]][0], cluster, len(best[ask[i]]) + 1, cand_id, kind, service, u, round(float(score[i]), 6)])
+        return [r for (name, _, _), rows in zip(asks, best, strict=True) for r in rows or [[name, cluster, None, None, None, None, None, None]]]
 
     def close(self) -> None:
         pass
@@ -93,7 +123,7 @@ def rank_stream(anomalies: DataFrame, candidates: DataFrame, distances: DataFram
     Streams ``anomalies (anomaly_id, cluster, service, signature, a_us)`` and ``candidates
     (cand_id, cluster, service, kind, c_us)``; tables ``distances`` and ``hist`` as in
     ``correlate.rank_causes``.  Rows behind the watermark are not taken.  Needs the RocksDB
-    state store.  A cluster is one key, as windows are asked by cluster.
+    state store.  A cluster is one key per block of time.
     """
     reach = distances.groupBy("service").agg(F.map_from_entries(F.collect_list(F.struct("cause_service", cr.f_topo(F.col("down"), F.col("up"))))).alias("topo"))
     known = hist.groupBy("signature").agg(F.map_from_entries(F.collect_list(F.struct("kind", cr.f_hist(F.col("ok"), F.col("n"))))).alias("hist"))
@@ -101,10 +131,11 @@ def rank_stream(anomalies: DataFrame, candidates: DataFrame, distances: DataFram
     near = F.to_json(F.struct(F.coalesce("topo", empty).alias("topo"), F.coalesce("hist", empty).alias("hist")))
     asks = anomalies.join(reach, "service", "left").join(known, "signature", "left").select(
         "cluster", F.lit(1).alias("what"), F.col("a_us").alias("us"), F.col("anomaly_id").cast("string").alias("id"),
-        near.alias("near"), F.lit(None).cast("string").alias("row"))
+        near.alias("near"), F.lit(None).cast("string").alias("row"), bucket(F.col("a_us"), BLOCK_US).alias("block"))
     row = F.to_json(F.array(F.col("cand_id").cast("string"), "service", "kind", cr.f_kind(F.col("kind"), prior).cast("string")))
     found = candidates.select("cluster", F.lit(0).alias("what"), F.col("c_us").alias("us"), F.lit(None).cast("string").alias("id"),
-                              F.lit(None).cast("string").alias("near"), row.alias("row"))
+                              F.lit(None).cast("string").alias("near"), row.alias("row"),
+                              F.explode(F.sequence(bucket(F.col("c_us") - after_us, BLOCK_US), bucket(F.col("c_us") + before_us, BLOCK_US))).alias("block"))
     both = asks.unionByName(found).withColumn("_ts", from_micros(F.col("us"))).withWatermark("_ts", WATERMARK)
-    return both.groupBy("cluster").transformWithStateInPandas(
+    return both.groupBy("cluster", "block").transformWithStateInPandas(
         statefulProcessor=Ranker(k, before_us, after_us, weights, tau_s), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")

@@ -209,3 +209,22 @@ def test_an_upsert_leaves_other_buckets_alone(spark):
     assert table.vacuum() >= 2 and table.rows().count() == 200
     with pytest.raises(RuntimeError):
         table.manifest.commit(1, {})
+
+
+def test_ranking_of_a_block_equals_all_pairs():
+    """Equal times, equal scores and ids by size; only the nearest of a service and kind are scored."""
+    rng = np.random.default_rng(3)
+    ranker = causes.Ranker(3, 1800 * S, 300 * S, {"time": 0.4, "topo": 0.3, "hist": 0.2, "kind": 0.1}, 600.0)
+    near = [json.dumps({"topo": {"s1": 1.0, "s2": 0.5}, "hist": {"deploy": 0.7}}), json.dumps({"topo": {}, "hist": {}})]
+    asks = [(str(i), int(us) * 60 * S, near[i % 2]) for i, us in enumerate(rng.integers(0, 90, 60))]
+    pool = [(int(us) * 60 * S, [str(i), f"s{i % 4}", "deploy" if i % 3 else None, "1.0" if i % 3 else "0.0"]) for i, us in enumerate(rng.integers(-40, 100, 900))]
+    want = []
+    for name, at, text in asks:
+        tables, found = json.loads(text), []
+        for us, (cand, service, kind, prior) in pool:
+            if at - 1800 * S <= us <= at + 300 * S:
+                score = 0.4 * np.exp(-abs(us - at) / (600 * S)) + 0.3 * tables["topo"].get(service, 0.0) + 0.2 * tables["hist"].get(kind, 0.5) + 0.1 * float(prior)
+                found.append((-score, abs(us - at), int(cand), service, kind, us))
+        want += [[name, "c", n, str(c), kind, service, us, round(-float(s), 6)] for n, (s, _, c, service, kind, us) in enumerate(sorted(found, key=lambda f: f[:3])[:3], 1)]
+    assert ranker._ranked("c", asks, pool) == want
+    assert ranker._ranked("c", asks[:1], []) == [["0", "c", *[None] * 6]]
