@@ -6,9 +6,10 @@ import statistics
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from faultlens.operators.ranks import WindowRanks
-from faultlens.operators.series import quantile_over_time, rolling_mad
+from faultlens.operators.series import _moments, quantile_over_time, rolling_mad, rolling_zscore
 
 S = 1_000_000
 
@@ -52,3 +53,30 @@ def test_windows_of_series(spark):
         assert (r["median"], r["mad"]) == (m, d)
         if r["value"] is not None and not math.isnan(r["value"]):
             assert r["is_outlier"] == (abs(r["value"] - m) > 3 * 1.4826 * d)
+
+
+def test_zscores_keep_small_spreads_and_null_rows(spark):
+    """A window after a far larger value, one without spread, rows without a value, a value that is no number."""
+    rng = random.Random(4)
+    values = [1e12] + [rng.random() for _ in range(300)] + [7.0] * 50 + [None, None] + [rng.random() for _ in range(40)] + [float("nan")] + [1.0, 2.0]
+    rows = [(i, i * 10_000_000, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id long, us long, v double").withColumn("k", F.lit("a"))
+    got = {r["id"]: r["zscore"] for r in rolling_zscore(df, ["k"], "us", "v", 300).collect()}
+    assert len(got) == len(rows)
+    for i, us, v in rows:
+        window = [x for _, u, x in rows if us - 300_000_000 <= u <= us and x is not None]
+        if v is None or len(window) < 2 or max(window) == min(window):
+            assert got[i] is None
+        elif any(math.isnan(x) for x in window):
+            assert math.isnan(got[i])
+        else:
+            assert got[i] == pytest.approx((v - statistics.fmean(window)) / statistics.stdev(window), rel=1e-9, abs=1e-9)
+
+
+def test_moments_take_logarithmic_work():
+    n = 200_000
+    values = np.random.default_rng(1).normal(0, 1, n)
+    lo, hi = np.maximum(np.arange(n) - 100_000, 0), np.arange(n) + 1
+    count, mean, squares = _moments(values, lo, hi)
+    assert (count == hi - lo).all()
+    assert mean[-1] == pytest.approx(values[lo[-1]:].mean()) and squares[-1] == pytest.approx(values[lo[-1]:].var() * count[-1])
