@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from faultlens.functions.columns import SECOND as S
+from faultlens.operators import templates as tm
 from faultlens.operators.templates import onset_shifts
 
 MIN = 60 * S
@@ -41,3 +42,23 @@ def test_pairs_of_onsets_and_templates_are_not_shuffled(spark):
     joined = rows._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     top = joined[:joined.index("Join")]
     assert "Exchange" not in top and "HashAggregate" not in top
+
+
+def test_lines_stay_where_they_are_for_small_buckets(spark):
+    """Few crowded buckets are taken to the lines, whatever the broadcast threshold; large ones are shuffled to."""
+    lines = [(s, f"{w} {x} end") for s in ("a", None) for w in ("open", "shut") for x in ("alpha beta gamma delta".split() if w == "shut" else "bcdefghijkl")]
+    logs = spark.createDataFrame(lines, "service string, line string").withColumn("ts", F.timestamp_seconds(F.lit(5)))
+    threshold, small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), tm.SMALL_BYTES
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {}
+        for tm.SMALL_BYTES in (small, 0):
+            rows = tm.templated(logs)
+            assert ("BroadcastHashJoin" in rows._jdf.queryExecution().toString()) == (tm.SMALL_BYTES > 0)
+            assert "example" not in rows.columns
+            found[tm.SMALL_BYTES] = sorted((str(r["service"]), r["template"], r["n"]) for r in tm.fold_templates(rows).collect())
+    finally:
+        tm.SMALL_BYTES = small
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found[0] == found[small]
+    assert found[0] == sorted((s, t, n) for s in ("a", "None") for t, n in [("open <*> end", 11), *[(f"shut {x} end", 1) for x in "alpha beta gamma delta".split()]])
