@@ -176,9 +176,12 @@ def outcome(names: AlertLabels = LABELS, failed: Column | None = None) -> Column
 
 
 def counter_columns(names: AlertLabels = LABELS, failed: Column | None = None) -> list[Column]:
-    """Aggregates for ``groupBy().agg`` or ``DataFrame.observe``; received is the sum of the others."""
+    """Aggregates for ``groupBy().agg`` or ``DataFrame.observe``; received is the sum of the others.
+
+    Publish errors are counted where ``failed`` is given.
+    """
     result = outcome(names, failed)
-    words = ("filtered", "invalid", "published", "publish_errors")
+    words = ("filtered", "invalid", "published", *(("publish_errors",) if failed is not None else ()))
     return [F.count(F.lit(1)).alias("received"), *[F.coalesce(F.sum((result == word).cast("long")), F.lit(0)).alias(word) for word in words]]
 
 
