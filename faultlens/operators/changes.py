@@ -235,7 +235,8 @@ def _sides(frames: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
         mine = F.col("_side") == name
         picks.append(F.max(F.when(mine, F.col("leaf"))).alias(name))
         picks.append(F.max(F.when(mine, F.col("kind"))).alias(f"{name}_kind"))
-    return rows.groupBy(*keys, "path").agg(*picks)
+    # Dealt out first: an aggregate before the shuffle would sort all leaves of a task and has nothing to merge.
+    return rows.repartition(*keys, "path").groupBy(*keys, "path").agg(*picks)
 
 
 def _moved(a: str, b: str) -> Column:
