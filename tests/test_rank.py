@@ -58,3 +58,16 @@ def ranked(spark):
 def test_ranking_matches_brute_force(spark):
     want = brute(*data())
     assert len(want) == 43 and ranked(spark) == want
+
+
+def test_only_pairs_that_can_place_are_formed(spark):
+    """Of dense windows at distinct times no more than k pairs a subject leave the search, over many chunks."""
+    rng = random.Random(5)
+    at = rng.sample(range(4_000_000), 2500)
+    asks = spark.createDataFrame([("c", f"s{i % 5}", f"g{i % 3}", t * 1000) for i, t in enumerate(at[:500])], "cluster string, service string, signature string, a_us long")
+    cands = spark.createDataFrame([(i, "c", f"s{i % 7}", KINDS[i % 3], t * 1000) for i, t in enumerate(at[500:])], "cand_id long, cluster string, service string, kind string, c_us long")
+    near = spark.createDataFrame([(f"s{a}", f"s{b}", 1, None) for a in range(5) for b in range(4)], "service string, cause_service string, down int, up int")
+    hist = spark.createDataFrame([("g0", "deploy", 3, 4)], "signature string, kind string, ok long, n long")
+    pairs = cr.nearest_pairs(asks, cands, near, hist, 5, cr.BEFORE_US, cr.AFTER_US)
+    n = pairs.groupBy("service", "signature", "a_us").count().collect()
+    assert len(n) == 500 and max(r["count"] for r in n) == 5
