@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultlens.functions.columns import first_non_empty, fold_severity
-from faultlens.functions.text import PII, mask_all, pii_hits
+from faultlens.functions.text import PII, mask_all, may_hold_pii, pii_hits
 
 # --- fixed values -----------------------------------------------------------
 # Topic pattern -> format of the records on it; the first match counts.
@@ -131,12 +131,13 @@ def normalise_log(parsed: DataFrame, cluster: str = "cluster", pod: str = "pod")
 
 def pii_audit(texts: DataFrame, text: str) -> DataFrame:
     """Maskable hits per kind, before and after masking."""
-    counts = []
-    for kind in PII:
-        counts.append(F.struct(
-            F.lit(kind).alias("kind"),
-            F.sum(pii_hits(F.col(text), kind).cast("long")).alias("hits"),
-            F.sum(pii_hits(F.col("_masked"), kind).cast("long")).alias("left"),
-        ))
-    masked = texts.select(text, F.explode(F.array(mask_all(F.col(text)))).alias("_masked"))
+    whole = F.col(text)
+
+    def hits(column: Column, kind: str) -> Column:  # 0 for most texts, whose letters are looked at once
+        found = F.when(F.col("_maybe"), pii_hits(column, kind)).when(whole.isNotNull(), F.lit(0))
+        return F.sum(found.cast("long"))
+
+    counts = [F.struct(F.lit(kind).alias("kind"), hits(whole, kind).alias("hits"), hits(F.col("_masked"), kind).alias("left")) for kind in PII]
+    looked = texts.select(text, F.explode(F.array(may_hold_pii(whole))).alias("_maybe"))
+    masked = looked.select(text, "_maybe", F.explode(F.array(F.when(F.col("_maybe"), mask_all(whole)).otherwise(whole))).alias("_masked"))
     return masked.agg(F.array(*counts).alias("_c")).select(F.inline("_c"))

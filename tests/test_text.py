@@ -126,3 +126,13 @@ def test_lines_without_a_service_get_templates_too(spark):
     logs = spark.createDataFrame([(s, f"user {w} left") for w in words for s in ("a", None)], "service string, line string").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
     found = {(r["service"], r["template"]) for r in tm.mine_templates(logs).collect()}
     assert found == {("a", "user <*> left"), (None, "user <*> left")}
+
+
+def test_pii_audit_looks_closer_only_at_texts_that_may_hold_some(spark):
+    """Texts without an @ or three digits in a row hold no kind; a null text counts nothing, no text at all gives no count."""
+    texts = ["plain words 12 34", None, "a@b.io", "ABCDE1234F", "123456789012", "+91 1234567890", "cvv 123", "CVV2: 12", "١٢٣"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    maybe = [r[0] for r in df.select(tx.may_hold_pii(F.col("text"))).collect()]
+    assert maybe == [False, None, True, True, True, True, True, False, False]
+    assert {r["kind"]: (r["hits"], r["left"]) for r in lg.pii_audit(df, "text").collect()} == {k: (1, 0) for k in tx.PII}
+    assert {r["hits"] for r in lg.pii_audit(df.where("text IS NULL"), "text").collect()} == {None}
