@@ -34,6 +34,14 @@ def average_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, grown, np.where(n == 2, 1.0, 0.0))
 
 
+def _picks(rng: np.random.Generator, n: int, psi: int) -> np.ndarray:
+    """The ``psi`` of ``n`` points with the smallest of n random numbers."""
+    noise = rng.random(n)
+    low = np.flatnonzero(noise < 2.0 * psi / n)
+    low = low if len(low) >= psi else np.arange(n)
+    return low[np.argpartition(noise[low], psi - 1)[:psi]]
+
+
 def grow(points: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED) -> dict:
     """Grow a forest on an (n, dims) array; nodes of all trees lie in flat arrays.
 
@@ -45,9 +53,7 @@ def grow(points: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, see
     n, dims = points.shape
     psi = min(subsample, n)
     limit = int(np.ceil(np.log2(max(psi, 2))))
-    noise = rng.random((trees, n))
-    picks = np.argpartition(noise, psi - 1, axis=1)[:, :psi]
-    data = points[picks.ravel()]
+    data = points[np.concatenate([_picks(rng, n, psi) for _ in range(trees)])]
     node = np.repeat(np.arange(trees), psi)
     feature = [np.zeros(trees, dtype=np.int32)]
     threshold = [np.zeros(trees)]

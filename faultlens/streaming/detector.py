@@ -4,12 +4,14 @@ State per series: its samples of the window in slots of time, each written again
 while new samples fall into it; the model in force as arrays; and a short head with the
 times of the last fit and emission, the sizes of the slots and the settings in force.
 A sample is scored with the stored model; only a fit, once an hour, reads the window.
+Samples between two fits are scored together.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,6 +31,7 @@ from faultlens.operators.series import quarantine_infinite
 
 WATERMARK = "10 minutes"
 SLOTS = 144  #: slots a default window is cut into
+STRETCH = 1 << 16  #: samples that are scored together at most
 HITS = (
     "series string, us long, value double, iso_score double, baseline_mean double, baseline_std double, "
     "residual double, confidence double, severity string, subject string, received long, scored long, suppressed long"
@@ -53,27 +56,34 @@ class DetectorState:
         self.stored = set(sizes or ())
         self.sizes, self.fit_at, self.emit_at, self.since = dict(sizes or {}), fit_at, emit_at, since
         self.model: Fit | None = None
-        self.slots: dict[int, tuple[list, list]] = {}
+        self.slots: dict[int, tuple[array, array]] = {}
         self.dirty: set[int] = set()
         self.gone: set[int] = set()
         self.fits: list[tuple[int, int]] = []
         self.scored = self.suppressed = 0
 
-    def slot(self, number: int) -> tuple[list, list]:
+    def slot(self, number: int) -> tuple[array, array]:
         if number not in self.slots:
             stored = self.load(number) if number in self.stored and number not in self.gone else ((), ())
-            self.slots[number] = (list(stored[0]), list(stored[1]))
+            self.slots[number] = (array("q", stored[0]), array("d", stored[1]))
         return self.slots[number]
 
     def take(self, us: int, value: float) -> None:
-        number = us // self.s["slot_us"]
-        times, values = self.slot(number)
-        times.append(us)
-        values.append(value)
-        self.sizes[number] = len(times)
-        self.dirty.add(number)
-        self.gone.discard(number)
-        for old in [n for n in self.sizes if (n + 1) * self.s["slot_us"] <= us - self.s["window_us"]]:
+        self.take_all(np.array([us], np.int64), np.array([value], float))
+
+    def take_all(self, us: np.ndarray, values: np.ndarray) -> None:
+        """Take samples that lie in order of time."""
+        numbers = us // self.s["slot_us"]
+        edges = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(us)]
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            number = int(numbers[lo])
+            times, held = self.slot(number)
+            times.frombytes(us[lo:hi].tobytes())
+            held.frombytes(values[lo:hi].tobytes())
+            self.sizes[number] = len(times)
+            self.dirty.add(number)
+            self.gone.discard(number)
+        for old in [n for n in self.sizes if (n + 1) * self.s["slot_us"] <= int(us[-1]) - self.s["window_us"]]:
             del self.sizes[old]
             self.slots.pop(old, None)
             self.dirty.discard(old)
@@ -91,8 +101,11 @@ class DetectorState:
 
     def history(self, us: int) -> np.ndarray:
         """Values of the window in order of time."""
-        rows = sorted((t, k, v) for slot in self.sizes for k, (t, v) in enumerate(zip(*self.slot(slot), strict=True)) if t >= us - self.s["window_us"])
-        return np.array([v for *_, v in rows])
+        slots = [self.slot(n) for n in sorted(self.sizes)]
+        times = np.concatenate([np.array(t, np.int64) for t, _ in slots])
+        values = np.concatenate([np.array(v, float) for _, v in slots])
+        inside = times >= us - self.s["window_us"]
+        return values[inside][np.argsort(times[inside], kind="stable")]
 
     def feed(self, us: int, value: float) -> dict | None:
         """Take one sample; the score if it is an anomaly to emit."""
@@ -110,15 +123,72 @@ class DetectorState:
             self.since += 1
             self.model = self.model or self.stored_model()
         self.scored += 1
-        residual = value - self.model.baseline(self.since, self.s["residual_mode"])
-        iso = float(isolation_score(self.model.forest, np.array([[residual]]))[0])
-        confidence = 1.0 / (1.0 + np.exp(CONFIDENCE_SLOPE * (iso + CONFIDENCE_CENTRE)))
-        reached = [word for low, word in sorted(self.s["limits"]) if low <= confidence]
-        if not reached:
+        _, hit = next(self._scores(np.array([value]), np.array([self.since])), (0, None))
+        if hit is None:
             return None
         self.emit_at = us
-        return {"us": us, "value": value, "iso_score": iso, "baseline_mean": self.model.mean, "baseline_std": self.model.spread,
-                "residual": residual, "confidence": float(confidence), "severity": reached[-1]}
+        return {"us": us, "value": value, **hit}
+
+    def _scores(self, values: np.ndarray, since: np.ndarray) -> Iterator[tuple[int, dict]]:
+        """(place, what is emitted) of the values that reach a limit, were nothing suppressed."""
+        limits = sorted(self.s["limits"])
+        residual = values - self.model.baseline(since, self.s["residual_mode"])
+        iso = isolation_score(self.model.forest, residual[:, None])
+        confidence = 1.0 / (1.0 + np.exp(CONFIDENCE_SLOPE * (iso + CONFIDENCE_CENTRE)))
+        for k in np.flatnonzero(confidence >= limits[0][0]).tolist() if limits else ():
+            yield k, {"iso_score": float(iso[k]), "baseline_mean": self.model.mean, "baseline_std": self.model.spread, "residual": float(residual[k]),
+                      "confidence": float(confidence[k]), "severity": [word for low, word in limits if low <= confidence[k]][-1]}
+
+    def _scored_until(self, us: np.ndarray, i: int) -> int:
+        """Up to where samples from ``i`` on are sure to be warm and come before the next fit; ``i`` if the first is not."""
+        if self.fit_at is None:
+            return i
+        ahead = us[i:i + STRETCH]
+        ends = min(self.fit_at + self.s["refit_us"], int(us[i]) + self.s["window_us"] // 2)
+        j = i + int(np.searchsorted(ahead, ends))
+        if j <= i + 1:
+            return i
+        cutoff, width = int(us[j - 1]) - self.s["window_us"], self.s["slot_us"]
+        return j if sum(n for slot, n in self.sizes.items() if slot * width >= cutoff) >= self.s["min_samples"] else i
+
+    def _pass(self, us: np.ndarray, values: np.ndarray) -> None:
+        self.take_all(us, values)
+        self.since += len(us)
+        self.scored += len(us)
+
+    def feed_all(self, us: np.ndarray, values: np.ndarray) -> list[tuple[int, dict]]:
+        """(place, score) of the anomalies among samples in order of time: what ``feed`` gives for one after another."""
+        out, i, cool = [], 0, self.s["cooldown_us"]
+        while i < len(us):
+            if self.emit_at is not None and us[i] - self.emit_at < cool:
+                j = int(np.searchsorted(us, self.emit_at + cool))
+                self.suppressed += j - i
+                i = j
+                continue
+            j = self._scored_until(us, i)
+            if j == i:
+                hit = self.feed(int(us[i]), float(values[i]))
+                out += [(i, hit)] if hit else []
+                i += 1
+                continue
+            self.model = self.model or self.stored_model()
+            first, again = i, self.s["residual_mode"] != RESIDUAL_MODES[0]
+            for k, hit in self._scores(values[i:j], self.since + np.arange(1, j - i + 1)):
+                k += first
+                if k < i:
+                    continue  # suppressed
+                self._pass(us[i:k + 1], values[i:k + 1])
+                self.emit_at = int(us[k])
+                out.append((k, {"us": self.emit_at, "value": float(values[k]), **hit}))
+                i = max(k + 1, min(j, int(np.searchsorted(us, self.emit_at + cool))))
+                self.suppressed += i - k - 1
+                if again and i > k + 1:
+                    j = i  # suppressed samples have no phase: those that follow are scored anew
+                    break
+            if i < j:
+                self._pass(us[i:j], values[i:j])
+            i = j
+        return out
 
 
 _LAYOUT = (("feature", np.int32), ("threshold", np.float64), ("child", np.int32), ("path", np.float64))
@@ -140,6 +210,36 @@ def unpacked(row: tuple) -> Fit:
     return Fit(forest, mean, spread, np.array(last))
 
 
+def in_order(rows: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+    """Times, values, settings and subjects in order of time, and the texts that the last two are numbers of; number 0 is None.
+
+    A row takes 24 bytes: its texts, mostly the same for a whole series, are kept once.
+    """
+    number, parts = {}, ([], [], [], [])
+    for chunk in rows:
+        parts[0].append(chunk["us"].astype("int64").to_numpy())
+        parts[1].append(chunk["value"].astype("float64").to_numpy())
+        for part, name in zip(parts[2:], ("settings", "subject"), strict=True):
+            codes, found = pd.factorize(chunk[name])
+            known = np.array([*(number.setdefault(x, len(number) + 1) for x in found.tolist()), 0], np.int32)
+            part.append(known[codes])  # a missing text has the code -1
+    order, out = None, []
+    for part in parts:
+        column = np.concatenate(part)
+        part.clear()
+        if order is None:
+            order = np.argsort(column, kind="stable")
+        out.append(column[order])
+    return *out, [None, *number]
+
+
+def settings_runs(settings: np.ndarray, texts: list) -> Iterator[tuple[int, int, str | None]]:
+    """(first row, row past the end, text) of stretches with the same settings given."""
+    edges = [0, *(np.flatnonzero(settings[1:] != settings[:-1]) + 1).tolist(), len(settings)]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        yield lo, hi, texts[settings[lo]]
+
+
 class Detector(StatefulProcessor):
     def __init__(self, settings: dict, report: str = "hits"):
         self.settings, self.report = settings, report
@@ -156,20 +256,18 @@ class Detector(StatefulProcessor):
         state = DetectorState(
             self.settings, lambda slot: self.samples.getValue((slot,)), lambda: unpacked(self.model.get()),
             dict(zip(slots, sizes, strict=True)), fit_at, emit_at, since)
-        batch = pd.concat(list(rows)).sort_values("us", kind="stable")
+        us, values, settings, subjects, texts = in_order(rows)
         hits = []
-        for us, value, settings, subject in zip(batch["us"].tolist(), batch["value"].tolist(), batch["settings"].tolist(), batch["subject"].tolist(), strict=True):
-            own = settings if isinstance(settings, str) else own  # in force from this sample on
+        for lo, hi, given in settings_runs(settings, texts):
+            own = given or own  # in force from this sample on
             state.s = in_force(self.settings, own)
-            hit = state.feed(int(us), float(value))
-            if hit is not None:
-                hits.append({"series": key[0], **hit, "subject": subject})
-            newest = int(us) if newest is None else max(newest, int(us))
+            hits += [{"series": key[0], **hit, "subject": texts[subjects[lo + k]]} for k, hit in state.feed_all(us[lo:hi], values[lo:hi])]
+        newest = int(us[-1]) if newest is None else max(newest, int(us[-1]))
         for slot in state.gone:
             self.samples.removeKey((slot,))
         for slot in state.dirty:
             times, values = state.slots[slot]
-            self.samples.updateValue((slot,), (times, values))
+            self.samples.updateValue((slot,), (times.tolist(), values.tolist()))
         if state.fits:
             self.model.update(packed(state.model))
         if timer is None:  # one at a time: when it expires, the series is dropped or the next one set
@@ -179,7 +277,7 @@ class Detector(StatefulProcessor):
         if self.report == "fits":
             out = pd.DataFrame([{"series": key[0], "us": us, "n_train": n} for us, n in state.fits])
         else:  # the last row holds no hit but what is counted
-            hits.append({"series": key[0], "received": len(batch), "scored": state.scored, "suppressed": state.suppressed})
+            hits.append({"series": key[0], "received": len(us), "scored": state.scored, "suppressed": state.suppressed})
             whole = {c: "Int64" for c in ("us", "received", "scored", "suppressed")}
             out = pd.DataFrame({c: pd.Series([h.get(c) for h in hits], dtype=whole.get(c, object if c in TEXTS else float)) for c in COLUMNS})
         if len(out):

@@ -1,6 +1,7 @@
 import json
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +199,62 @@ def test_pointwise_residuals_follow_the_phase(spark):
         if state.model:
             want.append(v - float(state.model.baseline(state.since, "pointwise")))
     assert np.allclose([r["residual"] for r in rows], want) and np.median(np.abs(want)) < 0.5
+
+
+@pytest.mark.parametrize("mode", dt.RESIDUAL_MODES)
+@pytest.mark.parametrize("limit", [2.0, 0.62, 0.0])
+def test_many_samples_at_once_equal_one_after_another(monkeypatch, mode, limit):
+    """Same hits, fits, counts and history; most samples are scored together."""
+    from faultlens.streaming import detector
+
+    config = settings(window_s=7200, min_samples=60, period=10, trees=20, limits=[(limit, "info"), (0.75, "warning")], residual_mode=mode)
+    rng = np.random.default_rng(11)
+    us = np.sort(rng.integers(0, 30_000, 4000)) * S  # equal times too
+    us[2500:] += 9000 * S  # a gap longer than the window
+    values = rng.normal(0, 1, len(us))
+    cuts = [0, 3, 1200, 1201, 2800, 4000]
+    us[1200:1210] -= 120 * S  # a batch that begins before the last one's end
+    us[1201:] = np.sort(us[1201:])
+    one, want = DetectorState(config), []
+    for u, v in zip(us.tolist(), values.tolist()):
+        hit = one.feed(u, v)
+        want += [hit] if hit else []
+    calls, score = [], detector.isolation_score
+    monkeypatch.setattr(detector, "isolation_score", lambda *a: calls.append(len(a[1])) or score(*a))
+    many, got = DetectorState(config), []
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        got += [h for _, h in many.feed_all(us[lo:hi], values[lo:hi])]
+    assert got == want and many.fits == one.fits and (many.scored, many.suppressed, many.since) == (one.scored, one.suppressed, one.since)
+    assert many.sizes == one.sizes and many.history(int(us[-1])).tolist() == one.history(int(us[-1])).tolist()
+    assert limit < 2.0 or len(calls) < one.scored / 10
+
+
+def test_rows_of_a_series_take_few_bytes():
+    """Texts of a series are held once, whatever the number of its rows."""
+    import json
+    import tracemalloc
+
+    from faultlens.streaming.detector import in_order
+
+    def chunks(n):
+        for lo in range(0, n, 1000):
+            at = np.arange(lo, lo + 1000)
+            yield pd.DataFrame({"us": at[::-1] * 7 % n, "value": at * 0.5, "settings": [json.dumps({"window_s": 600 + 0 * k}) if lo else None for k in at],
+                                "subject": [json.dumps({"sli_id": "sli_view", "labels": {"service": "shop"}, "n": int(k >= n // 2)}) for k in at]})
+
+    tracemalloc.start()
+    us, values, own, subjects, texts = in_order(chunks(100_000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (np.diff(us) >= 0).all() and len(us) == len(values) == 100_000 and peak < 100 * 100_000
+    assert {texts[k] for k in own.tolist()} == {None, '{"window_s": 600}'} and len(set(subjects.tolist())) == 2
+
+
+def test_picked_points_are_those_of_one_draw():
+    from faultlens.operators.forest import _picks
+
+    for n, psi in ((100, 100), (300, 256), (50_000, 256)):
+        noise = np.random.default_rng(3).random((4, n))
+        rng = np.random.default_rng(3)
+        for k in range(4):
+            assert set(_picks(rng, n, psi)) == set(np.argsort(noise[k])[:psi])
