@@ -132,6 +132,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Data
         shared = spark.sparkContext.broadcast(pieces)
 
         def run(batches, shared=shared):
+            T.hold()
             for batch in batches:
                 hit = np.zeros(batch.num_rows, bool)
                 hit[[m[0] for m in shared.value.matches(batch.column(at))]] = True

@@ -21,6 +21,7 @@ from faultlens.llm import textops as T
 WORD_TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 MAX_WORDS = 1 << 21  #: words remembered by a task (about 120 MB)
+FEW_WORDS = 1 << 15  #: words the table of a task has room for at first; a quarter of it goes to the tokenizer at once
 SPLIT = T.table([0x20, 0x0A])
 
 
@@ -57,19 +58,35 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.by_word = splits_words(json.loads(self.tokenizer.to_str()))
+        # The two parts alone: the whole file holds the vocabulary too.
+        parts = {"normalizer": self.tokenizer.normalizer, "pre_tokenizer": self.tokenizer.pre_tokenizer}
+        self.by_word = splits_words({name: None if part is None else json.loads(part.__getstate__()) for name, part in parts.items()})
         self.clear()
 
     def clear(self) -> None:
-        self.mask = (MAX_WORDS << 1) - 1
-        self.keys = np.zeros(MAX_WORDS << 1, np.uint64)
-        self.entry = np.zeros(MAX_WORDS << 1, np.int32)
+        self._room(FEW_WORDS)
         self.n = 0
         self.start = np.zeros(1 << 12, np.int64)
         self.count = np.zeros(1 << 12, np.int32)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
+    def _room(self, words: int) -> None:
+        """An empty hash table for so many words."""
+        slots = min(4 << (words - 1).bit_length(), MAX_WORDS << 1)
+        self.mask = slots - 1
+        self.keys = np.zeros(slots, np.uint64)
+        self.entry = np.zeros(slots, np.int32)
+
+    def _place(self, h: np.ndarray, entry: np.ndarray) -> None:
+        todo, slot = np.arange(len(h)), (h & np.uint64(self.mask)).astype(np.int64)
+        while len(todo):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = h[todo[free]]
+            won = self.keys[slot] == h[todo]
+            self.entry[slot[won]] = entry[todo[won]]
+            todo, slot = todo[~won], (slot[~won] + 1) & self.mask
+
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 if there is none yet."""
         out = np.full(len(h), -1, np.int32)
@@ -95,13 +112,12 @@ class WordIds:
         self.count[self.n:self.n + len(h)] = counts
         self.ids[self.used:self.used + len(flat)] = flat
         self.used += len(flat)
-        todo, slot = np.arange(len(h)), (h & np.uint64(self.mask)).astype(np.int64)
-        while len(todo):
-            free = self.keys[slot] == 0
-            self.keys[slot[free]] = h[todo[free]]
-            won = self.keys[slot] == h[todo]
-            self.entry[slot[won]] = self.n + todo[won]
-            todo, slot = todo[~won], (slot[~won] + 1) & self.mask
+        if self.n + len(h) > len(self.keys) >> 2 and len(self.keys) < MAX_WORDS << 1:
+            used = np.flatnonzero(self.keys)
+            keys, entry = self.keys[used], self.entry[used]
+            self._room(self.n + len(h))
+            self._place(keys, entry)
+        self._place(h, np.arange(self.n, self.n + len(h), dtype=np.int32))
         self.n += len(h)
 
     def encode(self, column: pa.Array):
@@ -126,10 +142,10 @@ class WordIds:
                     self.clear()
                     new = np.arange(len(h))
                     keys, first = np.unique(h, return_index=True)
-                for k in range(0, len(keys), MAX_WORDS):
-                    i = new[first[k:k + MAX_WORDS]]
+                for k in range(0, len(keys), FEW_WORDS >> 2):
+                    i = new[first[k:k + (FEW_WORDS >> 2)]]
                     base = offsets[w.row[i]]
-                    self._add(keys[k:k + MAX_WORDS], [raw[a:b].tobytes().decode() for a, b in zip(base + w.start[i], base + w.end[i])])
+                    self._add(keys[k:k + (FEW_WORDS >> 2)], [raw[a:b].tobytes().decode() for a, b in zip(base + w.start[i], base + w.end[i])])
                 at = self._find(h)
             n = self.count[at].astype(np.int64)
             ends = np.cumsum(n)

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from faultlens.llm import coder
+from faultlens.llm import coder, tokens
 from faultlens.llm.packing import pack, plan
 from faultlens.llm.token_files import read_tokens, write_tokens
 from faultlens.llm.tokens import WordIds, splits_words, tokenizer_path
@@ -142,3 +142,26 @@ def test_pieces_hold_each_id_once(make):
     assert used >= 0.9 * 256 * (len(seq) - 1)
     assert sorted(seq) == list(range(len(seq)))
     assert pack(make(data).limit(0)).count() == 0
+
+
+def test_word_table_grows_with_its_words(monkeypatch):
+    """The table takes memory for the words met, also when it grows between calls and when it is emptied."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "FEW_WORDS", 16)
+    plain, table = Tokenizer.from_file(tokenizer_path()), WordIds(tokenizer_path())
+    assert len(table.keys) == 64 and WordIds(tokenizer_path()).keys.nbytes < 1 << 20
+    rng = random.Random(2)
+
+    def check(n):
+        texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(200)) for _ in range(n)]
+        for lo, ids, bounds in table.encode(pa.array(texts)):
+            got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+            assert got == [e.ids for e in plain.encode_batch(texts[lo:lo + len(got)], add_special_tokens=False)]
+
+    for n in (1, 3, 10, 30):
+        check(n)
+        assert 2 * table.n <= len(table.keys) <= 16 * table.n and (table.keys != 0).sum() == table.n
+    monkeypatch.setattr(tokens, "MAX_WORDS", 1 << 12)
+    check(20)
+    assert len(table.keys) <= 1 << 13 and table.n <= 1 << 12
