@@ -239,8 +239,8 @@ def test_rows_of_a_series_take_few_bytes():
     def chunks(n):
         for lo in range(0, n, 1000):
             at = np.arange(lo, lo + 1000)
-            yield pd.DataFrame({"us": at[::-1] * 7 % n, "value": at * 0.5, "settings": [json.dumps({"window_s": 600 + 0 * k}) if lo else None for k in at],
-                                "subject": [json.dumps({"sli_id": "sli_view", "labels": {"service": "shop"}, "n": int(k >= n // 2)}) for k in at]})
+            yield pd.DataFrame({"us": at[::-1] * 7 % n, "value": at * 0.5, "settings": [json.dumps({"window_s": 600 + 0 * k}) if lo else None for k in at.tolist()],
+                                "subject": [json.dumps({"sli_id": "sli_view", "labels": {"service": "shop"}, "n": int(k >= n // 2)}) for k in at.tolist()]})
 
     tracemalloc.start()
     us, values, own, subjects, texts = in_order(chunks(100_000))
