@@ -28,7 +28,7 @@ MIXED = 1 << (SCALE - 2)  #: at least this much stays with order 0
 LEVEL_BITS = 3
 LEVELS = 1 << LEVEL_BITS  #: confidence counts
 LANE_IDS = 128  #: ids a lane should have at least
-MAX_LANES = 4096
+MAX_LANES = 8192
 CONTEXTS = 1 << 18
 REFRESH = 16  #: steps between two looks at the counts
 U = np.uint64

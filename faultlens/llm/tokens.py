@@ -23,6 +23,7 @@ END_ID = 1
 MAX_WORDS = 1 << 21  #: words remembered by a task (about 120 MB)
 FEW_WORDS = 1 << 15  #: words the table of a task has room for at first; a quarter of it goes to the tokenizer at once
 SPLIT = T.table([0x20, 0x0A])
+MARK = "\x7f"  #: stands between words that go to the tokenizer as one text
 
 
 def tokenizer_path(name: str = WORD_TOKENIZER) -> str:
@@ -61,6 +62,8 @@ class WordIds:
         # The two parts alone: the whole file holds the vocabulary too.
         parts = {"normalizer": self.tokenizer.normalizer, "pre_tokenizer": self.tokenizer.pre_tokenizer}
         self.by_word = splits_words({name: None if part is None else json.loads(part.__getstate__()) for name, part in parts.items()})
+        alone = self.tokenizer.encode(MARK, add_special_tokens=False).ids if self.by_word else []
+        self.mark = alone[0] if len(alone) == 1 else -1
         self.clear()
 
     def clear(self) -> None:
@@ -100,10 +103,20 @@ class WordIds:
             todo, slot = todo[on], (slot[on] + 1) & self.mask
         return out
 
-    def _add(self, h: np.ndarray, words: list[str]) -> None:
+    def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, ids) of some words: as one text with a mark between them, word by word if a word holds the mark."""
+        text = f" {MARK} ".join(words)
+        if self.mark >= 0 and text.count(MARK) == len(words) - 1:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(words) - 1:
+                return np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1, ids[ids != self.mark]
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int32, len(found))
-        flat = np.fromiter((x for f in found for x in f), np.uint32, int(counts.sum()))
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return counts, np.fromiter((x for f in found for x in f), np.uint32, int(counts.sum()))
+
+    def _add(self, h: np.ndarray, words: list[str]) -> None:
+        counts, flat = self._looked_up(words)
         while self.n + len(h) > len(self.start):
             self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
         while self.used + len(flat) > len(self.ids):

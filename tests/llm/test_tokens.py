@@ -165,3 +165,32 @@ def test_word_table_grows_with_its_words(monkeypatch):
     monkeypatch.setattr(tokens, "MAX_WORDS", 1 << 12)
     check(20)
     assert len(table.keys) <= 1 << 13 and table.n <= 1 << 12
+
+
+class Counted:
+    """A tokenizer that notes how many texts it gets at a time."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.sizes = tokenizer, []
+
+    def encode_batch_fast(self, some, **options):
+        self.sizes.append(len(some))
+        return self.tokenizer.encode_batch_fast(some, **options)
+
+
+def test_new_words_go_to_the_tokenizer_as_one_text():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcé'.,7İ́") for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    for more, texts_sent in (([], 1), (["<|endoftext|>"], 1), (["a" + tokens.MARK], 502)):  # a word that holds the mark: word by word
+        sample = list(dict.fromkeys(words)) + more
+        table = WordIds(tokenizer_path())
+        table.tokenizer = Counted(table.tokenizer)
+        counts, ids = table._looked_up(sample)
+        assert max(table.tokenizer.sizes) <= texts_sent
+        ends = np.cumsum(counts)
+        assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == [e.ids for e in Tokenizer.from_file(tokenizer_path()).encode_batch_fast(sample, add_special_tokens=False)]
+
+
+def test_a_full_block_is_coded_in_few_steps():
+    lanes, steps = coder._shape(1 << 20)
+    assert steps <= 128 and lanes * steps >= 1 << 20
