@@ -57,6 +57,16 @@ def test_templates_do_not_depend_on_order(spark):
     assert fields == {"user <*> logged in from <*>": {1: "ua", 5: "10.0.0.0"}}
 
 
+def test_example_fields_look_at_every_line(spark):
+    """The smallest value of a hole may stand on another line than that of the hole beside it, and on none that sorts first."""
+    lines = [("a", "from 10 to 9"), ("a", "from 9 to 10"), ("a", " from  11 to 8 "), (None, "from 3 to 4"), (None, "from 2 to 7"), ("a", "from 11 to 8")]
+    lines += [("b", f"go {w} id={i}") for i, w in enumerate("zeta eta theta iota kappa lambda mu nu xi pi".split())] + [("b", "go zeta id=x"), ("b", "go zeta id=<*>")]
+    logs = spark.createDataFrame(lines, "service string, line string").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    fields = {(r["service"], r["template"]): r["fields"] for r in tm.example_fields(logs).collect()}
+    assert fields == {("a", "from <*> to <*>"): {1: "10", 3: "10"}, (None, "from <*> to <*>"): {1: "2", 3: "4"},
+                      ("b", "go <*> id=<*>"): {1: "eta", 2: "id=0"}, ("b", "go <*> id=x"): {1: "zeta"}}
+
+
 def test_three_way(spark):
     def side(**leaves):
         return spark.createDataFrame([(1, p, "number", v) for p, v in leaves.items()], "doc long, path string, kind string, leaf string")
