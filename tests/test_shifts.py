@@ -44,6 +44,29 @@ def test_pairs_of_onsets_and_templates_are_not_shuffled(spark):
     assert "Exchange" not in top and "HashAggregate" not in top
 
 
+def test_shifts_put_onto_rows_equal_the_rows_and_are_not_shuffled(spark):
+    """Each row gets its incident's shifts, sharpest first; several onsets of an incident, a missing one and repeated rows included."""
+    rng = random.Random(3)
+    lines = [(rng.choice("ab"), rng.randrange(900) * MIN + rng.randrange(MIN), rng.choice(["disk full", "node up", "node up", "job done", f"rare w{'xyz'[i % 3]}"])) for i in range(500)]
+    logs = spark.createDataFrame(lines, "service string, us long, line string").withColumn("ts", F.timestamp_micros("us"))
+    one = [(i, rng.choice("ab"), rng.randrange(900) * MIN) for i in range(40)] + [(41, "a", 5000 * MIN), (None, "a", 9)]
+    fields = spark.createDataFrame([("a", "node up", {1: "x"}), ("b", "node up", {})], "service string, template string, seen map<int,string>")
+    onto = spark.createDataFrame([(i, f"r{i}", "own") for i in [*range(45), 3, 51, None]], "incident long, name string, service string")
+    for onsets in (one, [*one, (51, "a", 300 * MIN), (51, "b", 300 * MIN), (51, "b", 420 * MIN), (3, "a", 100 * MIN), (3, "b", 200 * MIN)]):
+        incidents = spark.createDataFrame(onsets, "incident long, service string, onset_us long")
+        plain = onset_shifts(logs, incidents, 3600, 1800, carried=fields).withColumn("sharp", F.round(F.abs(F.log("ratio")), 9))
+        want = {}
+        for r in sorted(plain.collect(), key=lambda r: (-r["sharp"], r["service"], r["template"])):
+            want.setdefault(r["incident"], []).append((r["service"], r["template"], r["count_before"], r["count_after"], r["seen"]))
+        rows = onset_shifts(logs, incidents, 3600, 1800, carried=fields, onto=onto)
+        assert rows.columns == ["incident", "name", "service", "shifts"]
+        got = sorted((repr(r["incident"]), r["name"], r["service"], [tuple(x) for x in r["shifts"] or []]) for r in rows.collect())
+        assert got == sorted((repr(i), f"r{i}", "own", want.get(i, []) if i is not None else []) for i in [*range(45), 3, 51, None])
+    alone = onset_shifts(logs, spark.createDataFrame(one, "incident long, service string, onset_us long"), 3600, 1800, onto=onto)
+    plan = alone._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "Exchange" not in plan[:plan.index("Join")] and plan.count("collect_list") == 2
+
+
 def test_lines_stay_where_they_are_for_small_buckets(spark):
     """Few crowded buckets are taken to the lines, whatever the broadcast threshold; large ones are shuffled to."""
     lines = [(s, f"{w} {x} end") for s in ("a", None) for w in ("open", "shut") for x in ("alpha beta gamma delta".split() if w == "shut" else "bcdefghijkl")]
